@@ -14,9 +14,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from agora.operators import counts, topn
+from agora.plans import ingest, moderation
 from agora.plans import staging as staging_plan
 from agora.plans import weekly
+from agora.session import scratch_dir
 from agora.sources import standins
+from agora.streaming import content_flag
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -182,3 +186,273 @@ FROM events""",
 def q_dim_all_users_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every day of the comment collection staged in one job."""
     return _staging(spark, sf_dir)
+
+
+# --------------------------------------------------------------------------
+# Communities, listings and ingest.
+
+SQL_TOP = """
+top AS (
+    SELECT c_name AS subreddit_name,
+           CASE WHEN isnan(c_acctbal) THEN NULL ELSE c_acctbal END AS subscribers_count
+    FROM customer
+    ORDER BY subscribers_count DESC NULLS LAST, subreddit_name ASC
+    LIMIT 25
+)"""
+
+SQL_SNAP = """
+snap AS (
+    SELECT CAST(o_orderdate AS DATE) AS snapshot_date,
+           'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS subreddit,
+           CAST(o_orderkey AS VARCHAR) AS post_id,
+           CAST(epoch_us(o_orderdate) AS DOUBLE) / 1000000.0 AS created,
+           CAST(floor(o_totalprice) AS BIGINT) AS ups,
+           CAST(0 AS BIGINT) AS downs,
+           o_orderstatus = 'F' AS over_18,
+           CAST(o_custkey AS VARCHAR) AS author_id
+    FROM orders
+)"""
+
+# Posts of the top communities, first 100 per (day, community), cleaned.
+SQL_POSTS = (
+    SQL_TOP
+    + ","
+    + SQL_SNAP
+    + """,
+listed AS (
+    SELECT *, row_number() OVER (PARTITION BY snapshot_date, subreddit
+                                 ORDER BY ups DESC NULLS LAST, post_id) AS rn
+    FROM snap WHERE subreddit IN (SELECT subreddit_name FROM top)
+),
+posts AS (
+    SELECT CAST(NULL AS VARCHAR) AS title,
+           nullif(post_id, '') AS post_id,
+           CAST(NULL AS VARCHAR) AS subreddit_id,
+           nullif(created, 0) AS created,
+           CAST(NULL AS DOUBLE) AS banned_at_utc,
+           CAST(NULL AS VARCHAR) AS distinguished,
+           CAST(NULL AS VARCHAR) AS url,
+           CAST(0 AS BIGINT) AS num_comments,
+           nullif(ups, 0) AS ups,
+           nullif(downs, 0) AS downs,
+           CASE WHEN over_18 THEN true END AS over_18,
+           CAST(NULL AS VARCHAR) AS removal_reason,
+           CAST(NULL AS BIGINT) AS num_reports,
+           CAST(NULL AS VARCHAR) AS subreddit_type,
+           CAST(NULL AS VARCHAR) AS author_name,
+           nullif(author_id, '') AS author_id,
+           CAST(NULL AS BIGINT) AS author_link_karma,
+           CAST(NULL AS VARCHAR) AS flair,
+           CAST(epoch_us(CAST(snapshot_date AS TIMESTAMP)) AS DOUBLE) / 1000000.0 AS etl_ts,
+           subreddit,
+           snapshot_date AS etl_date
+    FROM listed
+    WHERE rn <= 100 AND CAST(to_timestamp(created) AT TIME ZONE 'UTC' AS DATE) = snapshot_date
+)"""
+)
+
+
+def _posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.ingest_posts(
+        standins.post_snapshots(spark, sf_dir),
+        standins.communities(spark, sf_dir),
+        hot_order=standins.standin_hot_order(),
+    )
+
+
+@register("top_n_communities", "WITH" + SQL_TOP + "\nSELECT * FROM top")
+def q_top_n_communities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topn.top_communities(standins.communities(spark, sf_dir), ingest.TOP_COMMUNITIES)
+
+
+@register(
+    "distinct_post_ids",
+    "WITH" + SQL_SNAP + "\nSELECT DISTINCT subreddit, post_id FROM snap",
+)
+def q_distinct_post_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct post ids per community (all communities in one job)."""
+    snaps = standins.post_snapshots(spark, sf_dir)
+    return snaps.select("subreddit", "post_id").distinct()
+
+
+@register(
+    "top_posts_per_community",
+    "WITH"
+    + SQL_SNAP
+    + """,
+ranked AS (
+    SELECT subreddit, post_id, ups,
+           row_number() OVER (PARTITION BY subreddit ORDER BY ups DESC NULLS LAST, post_id) AS hot_rank
+    FROM snap
+)
+SELECT subreddit, post_id, ups, CAST(hot_rank AS INTEGER) AS hot_rank FROM ranked WHERE hot_rank <= 100""",
+)
+def q_top_posts_per_community(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hot listing: the first 100 posts of every community."""
+    snaps = standins.post_snapshots(spark, sf_dir).select("subreddit", "post_id", "ups")
+    return topn.first_n_per_group(
+        snaps, ["subreddit"], standins.standin_hot_order(), ingest.HOT_POSTS_PER_COMMUNITY, rank_col="hot_rank"
+    )
+
+
+@register("posts_ingest", "WITH" + SQL_POSTS + "\nSELECT * FROM posts")
+def q_posts_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every landed day of posts for the top-25 communities, cleaned (Q5)."""
+    return _posts(spark, sf_dir)
+
+
+@register(
+    "posts_cleaned",
+    "WITH"
+    + SQL_SNAP
+    + """
+SELECT nullif(post_id, '') AS post_id, nullif(created, 0) AS created,
+       CAST(0 AS BIGINT) AS num_comments, nullif(ups, 0) AS ups, nullif(downs, 0) AS downs,
+       CASE WHEN over_18 THEN true END AS over_18, nullif(author_id, '') AS author_id, subreddit
+FROM snap""",
+)
+def q_posts_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Falsy -> missing and the comment-count default on every landed post."""
+    cleaned = ingest.clean_posts(standins.post_snapshots(spark, sf_dir))
+    return cleaned.select("post_id", "created", "num_comments", "ups", "downs", "over_18", "author_id", "subreddit")
+
+
+@register(
+    "ingest_counts",
+    "WITH" + SQL_POSTS + "\nSELECT etl_date, subreddit, count(*) AS n_posts FROM posts GROUP BY 1, 2",
+)
+def q_ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted posts per day and community (the jobs' load log, A5)."""
+    return counts.count_per_group(_posts(spark, sf_dir), ["etl_date", "subreddit"], "n_posts")
+
+
+SQL_COMMENTS = (
+    SQL_POSTS
+    + """,
+keys AS (SELECT DISTINCT post_id, subreddit FROM posts WHERE post_id IS NOT NULL),
+com AS (
+    SELECT CAST(event_id AS VARCHAR) AS post_id,
+           CAST(NULL AS VARCHAR) AS parent_id,
+           CAST(event_id AS VARCHAR) AS comment_id,
+           CAST(user_id AS VARCHAR) AS author_name,
+           CAST(floor(value) AS BIGINT) AS score,
+           CAST(epoch_us(ts) AS DOUBLE) / 1000000.0 AS created_utc,
+           CAST(ts AS DATE) AS day
+    FROM events
+)
+SELECT com.post_id, com.parent_id,
+       nullif(com.comment_id, '') AS comment_id,
+       nullif(com.author_name, '') AS author_name,
+       nullif(com.score, 0) AS score,
+       nullif(com.created_utc, 0) AS created_utc,
+       CAST(NULL AS BOOLEAN) AS is_submitter,
+       CAST(NULL AS VARCHAR) AS distinguished,
+       CAST(NULL AS VARCHAR) AS edited,
+       CAST(NULL AS BIGINT) AS replies,
+       CAST(epoch_us(CAST(com.day AS TIMESTAMP)) AS DOUBLE) / 1000000.0 AS etl_ts,
+       keys.subreddit,
+       com.day AS etl_date
+FROM com JOIN keys ON keys.post_id = com.post_id"""
+)
+
+
+@register("comments_ingest", "WITH" + SQL_COMMENTS)
+def q_comments_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comments under the stored posts of the top-25 communities, every day (Q6)."""
+    return ingest.ingest_comments(
+        standins.comment_snapshots(spark, sf_dir),
+        _posts(spark, sf_dir),
+        standins.communities(spark, sf_dir),
+    )
+
+
+@register(
+    "reply_counts",
+    """
+WITH n AS (
+    SELECT conv_id, turn - 1 AS turn, count(*) AS c FROM conversations WHERE turn > 0 GROUP BY 1, 2
+)
+SELECT CAST(t.conv_id AS VARCHAR) AS post_id,
+       CAST(t.conv_id AS VARCHAR) || ':' || CAST(t.turn AS VARCHAR) AS comment_id,
+       nullif(n.c, 0) AS replies
+FROM conversations t LEFT JOIN n ON n.conv_id = t.conv_id AND n.turn = t.turn""",
+)
+def q_reply_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Direct replies per comment of the reply tree, 0 as missing."""
+    return counts.reply_counts(standins.reply_tree(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------
+# Content flag (Q7 batch and stream) and the sample post JSON (Q8).
+
+SQL_FLAGS = """
+WITH pf AS (
+    SELECT CAST(doc_id AS VARCHAR) AS thread_id, bool_or(toxic = 1) AS post_adult
+    FROM labels GROUP BY doc_id
+),
+cf AS (
+    SELECT d.source AS subreddit, coalesce(sum(l.toxic), 0) >= 4 AS community_adult
+    FROM documents d JOIN labels l ON l.doc_id = d.doc_id
+    GROUP BY d.source
+)
+SELECT d.source AS subreddit,
+       CAST(d.doc_id AS VARCHAR) AS thread_id,
+       CAST(NULL AS VARCHAR) AS author_id,
+       CAST(NULL AS VARCHAR) AS creation_date,
+       CAST(NULL AS VARCHAR) AS url,
+       CASE WHEN pf.post_adult IS NULL THEN NULL
+            ELSE pf.post_adult AND NOT coalesce(cf.community_adult, false) END AS is_violation
+FROM documents d
+LEFT JOIN pf ON pf.thread_id = CAST(d.doc_id AS VARCHAR)
+LEFT JOIN cf ON cf.subreddit = d.source"""
+
+
+@register("content_flag_batch", SQL_FLAGS)
+def q_content_flag_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adult post in a non-adult community, over every post event (Q7, batch)."""
+    return moderation.apply_content_flag(
+        standins.post_events(spark, sf_dir),
+        standins.post_flags(spark, sf_dir),
+        standins.community_flags(spark, sf_dir),
+    )
+
+
+@register("content_flag_stream", SQL_FLAGS)
+def q_content_flag_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q7 as a Structured Streaming job (file source -> flag -> file sink), read back."""
+    out = scratch_dir(spark, "content_flag_stream")
+    query = content_flag.start_sink(
+        content_flag.flag_events(
+            content_flag.document_event_stream(spark, sf_dir),
+            standins.post_flags(spark, sf_dir),
+            standins.community_flags(spark, sf_dir),
+        ),
+        sink="parquet",
+        path=f"{out}/data",
+        checkpoint=f"{out}/checkpoint",
+        available_now=True,
+    )
+    query.awaitTermination()
+    return spark.read.parquet(f"{out}/data")
+
+
+@register(
+    "sample_post_json",
+    "WITH"
+    + SQL_SNAP
+    + """,
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY subreddit ORDER BY ups DESC NULLS LAST, post_id) AS rn,
+           count(*) OVER (PARTITION BY subreddit) AS n
+    FROM snap
+)
+SELECT subreddit,
+       CAST(json_object('subreddit', subreddit, 'thread_id', post_id, 'author_id', author_id,
+                        'creation_date', CAST(CAST(created AS BIGINT) AS VARCHAR) || '.0',
+                        'url', CAST(NULL AS VARCHAR)) AS VARCHAR) AS sample_json
+FROM ranked WHERE rn = least(n, 10)""",
+)
+def q_sample_post_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per community, the last of its first 10 hot posts as a JSON event (Q8)."""
+    snaps = standins.post_snapshots(spark, sf_dir).select("subreddit", "post_id", "author_id", "created", "url", "ups")
+    return moderation.sample_post_json(snaps, standins.standin_hot_order())
