@@ -53,7 +53,7 @@ def salted_join(
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError(f"salted join does not support {how!r}")
     salted_big = big.withColumn(SALT_COL, F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(buckets)))
-    replicated = lookup.withColumn(SALT_COL, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).cast("long"))
+    replicated = lookup.withColumn(SALT_COL, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))))
     joined = salted_big.join(replicated, [*on, SALT_COL], how)
     return joined.drop(SALT_COL)
 

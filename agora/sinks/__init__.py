@@ -1,0 +1 @@
+"""Batch sinks (the streaming sinks live in ``agora.streaming``)."""

@@ -1,0 +1 @@
+"""Sources: driver tables, stand-in datasets, landed files and streams."""
