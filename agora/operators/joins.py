@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,14 +26,28 @@ SALT_COL = "_salt"
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (stops counting above)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    A plain distributed count: per-task partial counts and one tiny final
+    sum.  (``limit(n).count()`` would funnel up to n rows per task into a
+    single partition.)
+    """
+    return df.count() <= max_rows
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """``(F.broadcast(df), True)`` when the row count proves it small, else ``(df, False)``."""
-    if row_count_at_most(df, max_rows):
-        return F.broadcast(df), True
+    """``(F.broadcast(df), True)`` when the row count proves it small, else ``(df, False)``.
+
+    The side is persisted while it is counted, so a proven-small side is
+    computed once and the broadcast reads the cached rows (at most
+    ``max_rows`` narrow rows stay cached; a lost block is recomputed from
+    lineage).  A side above the bound is unpersisted right away and joined
+    by a shuffle instead.
+    """
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if row_count_at_most(cached, max_rows):
+        return F.broadcast(cached), True
+    cached.unpersist()
     return df, False
 
 
