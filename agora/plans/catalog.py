@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from agora.operators import counts, topn
-from agora.plans import ingest, moderation
+from agora.plans import ingest, moderation, reports_sql
 from agora.plans import staging as staging_plan
 from agora.plans import weekly
 from agora.session import scratch_dir
@@ -104,28 +104,36 @@ def q_weekly_active_days_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weekly.weekly_active_days(_staging(spark, sf_dir), literal=True)
 
 
-@register(
-    "weekly_activity_rate",
-    "WITH" + SQL_WEEK + """
+ORACLE_RATE = (
+    "WITH"
+    + SQL_WEEK
+    + """
 SELECT author_id, weekly_activity,
        round(CAST(n_days AS DOUBLE) / 7.0, 2) AS avg_activity_rate_per_week
-FROM per_user""",
+FROM per_user"""
 )
+
+
+@register("weekly_activity_rate", ORACLE_RATE)
 def q_weekly_activity_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weekly.weekly_activity_rate(_staging(spark, sf_dir))
 
 
-@register(
-    "consecutive_day_flags",
-    "WITH" + SQL_WEEK + """
+ORACLE_FLAGS = (
+    "WITH"
+    + SQL_WEEK
+    + """
 SELECT author_id, weekly_activity,
        CASE WHEN weekly_activity = '1111111' THEN 1 ELSE 0 END AS is_active_7_consecutive_days,
        CASE WHEN weekly_activity LIKE '111111_' OR weekly_activity LIKE '_111111'
             THEN 1 ELSE 0 END AS is_active_6_consecutive_days,
        CASE WHEN weekly_activity LIKE '11111_1' OR weekly_activity LIKE '1_11111'
             THEN 1 ELSE 0 END AS is_active_5_consecutive_days
-FROM per_user""",
+FROM per_user"""
 )
+
+
+@register("consecutive_day_flags", ORACLE_FLAGS)
 def q_consecutive_day_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weekly.consecutive_day_flags(_staging(spark, sf_dir))
 
@@ -159,6 +167,24 @@ def q_weekly_active_users_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weekly.weekly_active_users(_staging(spark, sf_dir))
 
 
+@register("weekly_active_days_sql", SQL_ACTIVE_DAYS)
+def q_weekly_active_days_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1 as Spark SQL text over a ``dim_all_users_stg`` view."""
+    return reports_sql.run_report(spark, "weekly_active_users", _staging(spark, sf_dir))
+
+
+@register("weekly_activity_rate_sql", ORACLE_RATE)
+def q_weekly_activity_rate_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2 as Spark SQL text."""
+    return reports_sql.run_report(spark, "inactive_days_activity", _staging(spark, sf_dir))
+
+
+@register("consecutive_day_flags_sql", ORACLE_FLAGS)
+def q_consecutive_day_flags_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3 as Spark SQL text."""
+    return reports_sql.run_report(spark, "consecutive_days_activity", _staging(spark, sf_dir))
+
+
 # --------------------------------------------------------------------------
 # Staging load (Q4).
 
@@ -174,7 +200,7 @@ WHERE ts >= TIMESTAMP '2024-01-08 00:00:00' AND ts < TIMESTAMP '2024-01-09 00:00
 )
 def q_dim_all_users_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily load of one run day (the staging job's unit of work)."""
-    return staging_plan.stage_users(standins.stored_comments(spark, sf_dir), STAGE_DAY)
+    return staging_plan.stage_users(standins.stored_comments(spark, sf_dir, STAGE_DAY), STAGE_DAY)
 
 
 @register(

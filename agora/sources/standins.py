@@ -24,10 +24,12 @@ given tables and its work grows with them.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agora.functions.dates import epoch_seconds
+from agora.functions.dates import as_date, epoch_seconds
 from agora.schemas import COMMENT_SNAPSHOT, POST_SNAPSHOT
 from agora.sources.tables import read_table
 
@@ -110,13 +112,33 @@ def comment_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stored_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ts_window(start: dt.date | str | None, end: dt.date | str | None = None, col: str = "ts") -> Column | None:
+    """``start <= ts < end`` on a raw TIMESTAMP_NTZ column, as literals Parquet can push down.
+
+    The jobs filter on derived epoch seconds, which a scan cannot use; the
+    stand-in readers add this equivalent range on the stored column.
+    """
+    if start is None:
+        return None
+    lo = as_date(start)
+    hi = as_date(end) if end is not None else lo + dt.timedelta(days=1)
+    as_ntz = lambda d: F.lit(dt.datetime(d.year, d.month, d.day)).cast("timestamp_ntz")
+    return (F.col(col) >= as_ntz(lo)) & (F.col(col) < as_ntz(hi))
+
+
+def stored_comments(
+    spark: SparkSession, sf_dir: str, start: dt.date | str | None = None, end: dt.date | str | None = None
+) -> DataFrame:
     """The comment collection as the staging job reads it.
 
     Only the two fields staging needs plus the filter field; the load time of a
-    stand-in comment is its creation time.
+    stand-in comment is its creation time.  With ``start`` the scan keeps only
+    ``[start, end)`` (pushed to Parquet).
     """
     events = read_table(spark, sf_dir, "events", ["ts", "user_id"])
+    window = ts_window(start, end)
+    if window is not None:
+        events = events.where(window)
     created = epoch_seconds("ts")
     return events.select(
         F.col("user_id").cast("string").alias("author_name"),
