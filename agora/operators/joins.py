@@ -35,19 +35,23 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.count() <= max_rows
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+def broadcast_if_bounded(
+    df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, cache: bool = True
+) -> tuple[DataFrame, bool]:
     """``(F.broadcast(df), True)`` when the row count proves it small, else ``(df, False)``.
 
-    The side is persisted while it is counted, so a proven-small side is
-    computed once and the broadcast reads the cached rows (at most
-    ``max_rows`` narrow rows stay cached; a lost block is recomputed from
-    lineage).  A side above the bound is unpersisted right away and joined
-    by a shuffle instead.
+    With ``cache`` (batch jobs) the side is persisted while it is counted, so
+    a proven-small side is computed once and the broadcast reads the cached
+    rows (at most ``max_rows`` narrow rows stay cached; a lost block is
+    recomputed from lineage).  A side above the bound is unpersisted right
+    away and joined by a shuffle instead.  Streams pass ``cache=False``: the
+    lookup is then re-read for every micro-batch and stays current.
     """
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if row_count_at_most(cached, max_rows):
-        return F.broadcast(cached), True
-    cached.unpersist()
+    side = df.persist(StorageLevel.MEMORY_AND_DISK) if cache else df
+    if row_count_at_most(side, max_rows):
+        return F.broadcast(side), True
+    if cache:
+        side.unpersist()
     return df, False
 
 
@@ -80,6 +84,7 @@ def lookup_join(
     how: str = "left",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     salt_buckets: int = 1,
+    cache_lookup: bool = True,
 ) -> DataFrame:
     """Join ``big`` to a lookup side with the cheapest safe strategy.
 
@@ -88,7 +93,7 @@ def lookup_join(
     left to AQE (batch).
     """
     keys = [on] if isinstance(on, str) else list(on)
-    side, small = broadcast_if_bounded(lookup, max_broadcast_rows)
+    side, small = broadcast_if_bounded(lookup, max_broadcast_rows, cache=cache_lookup)
     if small:
         return big.join(side, keys, how)
     if salt_buckets > 1:

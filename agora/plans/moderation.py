@@ -38,11 +38,13 @@ def apply_content_flag(
 
     ``post_flags``: ``thread_id, post_adult``; ``community_flags``:
     ``subreddit, community_adult``; both one row per key.  Works on a batch or a
-    streaming ``events`` frame (stream-static left joins).
+    streaming ``events`` frame (stream-static left joins; for a stream the
+    lookups are not cached, so each micro-batch sees the current flags).
     """
+    cache = not events.isStreaming
     base = events.drop("is_violation")
-    with_post = lookup_join(base, post_flags, "thread_id", "left", max_broadcast_rows, salt_buckets)
-    with_both = lookup_join(with_post, community_flags, "subreddit", "left", max_broadcast_rows, salt_buckets)
+    with_post = lookup_join(base, post_flags, "thread_id", "left", max_broadcast_rows, salt_buckets, cache)
+    with_both = lookup_join(with_post, community_flags, "subreddit", "left", max_broadcast_rows, salt_buckets, cache)
     flag = flag_adult_in_safe_community("post_adult", "community_adult")
     return with_both.select(*[c for c in POST_EVENT_FIELDS if c != "is_violation"], flag.alias("is_violation"))
 

@@ -19,6 +19,11 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Coalesce shuffle partitions to a target size instead of keeping one per
+    # core: no swarm of tiny reducer tasks on small inputs, ~128 MB reducers
+    # on large ones (size spark.sql.shuffle.partitions for the largest stage).
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Dynamic partition overwrite makes a daily reload replace only its own day.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
