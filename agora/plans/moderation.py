@@ -20,8 +20,8 @@ from agora.operators.joins import MAX_BROADCAST_ROWS, lookup_join
 from agora.operators.topn import last_of_first_n
 from agora.schemas import POST_EVENT_FIELDS
 
-# Name of the SQL function with the flag rule (kept from the streaming job).
-FLAG_FUNCTION = "is_thread_over18_in_not_nsfw_sub"
+# Name of the SQL function with the flag rule.
+FLAG_FUNCTION = "is_adult_post_in_safe_community"
 # Posts per community the sample looks at (fixed value of the generator).
 SAMPLE_LISTING = 10
 SAMPLE_FIELDS = ("subreddit", "thread_id", "author_id", "creation_date", "url")
@@ -49,10 +49,24 @@ def apply_content_flag(
     return with_both.select(*[c for c in POST_EVENT_FIELDS if c != "is_violation"], flag.alias("is_violation"))
 
 
+def post_flags_from_posts(posts: DataFrame) -> DataFrame:
+    """Post flags from the stored posts: ``thread_id, post_adult``.
+
+    The store keeps ``over_18`` only when true, so a stored post without it is
+    not adult; a post that is not stored at all stays unknown (no row).  Posts
+    appended twice collapse to one row (adult if any copy says so).
+    """
+    return (
+        posts.where(F.col("post_id").isNotNull())
+        .groupBy(F.col("post_id").alias("thread_id"))
+        .agg(F.bool_or(F.coalesce(F.col("over_18"), F.lit(False))).alias("post_adult"))
+    )
+
+
 def register_flag_function(spark: SparkSession, name: str = FLAG_FUNCTION) -> str:
     """Register the flag rule as a SQL function (inlined by the analyzer, no Python worker).
 
-    ``SELECT ..., is_thread_over18_in_not_nsfw_sub(post_adult, community_adult)``
+    ``SELECT ..., is_adult_post_in_safe_community(post_adult, community_adult)``
     then gives the same result as ``apply_content_flag``.
     """
     spark.sql(

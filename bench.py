@@ -1,7 +1,7 @@
 """Bench: time every registered query at one scale factor.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (default 3).  Each query is run once to warm up, then
+BENCH_REPEAT (default 5).  Each query is run once to warm up, then
 BENCH_REPEAT times; its time is the best run.  A run executes the whole plan
 into Spark's no-op sink (no collect to the driver).  Prints one JSON line.
 """
@@ -20,7 +20,7 @@ sys.path.insert(0, ROOT)
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "5"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
 
     from agora.session import build_session

@@ -139,3 +139,42 @@ def test_community_flags_threshold(spark):
     labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
     sums = docs.join(labels, "doc_id").groupBy("source").agg(F.sum("toxic").alias("s")).collect()
     assert flags == {r.source: r.s >= 4 for r in sums}
+
+
+def test_jobs_end_to_end(spark, tmp_dir):
+    """ingest-posts -> ingest-comments -> stage-users -> report, through the CLI."""
+    from agora import jobs
+
+    def jl(path, rows):
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "w") as fh:
+            for r in rows:
+                fh.write(json.dumps(r) + "\n")
+
+    subs = os.path.join(tmp_dir, "subs.csv")
+    with open(subs, "w") as fh:
+        fh.write("subreddit_name,subscribers_count\nbig,100\nsmall,5\n")
+    jl(os.path.join(tmp_dir, "listing", "snapshot_date=2024-01-08", "a.json"), [
+        dict(subreddit="big", hot_rank=1, post_id="p1", created=EPOCH_DAY + 60, author_id="u1", over_18=True),
+        dict(subreddit="big", hot_rank=2, post_id="p2", created=EPOCH_DAY - 60, author_id="u2"),
+        dict(subreddit="small", hot_rank=1, post_id="p3", created=EPOCH_DAY + 60, author_id="u3"),
+    ])
+    jl(os.path.join(tmp_dir, "comments_in", "a.json"), [
+        dict(post_id="p1", comment_id="c1", author_name="alice", score=2, created_utc=EPOCH_DAY + 100),
+        dict(post_id="p1", comment_id="c2", author_name="bob", score=0, created_utc=EPOCH_DAY + 200),
+        dict(post_id="p3", comment_id="c3", author_name="carol", score=1, created_utc=EPOCH_DAY + 300),
+    ])
+    d = lambda *p: os.path.join(tmp_dir, *p)
+    jobs.main(["ingest-posts", "--communities", subs, "--snapshots", d("listing"), "--out", d("posts"),
+               "--run-date", "2024-01-08", "--top-n", "1", "--quarantine", d("q")])
+    jobs.main(["ingest-comments", "--comments", d("comments_in"), "--posts", d("posts"), "--communities", subs,
+               "--out", d("comments"), "--run-date", "2024-01-08", "--top-n", "1"])
+    jobs.main(["stage-users", "--comments", d("comments"), "--out", d("stg"), "--run-date", "2024-01-08"])
+    jobs.main(["report", "weekly_active_users", "--staging", d("stg"), "--out", d("rep")])
+    posts = spark.read.parquet(d("posts"))
+    assert sorted(r.post_id for r in posts.collect()) == ["p1"]
+    assert sorted(r.comment_id for r in spark.read.parquet(d("comments")).collect()) == ["c1", "c2"]
+    rep = {r.author_id: r.user_num_active_in_week for r in spark.read.parquet(d("rep")).collect()}
+    assert rep == {"alice": 1, "bob": 1}
+    flags = {r.thread_id: r.post_adult for r in moderation.post_flags_from_posts(posts).collect()}
+    assert flags == {"p1": True}
