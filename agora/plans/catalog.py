@@ -363,7 +363,8 @@ com AS (
            CAST(user_id AS VARCHAR) AS author_name,
            CAST(floor(value) AS BIGINT) AS score,
            CAST(epoch_us(ts) AS DOUBLE) / 1000000.0 AS created_utc,
-           CAST(ts AS DATE) AS day
+           CAST(ts AS DATE) AS day,
+           ts
     FROM events
 )
 SELECT com.post_id, com.parent_id,
@@ -392,6 +393,26 @@ def q_comments_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+COMMENT_DAY = "2024-01-08"
+
+
+@register(
+    "comments_for_day",
+    "WITH"
+    + SQL_COMMENTS
+    + """
+WHERE com.ts >= TIMESTAMP '2024-01-08 00:00:00' AND com.ts < TIMESTAMP '2024-01-09 00:00:00'""",
+)
+def q_comments_for_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily comment run for one day: the day window reaches the events scan."""
+    return ingest.ingest_comments(
+        standins.comment_snapshots(spark, sf_dir, COMMENT_DAY),
+        _posts(spark, sf_dir),
+        standins.communities(spark, sf_dir),
+        run_date=COMMENT_DAY,
+    )
+
+
 @register(
     "reply_counts",
     """
@@ -443,6 +464,24 @@ def q_content_flag_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("content_flag_sql", SQL_FLAGS)
+def q_content_flag_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q7 in Spark SQL with the flag rule as a registered SQL function."""
+    fn = moderation.register_flag_function(spark)
+    standins.post_events(spark, sf_dir).createOrReplaceTempView("agora_post_events")
+    standins.post_flags(spark, sf_dir).createOrReplaceTempView("agora_post_flags")
+    standins.community_flags(spark, sf_dir).createOrReplaceTempView("agora_community_flags")
+    return spark.sql(
+        f"""
+        SELECT e.subreddit, e.thread_id, e.author_id, e.creation_date, e.url,
+               {fn}(p.post_adult, c.community_adult) AS is_violation
+        FROM agora_post_events e
+        LEFT JOIN agora_post_flags p ON p.thread_id = e.thread_id
+        LEFT JOIN agora_community_flags c ON c.subreddit = e.subreddit
+        """
+    )
+
+
 @register("content_flag_stream", SQL_FLAGS)
 def q_content_flag_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q7 as a Structured Streaming job (file source -> flag -> file sink), read back."""

@@ -97,8 +97,12 @@ def standin_hot_order() -> list[Column]:
     return [F.col("ups").desc_nulls_last(), F.col("post_id").asc()]
 
 
-def comment_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+def comment_snapshots(spark: SparkSession, sf_dir: str, run_date: dt.date | str | None = None) -> DataFrame:
+    """Comment snapshots; with ``run_date`` only that UTC day is read (pushed to Parquet)."""
     events = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value"])
+    window = ts_window(run_date)
+    if window is not None:
+        events = events.where(window)
     return _conform(
         events,
         COMMENT_SNAPSHOT,

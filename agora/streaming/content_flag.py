@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from agora.functions.json import decode_json
+from agora.functions.json import decode_json, encode_json
 from agora.operators.joins import MAX_BROADCAST_ROWS
 from agora.plans.moderation import apply_content_flag
 from agora.schemas import POST_EVENT, POST_EVENT_FIELDS
@@ -110,7 +110,8 @@ def start_sink(
 ) -> StreamingQuery:
     """Start the append-only sink.  ``sink`` is 'kafka', 'json' or 'parquet'."""
     if sink == "kafka":
-        out = flagged.select(F.to_json(F.struct(*[F.col(c) for c in flagged.columns])).alias("value"))
+        # Every field is written, missing ones as null (Spark would drop them).
+        out = flagged.select(encode_json(flagged.columns).alias("value"))
         writer = out.writeStream.format("kafka")
         for k, v in (options or {}).items():
             writer = writer.option(k, v)

@@ -5,6 +5,8 @@ import random
 from collections import defaultdict
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from agora.operators.activity import week_masks, week_masks_literal
 from agora.plans import weekly
@@ -177,3 +179,27 @@ def test_shared_masks_reused(spark, all_masks):
     a = weekly.weekly_active_days(masks=masks)
     b = weekly.consecutive_day_flags(masks=masks)
     assert a.count() == b.count() == 127
+
+
+user_days = st.lists(
+    st.tuples(st.sampled_from(["a", "b", "c", "None"]), st.integers(min_value=-10, max_value=16)),
+    min_size=1,
+    max_size=40,
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=user_days)
+def test_mask_property_against_python(spark, rows):
+    """Week masks equal a Python computation, for both plans (days around week 2 of 2024)."""
+    data = [(u, MONDAY + dt.timedelta(days=d)) for u, d in rows]
+    expect = defaultdict(int)
+    for u, day in data:
+        if u == "None" or day.isocalendar()[1] != 2:
+            continue
+        offset = (day - MONDAY).days
+        expect[u] |= (1 << offset) if 0 <= offset < 7 else 0
+    df = staging_df(spark, data)
+    for build in (week_masks, week_masks_literal):
+        got = {r.author_id: r.mask for r in build(df).collect()}
+        assert got == dict(expect)
