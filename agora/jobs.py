@@ -22,17 +22,14 @@ import sys
 from pyspark.sql import SparkSession
 
 from agora.plans import ingest, moderation, reports_sql, staging
-from agora.session import REQUIRED_CONF
+from agora.session import configure
 from agora.sinks.batch import write_partitioned
 from agora.sources import files
 from agora.streaming import content_flag
 
 
 def _session(app: str) -> SparkSession:
-    spark = SparkSession.builder.appName(app).getOrCreate()
-    for key, value in REQUIRED_CONF.items():
-        spark.conf.set(key, value)
-    return spark
+    return configure(SparkSession.builder.appName(app).getOrCreate())
 
 
 def _options(pairs: list[str] | None) -> dict[str, str]:

@@ -10,6 +10,7 @@ the same bit arithmetic).
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from agora.operators import counts, topn
 from agora.plans import ingest, moderation, reports_sql
 from agora.plans import staging as staging_plan
 from agora.plans import weekly
-from agora.session import scratch_dir
+from agora.session import configure, scratch_dir
 from agora.sources import standins
 from agora.streaming import content_flag
 
@@ -31,13 +32,21 @@ NO_ORACLE: set[str] = set()
 
 
 def register(name: str, oracle: str | None = None):
+    """Register a query; it runs with the jobs' session settings (UTC, AQE, broadcast policy)."""
+
     def deco(fn: QueryFn) -> QueryFn:
         if name in QUERIES:
             raise ValueError(f"query {name!r} registered twice")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            configure(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if oracle is not None:
             ORACLE[name] = oracle.strip()
-        return fn
+        return run
 
     return deco
 

@@ -24,6 +24,11 @@ REQUIRED_CONF = {
     # on large ones (size spark.sql.shuffle.partitions for the largest stage).
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # No broadcast from size *estimates* (compressed file sizes understate data):
+    # a broadcast is either an explicit hint on a side bounded by construction
+    # or by a row count, or AQE's runtime choice on a measured shuffle size.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     # Dynamic partition overwrite makes a daily reload replace only its own day.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
@@ -57,6 +62,14 @@ def build_session(
     return spark
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the runtime SQL settings the jobs rely on to an existing session."""
+    for key, value in REQUIRED_CONF.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset.
 
