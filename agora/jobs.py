@@ -19,7 +19,8 @@ import argparse
 import datetime as dt
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
 from agora.plans import ingest, moderation, reports_sql, staging
 from agora.session import configure
@@ -51,7 +52,9 @@ def cmd_ingest_posts(a: argparse.Namespace) -> None:
         snaps, files.read_communities_csv(spark, a.communities), a.run_date, a.top_n, a.per_community,
         with_rejected=True,
     )
-    write_partitioned(posts, a.out, mode=a.mode)
+    seen = Observation("posts")
+    write_partitioned(posts.observe(seen, F.count(F.lit(1)).alias("accepted")), a.out, mode=a.mode)
+    print(f"ingest-posts {a.run_date}: {seen.get['accepted']} posts accepted", file=sys.stderr)
     if a.quarantine:
         bad.write.mode("append").json(f"{a.quarantine}/corrupt")
         rejected.write.mode("append").json(f"{a.quarantine}/rejected")
@@ -61,10 +64,12 @@ def cmd_ingest_comments(a: argparse.Namespace) -> None:
     spark = _session("agora-ingest-comments")
     snaps, bad = files.split_corrupt(files.read_comment_snapshots(spark, a.comments, a.format).cache())
     comments, rejected = ingest.ingest_comments(
-        snaps, spark.read.parquet(a.posts), files.read_communities_csv(spark, a.communities), a.run_date, a.top_n,
+        snaps, files.read_stored(spark, a.posts), files.read_communities_csv(spark, a.communities), a.run_date, a.top_n,
         with_rejected=True,
     )
-    write_partitioned(comments, a.out, mode=a.mode)
+    seen = Observation("comments")
+    write_partitioned(comments.observe(seen, F.count(F.lit(1)).alias("accepted")), a.out, mode=a.mode)
+    print(f"ingest-comments {a.run_date}: {seen.get['accepted']} comments accepted", file=sys.stderr)
     if a.quarantine:
         bad.write.mode("append").json(f"{a.quarantine}/corrupt")
         rejected.write.mode("append").json(f"{a.quarantine}/rejected")
@@ -98,7 +103,7 @@ def cmd_flag_stream(a: argparse.Namespace) -> None:
     events = content_flag.good_events(parsed)
     if a.dedupe:
         events = content_flag.dedupe_events(events, a.dedupe)
-    post_flags = moderation.post_flags_from_posts(spark.read.parquet(a.posts))
+    post_flags = moderation.post_flags_from_posts(files.read_stored(spark, a.posts))
     community_flags = spark.read.parquet(a.community_flags).select("subreddit", "community_adult")
     flagged = content_flag.flag_events(events, post_flags, community_flags)
     sink_opts = {k: v for k, v in opts.items() if k == "topic" or k.startswith("kafka.")}

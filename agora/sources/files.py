@@ -80,7 +80,17 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-# Keys of a connection profile (fixed values of the two database profiles).
+def read_stored(spark: SparkSession, path: str) -> DataFrame:
+    """Stored posts or comments (Parquet, partitioned by ``etl_date, subreddit``).
+
+    ``mergeSchema`` lets days written with an older field list sit next to
+    newer ones (fields added later read as NULL in old days); filters on
+    ``etl_date`` / ``subreddit`` prune partitions.
+    """
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
+
+# JDBC option keys a connection profile may set.
 PROFILE_KEYS = ("url", "user", "password", "driver")
 
 

@@ -178,3 +178,30 @@ def test_jobs_end_to_end(spark, tmp_dir):
     assert rep == {"alice": 1, "bob": 1}
     flags = {r.thread_id: r.post_adult for r in moderation.post_flags_from_posts(posts).collect()}
     assert flags == {"p1": True}
+
+
+def test_week_filter_prunes_day_partitions(spark, tmp_dir):
+    """On a day-partitioned staging table the parity week filter prunes partitions."""
+    from agora.plans import weekly
+
+    path = os.path.join(tmp_dir, "stg")
+    rows = [("a", EPOCH_DAY + 86400 * d, EPOCH_DAY + 86400 * d) for d in range(-10, 20)]
+    staging.write_staging(staging.stage_users(comments(spark, rows)), path)
+    df = weekly.weekly_active_days(spark.read.parquet(path))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(etl_ts" in plan and "weekofyear(etl_ts" in plan
+    assert {(r.author_id, r.user_num_active_in_week) for r in df.collect()} == {("a", 7)}
+
+
+def test_stored_posts_schema_evolution(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "posts")
+    old = spark.createDataFrame([("p1", "c", dt.date(2024, 1, 7))], "post_id string, subreddit string, etl_date date")
+    new = spark.createDataFrame(
+        [("p2", True, "c", dt.date(2024, 1, 8))], "post_id string, over_18 boolean, subreddit string, etl_date date"
+    )
+    from agora.sinks.batch import write_partitioned
+
+    write_partitioned(old, path, mode="append")
+    write_partitioned(new, path, mode="append")
+    got = {r.post_id: r.over_18 for r in files.read_stored(spark, path).collect()}
+    assert got == {"p1": None, "p2": True}
