@@ -83,6 +83,8 @@ def cmd_stage_users(a: argparse.Namespace) -> None:
         opts = files.connection_options(spark, a.jdbc_profile)
         props = {k: v for k, v in opts.items() if k != "url"}
         staging.write_staging_jdbc(staged, opts["url"], a.table, props)
+    elif a.buckets:
+        staging.write_staging_table(staged, a.table, a.buckets, path=a.out)
     else:
         staging.write_staging(staged, a.out)
 
@@ -150,6 +152,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--day-col", default="etl_ts", choices=["etl_ts", "created_utc"])
     s.add_argument("--jdbc-profile")
     s.add_argument("--table", default="dim_all_users_stg")
+    s.add_argument("--buckets", type=int, help="write a catalog table bucketed by author (distinct author/day rows)")
     s.set_defaults(fn=cmd_stage_users)
 
     s = sub.add_parser("report")

@@ -58,6 +58,35 @@ def write_staging(staged: DataFrame, path: str) -> None:
     )
 
 
+def write_staging_table(staged: DataFrame, table: str, buckets: int, path: str | None = None) -> None:
+    """Write distinct (author, day) pairs into a table partitioned by day and bucketed by author.
+
+    All weekly reports group by ``author_id``; on a table bucketed by it, the
+    scan already delivers rows hash-partitioned by author (files of the same
+    bucket from different days are read together), so the mask aggregate and
+    the streak's de-duplication and window run with no exchange at all.
+
+    The reports read only *distinct* days per author, so the table keeps one
+    row per (author, day): the de-duplication is a partial aggregate (a hot
+    author collapses map-side), and afterwards no author has more than one
+    row per day, so no bucket can be skewed by a single user.  The pairs are
+    then hash-partitioned into exactly ``buckets`` tasks - the same hash as
+    the bucket id - so each task writes one file per bucket and day instead of
+    tasks x buckets small files.  The first load creates the table (at
+    ``path`` if given); later loads replace only their days.
+    """
+    pairs = staged.where(F.col("etl_ts").isNotNull()).select("author_id", "etl_ts").distinct()
+    rows = pairs.repartition(buckets, "author_id")
+    spark = staged.sparkSession
+    if spark.catalog.tableExists(table):
+        rows.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+        return
+    writer = rows.write.mode("overwrite").partitionBy("etl_ts").bucketBy(buckets, "author_id").sortBy("author_id")
+    if path:
+        writer = writer.option("path", path)
+    writer.format("parquet").saveAsTable(table)
+
+
 def staging_without_day(staged: DataFrame) -> DataFrame:
     """Rows that cannot be loaded (no day): the quarantine output."""
     return staged.where(F.col("etl_ts").isNull())

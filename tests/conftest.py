@@ -20,7 +20,10 @@ def spark():
     ckpt = tempfile.mkdtemp(prefix="agora-test-ckpt-")
     session = build_session(
         "local[4]", app_name="agora-tests", shuffle_partitions=4,
-        extra_conf={"spark.checkpoint.dir": ckpt},
+        extra_conf={
+            "spark.checkpoint.dir": ckpt,
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="agora-test-wh-"),
+        },
     )
     yield session
     session.stop()

@@ -205,3 +205,25 @@ def test_stored_posts_schema_evolution(spark, tmp_dir):
     write_partitioned(new, path, mode="append")
     got = {r.post_id: r.over_18 for r in files.read_stored(spark, path).collect()}
     assert got == {"p1": None, "p2": True}
+
+
+def test_bucketed_staging_table_reports_without_exchange(spark, tmp_dir):
+    """Reports on the bucketed (author) staging table plan no exchange and match the raw staging."""
+    import re
+
+    from agora.plans import weekly
+
+    raw = staging.stage_users(standins.stored_comments(spark, SF_SMALL))
+    table = f"stg_{os.path.basename(tmp_dir).replace('-', '_')}"
+    staging.write_staging_table(raw, table, 4, path=os.path.join(tmp_dir, "stg"))
+    t = spark.table(table)
+    for build in (weekly.weekly_active_days, weekly.consecutive_day_flags, weekly.longest_streak):
+        on_table = build(t)
+        assert len(re.findall("Exchange hashpartitioning", on_table._jdf.queryExecution().executedPlan().toString())) == 0
+        assert on_table.exceptAll(build(raw)).count() == 0 and build(raw).exceptAll(on_table).count() == 0
+    # One row per (author, day); a reload of one day leaves the table unchanged.
+    n = t.count()
+    assert n == raw.select("author_id", "etl_ts").distinct().count()
+    day = staging.stage_users(standins.stored_comments(spark, SF_SMALL, "2024-01-08"), "2024-01-08")
+    staging.write_staging_table(day, table, 4)
+    assert spark.table(table).count() == n
