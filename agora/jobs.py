@@ -22,7 +22,7 @@ import sys
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
-from agora.plans import ingest, moderation, reports_sql, staging
+from agora.plans import ingest, moderation, reports_sql, staging, weekly
 from agora.session import configure
 from agora.sinks.batch import write_partitioned
 from agora.sources import files
@@ -91,7 +91,11 @@ def cmd_stage_users(a: argparse.Namespace) -> None:
 
 def cmd_report(a: argparse.Namespace) -> None:
     spark = _session(f"agora-report-{a.name}")
-    out = reports_sql.run_report(spark, a.name, spark.read.parquet(a.staging), a.year, a.week)
+    stg = spark.read.parquet(a.staging)
+    if a.name == "all":
+        weekly.write_all_reports(stg, a.out, a.year, a.week)
+        return
+    out = reports_sql.run_report(spark, a.name, stg, a.year, a.week)
     out.write.mode("overwrite").parquet(a.out)
 
 
@@ -156,7 +160,7 @@ def parser() -> argparse.ArgumentParser:
     s.set_defaults(fn=cmd_stage_users)
 
     s = sub.add_parser("report")
-    s.add_argument("name", choices=sorted(reports_sql.REPORTS))
+    s.add_argument("name", choices=[*sorted(reports_sql.REPORTS), "all"])
     s.add_argument("--staging", required=True)
     s.add_argument("--out", required=True)
     s.add_argument("--year", type=int, default=2024)

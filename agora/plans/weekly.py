@@ -140,3 +140,35 @@ def weekly_active_users(staging: DataFrame, user_col: str = "author_id", day_col
         .agg(F.count_distinct(user_col).alias("active_users"))
         .select("week_start", iso_week("week_start").alias("iso_week"), "active_users")
     )
+
+
+REPORT_BUILDERS = {
+    "weekly_active_users": weekly_active_days,
+    "inactive_days_activity": weekly_activity_rate,
+    "consecutive_days_activity": consecutive_day_flags,
+}
+
+
+def write_all_reports(
+    staging: DataFrame,
+    out_dir: str,
+    year: int = REPORT_YEAR,
+    week: int = REPORT_WEEK,
+    prune: bool = False,
+) -> dict[str, str]:
+    """Compute the week masks once and write the three reports from them.
+
+    The masks (one narrow row per active user) are written as a table under
+    ``out_dir/masks`` first; each report then reads that table.  The staging
+    scan and the one shuffle run once instead of three times, and a lost
+    executor re-reads the written masks instead of recomputing them.
+    """
+    masks_path = f"{out_dir.rstrip('/')}/masks"
+    week_masks(staging, year=year, week=week, prune=prune).write.mode("overwrite").parquet(masks_path)
+    masks = staging.sparkSession.read.parquet(masks_path)
+    paths = {}
+    for name, build in REPORT_BUILDERS.items():
+        path = f"{out_dir.rstrip('/')}/{name}"
+        build(masks=masks).write.mode("overwrite").parquet(path)
+        paths[name] = path
+    return paths

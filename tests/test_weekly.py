@@ -203,3 +203,13 @@ def test_mask_property_against_python(spark, rows):
     for build in (week_masks, week_masks_literal):
         got = {r.author_id: r.mask for r in build(df).collect()}
         assert got == dict(expect)
+
+
+def test_all_reports_from_one_mask_table(spark, tmp_dir):
+    rows = random_staging(5, users=40, rows=500)
+    df = staging_df(spark, rows)
+    paths = weekly.write_all_reports(df, tmp_dir)
+    for name, build in weekly.REPORT_BUILDERS.items():
+        written = spark.read.parquet(paths[name])
+        direct = build(df)
+        assert written.exceptAll(direct).count() == 0 and direct.exceptAll(written).count() == 0
