@@ -17,7 +17,7 @@ Beyond the reports: ``longest_streak`` (true longest run of active days) and
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agora.functions.bits import mask_has, popcount, week_mask_string
@@ -107,25 +107,29 @@ def consecutive_day_flags(
 def longest_streak(staging: DataFrame, user_col: str = "author_id", day_col: str = "etl_ts") -> DataFrame:
     """``author_id, longest_streak``: longest run of consecutive active days.
 
-    Gaps and islands: after de-duplicating (user, day) - a partial aggregate,
-    so a hot user is collapsed map-side - days of a run share
-    ``day - row_number``.  A window partition then holds one row per active
-    day of one user, bounded by the calendar, not by the user's event count.
+    One exchange: the distinct active days of each user are gathered by a
+    partial ``collect_set`` (each map task sends one set per user, so a hot
+    user is collapsed map-side, and a set holds at most one entry per calendar
+    day - bounded by the calendar, not by the user's events).  The longest run
+    is then folded over the sorted days with a higher-order ``aggregate``: a
+    day extends the current run when it follows the previous one.
     """
     days = (
         staging.where((F.col(user_col) != F.lit(MISSING_AUTHOR)) & F.col(day_col).isNotNull())
-        .select(user_col, day_col)
-        .distinct()
+        .groupBy(user_col)
+        .agg(F.array_sort(F.collect_set(day_col)).alias("_days"))
     )
-    w = Window.partitionBy(user_col).orderBy(day_col)
-    islands = days.withColumn(
-        "_island", F.date_sub(F.col(day_col), F.row_number().over(w).cast("int"))
-    )
-    runs = islands.groupBy(user_col, "_island").agg(F.count(F.lit(1)).alias("_len"))
-    return runs.groupBy(user_col).agg(F.max("_len").alias("longest_streak")).withColumnRenamed(
-        user_col, "author_id"
+    start = F.struct(
+        F.lit(None).cast("date").alias("prev"), F.lit(0).alias("run"), F.lit(0).alias("best")
     )
 
+    def step(acc, day):
+        run = F.when(F.date_add(acc["prev"], 1) == day, acc["run"] + 1).otherwise(F.lit(1))
+        return F.struct(day.alias("prev"), run.alias("run"), F.greatest(acc["best"], run).alias("best"))
+
+    best = F.aggregate("_days", start, step, lambda acc: acc["best"])
+    return days.select(F.col(user_col).alias("author_id"), best.cast("bigint").alias("longest_streak"))
+
 
 def weekly_active_users(staging: DataFrame, user_col: str = "author_id", day_col: str = "etl_ts") -> DataFrame:
     """``week_start, iso_week, active_users`` for every week in the staging table.

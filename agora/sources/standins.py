@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agora.functions.dates import as_date, epoch_seconds
+from agora.operators.joins import lookup_join
 from agora.schemas import COMMENT_SNAPSHOT, POST_SNAPSHOT
 from agora.sources.tables import read_table
 
@@ -187,8 +188,10 @@ def community_flags(
     """
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "source"])
     labels = read_table(spark, sf_dir, "labels", ["doc_id", "toxic"])
+    # Labels are narrow (key + flag): broadcast when counted small, so the
+    # documents are not shuffled by doc_id; otherwise a shuffle join.
     return (
-        docs.join(labels, "doc_id")
+        lookup_join(docs, labels, "doc_id", "inner")
         .groupBy("source")
         .agg((F.coalesce(F.sum("toxic"), F.lit(0)) >= F.lit(threshold)).alias("community_adult"))
         .select(F.col("source").alias("subreddit"), "community_adult")
