@@ -402,6 +402,24 @@ def q_comments_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register(
+    "falsy_to_null",
+    """
+SELECT CAST(event_id AS VARCHAR) AS comment_id,
+       nullif(CAST(user_id AS VARCHAR), '') AS author_name,
+       nullif(CAST(floor(value) AS BIGINT), 0) AS score,
+       nullif(CAST(epoch_us(ts) AS DOUBLE) / 1000000.0, 0) AS created_utc,
+       CAST(NULL AS BOOLEAN) AS is_submitter,
+       CAST(NULL AS VARCHAR) AS edited,
+       CAST(NULL AS BIGINT) AS replies
+FROM events""",
+)
+def q_falsy_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comment cleaning on every landed comment: 0, '', false -> missing."""
+    cleaned = ingest.clean_comments(standins.comment_snapshots(spark, sf_dir))
+    return cleaned.select("comment_id", "author_name", "score", "created_utc", "is_submitter", "edited", "replies")
+
+
 COMMENT_DAY = "2024-01-08"
 
 
