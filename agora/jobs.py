@@ -3,7 +3,7 @@
     python -m agora.jobs ingest-posts    --communities subs.csv --snapshots listing/ --out posts/
     python -m agora.jobs ingest-comments --comments comments/ --posts posts/ --communities subs.csv --out comments_out/
     python -m agora.jobs stage-users     --comments comments_out/ --out stg/ --run-date 2024-01-08
-    python -m agora.jobs report          consecutive_days_activity --staging stg/ --out report/ [--year 2024 --week 2]
+    python -m agora.jobs report          consecutive_days --staging stg/ --out report/ [--year 2024 --week 2]
     python -m agora.jobs flag-stream     --source kafka --option kafka.bootstrap.servers=... --option subscribe=events \\
                                          --posts posts/ --community-flags flags/ --sink kafka --option topic=flagged \\
                                          --checkpoint ckpt/

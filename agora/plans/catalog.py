@@ -179,19 +179,19 @@ def q_weekly_active_users_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("weekly_active_days_sql", SQL_ACTIVE_DAYS)
 def q_weekly_active_days_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q1 as Spark SQL text over a ``dim_all_users_stg`` view."""
-    return reports_sql.run_report(spark, "weekly_active_users", _staging(spark, sf_dir))
+    return reports_sql.run_report(spark, "active_days", _staging(spark, sf_dir))
 
 
 @register("weekly_activity_rate_sql", ORACLE_RATE)
 def q_weekly_activity_rate_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q2 as Spark SQL text."""
-    return reports_sql.run_report(spark, "inactive_days_activity", _staging(spark, sf_dir))
+    return reports_sql.run_report(spark, "activity_rate", _staging(spark, sf_dir))
 
 
 @register("consecutive_day_flags_sql", ORACLE_FLAGS)
 def q_consecutive_day_flags_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q3 as Spark SQL text."""
-    return reports_sql.run_report(spark, "consecutive_days_activity", _staging(spark, sf_dir))
+    return reports_sql.run_report(spark, "consecutive_days", _staging(spark, sf_dir))
 
 
 # --------------------------------------------------------------------------

@@ -65,9 +65,9 @@ FROM masks
 )
 
 REPORTS = {
-    "weekly_active_users": ACTIVE_DAYS,
-    "inactive_days_activity": ACTIVITY_RATE,
-    "consecutive_days_activity": CONSECUTIVE_FLAGS,
+    "active_days": ACTIVE_DAYS,
+    "activity_rate": ACTIVITY_RATE,
+    "consecutive_days": CONSECUTIVE_FLAGS,
 }
 
 

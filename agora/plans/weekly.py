@@ -147,9 +147,9 @@ def weekly_active_users(staging: DataFrame, user_col: str = "author_id", day_col
 
 
 REPORT_BUILDERS = {
-    "weekly_active_users": weekly_active_days,
-    "inactive_days_activity": weekly_activity_rate,
-    "consecutive_days_activity": consecutive_day_flags,
+    "active_days": weekly_active_days,
+    "activity_rate": weekly_activity_rate,
+    "consecutive_days": consecutive_day_flags,
 }
 
 

@@ -170,7 +170,7 @@ def test_jobs_end_to_end(spark, tmp_dir):
     jobs.main(["ingest-comments", "--comments", d("comments_in"), "--posts", d("posts"), "--communities", subs,
                "--out", d("comments"), "--run-date", "2024-01-08", "--top-n", "1"])
     jobs.main(["stage-users", "--comments", d("comments"), "--out", d("stg"), "--run-date", "2024-01-08"])
-    jobs.main(["report", "weekly_active_users", "--staging", d("stg"), "--out", d("rep")])
+    jobs.main(["report", "active_days", "--staging", d("stg"), "--out", d("rep")])
     posts = spark.read.parquet(d("posts"))
     assert sorted(r.post_id for r in posts.collect()) == ["p1"]
     assert sorted(r.comment_id for r in spark.read.parquet(d("comments")).collect()) == ["c1", "c2"]
