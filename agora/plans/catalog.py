@@ -11,6 +11,7 @@ the same bit arithmetic).
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -86,6 +87,11 @@ per_user AS (
 )
 
 
+def _view(kind: str) -> str:
+    """A temp-view name of its own for one query call (no clash between calls)."""
+    return f"agora_{kind}_{uuid.uuid4().hex[:12]}"
+
+
 def _staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging_plan.stage_users(standins.stored_comments(spark, sf_dir))
 
@@ -179,19 +185,19 @@ def q_weekly_active_users_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("weekly_active_days_sql", SQL_ACTIVE_DAYS)
 def q_weekly_active_days_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q1 as Spark SQL text over a ``dim_all_users_stg`` view."""
-    return reports_sql.run_report(spark, "active_days", _staging(spark, sf_dir))
+    return reports_sql.run_report(spark, "active_days", _staging(spark, sf_dir), view=_view("stg"))
 
 
 @register("weekly_activity_rate_sql", ORACLE_RATE)
 def q_weekly_activity_rate_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q2 as Spark SQL text."""
-    return reports_sql.run_report(spark, "activity_rate", _staging(spark, sf_dir))
+    return reports_sql.run_report(spark, "activity_rate", _staging(spark, sf_dir), view=_view("stg"))
 
 
 @register("consecutive_day_flags_sql", ORACLE_FLAGS)
 def q_consecutive_day_flags_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q3 as Spark SQL text."""
-    return reports_sql.run_report(spark, "consecutive_days", _staging(spark, sf_dir))
+    return reports_sql.run_report(spark, "consecutive_days", _staging(spark, sf_dir), view=_view("stg"))
 
 
 # --------------------------------------------------------------------------
@@ -495,16 +501,17 @@ def q_content_flag_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_content_flag_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q7 in Spark SQL with the flag rule as a registered SQL function."""
     fn = moderation.register_flag_function(spark)
-    standins.post_events(spark, sf_dir).createOrReplaceTempView("agora_post_events")
-    standins.post_flags(spark, sf_dir).createOrReplaceTempView("agora_post_flags")
-    standins.community_flags(spark, sf_dir).createOrReplaceTempView("agora_community_flags")
+    events, posts, communities = _view("events"), _view("post_flags"), _view("community_flags")
+    standins.post_events(spark, sf_dir).createOrReplaceTempView(events)
+    standins.post_flags(spark, sf_dir).createOrReplaceTempView(posts)
+    standins.community_flags(spark, sf_dir).createOrReplaceTempView(communities)
     return spark.sql(
         f"""
         SELECT e.subreddit, e.thread_id, e.author_id, e.creation_date, e.url,
                {fn}(p.post_adult, c.community_adult) AS is_violation
-        FROM agora_post_events e
-        LEFT JOIN agora_post_flags p ON p.thread_id = e.thread_id
-        LEFT JOIN agora_community_flags c ON c.subreddit = e.subreddit
+        FROM {events} e
+        LEFT JOIN {posts} p ON p.thread_id = e.thread_id
+        LEFT JOIN {communities} c ON c.subreddit = e.subreddit
         """
     )
 

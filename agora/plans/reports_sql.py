@@ -82,8 +82,13 @@ def run_report(
     staging: DataFrame | None = None,
     year: int = REPORT_YEAR,
     week: int = REPORT_WEEK,
+    view: str = STAGING_VIEW,
 ) -> DataFrame:
-    """Run a report; with ``staging`` it is first registered as the staging view."""
+    """Run a report over the table or view ``view``.
+
+    With ``staging`` that frame is first registered as ``view``; callers that
+    may run concurrently in one session pass a view name of their own.
+    """
     if staging is not None:
-        staging.createOrReplaceTempView(STAGING_VIEW)
-    return spark.sql(report_sql(name, year, week))
+        staging.createOrReplaceTempView(view)
+    return spark.sql(report_sql(name, year, week, table=view))
