@@ -227,3 +227,32 @@ def test_bucketed_staging_table_reports_without_exchange(spark, tmp_dir):
     day = staging.stage_users(standins.stored_comments(spark, SF_SMALL, "2024-01-08"), "2024-01-08")
     staging.write_staging_table(day, table, 4)
     assert spark.table(table).count() == n
+
+
+def test_flag_stream_job(spark, tmp_dir):
+    """flag-stream CLI: JSON events in, stored posts and community flags as lookups, JSON out."""
+    from agora import jobs
+
+    d = lambda *p: os.path.join(tmp_dir, *p)
+    spark.createDataFrame(
+        [("p1", True, "c1"), ("p2", None, "c1"), ("p3", True, "c2")], "post_id string, over_18 boolean, subreddit string"
+    ).write.parquet(d("posts"))
+    spark.createDataFrame([("c2", True)], "subreddit string, community_adult boolean").write.parquet(d("cflags"))
+    base = dict(author_id="u", url=None, is_violation=False)
+    write_events(d("in"), [
+        dict(base, subreddit="c1", thread_id="p1", creation_date="1704672000.0"),  # adult post, safe community
+        dict(base, subreddit="c1", thread_id="p1", creation_date="1704672030.0"),  # repeat: deduped
+        dict(base, subreddit="c1", thread_id="p2", creation_date="1704672000.0"),  # stored, not adult
+        dict(base, subreddit="c2", thread_id="p3", creation_date="1704672000.0"),  # adult community
+        dict(base, subreddit="c9", thread_id="p9", creation_date="1704672000.0"),  # unknown post
+        "not json",
+    ], "a.json")
+    jobs.main([
+        "flag-stream", "--source", "json", "--input", d("in"), "--posts", d("posts"),
+        "--community-flags", d("cflags"), "--sink", "json", "--output", d("out"),
+        "--checkpoint", d("ckpt"), "--available-now", "--dedupe", "1 hour",
+    ])
+    from agora.schemas import POST_EVENT
+
+    got = {r.thread_id: r.is_violation for r in spark.read.schema(POST_EVENT).json(d("out")).collect()}
+    assert got == {"p1": True, "p2": False, "p3": False, "p9": None}
