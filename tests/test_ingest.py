@@ -183,3 +183,32 @@ def test_json_snapshots_with_quarantine_and_partition_write(spark, tmp_dir):
     assert back.count() == 2
     assert {r.subreddit for r in back.select("subreddit").collect()} == {"c"}
     raw.unpersist()
+
+
+def test_read_exports_in_stored_layout(spark, tmp_dir):
+    from agora.plans import staging
+    from agora.sources import exports
+
+    posts = os.path.join(tmp_dir, "posts")
+    os.makedirs(posts)
+    with open(os.path.join(posts, "a.json"), "w") as fh:
+        fh.write(json.dumps({"submission_id": "abc", "submission.author_id": "t2_x", "submission_num_comments": 0,
+                             "submission_over_18": True, "etl_ts": EPOCH_DAY + 5, "subreddit": "c"}) + "\n")
+    p = exports.read_post_export(spark, posts).first()
+    assert (p.post_id, p.author_id, p.num_comments, p.over_18, p.subreddit) == ("abc", "t2_x", 0, True, "c")
+    assert p.title is None
+
+    comments = os.path.join(tmp_dir, "comments")
+    os.makedirs(comments)
+    with open(os.path.join(comments, "a.json"), "w") as fh:
+        for cid, user in (("k1", "alice"), ("k2", None)):
+            fh.write(json.dumps({"author_id": cid, "author_author": user, "author_score": 3,
+                                 "author_created_utc": EPOCH_DAY + 60, "etl_ts": EPOCH_DAY + 90,
+                                 "subreddit": "c"}) + "\n")
+    c = exports.read_comment_export(spark, comments)
+    assert sorted((r.comment_id, r.author_name) for r in c.collect()) == [("k1", "alice"), ("k2", None)]
+    # Staging straight from an export: parity keys on the comment id, intent on the user.
+    parity = staging.stage_users(c, "2024-01-08", user_col="comment_id").collect()
+    intent = staging.stage_users(c, "2024-01-08").collect()
+    assert sorted(r.author_id for r in parity) == ["k1", "k2"]
+    assert sorted(r.author_id for r in intent) == ["None", "alice"]
