@@ -4,8 +4,8 @@ The reference loops over communities and posts, calling a remote client per
 item.  Here the listing and comment snapshots are landed datasets and each
 ingest is one plan over all communities:
 
-posts:    top-N communities (TakeOrderedAndProject, broadcast - N rows)
-          -> semi join of the listing snapshots
+posts:    top-N communities (TakeOrderedAndProject - N rows)
+          -> IN filter on the listing snapshots (partition pruning)
           -> first ``per_community`` per (listing day, community) in hot order
           -> keep posts created on the listing day (UTC)
           -> falsy -> missing, comment count -> 0, drop empty records
@@ -103,11 +103,33 @@ def split_rejected(df: DataFrame, rejected: Column) -> tuple[DataFrame, DataFram
     return df.where(~flag), df.where(flag)
 
 
+# Up to this many top communities the names become an IN filter (see below).
+MAX_NAMES_IN_FILTER = 10_000
+
+
 def _top_names(communities: DataFrame, top_n: int) -> DataFrame:
     # At most top_n rows by construction: safe to broadcast.
     return F.broadcast(top_communities(communities, top_n).select(F.col("subreddit_name").alias("subreddit")))
 
 
+def restrict_to_top(df: DataFrame, communities: DataFrame, top_n: int, col: str = "subreddit") -> DataFrame:
+    """Keep rows of the top-N communities.
+
+    The top-N list has at most N rows by construction.  Up to
+    ``MAX_NAMES_IN_FILTER`` names it is taken to the driver and applied as
+    ``col IN (...)``: on a landing zone partitioned by community that is a
+    partition filter (only N community folders are listed and read), on other
+    Parquet data a pushed ``In`` filter.  A semi join against a broadcast list
+    would do neither - Spark plans dynamic partition pruning only behind a
+    selective filter, and a top-N is not one.  Larger N uses that broadcast
+    semi join.
+    """
+    if top_n <= MAX_NAMES_IN_FILTER:
+        names = [r[0] for r in top_communities(communities, top_n).select("subreddit_name").collect()]
+        return df.where(F.col(col).isin(names))
+    return df.join(_top_names(communities, top_n), col, "left_semi")
+
+
 def ingest_posts(
     snapshots: DataFrame,
     communities: DataFrame,
@@ -127,7 +149,7 @@ def ingest_posts(
     snaps = snapshots
     if run_date is not None:
         snaps = snaps.where(F.col("snapshot_date") == F.lit(as_date(run_date)))
-    snaps = snaps.join(_top_names(communities, top_n), "subreddit", "left_semi")
+    snaps = restrict_to_top(snaps, communities, top_n)
     listed = first_n_per_group(snaps, ["snapshot_date", "subreddit"], order, per_community)
     same_day = listed.where(epoch_to_date("created") == F.col("snapshot_date"))
     deleted_author = F.col("author_name").isNull() & F.col("author_id").isNull()
@@ -147,12 +169,8 @@ def post_keys(stored_posts: DataFrame, communities: DataFrame, top_n: int = TOP_
 
     The de-duplication absorbs re-runs that appended the same post twice.
     """
-    return (
-        stored_posts.select("post_id", "subreddit")
-        .where(F.col("post_id").isNotNull())
-        .join(_top_names(communities, top_n), "subreddit", "left_semi")
-        .dropDuplicates(["post_id", "subreddit"])
-    )
+    keys = stored_posts.select("post_id", "subreddit").where(F.col("post_id").isNotNull())
+    return restrict_to_top(keys, communities, top_n).dropDuplicates(["post_id", "subreddit"])
 
 
 def ingest_comments(
