@@ -22,6 +22,7 @@ import sys
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
+from agora.operators.joins import release_lookups
 from agora.plans import ingest, moderation, reports_sql, staging, weekly
 from agora.session import configure
 from agora.sinks.batch import write_partitioned
@@ -186,7 +187,10 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    args.fn(args)
+    try:
+        args.fn(args)
+    finally:
+        release_lookups()
 
 
 if __name__ == "__main__":

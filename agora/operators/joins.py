@@ -49,12 +49,27 @@ def broadcast_if_bounded(
     """
     side = df.persist(StorageLevel.MEMORY_AND_DISK) if cache else df
     if row_count_at_most(side, max_rows):
+        if cache:
+            _PERSISTED.append(side)
         return F.broadcast(side), True
     if cache:
         side.unpersist()
     return df, False
 
 
+# Lookup sides kept persisted for their broadcast; a job releases them once
+# its output is written (``release_lookups``).
+_PERSISTED: list[DataFrame] = []
+
+
+def release_lookups() -> int:
+    """Unpersist every lookup side cached by ``broadcast_if_bounded``; returns how many."""
+    n = len(_PERSISTED)
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+    return n
+
+
 def salted_join(
     big: DataFrame,
     lookup: DataFrame,

@@ -212,3 +212,12 @@ def test_read_exports_in_stored_layout(spark, tmp_dir):
     intent = staging.stage_users(c, "2024-01-08").collect()
     assert sorted(r.author_id for r in parity) == ["k1", "k2"]
     assert sorted(r.author_id for r in intent) == ["None", "alice"]
+
+
+def test_release_persisted_lookups(spark):
+    lookup = spark.createDataFrame([("a", 1)], "k string, v int")
+    joins.release_lookups()
+    side, small = joins.broadcast_if_bounded(lookup, 10)
+    assert small and side.count() == 1
+    assert joins.release_lookups() == 1
+    assert joins.release_lookups() == 0
