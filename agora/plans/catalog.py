@@ -20,6 +20,8 @@ from agora.operators import counts, topn
 from agora.plans import ingest, moderation, reports_sql
 from agora.plans import staging as staging_plan
 from agora.plans import weekly
+from agora.functions.json import encode_json
+from agora.schemas import POST_EVENT
 from agora.session import configure, scratch_dir
 from agora.sources import standins
 from agora.streaming import content_flag
@@ -518,21 +520,30 @@ def q_content_flag_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("content_flag_stream", SQL_FLAGS)
 def q_content_flag_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q7 as a Structured Streaming job (file source -> flag -> file sink), read back."""
+    """Q7 as a Structured Streaming job over JSON event texts, read back.
+
+    A producer step lands the post events as JSON lines (what a topic would
+    hold); the stream decodes them with ``from_json`` by the declared schema,
+    applies the flag lookups and writes JSON lines through the file sink with
+    a checkpoint.
+    """
     out = scratch_dir(spark, "content_flag_stream")
+    events = standins.post_events(spark, sf_dir)
+    events.select(encode_json(events.columns).alias("value")).write.text(f"{out}/in")
+    parsed = content_flag.parse_events(content_flag.read_event_values(spark, "json", f"{out}/in"))
     query = content_flag.start_sink(
         content_flag.flag_events(
-            content_flag.document_event_stream(spark, sf_dir),
+            content_flag.good_events(parsed),
             standins.post_flags(spark, sf_dir),
             standins.community_flags(spark, sf_dir),
         ),
-        sink="parquet",
+        sink="json",
         path=f"{out}/data",
         checkpoint=f"{out}/checkpoint",
         available_now=True,
     )
     query.awaitTermination()
-    return spark.read.parquet(f"{out}/data")
+    return spark.read.schema(POST_EVENT).json(f"{out}/data")
 
 
 @register(

@@ -256,3 +256,17 @@ def test_flag_stream_job(spark, tmp_dir):
 
     got = {r.thread_id: r.is_violation for r in spark.read.schema(POST_EVENT).json(d("out")).collect()}
     assert got == {"p1": True, "p2": False, "p3": False, "p9": None}
+
+
+def test_parquet_file_stream_source(spark, tmp_dir):
+    """Landed Parquet files as the event stream (the documents table read as a file stream)."""
+    events = content_flag.document_event_stream(spark, SF_SMALL)
+    assert events.isStreaming
+    q = (
+        events.writeStream.format("memory").queryName("doc_events")
+        .option("checkpointLocation", os.path.join(tmp_dir, "ckpt"))
+        .trigger(availableNow=True).start()
+    )
+    q.awaitTermination()
+    n = spark.sql("SELECT count(*) AS n FROM doc_events").first().n
+    assert n == spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
