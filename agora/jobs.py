@@ -108,6 +108,13 @@ def cmd_flag_stream(a: argparse.Namespace) -> None:
         content_flag.read_event_values(spark, a.source, a.input, source_opts, a.max_files_per_trigger)
     )
     events = content_flag.good_events(parsed)
+    quarantine = None
+    if a.quarantine:
+        # Records that do not parse go to their own append-only JSON output.
+        quarantine = content_flag.bad_events(parsed).writeStream.format("json").option(
+            "path", f"{a.quarantine}/data"
+        ).option("checkpointLocation", f"{a.quarantine}/checkpoint")
+        quarantine = (quarantine.trigger(availableNow=True) if a.available_now else quarantine).start()
     if a.dedupe:
         events = content_flag.dedupe_events(events, a.dedupe)
     post_flags = moderation.post_flags_from_posts(files.read_stored(spark, a.posts))
@@ -119,6 +126,8 @@ def cmd_flag_stream(a: argparse.Namespace) -> None:
         processing_time=None if a.available_now else a.trigger,
     )
     query.awaitTermination()
+    if quarantine is not None:
+        quarantine.awaitTermination()
 
 
 def parser() -> argparse.ArgumentParser:
@@ -179,6 +188,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--sink", default="kafka", choices=["kafka", "json", "parquet"])
     s.add_argument("--output")
     s.add_argument("--checkpoint", required=True)
+    s.add_argument("--quarantine", help="folder for records that do not parse (own checkpoint inside)")
     s.add_argument("--trigger", default="10 seconds")
     s.add_argument("--available-now", action="store_true")
     s.set_defaults(fn=cmd_flag_stream)
