@@ -1,6 +1,7 @@
 """Hot keys: a user or community holding half of all rows must not reach the
 shuffle as half of all rows.  Reads shuffle metrics of the executed plan."""
 
+import contextlib
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -83,23 +84,44 @@ def test_hot_post_reply_counts_spread(spark):
     assert by_post == 5_000
 
 
-def test_hot_post_split_by_aqe_skew_join(spark):
-    """Post keys above the broadcast bound: a shuffle join, and AQE splits the hot post."""
-    from agora.plans import ingest
-    from agora.schemas import COMMENT_SNAPSHOT
+SKEW_SPLIT_CONF = {
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.shuffle.partitions": "8",
+}
 
-    overrides = {
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-        "spark.sql.shuffle.partitions": "8",
-    }
+
+@contextlib.contextmanager
+def session_conf(spark, overrides):
     before = {k: spark.conf.get(k, None) for k in overrides}
     try:
         for k, v in overrides.items():
             spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def final_plan_text(df) -> str:
+    df.collect()  # runs df's own plan, read below
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else plan
+    return plan.toString()
+
+
+def test_hot_post_split_by_aqe_skew_join(spark):
+    """Post keys above the broadcast bound: a shuffle join, and AQE splits the hot post."""
+    from agora.plans import ingest
+    from agora.schemas import COMMENT_SNAPSHOT
+
+    with session_conf(spark, SKEW_SPLIT_CONF):
         n = 40_000
         comments = spark.range(0, n).select(
             F.when(F.col("id") < n // 2, F.lit("hot")).otherwise((F.col("id") % 500).cast("string")).alias("post_id"),
@@ -117,14 +139,31 @@ def test_hot_post_split_by_aqe_skew_join(spark):
         stored = stored.unionByName(spark.createDataFrame([("hot", "c")], "post_id string, subreddit string"))
         comms = spark.createDataFrame([("c", 1.0)], "subreddit_name string, subscribers_count double")
         out = ingest.ingest_comments(comments, stored, comms, max_broadcast_rows=1)
-        assert len(out.collect()) == n  # runs out's own plan, read below
-        plan = out._jdf.queryExecution().executedPlan()
-        plan = plan.executedPlan() if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else plan
-        text = plan.toString()
+        text = final_plan_text(out)
         assert "SortMergeJoin(skew=true)" in text, text[:3000]
-    finally:
-        for k, v in before.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+        assert out.count() == n
+
+
+def test_hot_community_split_in_content_flag(spark):
+    """Flag lookups above the broadcast bound: left outer shuffle joins, the hot community split."""
+    from agora.plans import moderation
+
+    with session_conf(spark, SKEW_SPLIT_CONF):
+        n = 40_000
+        events = spark.range(0, n).select(
+            F.when(F.col("id") < n // 2, F.lit("hot")).otherwise((F.col("id") % 200).cast("string")).alias("subreddit"),
+            F.col("id").cast("string").alias("thread_id"),
+            F.lit(None).cast("string").alias("author_id"),
+            F.lit(None).cast("string").alias("creation_date"),
+            F.lit(None).cast("string").alias("url"),
+            F.lit(None).cast("boolean").alias("is_violation"),
+        )
+        post_flags = spark.range(0, n, 2).select(F.col("id").cast("string").alias("thread_id"), F.lit(True).alias("post_adult"))
+        community_flags = spark.range(0, 200).select(
+            F.col("id").cast("string").alias("subreddit"), (F.col("id") % 2 == 0).alias("community_adult")
+        ).unionByName(spark.createDataFrame([("hot", False)], "subreddit string, community_adult boolean"))
+        out = moderation.apply_content_flag(events, post_flags, community_flags, max_broadcast_rows=1)
+        text = final_plan_text(out)
+        assert "SortMergeJoin(skew=true)" in text, text[:3000]
+        got = out.groupBy("is_violation").count().collect()
+        assert sum(r["count"] for r in got) == n
