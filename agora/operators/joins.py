@@ -1,7 +1,7 @@
 """Join strategies for the lookups hidden in the reference's loops.
 
-* A side whose size is bounded by construction (the top-N community list, a
-  7-day calendar) is broadcast directly.
+* A side whose size is bounded by construction (the top-N community list,
+  above the size where it becomes an IN filter) is broadcast directly.
 * A side whose size grows with the data (post ids of the stored posts, post
   and community flags) is broadcast only after a row count proves it small;
   above the bound the join shuffles on its keys.  In batch, AQE then re-plans
