@@ -171,6 +171,11 @@ def test_jobs_end_to_end(spark, tmp_dir):
                "--out", d("comments"), "--run-date", "2024-01-08", "--top-n", "1"])
     jobs.main(["stage-users", "--comments", d("comments"), "--out", d("stg"), "--run-date", "2024-01-08"])
     jobs.main(["report", "active_days", "--staging", d("stg"), "--out", d("rep")])
+    jobs.main(["report", "all", "--staging", d("stg"), "--out", d("all")])
+    for name in ("active_days", "activity_rate", "consecutive_days"):
+        assert spark.read.parquet(d("all", name)).count() == 2
+    shared = {r.author_id: r.user_num_active_in_week for r in spark.read.parquet(d("all", "active_days")).collect()}
+    assert shared == {"alice": 1, "bob": 1}
     posts = spark.read.parquet(d("posts"))
     assert sorted(r.post_id for r in posts.collect()) == ["p1"]
     assert sorted(r.comment_id for r in spark.read.parquet(d("comments")).collect()) == ["c1", "c2"]
