@@ -213,3 +213,21 @@ def test_all_reports_from_one_mask_table(spark, tmp_dir):
         written = spark.read.parquet(paths[name])
         direct = build(df)
         assert written.exceptAll(direct).count() == 0 and direct.exceptAll(written).count() == 0
+
+
+@pytest.mark.parametrize("year,week", [(2024, 2), (2024, 3), (2025, 1)])
+def test_sql_reports_equal_dataframe_reports(spark, year, week):
+    from agora.plans import reports_sql
+
+    rows = random_staging(13, users=50, rows=800)
+    rows += [("edge", dt.date(2024, 12, 30)), ("edge", dt.date(2025, 1, 5))]
+    df = staging_df(spark, rows)
+    pairs = [
+        ("active_days", weekly.weekly_active_days),
+        ("activity_rate", weekly.weekly_activity_rate),
+        ("consecutive_days", weekly.consecutive_day_flags),
+    ]
+    for name, build in pairs:
+        via_sql = reports_sql.run_report(spark, name, df, year, week, view=f"stg_{name}_{year}_{week}")
+        direct = build(df, year=year, week=week)
+        assert sorted(map(tuple, via_sql.collect())) == sorted(map(tuple, direct.collect())), name
