@@ -77,7 +77,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     as is.  Only when nothing is configured (tests, local runs) a folder under
     the system temp dir is created and set.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext: use its conf
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        return configured or tempfile.mkdtemp(prefix="agora-ckpt-")
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         if sc.getCheckpointDir() is None:
