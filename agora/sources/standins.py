@@ -127,7 +127,9 @@ def ts_window(start: dt.date | str | None, end: dt.date | str | None = None, col
         return None
     lo = as_date(start)
     hi = as_date(end) if end is not None else lo + dt.timedelta(days=1)
-    as_ntz = lambda d: F.lit(dt.datetime(d.year, d.month, d.day)).cast("timestamp_ntz")
+    # A text literal: parsing it as TIMESTAMP_NTZ does not depend on any time
+    # zone (a Python datetime literal would pass through the driver's zone).
+    as_ntz = lambda d: F.lit(f"{d.isoformat()} 00:00:00").cast("timestamp_ntz")
     return (F.col(col) >= as_ntz(lo)) & (F.col(col) < as_ntz(hi))
 
 
