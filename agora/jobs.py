@@ -48,7 +48,8 @@ def _today() -> str:
 
 def cmd_ingest_posts(a: argparse.Namespace) -> None:
     spark = _session("agora-ingest-posts")
-    snaps, bad = files.split_corrupt(files.read_post_snapshots(spark, a.snapshots, a.format).cache())
+    raw = files.read_post_snapshots(spark, a.snapshots, a.format).cache()  # read once for both outputs
+    snaps, bad = files.split_corrupt(raw)
     posts, rejected = ingest.ingest_posts(
         snaps, files.read_communities_csv(spark, a.communities), a.run_date, a.top_n, a.per_community,
         with_rejected=True,
@@ -59,11 +60,13 @@ def cmd_ingest_posts(a: argparse.Namespace) -> None:
     if a.quarantine:
         bad.write.mode("append").json(f"{a.quarantine}/corrupt")
         rejected.write.mode("append").json(f"{a.quarantine}/rejected")
+    raw.unpersist()
 
 
 def cmd_ingest_comments(a: argparse.Namespace) -> None:
     spark = _session("agora-ingest-comments")
-    snaps, bad = files.split_corrupt(files.read_comment_snapshots(spark, a.comments, a.format).cache())
+    raw = files.read_comment_snapshots(spark, a.comments, a.format).cache()  # read once for both outputs
+    snaps, bad = files.split_corrupt(raw)
     comments, rejected = ingest.ingest_comments(
         snaps, files.read_stored(spark, a.posts), files.read_communities_csv(spark, a.communities), a.run_date, a.top_n,
         with_rejected=True,
@@ -74,6 +77,7 @@ def cmd_ingest_comments(a: argparse.Namespace) -> None:
     if a.quarantine:
         bad.write.mode("append").json(f"{a.quarantine}/corrupt")
         rejected.write.mode("append").json(f"{a.quarantine}/rejected")
+    raw.unpersist()
 
 
 def cmd_stage_users(a: argparse.Namespace) -> None:

@@ -277,3 +277,39 @@ def test_parquet_file_stream_source(spark, tmp_dir):
     q.awaitTermination()
     n = spark.sql("SELECT count(*) AS n FROM doc_events").first().n
     assert n == spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
+
+
+def test_landed_snapshots_through_the_job(spark, tmp_dir):
+    """Stand-in listings landed as partitioned JSON, ingested by the CLI job, equal the registered query."""
+    from agora import jobs
+    from agora.plans import catalog, ingest
+
+    d = lambda *p: os.path.join(tmp_dir, *p)
+    snaps = standins.post_snapshots(spark, SF_SMALL)
+    # Land the listing as the snapshot folders a crawler would write (hot rank = stand-in hot order).
+    from pyspark.sql import Window
+
+    ranked = snaps.withColumn(
+        "hot_rank",
+        F.row_number().over(Window.partitionBy("snapshot_date", "subreddit").orderBy(*standins.standin_hot_order())),
+    )
+    ranked.coalesce(1).write.partitionBy("snapshot_date", "subreddit").json(d("landing"))
+    standins.communities(spark, SF_SMALL).coalesce(1).write.option("header", "true").csv(d("subs"))
+
+    days = sorted(r[0] for r in catalog.QUERIES["posts_ingest"](spark, SF_SMALL).select("etl_date").distinct().collect())
+    for day in days[:3]:
+        jobs.main(["ingest-posts", "--communities", d("subs"), "--snapshots", d("landing"),
+                   "--out", d("posts"), "--run-date", day.isoformat()])
+    landed = spark.read.parquet(d("posts"))
+    expect = catalog.QUERIES["posts_ingest"](spark, SF_SMALL).where(F.col("etl_date").isin(days[:3]))
+    cols = ["post_id", "subreddit", "etl_date", "created", "ups", "over_18", "author_id", "num_comments"]
+    assert sorted(map(tuple, landed.select(*cols).collect())) == sorted(map(tuple, expect.select(*cols).collect()))
+    assert landed.count() > 0
+
+    # On the landed layout the daily run prunes both day and community folders.
+    plan = ingest.ingest_posts(
+        files.read_post_snapshots(spark, d("landing")), files.read_communities_csv(spark, d("subs")), days[0]
+    )._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan json" in line)
+    filters = scan[scan.index("PartitionFilters: [") : scan.index(", PushedFilters")]
+    assert "snapshot_date" in filters and "subreddit" in filters and "INSET" in filters, filters
