@@ -2,8 +2,10 @@
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_REPEAT (default 5).  Each query is run once to warm up, then
-BENCH_REPEAT times; its time is the best run.  A run executes the whole plan
-into Spark's no-op sink (no collect to the driver).  Prints one JSON line.
+BENCH_REPEAT times; its time is the best run.  A run builds the query (including
+any lookup-size check) and executes the whole plan into Spark's no-op sink (no
+collect to the driver); cached lookup sides are released after every run.
+Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -23,8 +25,9 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "5"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
 
-    from agora.session import build_session
+    from agora.operators.joins import release_lookups
     from agora.plans import catalog
+    from agora.session import build_session
 
     spark = build_session(f"local[{cpus}]", app_name="agora-bench", shuffle_partitions=max(cpus, 4))
     names = only or sorted(catalog.QUERIES)
@@ -35,7 +38,9 @@ def main() -> None:
         def run() -> float:
             t0 = time.perf_counter()
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            return time.perf_counter() - t0
+            elapsed = time.perf_counter() - t0
+            release_lookups()  # no run reuses lookup sides cached by an earlier one
+            return elapsed
 
         run()  # warm-up: JIT, file listing, Python imports
         timings[name] = round(min(run() for _ in range(repeat)), 4)
