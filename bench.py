@@ -32,8 +32,12 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", app_name="agora-bench", shuffle_partitions=max(cpus, 4))
     names = only or sorted(catalog.QUERIES)
     timings: dict[str, float] = {}
+    failed: dict[str, str] = {}
     for name in names:
-        fn = catalog.QUERIES[name]
+        fn = catalog.QUERIES.get(name)
+        if fn is None:
+            failed[name] = "no such query"
+            continue
 
         def run() -> float:
             t0 = time.perf_counter()
@@ -42,8 +46,12 @@ def main() -> None:
             release_lookups()  # no run reuses lookup sides cached by an earlier one
             return elapsed
 
-        run()  # warm-up: JIT, file listing, Python imports
-        timings[name] = round(min(run() for _ in range(repeat)), 4)
+        try:
+            run()  # warm-up: JIT, file listing, Python imports
+            timings[name] = round(min(run() for _ in range(repeat)), 4)
+        except Exception as exc:  # one failing query must not lose the whole line
+            failed[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+            print(f"bench: {name} failed: {failed[name]}", file=sys.stderr)
 
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(
@@ -55,6 +63,7 @@ def main() -> None:
                 "queries": timings,
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": cpus,
+                **({"failed": failed} if failed else {}),
             }
         )
     )
