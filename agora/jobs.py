@@ -48,8 +48,10 @@ def _today() -> str:
 
 def cmd_ingest_posts(a: argparse.Namespace) -> None:
     spark = _session("agora-ingest-posts")
-    raw = files.read_post_snapshots(spark, a.snapshots, a.format).cache()  # read once for both outputs
-    snaps, bad = files.split_corrupt(raw)
+    raw = files.read_post_snapshots(spark, a.snapshots, a.format)
+    # The run day first: both outputs then read only that day's listing folders.
+    day = raw.where(F.col("snapshot_date") == F.lit(dt.date.fromisoformat(a.run_date)))
+    snaps, bad = files.split_corrupt(day)
     posts, rejected = ingest.ingest_posts(
         snaps, files.read_communities_csv(spark, a.communities), a.run_date, a.top_n, a.per_community,
         with_rejected=True,
@@ -60,13 +62,12 @@ def cmd_ingest_posts(a: argparse.Namespace) -> None:
     if a.quarantine:
         bad.write.mode("append").json(f"{a.quarantine}/corrupt")
         rejected.write.mode("append").json(f"{a.quarantine}/rejected")
-    raw.unpersist()
 
 
 def cmd_ingest_comments(a: argparse.Namespace) -> None:
     spark = _session("agora-ingest-comments")
-    raw = files.read_comment_snapshots(spark, a.comments, a.format).cache()  # read once for both outputs
-    snaps, bad = files.split_corrupt(raw)
+    # ``--comments`` names the landed folder of the run; the day window is pushed to the scan.
+    snaps, bad = files.split_corrupt(files.read_comment_snapshots(spark, a.comments, a.format))
     comments, rejected = ingest.ingest_comments(
         snaps, files.read_stored(spark, a.posts), files.read_communities_csv(spark, a.communities), a.run_date, a.top_n,
         with_rejected=True,
@@ -77,7 +78,6 @@ def cmd_ingest_comments(a: argparse.Namespace) -> None:
     if a.quarantine:
         bad.write.mode("append").json(f"{a.quarantine}/corrupt")
         rejected.write.mode("append").json(f"{a.quarantine}/rejected")
-    raw.unpersist()
 
 
 def cmd_stage_users(a: argparse.Namespace) -> None:

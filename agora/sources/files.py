@@ -69,14 +69,18 @@ def read_comment_snapshots(spark: SparkSession, path: str, fmt: str = "json") ->
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(good rows without the corrupt column, raw text of bad rows)``.
-
-    Spark does not allow a query that reads only the corrupt column of a raw
-    JSON scan, so callers cache or write the frame before splitting when the
-    quarantine output is needed on its own.
+    """``(good rows without the corrupt column, bad rows with their raw text)``.
+
+    The bad rows keep every column (partition columns such as the listing day
+    tell where a record came from).  Spark rejects a query on a raw JSON scan
+    that reads *only* the corrupt column; reading it together with the other
+    columns is allowed, so writing either output needs no cache - and each
+    keeps the partition pruning of filters applied before the split.  An
+    aggregate over the bad side alone (``bad.count()``) reads only the corrupt
+    column and is still rejected: cache the scan first for that.
     """
     good = df.where(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
-    bad = df.where(F.col(CORRUPT_COL).isNotNull()).select(CORRUPT_COL)
+    bad = df.where(F.col(CORRUPT_COL).isNotNull())
     return good, bad
 
 
