@@ -74,7 +74,26 @@ def flag_adult_in_safe_community(post_adult: Column | str, community_adult: Colu
     )
 
 
-# The same rule as SQL text, for the SQL function of the streaming job.
+# The same rules as SQL text, for projections issued as one select list
+# (``DataFrame.selectExpr``): one JVM call for all fields instead of several
+# per field.  ``tests/test_cleaning.py`` checks both forms agree.
+def falsy_text_sql(name: str) -> str:
+    return f"nullif(`{name}`, '')"
+
+
+def falsy_number_sql(name: str) -> str:
+    return f"nullif(`{name}`, 0)"
+
+
+def falsy_bool_sql(name: str) -> str:
+    return f"CASE WHEN `{name}` THEN true END"
+
+
+def zero_if_missing_sql(name: str) -> str:
+    return f"CAST(coalesce(nullif(`{name}`, 0), 0) AS BIGINT)"
+
+
+# The flag rule as SQL text, for the SQL function of the streaming job.
 FLAG_RULE_SQL = (
     "CASE WHEN post_adult IS NULL THEN CAST(NULL AS BOOLEAN) "
     "ELSE post_adult AND NOT coalesce(community_adult, false) END"

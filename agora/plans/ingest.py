@@ -31,10 +31,10 @@ from pyspark.sql import functions as F
 
 from agora.functions.cleaning import (
     drop_empty_records,
-    falsy_bool,
-    falsy_number,
-    falsy_text,
-    zero_if_missing,
+    falsy_bool_sql,
+    falsy_number_sql,
+    falsy_text_sql,
+    zero_if_missing_sql,
 )
 from agora.functions.dates import as_date, day_window, epoch_seconds, epoch_to_date
 from agora.operators.joins import MAX_BROADCAST_ROWS, lookup_join
@@ -46,18 +46,12 @@ TOP_COMMUNITIES = 25
 HOT_POSTS_PER_COMMUNITY = 100
 
 
-def _cleaned(df: DataFrame, field: str, rules: dict[str, str]) -> Column:
-    rule = rules.get(field)
-    col = F.col(field)
-    if rule == "text":
-        return falsy_text(col).alias(field)
-    if rule == "number":
-        return falsy_number(col).alias(field)
-    if rule == "bool":
-        return falsy_bool(col).alias(field)
-    if rule == "zero":
-        return zero_if_missing(col).alias(field)
-    return col.alias(field)
+_RULE_SQL = {
+    "text": falsy_text_sql,
+    "number": falsy_number_sql,
+    "bool": falsy_bool_sql,
+    "zero": zero_if_missing_sql,
+}
 
 
 def _rules(df: DataFrame, fields: Sequence[str], zero_fields: Sequence[str] = ()) -> dict[str, str]:
@@ -76,25 +70,22 @@ def _rules(df: DataFrame, fields: Sequence[str], zero_fields: Sequence[str] = ()
     return rules
 
 
+def _clean(df: DataFrame, fields: Sequence[str], rules: dict[str, str], overrides: dict[str, str]) -> DataFrame:
+    """One select list: each field through its rule, other columns unchanged."""
+    keep = [f"`{c}`" for c in df.columns if c not in fields]
+    exprs = [f"{overrides.get(f) or _RULE_SQL[rules[f]](f)} AS `{f}`" for f in fields]
+    return df.selectExpr(*exprs, *keep)
+
+
 def clean_posts(df: DataFrame) -> DataFrame:
     """Falsy -> missing for every post field; missing comment count -> 0."""
-    rules = _rules(df, POST_FIELDS, zero_fields=("num_comments",))
-    keep = [c for c in df.columns if c not in POST_FIELDS]
-    return df.select(*[_cleaned(df, f, rules) for f in POST_FIELDS], *keep)
+    return _clean(df, POST_FIELDS, _rules(df, POST_FIELDS, zero_fields=("num_comments",)), {})
 
 
 def clean_comments(df: DataFrame) -> DataFrame:
     """Falsy -> missing for every comment field ('false' counts as falsy for ``edited``)."""
-    rules = _rules(df, COMMENT_FIELDS)
-    keep = [c for c in df.columns if c not in COMMENT_FIELDS]
-    cols = []
-    for f in COMMENT_FIELDS:
-        if f == "edited":
-            e = F.col("edited")
-            cols.append(F.when(F.lower(e).isin("false", "0", "0.0", ""), F.lit(None)).otherwise(e).alias(f))
-        else:
-            cols.append(_cleaned(df, f, rules))
-    return df.select(*cols, *keep)
+    edited = "CASE WHEN lower(`edited`) IN ('false', '0', '0.0', '') THEN NULL ELSE `edited` END"
+    return _clean(df, COMMENT_FIELDS, _rules(df, COMMENT_FIELDS), {"edited": edited})
 
 
 def split_rejected(df: DataFrame, rejected: Column) -> tuple[DataFrame, DataFrame]:

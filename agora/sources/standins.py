@@ -41,23 +41,23 @@ COMMUNITY_KEY_WIDTH = 9
 COMMUNITY_ADULT_THRESHOLD = 4
 
 
-def community_name(key: Column) -> Column:
-    return F.concat(F.lit(COMMUNITY_PREFIX), F.lpad(key.cast("string"), COMMUNITY_KEY_WIDTH, "0"))
+def _community_name_sql(key: str) -> str:
+    return f"concat('{COMMUNITY_PREFIX}', lpad(CAST({key} AS STRING), {COMMUNITY_KEY_WIDTH}, '0'))"
+
+
+def _epoch_seconds_sql(ts: str) -> str:
+    # Same as ``functions.dates.epoch_seconds``: TIMESTAMP_NTZ read in the session zone (UTC).
+    return f"CAST(unix_micros(CAST({ts} AS TIMESTAMP)) AS DOUBLE) / 1000000.0"
 
 
 def _null(dtype: str) -> Column:
     return F.lit(None).cast(dtype)
 
 
-def _conform(df: DataFrame, schema, values: dict[str, Column]) -> DataFrame:
-    """Project ``values`` onto ``schema``: missing fields NULL, types cast."""
-    return df.select(
-        *[
-            (values[f.name] if f.name in values else _null(f.dataType.simpleString()))
-            .cast(f.dataType)
-            .alias(f.name)
-            for f in schema.fields
-        ]
+def _conform(df: DataFrame, schema, values: dict[str, str]) -> DataFrame:
+    """Project SQL ``values`` onto ``schema`` as one select list: missing fields NULL, types cast."""
+    return df.selectExpr(
+        *[f"CAST({values.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields]
     )
 
 
@@ -80,15 +80,14 @@ def post_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders,
         POST_SNAPSHOT,
         {
-            "snapshot_date": F.col("o_orderdate").cast("date"),
-            "subreddit": community_name(F.col("o_custkey")),
-            "post_id": F.col("o_orderkey").cast("string"),
-            "created": epoch_seconds("o_orderdate"),
-            "num_comments": F.lit(None),
-            "ups": F.floor("o_totalprice"),
-            "downs": F.lit(0),
-            "over_18": F.col("o_orderstatus") == F.lit("F"),
-            "author_id": F.col("o_custkey").cast("string"),
+            "snapshot_date": "CAST(o_orderdate AS DATE)",
+            "subreddit": _community_name_sql("o_custkey"),
+            "post_id": "CAST(o_orderkey AS STRING)",
+            "created": _epoch_seconds_sql("o_orderdate"),
+            "ups": "floor(o_totalprice)",
+            "downs": "0",
+            "over_18": "o_orderstatus = 'F'",
+            "author_id": "CAST(o_custkey AS STRING)",
         },
     )
 
@@ -108,11 +107,11 @@ def comment_snapshots(spark: SparkSession, sf_dir: str, run_date: dt.date | str
         events,
         COMMENT_SNAPSHOT,
         {
-            "post_id": F.col("event_id").cast("string"),
-            "comment_id": F.col("event_id").cast("string"),
-            "author_name": F.col("user_id").cast("string"),
-            "score": F.floor("value"),
-            "created_utc": epoch_seconds("ts"),
+            "post_id": "CAST(event_id AS STRING)",
+            "comment_id": "CAST(event_id AS STRING)",
+            "author_name": "CAST(user_id AS STRING)",
+            "score": "floor(value)",
+            "created_utc": _epoch_seconds_sql("ts"),
         },
     )
 

@@ -85,3 +85,26 @@ def test_nan_counts_as_truthy(spark):
     v = df.select(falsy_number("x")).first()[0]
     assert v != v  # NaN kept, as Python's bool(nan) is True
     assert df.select(F.isnan(falsy_number("x"))).first()[0]
+
+
+def test_sql_rules_equal_column_rules(spark):
+    from agora.functions import cleaning as c
+
+    df = spark.createDataFrame(
+        [(0.0, "", False, 0), (5.0, "x", True, 3), (None, None, None, None), (float("nan"), " ", None, 7)],
+        "n double, s string, b boolean, k long",
+    )
+    by_column = df.select(
+        c.falsy_number("n").alias("n"), c.falsy_text("s").alias("s"),
+        c.falsy_bool("b").alias("b"), c.zero_if_missing("k").alias("k"),
+    )
+    by_sql = df.selectExpr(
+        f"{c.falsy_number_sql('n')} AS n", f"{c.falsy_text_sql('s')} AS s",
+        f"{c.falsy_bool_sql('b')} AS b", f"{c.zero_if_missing_sql('k')} AS k",
+    )
+    assert by_column.schema == by_sql.schema
+
+    def rows(d):
+        return [tuple("nan" if isinstance(v, float) and v != v else v for v in r) for r in d.collect()]
+
+    assert rows(by_column) == rows(by_sql)
