@@ -374,7 +374,7 @@ SQL_COMMENTS = (
     + """,
 keys AS (SELECT DISTINCT post_id, subreddit FROM posts WHERE post_id IS NOT NULL),
 com AS (
-    SELECT CAST(event_id AS VARCHAR) AS post_id,
+    SELECT CAST(event_id // 10 AS VARCHAR) AS post_id,
            CAST(NULL AS VARCHAR) AS parent_id,
            CAST(event_id AS VARCHAR) AS comment_id,
            CAST(user_id AS VARCHAR) AS author_name,

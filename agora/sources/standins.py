@@ -12,8 +12,9 @@ given tables and its work grows with them.
 |                    |               | customer's name -> subreddit, o_orderdate -> created  |
 |                    |               | and listing day, floor(o_totalprice) -> ups, status   |
 |                    |               | 'F' -> over_18; hot order = ups desc, post_id         |
-| comment snapshots  | events        | event_id -> comment_id and post_id, user_id ->        |
-|                    |               | author_name, floor(value) -> score, ts -> created_utc |
+| comment snapshots  | events        | event_id -> comment_id, event_id DIV 10 -> post_id    |
+|                    |               | (ten comments per post), user_id -> author_name,      |
+|                    |               | floor(value) -> score, ts -> created_utc              |
 | staging input      | events        | as comment snapshots; load time = creation time       |
 | post events        | documents     | source -> subreddit, doc_id -> thread_id              |
 | post flags         | labels        | toxic = 1 -> over_18 (no label = unknown)             |
@@ -37,6 +38,8 @@ from agora.sources.tables import read_table
 # Community names are the customer names: 'Customer#' + key padded to 9 digits.
 COMMUNITY_PREFIX = "Customer#"
 COMMUNITY_KEY_WIDTH = 9
+# Comments per stand-in post: comment i belongs to post i DIV this.
+COMMENTS_PER_POST = 10
 # A source counts as an adult community from this many toxic documents on.
 COMMUNITY_ADULT_THRESHOLD = 4
 
@@ -107,7 +110,7 @@ def comment_snapshots(spark: SparkSession, sf_dir: str, run_date: dt.date | str
         events,
         COMMENT_SNAPSHOT,
         {
-            "post_id": "CAST(event_id AS STRING)",
+            "post_id": f"CAST(event_id DIV {COMMENTS_PER_POST} AS STRING)",
             "comment_id": "CAST(event_id AS STRING)",
             "author_name": "CAST(user_id AS STRING)",
             "score": "floor(value)",
