@@ -135,10 +135,10 @@ def cmd_flag_stream(a: argparse.Namespace) -> None:
 
 
 def parser() -> argparse.ArgumentParser:
-    p = argparse.ArgumentParser(prog="agora.jobs")
+    p = argparse.ArgumentParser(prog="agora.jobs", description="Daily community-activity jobs and the content-flag stream.")
     sub = p.add_subparsers(dest="cmd", required=True)
 
-    s = sub.add_parser("ingest-posts")
+    s = sub.add_parser("ingest-posts", help="posts of the run day for the top-N communities, from listing snapshots")
     s.add_argument("--communities", required=True)
     s.add_argument("--snapshots", required=True)
     s.add_argument("--format", default="json", choices=["json", "parquet"])
@@ -150,7 +150,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--quarantine")
     s.set_defaults(fn=cmd_ingest_posts)
 
-    s = sub.add_parser("ingest-comments")
+    s = sub.add_parser("ingest-comments", help="comments of the run day under the stored posts of the top-N communities")
     s.add_argument("--comments", required=True)
     s.add_argument("--format", default="json", choices=["json", "parquet"])
     s.add_argument("--posts", required=True)
@@ -162,7 +162,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--quarantine")
     s.set_defaults(fn=cmd_ingest_comments)
 
-    s = sub.add_parser("stage-users")
+    s = sub.add_parser("stage-users", help="(author, day) rows of the run day into the staging table")
     s.add_argument("--comments", required=True)
     s.add_argument("--out")
     s.add_argument("--run-date", default=_today())
@@ -173,7 +173,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--buckets", type=int, help="write a catalog table bucketed by author (distinct author/day rows)")
     s.set_defaults(fn=cmd_stage_users)
 
-    s = sub.add_parser("report")
+    s = sub.add_parser("report", help="weekly activity reports from the staging table")
     s.add_argument("name", choices=[*sorted(reports_sql.REPORTS), "all"])
     s.add_argument("--staging", required=True)
     s.add_argument("--out", required=True)
@@ -181,7 +181,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--week", type=int, default=2)
     s.set_defaults(fn=cmd_report)
 
-    s = sub.add_parser("flag-stream")
+    s = sub.add_parser("flag-stream", help="flag adult posts in non-adult communities on a stream")
     s.add_argument("--source", default="kafka", choices=["kafka", "json"])
     s.add_argument("--input")
     s.add_argument("--option", action="append", help="key=value, source/sink option")
