@@ -295,11 +295,25 @@ posts AS (
 )
 
 
-def _posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _posts(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> DataFrame:
     return ingest.ingest_posts(
         standins.post_snapshots(spark, sf_dir),
         standins.communities(spark, sf_dir),
         hot_order=standins.standin_hot_order(),
+        names=names,
+    )
+
+
+def _comments(spark: SparkSession, sf_dir: str, run_date: str | None = None) -> DataFrame:
+    """Comment ingest over the stored posts; the top-N pick is made once for both steps."""
+    communities = standins.communities(spark, sf_dir)
+    names = ingest.top_names(communities, ingest.TOP_COMMUNITIES)
+    return ingest.ingest_comments(
+        standins.comment_snapshots(spark, sf_dir, run_date),
+        _posts(spark, sf_dir, names),
+        communities,
+        run_date=run_date,
+        names=names,
     )
 
 
@@ -403,11 +417,7 @@ FROM com JOIN keys ON keys.post_id = com.post_id"""
 @register("comments_ingest", "WITH" + SQL_COMMENTS)
 def q_comments_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Comments under the stored posts of the top-25 communities, every day (Q6)."""
-    return ingest.ingest_comments(
-        standins.comment_snapshots(spark, sf_dir),
-        _posts(spark, sf_dir),
-        standins.communities(spark, sf_dir),
-    )
+    return _comments(spark, sf_dir)
 
 
 @register(
@@ -440,12 +450,7 @@ WHERE com.ts >= TIMESTAMP '2024-01-08 00:00:00' AND com.ts < TIMESTAMP '2024-01-
 )
 def q_comments_for_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily comment run for one day: the day window reaches the events scan."""
-    return ingest.ingest_comments(
-        standins.comment_snapshots(spark, sf_dir, COMMENT_DAY),
-        _posts(spark, sf_dir),
-        standins.communities(spark, sf_dir),
-        run_date=COMMENT_DAY,
-    )
+    return _comments(spark, sf_dir, COMMENT_DAY)
 
 
 @register(

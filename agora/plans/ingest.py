@@ -103,7 +103,14 @@ def _top_names(communities: DataFrame, top_n: int) -> DataFrame:
     return F.broadcast(top_communities(communities, top_n).select(F.col("subreddit_name").alias("subreddit")))
 
 
-def restrict_to_top(df: DataFrame, communities: DataFrame, top_n: int, col: str = "subreddit") -> DataFrame:
+def top_names(communities: DataFrame, top_n: int) -> list[str]:
+    """Names of the top-N communities (at most N rows reach the driver)."""
+    return [r[0] for r in top_communities(communities, top_n).select("subreddit_name").collect()]
+
+
+def restrict_to_top(
+    df: DataFrame, communities: DataFrame, top_n: int, col: str = "subreddit", names: list[str] | None = None
+) -> DataFrame:
     """Keep rows of the top-N communities.
 
     The top-N list has at most N rows by construction.  Up to
@@ -113,10 +120,12 @@ def restrict_to_top(df: DataFrame, communities: DataFrame, top_n: int, col: str
     Parquet data a pushed ``In`` filter.  A semi join against a broadcast list
     would do neither - Spark plans dynamic partition pruning only behind a
     selective filter, and a top-N is not one.  Larger N uses that broadcast
-    semi join.
+    semi join.  ``names`` (from ``top_names``) lets several steps of one job
+    share a single pick.
     """
-    if top_n <= MAX_NAMES_IN_FILTER:
-        names = [r[0] for r in top_communities(communities, top_n).select("subreddit_name").collect()]
+    if names is None and top_n <= MAX_NAMES_IN_FILTER:
+        names = top_names(communities, top_n)
+    if names is not None:
         return df.where(F.col(col).isin(names))
     return df.join(_top_names(communities, top_n), col, "left_semi")
 
@@ -129,6 +138,7 @@ def ingest_posts(
     per_community: int = HOT_POSTS_PER_COMMUNITY,
     hot_order: Sequence[Column] | None = None,
     with_rejected: bool = False,
+    names: list[str] | None = None,
 ):
     """Posts of the day(s) for the top-N communities, cleaned, in the POSTS layout.
 
@@ -140,7 +150,7 @@ def ingest_posts(
     snaps = snapshots
     if run_date is not None:
         snaps = snaps.where(F.col("snapshot_date") == F.lit(as_date(run_date)))
-    snaps = restrict_to_top(snaps, communities, top_n)
+    snaps = restrict_to_top(snaps, communities, top_n, names=names)
     listed = first_n_per_group(snaps, ["snapshot_date", "subreddit"], order, per_community)
     same_day = listed.where(epoch_to_date("created") == F.col("snapshot_date"))
     deleted_author = F.col("author_name").isNull() & F.col("author_id").isNull()
@@ -155,13 +165,15 @@ def ingest_posts(
     return (out, rejected) if with_rejected else out
 
 
-def post_keys(stored_posts: DataFrame, communities: DataFrame, top_n: int = TOP_COMMUNITIES) -> DataFrame:
+def post_keys(
+    stored_posts: DataFrame, communities: DataFrame, top_n: int = TOP_COMMUNITIES, names: list[str] | None = None
+) -> DataFrame:
     """Distinct ``(post_id, subreddit)`` of the stored posts of the top-N communities.
 
     The de-duplication absorbs re-runs that appended the same post twice.
     """
     keys = stored_posts.select("post_id", "subreddit").where(F.col("post_id").isNotNull())
-    return restrict_to_top(keys, communities, top_n).dropDuplicates(["post_id", "subreddit"])
+    return restrict_to_top(keys, communities, top_n, names=names).dropDuplicates(["post_id", "subreddit"])
 
 
 def ingest_comments(
@@ -172,6 +184,7 @@ def ingest_comments(
     top_n: int = TOP_COMMUNITIES,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     with_rejected: bool = False,
+    names: list[str] | None = None,
 ):
     """Comments of the day(s) under the stored posts of the top-N communities.
 
@@ -180,7 +193,7 @@ def ingest_comments(
     comments = comment_snapshots
     if run_date is not None:
         comments = comments.where(day_window("created_utc", as_date(run_date)))
-    keys = post_keys(stored_posts, communities, top_n)
+    keys = post_keys(stored_posts, communities, top_n, names=names)
     joined = lookup_join(comments, keys, "post_id", "inner", max_broadcast_rows)
     day = epoch_to_date("created_utc")
     accepted, rejected = split_rejected(joined, F.col("created_utc").isNull())
