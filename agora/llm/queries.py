@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agora.llm import mixing
-from agora.llm.common import documents
+from agora.llm import mixing, quality
+from agora.llm.common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -22,3 +22,12 @@ def register(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of each document so that every source comes near its target."""
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@register
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixed word rules and the likelihood-ratio verdict for every document."""
+    d = quality.judged(documents(spark, sf_dir).select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return d.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio"
+    )
