@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agora.llm import mixing, quality
+from agora.llm import mixing, pii, quality
 from agora.llm.common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,9 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio"
     )
+
+
+@register
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data spans of every document."""
+    return pii.report(pii.find(documents(spark, sf_dir).select("doc_id", "text")))
