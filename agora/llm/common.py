@@ -196,3 +196,28 @@ def sha256_hex(data: bytes) -> str:
     import hashlib
 
     return hashlib.sha256(data).hexdigest()
+
+
+BLOCK = 32
+
+
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each byte range of any length, by blocks of BLOCK bytes."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    lens = ends - starts
+    n_blocks = np.maximum(-(-lens // BLOCK), 1)
+    at = np.cumsum(n_blocks) - n_blocks
+    nth = np.arange(int(n_blocks.sum()), dtype=np.int64) - np.repeat(at, n_blocks)
+    b0 = np.repeat(starts, n_blocks) + nth * BLOCK
+    b1 = np.minimum(b0 + BLOCK, np.repeat(ends, n_blocks))
+    h = hash_words(data, b0, b1) if (b1 > b0).all() else _hash_some(data, b0, b1)
+    h = mix64(h ^ mix64(nth.astype(np.uint64)))
+    return mix64(np.add.reduceat(h, at) + lens.astype(np.uint64))
+
+
+def _hash_some(data: np.ndarray, b0: np.ndarray, b1: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(b0), np.uint64)
+    full = b1 > b0
+    out[full] = hash_words(data, b0[full], b1[full])
+    return out

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agora.llm import mixing, pii, quality
+from agora.llm import fingerprints, mixing, pii, quality
 from agora.llm.common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,9 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data spans of every document."""
     return pii.report(pii.find(documents(spark, sf_dir).select("doc_id", "text")))
+
+
+@register
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return fingerprints.report(documents(spark, sf_dir))
