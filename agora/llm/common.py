@@ -148,33 +148,36 @@ def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix64(np.add.reduceat(val, at) + lens.astype(np.uint64))
 
 
-def rolled(h: np.ndarray, length: int, base: int = 0xD6E8FEB86659FD93) -> np.ndarray:
-    """Hash of every run of ``length`` neighbours (before mixing), by doubling;
-    entry i covers h[i : i + length]; the result has len(h) - length + 1 entries."""
-    n = len(h) - length + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    mask = (1 << 64) - 1
-    out, have = None, 0
+BASE = 0xD6E8FEB86659FD93
+
+
+def rolled_all(h: np.ndarray, lengths: tuple[int, ...], base: int = BASE) -> list[np.ndarray]:
+    """For each length, the hash (before mixing) of every run of so many neighbours,
+    by doubling; entry i covers h[i : i + length]."""
+    out: dict[int, tuple[np.ndarray, int]] = {}
     part, width = h, 1
-    left = length
-    while left:
-        if left & 1:
-            out = part[: len(h) - width + 1] if out is None else _join(out, have, part, width, base, mask)
-            have += width
-        left >>= 1
-        if left:
-            part = _join(part, width, part, width, base, mask)
-            width *= 2
-    return out[:n]
-
-
-def _join(a: np.ndarray, na: int, b: np.ndarray, nb: int, base: int, mask: int) -> np.ndarray:
+    while width <= max(lengths):
+        for n in lengths:
+            if n & width:
+                out[n] = (part, width) if n not in out else (_join(*out[n], part, width, base), out[n][1] + width)
+        if 2 * width <= max(lengths):
+            part = _join(part, width, part, width, base)
+        width *= 2
+    return [out[n][0][: max(0, len(h) - n + 1)] for n in lengths]
+
+
+def rolled(h: np.ndarray, length: int, base: int = BASE) -> np.ndarray:
+    return rolled_all(h, (length,), base)[0]
+
+
+def _join(a: np.ndarray, na: int, b: np.ndarray, nb: int, base: int) -> np.ndarray:
     """Hashes of na + nb neighbours from those of na and of nb."""
     n = min(len(a), len(b) - na)
     if n <= 0:
         return np.zeros(0, np.uint64)
-    return a[:n] * np.uint64(pow(base, nb, mask + 1)) + b[na : na + n]
+    out = a[:n] * np.uint64(pow(base, nb, 1 << 64))
+    out += b[na : na + n]
+    return out
 
 
 def sliding_argmin(h: np.ndarray, width: int) -> np.ndarray:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agora.llm import fingerprints, mixing, pii, quality
+from agora.llm import fingerprints, mixing, passages, pii, quality
 from agora.llm.common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,9 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text."""
     return fingerprints.report(documents(spark, sf_dir))
+
+
+@register
+def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words that repeated 35-word windows cover."""
+    return passages.removed(documents(spark, sf_dir))
