@@ -96,12 +96,15 @@ def lower(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def word_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end (byte positions) and document index of every word, in order."""
+def word_spans(
+    data: np.ndarray, off: np.ndarray, apart: np.ndarray = _SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end (byte positions) and document index of every word, in order; ``apart``
+    says of each byte whether it separates words."""
     if not len(data):
         e = np.zeros(0, np.int64)
         return e, e, e
-    inside = ~_SPACE[data]
+    inside = ~apart[data]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]

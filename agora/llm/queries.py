@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agora.llm import byte_dedup, fingerprints, mixing, passages, pii, quality
+from agora.llm import byte_dedup, fingerprints, mixing, passages, pii, quality, toxicity
 from agora.llm.common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,9 @@ def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes of 100-byte strings that start earlier."""
     return byte_dedup.removed(documents(spark, sf_dir))
+
+
+@register
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    return toxicity.scored(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
