@@ -14,8 +14,9 @@ WINDOW words deep are the repeats.
    two blocks, or two places of one block, hang below it.
 3. Removal.  Each block covers its repeated windows and hashes what is left.
 
-Suffixes are compared by 64-bit hashes of their first PREFIX and first WINDOW words
-(128 bits together).
+A suffix travels as 64 hash bits of its path (the edge of PREFIX words, the edge down
+to WINDOW words).  Its group is chosen by other bits of the hash, so what tells two
+windows apart grows with the number of groups, and that with the input.
 
 Null text: no words.  Texts under WINDOW words lose nothing.  Rows with one doc_id
 are separate texts.  Other columns are ignored.
@@ -38,6 +39,7 @@ WINDOW = 35
 ANCHOR = 19
 PREFIX = 12
 HEAVY = 64
+LAST_BITS = 40  # of 64 in a path, for the edge below the prefix
 
 SCHEMA = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
@@ -79,10 +81,16 @@ def _ask_anchors(n_buckets: int):
     return ask
 
 
+def path(prefix: np.ndarray, window: np.ndarray) -> np.ndarray:
+    """A suffix as its path from the root: bits of the PREFIX-word edge, then of the rest."""
+    low = np.uint64((1 << LAST_BITS) - 1)
+    return (prefix << np.uint64(LAST_BITS)) | (window & low)
+
+
 class Candidates:
     """A block's windows that can repeat, and its distinct suffixes in group order."""
 
-    def __init__(self, t: pa.Table, held: np.ndarray):
+    def __init__(self, t: pa.Table, held: np.ndarray, n_buckets: int):
         parts = list(_slices(t))
         every = [s.anchor for s, *_ in parts]
         uniq, count = np.unique(np.concatenate(every), return_counts=True) if every else (np.zeros(0, np.uint64), np.zeros(0, int))
@@ -98,13 +106,14 @@ class Candidates:
             heavy.append(held[k[can]] >= HEAVY if len(k) else can)
         pre, win = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (pre, win))
         group = np.where(np.concatenate(heavy) if heavy else np.zeros(0, bool), mix64(win), pre)
-        order = np.lexsort((win, pre, group))
+        bucket, code = bl.bucket_of(group, n_buckets), path(pre, win)
+        order = np.lexsort((code, bucket))
         new = np.ones(len(order), bool)
-        new[1:] = (win[order][1:] != win[order][:-1]) | (pre[order][1:] != pre[order][:-1])
+        new[1:] = (code[order][1:] != code[order][:-1]) | (bucket[order][1:] != bucket[order][:-1])
         self.of = np.empty(len(order), np.int64)  # of each window: which distinct suffix
         self.of[order] = np.cumsum(new) - 1
         first = order[new]
-        self.group, self.prefix, self.window = group[first], pre[first], win[first]
+        self.bucket, self.code = bucket[first], code[first]
         self.twice = np.bincount(self.of, minlength=len(first)) > 1  # twice in this block
 
 
@@ -118,26 +127,22 @@ def _ask_suffixes(n_buckets: int):
             return bl.asked([])
         block = key[0].as_py()
         held = _held(answers)
-        c = Candidates(bl.ordered(t), held)
-        rows = [
-            (b, block, np.stack([c.prefix[i:j], c.window[i:j]]).tobytes())
-            for b, i, j in bl.cuts(bl.bucket_of(c.group, n_buckets))
-        ]
+        c = Candidates(bl.ordered(t), held, n_buckets)
+        rows = [(b, block, c.code[i:j].tobytes()) for b, i, j in bl.cuts(c.bucket)]
         # what the block was told stays with it: a group of its own hands it back
         return bl.asked([*rows, (-1 - block, block, held.tobytes())])
 
     return ask
 
 
-def subtree(prefix: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+def subtree(code: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
     """The suffix tree of a group: the sorted order of its suffixes, and the internal
     nodes (first, end, depth in words) of the order, from common prefixes."""
-    order = np.lexsort((window, prefix))
-    p, w = prefix[order], window[order]
-    same_p = np.concatenate([[False], p[1:] == p[:-1], [False]])
-    same_w = same_p & np.concatenate([[False], w[1:] == w[:-1], [False]])
+    order = np.argsort(code, kind="stable")
+    sorted_ = code[order]
     nodes: list[tuple[int, int, int]] = []
-    for same, depth in ((same_p, PREFIX), (same_w, WINDOW)):
+    for edge, depth in ((sorted_ >> np.uint64(LAST_BITS), PREFIX), (sorted_, WINDOW)):
+        same = np.concatenate([[False], edge[1:] == edge[:-1], [False]])
         rise = np.flatnonzero(same[1:] & ~same[:-1])
         fall = np.flatnonzero(~same[1:] & same[:-1]) + 1
         nodes += [(a, b, depth) for a, b in zip(rise.tolist(), fall.tolist())]
@@ -149,9 +154,9 @@ def _grow(key: tuple, t: pa.Table) -> pa.Table:
     block, blob = t["block"].to_pylist(), t["blob"].to_pylist()
     if bucket < 0:
         return bl.answered([(block[0], -1, blob[0])])
-    sets = [np.frombuffer(x, np.uint64).reshape(2, -1) for x in blob]
-    at = np.cumsum([0, *(s.shape[1] for s in sets)])
-    order, nodes = subtree(np.concatenate([s[0] for s in sets]), np.concatenate([s[1] for s in sets]))
+    sets = [np.frombuffer(x, np.uint64) for x in blob]
+    at = np.cumsum([0, *map(len, sets)])
+    order, nodes = subtree(np.concatenate(sets))
     repeat = np.zeros(len(order), np.uint8)
     for a, b, depth in nodes:
         if depth >= WINDOW:
@@ -159,11 +164,18 @@ def _grow(key: tuple, t: pa.Table) -> pa.Table:
     return bl.answered([(block[i], bucket, repeat[at[i] : at[i + 1]].tobytes()) for i in range(len(sets))])
 
 
-def _remove(key: tuple, t: pa.Table, answers: pa.Table) -> pa.Table:
+def _remove(n_buckets: int):
+    def remove(key: tuple, t: pa.Table, answers: pa.Table) -> pa.Table:
+        return _left(t, answers, n_buckets)
+
+    return remove
+
+
+def _left(t: pa.Table, answers: pa.Table, n_buckets: int) -> pa.Table:
     out: dict[str, list] = {"doc_id": [], "n_words": [], "n_removed": [], "kept_sha256": []}
     if t.num_rows:
         held, *told = bl.in_order(answers)
-        c = Candidates(bl.ordered(t), np.frombuffer(held, np.uint8))
+        c = Candidates(bl.ordered(t), np.frombuffer(held, np.uint8), n_buckets)
         repeat = (np.frombuffer(b"".join(told), np.uint8) > 0) | c.twice
         at = 0
         for (s, part, data, off), where in zip(c.parts, c.where):
@@ -191,4 +203,4 @@ def removed(docs: DataFrame, block_bytes: int = bl.BLOCK_BYTES) -> DataFrame:
     anchors = by_block.applyInArrow(_ask_anchors(n), bl.ASKED).groupBy("bucket").applyInArrow(bl.held_elsewhere, bl.ANSWERED)
     suffixes = by_block.cogroup(anchors.groupBy("block")).applyInArrow(_ask_suffixes(n), bl.ASKED)
     told = suffixes.groupBy("bucket").applyInArrow(_grow, bl.ANSWERED)
-    return by_block.cogroup(told.groupBy("block")).applyInArrow(_remove, SCHEMA)
+    return by_block.cogroup(told.groupBy("block")).applyInArrow(_remove(n), SCHEMA)
