@@ -13,6 +13,9 @@ doc_id, or earlier in the same text).
    suffixes of at least WINDOW bytes (the dictionary's suffix array, compared by 128
    bits of hash) puts equal windows side by side, and the parse's places order them by
    corpus position.  All but the first of each are told to the blocks.
+   A trigger in HEAVY or more blocks (a line that many documents share, each with other
+   neighbours) could fill one bucket with its phrases; their windows go to buckets by
+   their own hash instead, one code each.
 3. Removal.  Each block covers those windows, and all windows of phrases it holds a
    second time, and hashes the bytes left.
 
@@ -35,7 +38,9 @@ from agora.llm.common import as_bytes, mix64, rolled_all, sliding_argmin, slices
 
 WINDOW = 100
 TRIGGER = 40
+HEAVY = 64
 SLICE = 1 << 18
+SMALLEST = -(1 << 63)
 SECOND_BASE = 0x9E6C63D0876A9A47
 
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -93,16 +98,38 @@ class Parse:
         """Keep the phrases whose trigger occurs twice; find the distinct ones, by
         trigger, and the first place of each."""
         keep = ((held > 1) | (self.count > 1))[self.of_trigger] if len(self.of_trigger) else np.zeros(0, bool)
-        self.trigger, self.first, self.windows, self.h1, self.h2 = (
-            x[keep] for x in (self.trigger, self.first, self.windows, self.h1, self.h2)
+        heavy = (held >= HEAVY)[self.of_trigger] if len(self.of_trigger) else keep
+        self.trigger, self.first, self.windows, self.h1, self.h2, heavy = (
+            x[keep] for x in (self.trigger, self.first, self.windows, self.h1, self.h2, heavy)
         )
         order = np.lexsort((self.first, self.h2, self.h1, self.trigger))
         new = np.ones(len(order), bool)
         for k, h in enumerate((self.trigger, self.h1, self.h2)):
             differ = h[order][1:] != h[order][:-1]
             new[1:] = differ if k == 0 else new[1:] | differ
-        self.distinct = order[new]
+        alone = order[new]
         self.later = order[~new]
+        self.distinct, self.heavy = alone[~heavy[alone]], alone[heavy[alone]]
+
+    def raw(self, k: np.ndarray) -> np.ndarray:
+        """Bytes of the phrases k, one after the other."""
+        return self.data[_ranges(self.first[k], self.windows[k] + WINDOW - 1)]
+
+    def heavy_windows(self, n_buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Bucket, code and first place of the distinct windows of heavy phrases, sorted by
+        bucket and code; places of the others."""
+        h1, h2, _ = suffix_order(self.raw(self.heavy), self.windows[self.heavy])
+        at = _ranges(self.first[self.heavy], self.windows[self.heavy])
+        bucket = bl.bucket_of(mix64(h1), n_buckets) + n_buckets
+        order = np.lexsort((at, h2, bucket))
+        new = np.ones(len(order), bool)
+        new[1:] = (h2[order][1:] != h2[order][:-1]) | (bucket[order][1:] != bucket[order][:-1])
+        k = order[new]
+        return bucket[k], h2[k], at[k], at[order[~new]]
+
+    def doc_ids(self, at: np.ndarray) -> np.ndarray:
+        ids = np.array([SMALLEST if x is None else x for x in self.t["doc_id"].to_pylist()], np.int64)
+        return ids[np.searchsorted(self.off, at, side="right") - 1]
 
 
 def _held(answers: pa.Table) -> np.ndarray:
@@ -146,14 +173,15 @@ def _ask_phrases(n_buckets: int):
         block, held = key[0].as_py(), _held(answers)
         p = Parse(bl.ordered(t))
         p.repeated(held)
-        ids = np.array([-(1 << 63) if x is None else x for x in p.t["doc_id"].to_pylist()], np.int64)
         d = p.distinct
-        doc = ids[np.searchsorted(p.off, p.first[d], side="right") - 1]
+        doc = p.doc_ids(p.first[d])
         rows = []
         for b, i, j in bl.cuts(bl.bucket_of(p.trigger[d], n_buckets)):
             k = d[i:j]
-            raw = p.data[_ranges(p.first[k], p.windows[k] + WINDOW - 1)]
-            rows.append((b, block, _pack(doc[i:j], p.first[k], p.windows[k], raw)))
+            rows.append((b, block, _pack(doc[i:j], p.first[k], p.windows[k], p.raw(k))))
+        bucket, code, at, _ = p.heavy_windows(n_buckets)
+        doc = p.doc_ids(at)
+        rows += [(b, block, code[i:j].tobytes() + doc[i:j].tobytes()) for b, i, j in bl.cuts(bucket)]
         return bl.asked([*rows, (-1 - block, block, held.tobytes())])
 
     return ask
@@ -168,22 +196,44 @@ def suffix_order(raw: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.n
     return h1[at], h2[at], np.repeat(np.arange(len(windows)), windows)
 
 
-def _later(key: tuple, t: pa.Table) -> pa.Table:
+def _earliest(n_buckets: int):
+    def answer(key: tuple, t: pa.Table) -> pa.Table:
+        bucket = key[0].as_py()
+        block, blob = t["block"].to_pylist(), t["blob"].to_pylist()
+        if bucket < 0:
+            return bl.answered([(block[0], -1, blob[0])])
+        told = _later_windows(blob) if bucket < n_buckets else _later_codes(blob)
+        return bl.answered([(b, bucket, x) for b, x in zip(block, told)])
+
+    return answer
+
+
+def _later_windows(blob: list[bytes]) -> list[bytes]:
     """The bucket's dictionary: for each window of each phrase, whether the corpus has
     it earlier than at the phrase's place."""
-    bucket = key[0].as_py()
-    block, blob = t["block"].to_pylist(), t["blob"].to_pylist()
-    if bucket < 0:
-        return bl.answered([(block[0], -1, blob[0])])
-    parts = [_unpack(x) for x in blob]
-    doc, first, windows, raw = (np.concatenate(c) for c in zip(*parts))
-    h1, h2, phrase = suffix_order(raw, windows)
-    place = first[phrase] + _ranges(np.zeros(len(windows), np.int64), windows)
-    order = np.lexsort((place, doc[phrase], h2, h1))
+    cols = []
+    for x in blob:
+        doc, first, windows, raw = _unpack(x)
+        h1, h2, phrase = suffix_order(raw, windows)
+        cols.append((h1, h2, doc[phrase], first[phrase] + _ranges(np.zeros(len(windows), np.int64), windows)))
+    size = np.cumsum([0, *(len(c[0]) for c in cols)])
+    h1, h2, doc, place = (np.concatenate(c) for c in zip(*cols))
+    del cols
+    order = np.lexsort((place, doc, h2, h1))
     later = np.zeros(len(order), np.uint8)
     later[order[1:]] = (h1[order[1:]] == h1[order[:-1]]) & (h2[order[1:]] == h2[order[:-1]])
-    size = np.cumsum([0, *(int(p[2].sum()) for p in parts)])
-    return bl.answered([(block[i], bucket, np.packbits(later[size[i] : size[i + 1]]).tobytes()) for i in range(len(parts))])
+    return [np.packbits(later[size[i] : size[i + 1]]).tobytes() for i in range(len(blob))]
+
+
+def _later_codes(blob: list[bytes]) -> list[bytes]:
+    """The same for windows that came one by one."""
+    parts = [(np.frombuffer(x[: len(x) // 2], np.uint64), np.frombuffer(x[len(x) // 2 :], np.int64)) for x in blob]
+    size = np.cumsum([0, *(len(p[0]) for p in parts)])
+    code, doc = (np.concatenate(c) for c in zip(*parts))
+    order = np.lexsort((doc, code))
+    later = np.zeros(len(order), np.uint8)
+    later[order[1:]] = code[order[1:]] == code[order[:-1]]
+    return [np.packbits(later[size[i] : size[i + 1]]).tobytes() for i in range(len(parts))]
 
 
 def _remove(n_buckets: int):
@@ -195,11 +245,13 @@ def _remove(n_buckets: int):
             p.repeated(np.frombuffer(held, np.uint8))
             d = p.distinct
             cuts = bl.cuts(bl.bucket_of(p.trigger[d], n_buckets))
-            hit = np.zeros(len(p.data) + WINDOW, np.int32)
-            for (_, i, j), bits in zip(cuts, told):
-                w = p.windows[d[i:j]]
-                flag = np.unpackbits(np.frombuffer(bits, np.uint8), count=int(w.sum())) > 0
-                hit[_ranges(p.first[d[i:j]], w)[flag]] = 1
+            bucket, _, at, again = p.heavy_windows(n_buckets)
+            places = [_ranges(p.first[d[i:j]], p.windows[d[i:j]]) for _, i, j in cuts]
+            places += [at[i:j] for _, i, j in bl.cuts(bucket)]
+            hit = np.zeros(len(p.data) + WINDOW, np.int8)
+            for where, bits in zip(places, told, strict=True):
+                hit[where[np.unpackbits(np.frombuffer(bits, np.uint8), count=len(where)) > 0]] = 1
+            hit[again] = 1
             hit[_ranges(p.first[p.later], p.windows[p.later])] = 1
             total = np.concatenate([np.zeros(WINDOW, np.int32), np.cumsum(hit, dtype=np.int32)])
             n = len(p.data)
@@ -224,5 +276,5 @@ def removed(docs: DataFrame, block_bytes: int = bl.BLOCK_BYTES) -> DataFrame:
     by_block = d.groupBy("block")
     triggers = by_block.applyInArrow(_ask_triggers(n), bl.ASKED).groupBy("bucket").applyInArrow(bl.held_elsewhere, bl.ANSWERED)
     phrases = by_block.cogroup(triggers.groupBy("block")).applyInArrow(_ask_phrases(n), bl.ASKED)
-    told = phrases.groupBy("bucket").applyInArrow(_later, bl.ANSWERED)
+    told = phrases.groupBy("bucket").applyInArrow(_earliest(n), bl.ANSWERED)
     return by_block.cogroup(told.groupBy("block")).applyInArrow(_remove(n), SCHEMA)
