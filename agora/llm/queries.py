@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agora.llm import byte_dedup, fingerprints, mixing, passages, pii, quality, toxicity
+from agora.llm import byte_dedup, fingerprints, mixing, near_dups, passages, pii, quality, toxicity
 from agora.llm.common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,9 @@ def op8_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document."""
     return toxicity.scored(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+@register
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return near_dups.near_duplicates(documents(spark, sf_dir))
