@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agora.llm import byte_dedup, fingerprints, mixing, near_dups, passages, pii, quality, toxicity
+from agora.llm import byte_dedup, fingerprints, mixing, near_dups, passages, pieces, pii, quality, toxicity
 from agora.llm.common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,9 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return near_dups.near_duplicates(documents(spark, sf_dir))
+
+
+@register
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as piece ids with merge-dropout, decoded again and compared."""
+    return pieces.round_trip(documents(spark, sf_dir))
