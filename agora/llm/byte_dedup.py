@@ -10,8 +10,8 @@ doc_id, or earlier in the same text).
    blocks each trigger occurs: phrases of single triggers cannot repeat.
 2. Dictionary.  A block sends each distinct phrase left once, with its first place
    (the parse).  The bucket of a trigger holds its dictionary; sorting the phrases'
-   suffixes of at least WINDOW bytes (the dictionary's suffix array, compared by 128
-   bits of hash) puts equal windows side by side, and the parse's places order them by
+   suffixes of at least WINDOW bytes (the dictionary's suffix array, compared by 64
+   bits of hash beside those that chose the bucket) puts equal windows side by side, and the parse's places order them by
    corpus position.  All but the first of each are told to the blocks.
    A trigger in HEAVY or more blocks (a line that many documents share, each with other
    neighbours) could fill one bucket with its phrases; their windows go to buckets by
@@ -39,6 +39,7 @@ from agora.llm.common import as_bytes, mix64, rolled_all, sliding_argmin, slices
 WINDOW = 100
 TRIGGER = 40
 HEAVY = 64
+PIECE = 1 << 20  # windows that a bucket sorts at once
 SLICE = 1 << 18
 SMALLEST = -(1 << 63)
 SECOND_BASE = 0x9E6C63D0876A9A47
@@ -118,7 +119,10 @@ class Parse:
     def heavy_windows(self, n_buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Bucket, code and first place of the distinct windows of heavy phrases, sorted by
         bucket and code; places of the others."""
-        h1, h2, _ = suffix_order(self.raw(self.heavy), self.windows[self.heavy])
+        parts = [self.heavy[i : i + 2000] for i in range(0, len(self.heavy), 2000)]
+        both = [suffix_order(self.raw(k), self.windows[k])[:2] for k in parts]
+        none = np.zeros(0, np.uint64)
+        h1, h2 = (np.concatenate(c) for c in zip(*both)) if both else (none, none)
         at = _ranges(self.first[self.heavy], self.windows[self.heavy])
         bucket = bl.bucket_of(mix64(h1), n_buckets) + n_buckets
         order = np.lexsort((at, h2, bucket))
@@ -189,6 +193,9 @@ def _ask_phrases(n_buckets: int):
 
 def suffix_order(raw: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Two hashes of each window of a dictionary's phrases, and its phrase."""
+    if not len(windows):
+        none = np.zeros(0, np.uint64)
+        return none, none, none.astype(np.int64)
     vals = _byte_values()[raw]
     (h1,), (h2,) = rolled_all(vals, (WINDOW,)), rolled_all(vals, (WINDOW,), SECOND_BASE)
     lens = windows + WINDOW - 1
@@ -211,17 +218,31 @@ def _earliest(n_buckets: int):
 def _later_windows(blob: list[bytes]) -> list[bytes]:
     """The bucket's dictionary: for each window of each phrase, whether the corpus has
     it earlier than at the phrase's place."""
-    cols = []
+    codes, orders, docs = [], [], []
     for x in blob:
         doc, first, windows, raw = _unpack(x)
         h1, h2, phrase = suffix_order(raw, windows)
-        cols.append((h1, h2, doc[phrase], first[phrase] + _ranges(np.zeros(len(windows), np.int64), windows)))
-    size = np.cumsum([0, *(len(c[0]) for c in cols)])
-    h1, h2, doc, place = (np.concatenate(c) for c in zip(*cols))
-    del cols
-    order = np.lexsort((place, doc, h2, h1))
-    later = np.zeros(len(order), np.uint8)
-    later[order[1:]] = (h1[order[1:]] == h1[order[:-1]]) & (h2[order[1:]] == h2[order[:-1]])
+        codes.append(mix64(h1) ^ h2)
+        docs.append(doc)
+        # the document's rank takes the upper half below, the place in its block the lower
+        place = first[phrase] + _ranges(np.zeros(len(windows), np.int64), windows)
+        orders.append((place.astype(np.uint32), phrase.astype(np.uint32)))
+    rank = np.unique(np.concatenate(docs), return_inverse=True)[1].astype(np.uint64) << np.uint64(32)
+    size = np.cumsum([0, *map(len, codes)])
+    n_phrases = np.cumsum([0, *map(len, docs)])
+    code, order = np.empty(size[-1], np.uint64), np.empty(size[-1], np.uint64)
+    for i in range(len(blob)):
+        place, phrase = orders[i]
+        code[size[i] : size[i + 1]] = codes[i]
+        order[size[i] : size[i + 1]] = rank[n_phrases[i] + phrase.astype(np.int64)] | place
+        codes[i] = orders[i] = None
+    later = np.zeros(len(code), bool)
+    pieces = max(1, len(code) // PIECE)
+    of = bl.bucket_of(code, pieces).astype(np.uint16) if pieces < 1 << 16 else bl.bucket_of(code, pieces)
+    for k in range(pieces):  # a range of codes at a time
+        at = np.flatnonzero(of == k)
+        at = at[np.lexsort((order[at], code[at]))]
+        later[at[1:]] = code[at[1:]] == code[at[:-1]]
     return [np.packbits(later[size[i] : size[i + 1]]).tobytes() for i in range(len(blob))]
 
 
