@@ -13,11 +13,12 @@
    estimates their similarity, and pairs more than MARGIN under the threshold go.
 4. Verify.  The pairs left are compared on their full shingle sets, and links are
    contracted to components.
-5. The rest.  A list whose documents are still in several components is compared all
-   against all by sketches, in chunks of CHUNK documents, between components only;
-   what passes is verified as before, and the links are contracted again.  So
-   no link between different texts is lost, and a list whose copies all match its
-   smallest id costs one pair a copy.
+5. The rest.  A list whose documents are still in several components is compared by
+   sketches, in chunks of CHUNK documents, between components only.  First each list
+   reports a forest of its likeliest pairs; they are verified and contracted.  Then
+   all pairs still between components that the sketches do not rule out are verified,
+   each reported by one list.  So no link between different texts is lost, and copies
+   that hang together cost about a pair each.
 
 Null or empty text and texts without words have no set and are linked with nothing.
 Texts under five words have one shingle.  Rows with one doc_id count as one document
@@ -42,7 +43,7 @@ K = 128
 KEYED = 32
 SMALL = 32
 MARGIN = 0.17  # over four standard deviations of a K-value estimate at the threshold
-CHUNK = 512
+CHUNK = 2048
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
@@ -198,26 +199,83 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
     return root.unionByName(roots.select("doc_id", F.col("doc_id").alias("root")))
 
 
-def _compare(key: tuple, t: pa.Table) -> pa.Table:
-    """Pairs of two chunks of a list (or within one) that sketches do not rule out,
-    between different components."""
-    t = t.combine_chunks()
-    ids, root, side = (np.array(t[c].to_pylist(), np.int64) for c in ("doc_id", "root", "side"))
-    n = t["n_shingles"].to_pylist()
-    sk = [np.frombuffer(x, np.uint64) for x in t["sketch"].to_pylist()]
-    same = key[1].as_py() == key[2].as_py()
-    left = range(len(ids)) if same else np.flatnonzero(side == 0)
-    out = []
-    for i in left:
-        right = np.arange(i + 1, len(ids)) if same else np.flatnonzero(side == 1)
-        for j in right[root[right] != root[i]]:
-            if _sized(n[i], n[j]) and _pass(n[i], n[j], _estimate(sk[i], n[i], sk[j], n[j])):
-                out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
-    return pa.table({"a": pa.array([x[0] for x in out], pa.int64()), "b": pa.array([x[1] for x in out], pa.int64())})
+def _shared(sk: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many retained values each of ``left`` shares with each of ``right``."""
+    of = np.repeat(np.arange(len(sk)), [len(x) for x in sk])
+    _, val, n = np.unique(np.concatenate(sk), return_inverse=True, return_counts=True)
+    place = np.cumsum(n > 1) - 1  # values of one document only match nothing
+    of, val = of[n[val] > 1], place[val[n[val] > 1]]
+    out = np.zeros((len(left), len(right)), np.float32)
+    order = np.argsort(val, kind="stable")
+    of, val = of[order], val[order]
+    for k in range(0, int(val[-1]) + 1 if len(val) else 0, 1024):
+        i, j = np.searchsorted(val, [k, k + 1024])
+        has = np.zeros((len(sk), 1024), np.float32)
+        has[of[i:j], val[i:j] - k] = 1
+        out += has[left] @ has[right].T
+    return out
 
 
-def rest_pairs(lists: DataFrame, root: DataFrame, reps: DataFrame) -> DataFrame:
-    """Likely pairs between components within lists that hold several."""
+def _compare(forest: bool):
+    """Pairs of two chunks of a list (or within one) that sketches do not rule out,
+    between different components: as a forest of the likeliest, or every pair, which
+    the list of its smallest shared key reports."""
+
+    def compare(key: tuple, t: pa.Table) -> pa.Table:
+        t = t.combine_chunks().sort_by("doc_id")
+        ids, root, side = (np.array(t[c].to_pylist(), np.int64) for c in ("doc_id", "root", "side"))
+        n = np.array(t["n_shingles"].to_pylist(), np.int64)
+        sk = [np.frombuffer(x, np.uint64) for x in t["sketch"].to_pylist()]
+        this, p, q = (x.as_py() for x in key)
+        left, right = (np.arange(len(ids)),) * 2 if p == q else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+        both = _shared(sk, left, right)
+        kept = np.minimum(n, K)
+        # an upper bound of the estimate, so that no pair is lost here
+        most = both / np.minimum(K, np.maximum(kept[left][:, None] + kept[right] - both, 1))
+        can = (root[left][:, None] != root[right]) & (most >= PERCENT / 100 - MARGIN)
+        can &= 100 * np.minimum(n[left][:, None], n[right]) >= PERCENT * np.maximum(n[left][:, None], n[right])
+        x, y = np.nonzero(can)
+        x, y = left[x], right[y]
+        if p == q:
+            x, y = x[x < y], y[x < y]
+        found = []
+        keys_of: dict[int, np.ndarray] = {}
+        for i, j in zip(x.tolist(), y.tolist()):
+            est = _estimate(sk[i], n[i], sk[j], n[j])
+            if not _pass(n[i], n[j], est):
+                continue
+            if not forest:
+                for k in (i, j):
+                    if k not in keys_of:
+                        keys_of[k] = keys(sk[k], int(n[k])).view(np.int64)
+                if np.intersect1d(keys_of[i], keys_of[j], assume_unique=True)[0] != this:
+                    continue
+            found.append((est, i, j))
+        if forest:
+            found.sort(key=lambda f: (-f[0], f[1], f[2]))
+            up: dict[int, int] = {}
+
+            def top(r: int) -> int:
+                while up.get(r, r) != r:
+                    r = up[r]
+                return r
+
+            tree = []
+            for est, i, j in found:
+                a, b = top(int(root[i])), top(int(root[j]))
+                if a != b:
+                    up[max(a, b)] = min(a, b)
+                    tree.append((est, i, j))
+            found = tree
+        a, b = (np.array([f[k] for f in found], np.int64) for k in (1, 2))
+        return pa.table({"a": np.minimum(ids[a], ids[b]), "b": np.maximum(ids[a], ids[b])})
+
+    return compare
+
+
+def rest_pairs(lists: DataFrame, root: DataFrame, reps: DataFrame, forest: bool) -> DataFrame:
+    """Likely pairs between components within lists that hold several: a forest of
+    each list, or all of them."""
     member = lists.join(root, "doc_id", "left").select("key", "doc_id", F.coalesce("root", "doc_id").alias("root"))
     # lists with the same members give the same pairs: one of them is enough
     state = member.groupBy("key").agg(
@@ -236,7 +294,7 @@ def rest_pairs(lists: DataFrame, root: DataFrame, reps: DataFrame) -> DataFrame:
         "key", F.least("c", "o").alias("p"), F.greatest("c", "o").alias("q"), "doc_id", "root", (F.col("c") > F.col("o")).cast("int").alias("side")
     )
     dealt = dealt.join(reps.select("doc_id", "n_shingles", "sketch"), "doc_id")
-    return dealt.groupBy("key", "p", "q").applyInArrow(_compare, "a long, b long").distinct()
+    return dealt.groupBy("key", "p", "q").applyInArrow(_compare(forest), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -257,8 +315,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sets = stored(d.join(listed, "doc_id", "left_semi").mapInArrow(_whole, "doc_id long, whole binary").filter("octet_length(whole) > 0"), "near-sets")
     linked = stored(links(first, sets), "near-links")
     root = stored(components(linked, "near-roots"), "near-root")
-    more = stored(links(rest_pairs(lists.select("key", "doc_id"), root, reps), sets), "near-more")
-    every = linked.unionByName(more)
+    member = lists.select("key", "doc_id")
+    linked = stored(linked.unionByName(links(rest_pairs(member, root, reps, forest=True), sets)), "near-forest")
+    root = stored(components(linked, "near-roots"), "near-root")
+    every = linked.unionByName(stored(links(rest_pairs(member, root, reps, forest=False), sets), "near-more"))
     # all rows of a document and of a class are linked
     same = rows.filter("n_shingles > 0").join(classes, "class").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).filter("a <> b")
     root = components(every.unionByName(same), "near-final")
