@@ -280,10 +280,13 @@ def decoded(rows: DataFrame, tables: Tables) -> DataFrame:
     return rows.mapInArrow(_decode(tables, rows.columns), schema)
 
 
-def round_trip(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
-    """(doc_id, ids, n_ids, lossless): encoded with dropout, decoded again and compared."""
-    tables = load(model)
-    back = decoded(encoded(docs.select("doc_id", "text"), tables, dropout, seed), tables)
+def round_trip(
+    docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED, keep: list[str] | None = None
+) -> DataFrame:
+    """(doc_id, kept columns, ids, n_ids, lossless): encoded with dropout, decoded again and compared."""
+    tables, keep = load(model), keep or []
+    back = decoded(encoded(docs.select("doc_id", "text", *keep), tables, dropout, seed), tables)
     return back.select(
-        "doc_id", "ids", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_ids"), F.col("text").eqNullSafe(F.col("decoded")).alias("lossless")
+        "doc_id", *keep, "ids", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_ids"),
+        F.col("text").eqNullSafe(F.col("decoded")).alias("lossless"),
     )

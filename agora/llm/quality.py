@@ -153,5 +153,7 @@ def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, columns unchanged."""
     text = docs.select("*", F.col("text").alias("__text"))
     names = docs.columns
-    d = judged(text, labels).filter("kept")
+    # beside a random column the filter is not pushed into the rules, which would
+    # evaluate them once more for every use
+    d = judged(text, labels).withColumn("__r", F.rand(0)).filter("kept AND __r >= 0")
     return d.select(*[F.col("__text").alias("text") if c == "text" else c for c in names])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agora.llm import byte_dedup, fingerprints, mixing, near_dups, passages, pieces, pii, quality, toxicity
+from agora.llm import byte_dedup, fingerprints, lm_score, mixing, near_dups, passages, pieces, pii, quality, toxicity
 from agora.llm.common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,9 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as piece ids with merge-dropout, decoded again and compared."""
     return pieces.round_trip(documents(spark, sf_dir))
+
+
+@register
+def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram base score and attention-model score of every document."""
+    return lm_score.scored(documents(spark, sf_dir))
