@@ -39,7 +39,8 @@ from agora.llm.common import as_bytes, mix64, rolled_all, sliding_argmin, slices
 WINDOW = 100
 TRIGGER = 40
 HEAVY = 64
-PIECE = 1 << 20  # windows that a bucket sorts at once
+BLOCK_BYTES = 2 << 20  # bytes are many more units than words
+PIECE = 1 << 19  # windows that a bucket sorts at once
 SLICE = 1 << 18
 SMALLEST = -(1 << 63)
 SECOND_BASE = 0x9E6C63D0876A9A47
@@ -291,7 +292,7 @@ def _remove(n_buckets: int):
     return remove
 
 
-def removed(docs: DataFrame, block_bytes: int = bl.BLOCK_BYTES) -> DataFrame:
+def removed(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
     d, n = bl.blocks(docs, block_bytes)
     by_block = d.groupBy("block")
