@@ -8,7 +8,7 @@ and words), so both totals stay where they were while one probability after
 the other reaches 0 or 1.
 
 The flight runs on chunks of a source (a hot source is many chunks).  A chunk
-holds its LANDING largest units back and leaves at most two others open; these
+holds LANDING units back, half of them its largest, and leaves at most two others open; these
 meet in wider chunks of the same source, level by level, until LANDING + 2 are
 left, for which the landing tries every choice.
 
@@ -32,7 +32,7 @@ from agora.llm.common import WORD, stored
 WEIGHTS = (1, 2, 3)  # by rank of the source, repeating
 MOST = 3  # copies of a document at most
 CHUNK = 20_000  # units whose flight one task runs at once
-LANDING = 12  # largest units of a chunk, kept for the landing
+LANDING = 12  # units of a chunk kept for the landing, half of them its largest
 LEVELS = 4  # enough for CHUNK * (CHUNK / 20) ** (LEVELS - 1) units a source
 EPS = 1e-9
 
@@ -121,15 +121,23 @@ def landing(size: list[int], p: list[float], open_: list[int]) -> list[float]:
     return p
 
 
+def held_back(open_: list[int]) -> list[int]:
+    """Of the units by falling size: the largest ones, and some at even steps below."""
+    top, rest = open_[: LANDING // 2], open_[LANDING // 2 :]
+    n = LANDING - len(top)
+    return top + [rest[(k + 1) * len(rest) // n - 1] for k in range(n)] if len(rest) > n else open_[:LANDING]
+
+
 def _level(units: DataFrame, level: int, seed: int, last: bool) -> DataFrame:
     def move(key: tuple, t: pa.Table) -> pa.Table:
         source, chunk = (x.as_py() for x in key)
-        # the largest units wait for the landing, where they can balance each other
+        # large and some smaller units wait for the landing, where they balance each other
         t = t.sort_by([("size", "descending"), ("doc_id", "ascending")])
         size, p = t["size"].to_pylist(), t["p"].to_pylist()
         p = [x if EPS < x < 1 - EPS else float(round(x)) for x in p]
         open_ = [k for k, x in enumerate(p) if 0 < x < 1]
-        p = flight(size, p, _uniform(seed, level, source, chunk), open_[LANDING:])
+        held = set(held_back(open_))
+        p = flight(size, p, _uniform(seed, level, source, chunk), [k for k in open_ if k not in held])
         if last:
             p = landing(size, p, [k for k in open_ if 0 < p[k] < 1])
         return t.set_column(t.column_names.index("p"), "p", pa.array(p, pa.float64()))

@@ -9,7 +9,7 @@
    voters look at the writing itself (shouting, symbols, no toxic-leaning entry), and
    the annotators' label of a training row is one more.
 3. Label model.  Expectation maximisation fits P(voter fires | label) for every voter.
-   The voters' correlations given the label are estimated from its posteriors, and
+   The voters' correlations given the label are estimated from its first step, and
    a voter's vote is shared with those it repeats, so that many copies of one signal
    do not count as many.
 4. Classifier.  Logistic regression over the features is trained on the posterior
@@ -185,21 +185,27 @@ def votes(x: list[np.ndarray], writing: np.ndarray, sets: list[np.ndarray]) -> n
     return out
 
 
-def label_model(v: np.ndarray, start: np.ndarray, turns: int = 20) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def label_model(v: np.ndarray, start: np.ndarray, turns: int = 20, annotators: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Posterior P(toxic) of each row; P(fires | clean, toxic) of each voter; the voters'
-    correlations given the label.  ``start``: labels of the first step."""
+    correlations given the label.  ``start``: labels of the first step; the last
+    ``annotators`` voters saw more than the features and share their vote with none."""
     q = np.clip(start.astype(float), 0.02, 0.98)
-    share = np.ones(v.shape[1])
-    fires = corr = None
+
+    def rates() -> np.ndarray:
+        return np.stack([((1 - q) @ v + 0.5) / ((1 - q).sum() + 1), (q @ v + 0.5) / (q.sum() + 1)])
+
+    # what is left of the votes when the label explains them; taken once, from the first
+    # labels: unsure posteriors would read the label itself as correlation
+    fires = rates()
+    left = v - (np.outer(1 - q, fires[0]) + np.outer(q, fires[1]))
+    cov = left.T @ left / len(v)
+    sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
+    corr = cov / np.outer(sd, sd)
+    share = 1 / np.maximum(np.abs(np.where(np.abs(corr) > 0.1, corr, 0)).sum(0), 1)
+    share[len(share) - annotators :] = 1
     for _ in range(turns):
         prior = np.clip(q.mean(), 1e-3, 1 - 1e-3)
-        fires = np.stack([((1 - q) @ v + 0.5) / ((1 - q).sum() + 1), (q @ v + 0.5) / (q.sum() + 1)])
-        # what is left of the votes when the label explains them
-        left = v - (np.outer(1 - q, fires[0]) + np.outer(q, fires[1]))
-        cov = left.T @ left / len(v)
-        sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
-        corr = cov / np.outer(sd, sd)
-        share = 1 / np.maximum(np.abs(np.where(np.abs(corr) > 0.1, corr, 0)).sum(0), 1)
+        fires = rates()
         ratio = v @ (share * (np.log(fires[1]) - np.log(fires[0]))) + (1 - v) @ (share * (np.log1p(-fires[1]) - np.log1p(-fires[0])))
         q = 1 / (1 + np.exp(-np.clip(ratio + np.log(prior / (1 - prior)), -30, 30)))
     return q, fires, corr
@@ -234,7 +240,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, flo
     x = [np.array(k, int) for k in got["x"].to_pylist()]
     sets = voters(odds, kept)
     v = np.column_stack([votes(x, np.array(got["w"].to_pylist(), float), sets), toxic])
-    q, _, _ = label_model(v, toxic)
+    q, _, _ = label_model(v, toxic, annotators=1)
     w, b = train_linear(x, q)
     return kept, w[: len(kept)], b
 
