@@ -27,6 +27,7 @@ the smallest; rows with one doc_id order by text.  Other columns are ignored.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 
 import numpy as np
@@ -48,6 +49,15 @@ SECOND_BASE = 0x9E6C63D0876A9A47
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
+def _trim() -> None:
+    """Hand freed memory back between groups: workers live on from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc: nothing to trim
+        return
+
+
 def _byte_values() -> np.ndarray:
     return mix64(np.arange(1, 257, dtype=np.uint64))
 
@@ -143,6 +153,7 @@ def _held(answers: pa.Table) -> np.ndarray:
 
 def _ask_triggers(n_buckets: int):
     def ask(key: tuple, t: pa.Table) -> pa.Table:
+        _trim()
         block, uniq = key[0].as_py(), Parse(t).triggers
         return bl.asked([(b, block, uniq[i:j].tobytes()) for b, i, j in bl.cuts(bl.bucket_of(uniq, n_buckets))])
 
@@ -175,6 +186,7 @@ def _ask_phrases(n_buckets: int):
     def ask(key: tuple, t: pa.Table, answers: pa.Table) -> pa.Table:
         if not t.num_rows:
             return bl.asked([])
+        _trim()
         block, held = key[0].as_py(), _held(answers)
         p = Parse(bl.ordered(t))
         p.repeated(held)
@@ -206,6 +218,7 @@ def suffix_order(raw: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.n
 
 def _earliest(n_buckets: int):
     def answer(key: tuple, t: pa.Table) -> pa.Table:
+        _trim()
         bucket = key[0].as_py()
         block, blob = t["block"].to_pylist(), t["blob"].to_pylist()
         if bucket < 0:
@@ -262,6 +275,7 @@ def _remove(n_buckets: int):
     def remove(key: tuple, t: pa.Table, answers: pa.Table) -> pa.Table:
         out: dict[str, list] = {c.split()[0]: [] for c in SCHEMA.split(", ")}
         if t.num_rows:
+            _trim()
             held, *told = bl.in_order(answers)
             p = Parse(bl.ordered(t))
             p.repeated(np.frombuffer(held, np.uint8))

@@ -211,7 +211,7 @@ def label_model(v: np.ndarray, start: np.ndarray, turns: int = 20, annotators: i
     return q, fires, corr
 
 
-def train_linear(x: list[np.ndarray], q: np.ndarray, turns: int = 300, l2: float = 1e-4) -> tuple[np.ndarray, float]:
+def train_linear(x: list[np.ndarray], q: np.ndarray, turns: int = 300, l2: float = 3e-4) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic regression on soft labels (full-batch, Adam)."""
     rows = np.repeat(np.arange(len(x)), [len(k) for k in x])
     cols = np.concatenate([*x, np.zeros(0, int)]).astype(int)
