@@ -45,14 +45,15 @@ def stringify(c: Column | str) -> Column:
 def epoch_text(c: Column | str) -> Column:
     """Python ``str(float)`` of epoch seconds: '1704672000.0' for whole seconds.
 
-    Spark would print large doubles in E-notation; whole values (the usual case
-    for post times) get the Python form, others fall back to Spark's text.
+    Spark prints doubles from 1e7 on in E-notation.  Its digits are the shortest that
+    name the value, as Python's are; between 1e-3 and 1e16 they are written out, beyond
+    that Python uses an exponent as well and Spark's text stays.
     """
     x = _col(c).cast("double")
-    whole = (x == F.floor(x)) & (F.abs(x) < F.lit(1e15))
-    return F.when(whole, F.concat(x.cast("bigint").cast("string"), F.lit(".0"))).otherwise(
-        x.cast("string")
-    )
+    plain = x.cast("string").try_cast("decimal(38,21)").cast("string")
+    plain = F.regexp_replace(F.regexp_replace(plain, "0+$", ""), r"\.$", ".0")
+    written = (x == 0) | ((F.abs(x) >= F.lit(1e-3)) & (F.abs(x) < F.lit(1e16)))
+    return F.when(written, F.coalesce(plain, x.cast("string"))).otherwise(x.cast("string"))
 
 
 def drop_empty_records(df: DataFrame, fields: Sequence[str]) -> DataFrame:

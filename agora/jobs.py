@@ -22,7 +22,6 @@ import sys
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
-from agora.operators.joins import release_lookups
 from agora.plans import ingest, moderation, reports_sql, staging, weekly
 from agora.session import configure
 from agora.sinks.batch import write_partitioned
@@ -52,9 +51,10 @@ def cmd_ingest_posts(a: argparse.Namespace) -> None:
     # The run day first: both outputs then read only that day's listing folders.
     day = raw.where(F.col("snapshot_date") == F.lit(dt.date.fromisoformat(a.run_date)))
     snaps, bad = files.split_corrupt(day)
+    communities = files.read_communities_csv(spark, a.communities)
     posts, rejected = ingest.ingest_posts(
-        snaps, files.read_communities_csv(spark, a.communities), a.run_date, a.top_n, a.per_community,
-        with_rejected=True,
+        snaps, communities, a.run_date, a.top_n, a.per_community,
+        with_rejected=True, names=ingest.top_names(communities, a.top_n),
     )
     seen = Observation("posts")
     write_partitioned(posts.observe(seen, F.count(F.lit(1)).alias("accepted")), a.out, mode=a.mode)
@@ -68,9 +68,10 @@ def cmd_ingest_comments(a: argparse.Namespace) -> None:
     spark = _session("agora-ingest-comments")
     # ``--comments`` names the landed folder of the run; the day window is pushed to the scan.
     snaps, bad = files.split_corrupt(files.read_comment_snapshots(spark, a.comments, a.format))
+    communities = files.read_communities_csv(spark, a.communities)
     comments, rejected = ingest.ingest_comments(
-        snaps, files.read_stored(spark, a.posts), files.read_communities_csv(spark, a.communities), a.run_date, a.top_n,
-        with_rejected=True,
+        snaps, files.read_stored(spark, a.posts), communities, a.run_date, a.top_n,
+        with_rejected=True, names=ingest.top_names(communities, a.top_n),
     )
     seen = Observation("comments")
     write_partitioned(comments.observe(seen, F.count(F.lit(1)).alias("accepted")), a.out, mode=a.mode)
@@ -201,10 +202,7 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    try:
-        args.fn(args)
-    finally:
-        release_lookups()
+    args.fn(args)
 
 
 if __name__ == "__main__":

@@ -1,75 +1,23 @@
 """Join strategies for the lookups hidden in the reference's loops.
 
-* A side whose size is bounded by construction (the top-N community list,
-  above the size where it becomes an IN filter) is broadcast directly.
-* A side whose size grows with the data (post ids of the stored posts, post
-  and community flags) is broadcast only after a row count proves it small;
-  above the bound the join shuffles on its keys.  In batch, AQE then re-plans
-  at runtime (broadcast when the shuffled side turns out small, and splitting
-  skewed partitions).  Streaming micro-batches do not run AQE, so for them a
-  hot key is spread by salting: the big side gets a deterministic salt
-  ``hash(row) mod k`` and the lookup side is replicated k times.
+A lookup side (post ids of the stored posts, post and community flags) grows with
+the data, so no join here carries a broadcast hint, counts its sides or keeps them.
+In batch the plain join is left to AQE, which broadcasts a side by its measured
+size and splits skewed partitions.  Streaming micro-batches do not run AQE, so for
+them a hot key is spread by salting: the big side gets a deterministic salt
+``hash(row) mod k`` and the lookup side is replicated k times.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default bound on the rows of a broadcast lookup side.  Lookups are narrow
-# (a key and a flag), so 2M rows stay well below the 8 GB broadcast limit.
-MAX_BROADCAST_ROWS = 2_000_000
 SALT_COL = "_salt"
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    A plain distributed count: per-task partial counts and one tiny final
-    sum.  (``limit(n).count()`` would funnel up to n rows per task into a
-    single partition.)
-    """
-    return df.count() <= max_rows
-
-
-def broadcast_if_bounded(
-    df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, cache: bool = True
-) -> tuple[DataFrame, bool]:
-    """``(F.broadcast(df), True)`` when the row count proves it small, else ``(df, False)``.
-
-    With ``cache`` (batch jobs) the side is persisted while it is counted, so
-    a proven-small side is computed once and the broadcast reads the cached
-    rows (at most ``max_rows`` narrow rows stay cached; a lost block is
-    recomputed from lineage).  A side above the bound is unpersisted right
-    away and joined by a shuffle instead.  Streams pass ``cache=False``: the
-    lookup is then re-read for every micro-batch and stays current.
-    """
-    side = df.persist(StorageLevel.MEMORY_AND_DISK) if cache else df
-    if row_count_at_most(side, max_rows):
-        if cache:
-            _PERSISTED.append(side)
-        return F.broadcast(side), True
-    if cache:
-        side.unpersist()
-    return df, False
-
-
-# Lookup sides kept persisted for their broadcast; a job releases them once
-# its output is written (``release_lookups``).
-_PERSISTED: list[DataFrame] = []
-
-
-def release_lookups() -> int:
-    """Unpersist every lookup side cached by ``broadcast_if_bounded``; returns how many."""
-    n = len(_PERSISTED)
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
-    return n
-
-
 def salted_join(
     big: DataFrame,
     lookup: DataFrame,
@@ -93,24 +41,11 @@ def salted_join(
 
 
 def lookup_join(
-    big: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[str] | str,
-    how: str = "left",
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-    salt_buckets: int = 1,
-    cache_lookup: bool = True,
+    big: DataFrame, lookup: DataFrame, on: Sequence[str] | str, how: str = "left", salt_buckets: int = 1
 ) -> DataFrame:
-    """Join ``big`` to a lookup side with the cheapest safe strategy.
-
-    Broadcast when the lookup side is proven small; otherwise a salted
-    shuffle join when ``salt_buckets > 1`` (streams), else a plain shuffle join
-    left to AQE (batch).
-    """
+    """Join ``big`` to a lookup side: salted when ``salt_buckets > 1`` (streams), else
+    a plain join left to AQE (batch)."""
     keys = [on] if isinstance(on, str) else list(on)
-    side, small = broadcast_if_bounded(lookup, max_broadcast_rows, cache=cache_lookup)
-    if small:
-        return big.join(side, keys, how)
     if salt_buckets > 1:
         return salted_join(big, lookup, keys, how, salt_buckets)
     return big.join(lookup, keys, how)

@@ -478,7 +478,7 @@ WITH pf AS (
     FROM labels GROUP BY doc_id
 ),
 cf AS (
-    SELECT d.source AS subreddit, coalesce(sum(l.toxic), 0) >= 4 AS community_adult
+    SELECT d.source AS subreddit, (coalesce(sum(l.toxic), 0) + 1) / (count(l.toxic) + 10) >= 0.15 AS community_adult
     FROM documents d JOIN labels l ON l.doc_id = d.doc_id
     GROUP BY d.source
 )

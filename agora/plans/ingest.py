@@ -11,8 +11,8 @@ posts:    top-N communities (TakeOrderedAndProject - N rows)
           -> falsy -> missing, comment count -> 0, drop empty records
           -> add load time, community and the ``etl_date`` partition column
 comments: post ids of the stored posts of the top-N communities
-          -> join the comment snapshots on post id (size-checked broadcast,
-             else a shuffle join that AQE can split when a post is hot)
+          -> join the comment snapshots on post id (AQE broadcasts a small side
+             and splits a hot post)
           -> keep comments created on the run day -> clean -> add columns
 
 ``run_date=None`` processes every landed day in one job (a backfill); with a
@@ -37,7 +37,7 @@ from agora.functions.cleaning import (
     zero_if_missing_sql,
 )
 from agora.functions.dates import as_date, day_window, epoch_seconds, epoch_to_date
-from agora.operators.joins import MAX_BROADCAST_ROWS, lookup_join
+from agora.operators.joins import lookup_join
 from agora.operators.topn import first_n_per_group, top_communities
 from agora.schemas import COMMENT_FIELDS, POST_FIELDS, POSTS
 
@@ -94,15 +94,6 @@ def split_rejected(df: DataFrame, rejected: Column) -> tuple[DataFrame, DataFram
     return df.where(~flag), df.where(flag)
 
 
-# Up to this many top communities the names become an IN filter (see below).
-MAX_NAMES_IN_FILTER = 10_000
-
-
-def _top_names(communities: DataFrame, top_n: int) -> DataFrame:
-    # At most top_n rows by construction: safe to broadcast.
-    return F.broadcast(top_communities(communities, top_n).select(F.col("subreddit_name").alias("subreddit")))
-
-
 def top_names(communities: DataFrame, top_n: int) -> list[str]:
     """Names of the top-N communities (at most N rows reach the driver)."""
     return [r[0] for r in top_communities(communities, top_n).select("subreddit_name").collect()]
@@ -113,21 +104,14 @@ def restrict_to_top(
 ) -> DataFrame:
     """Keep rows of the top-N communities.
 
-    The top-N list has at most N rows by construction.  Up to
-    ``MAX_NAMES_IN_FILTER`` names it is taken to the driver and applied as
-    ``col IN (...)``: on a landing zone partitioned by community that is a
-    partition filter (only N community folders are listed and read), on other
-    Parquet data a pushed ``In`` filter.  A semi join against a broadcast list
-    would do neither - Spark plans dynamic partition pruning only behind a
-    selective filter, and a top-N is not one.  Larger N uses that broadcast
-    semi join.  ``names`` (from ``top_names``) lets several steps of one job
-    share a single pick.
+    The list (N names, a parameter of the job) is applied as ``col IN (...)``: on a
+    landing zone partitioned by community that is a partition filter (only N folders
+    are listed and read), on other Parquet data a pushed filter.  A semi join would do
+    neither.  ``names`` (from ``top_names``) lets several steps of one job share a pick.
     """
-    if names is None and top_n <= MAX_NAMES_IN_FILTER:
+    if names is None:
         names = top_names(communities, top_n)
-    if names is not None:
-        return df.where(F.col(col).isin(names))
-    return df.join(_top_names(communities, top_n), col, "left_semi")
+    return df.where(F.col(col).isin(names))
 
 
 def ingest_posts(
@@ -152,9 +136,9 @@ def ingest_posts(
         snaps = snaps.where(F.col("snapshot_date") == F.lit(as_date(run_date)))
     snaps = restrict_to_top(snaps, communities, top_n, names=names)
     listed = first_n_per_group(snaps, ["snapshot_date", "subreddit"], order, per_community)
-    same_day = listed.where(epoch_to_date("created") == F.col("snapshot_date"))
+    same_day = listed.where(F.col("created").isNull() | (epoch_to_date("created") == F.col("snapshot_date")))
     deleted_author = F.col("author_name").isNull() & F.col("author_id").isNull()
-    accepted, rejected = split_rejected(same_day, deleted_author)
+    accepted, rejected = split_rejected(same_day, deleted_author | F.col("created").isNull())
     cleaned = drop_empty_records(clean_posts(accepted), POST_FIELDS)
     out = cleaned.select(
         *[F.col(f.name) for f in POSTS.fields if f.name in POST_FIELDS],
@@ -182,7 +166,6 @@ def ingest_comments(
     communities: DataFrame,
     run_date: dt.date | str | None = None,
     top_n: int = TOP_COMMUNITIES,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     with_rejected: bool = False,
     names: list[str] | None = None,
 ):
@@ -192,9 +175,10 @@ def ingest_comments(
     """
     comments = comment_snapshots
     if run_date is not None:
-        comments = comments.where(day_window("created_utc", as_date(run_date)))
+        # a record without a creation time belongs to no day: it goes on, to the rejects
+        comments = comments.where(day_window("created_utc", as_date(run_date)) | F.col("created_utc").isNull())
     keys = post_keys(stored_posts, communities, top_n, names=names)
-    joined = lookup_join(comments, keys, "post_id", "inner", max_broadcast_rows)
+    joined = lookup_join(comments, keys, "post_id", "inner")
     day = epoch_to_date("created_utc")
     accepted, rejected = split_rejected(joined, F.col("created_utc").isNull())
     cleaned = drop_empty_records(clean_comments(accepted), COMMENT_FIELDS)
@@ -209,34 +193,49 @@ def ingest_comments(
     return (out, rejected) if with_rejected else out
 
 
-def flatten_comment_tree(posts_with_tree: DataFrame, depth: int, replies_field: str = "replies") -> DataFrame:
+def flatten_comment_tree(posts_with_tree: DataFrame, replies_field: str = "replies") -> DataFrame:
     """Nested comments (``comments: array<struct<..., replies: array<struct>>>``) -> flat rows.
 
-    Spark has no recursive type, so a nested snapshot has a fixed depth; each
-    level is one ``explode`` and the levels are unioned.  Every row keeps its
-    ``post_id`` and gets ``parent_id`` (NULL at the top level) and ``depth``.
-    Collapsed placeholders (records without ``comment_id``) are skipped.
+    Spark has no recursive type, so the schema says how deep a snapshot is; every
+    level of it is walked.  All levels come out of one scan: each top-level comment
+    becomes the array of its whole subtree, which is exploded.  Every row keeps its
+    ``post_id`` and gets ``parent_id`` (NULL at the top level), ``depth`` and
+    ``reply_count`` (size of its direct replies; NULL where the schema has none).
+    Collapsed placeholders (records without ``comment_id``) are skipped, not what
+    hangs below them.
     """
-    level = posts_with_tree.select(
-        "post_id",
-        F.lit(None).cast("string").alias("parent_id"),
-        F.explode_outer("comments").alias("c"),
-    ).where(F.col("c").isNotNull())
-    out = []
-    for d in range(depth):
-        fields = [f for f in level.select("c.*").columns if f != replies_field]
-        flat = level.select(
-            "post_id", "parent_id", *[F.col(f"c.{f}").alias(f) for f in fields], F.lit(d).alias("depth")
+    top = posts_with_tree.schema["comments"].dataType.elementType
+    plain: dict[str, str] = {}
+    kind = top
+    while kind is not None:
+        below = None
+        for f in kind.fields:
+            if f.name == replies_field:
+                below = f.dataType.elementType
+            else:
+                plain.setdefault(f.name, f.dataType.simpleString())
+        kind = below
+
+    def row(c: Column, kind, parent: Column, depth: int) -> Column:
+        has = set(kind.names)
+        size = F.size(c[replies_field]) if replies_field in has else F.lit(None)
+        return F.struct(
+            parent.cast("string").alias("parent_id"),
+            *[(c[n] if n in has else F.lit(None)).cast(t).alias(n) for n, t in plain.items()],
+            F.lit(depth).alias("depth"),
+            F.when(size >= 0, size).cast("int").alias("reply_count"),
         )
-        out.append(flat.where(F.col("comment_id").isNotNull()))
-        if replies_field not in level.select("c.*").columns or d == depth - 1:
-            break
-        level = level.select(
-            "post_id",
-            F.col("c.comment_id").alias("parent_id"),
-            F.explode(f"c.{replies_field}").alias("c"),
-        )
-    result = out[0]
-    for part in out[1:]:
-        result = result.unionByName(part, allowMissingColumns=True)
-    return result
+
+    def subtree(c: Column, kind, parent: Column, depth: int) -> Column:
+        own = F.array(row(c, kind, parent, depth))
+        if replies_field not in kind.names:
+            return own
+        inner = kind[replies_field].dataType.elementType
+        below = F.flatten(F.transform(c[replies_field], lambda r: subtree(r, inner, c["comment_id"], depth + 1)))
+        return F.when(F.coalesce(F.size(c[replies_field]), F.lit(0)) > 0, F.concat(own, below)).otherwise(own)
+
+    trees = F.transform(
+        F.filter("comments", lambda c: c.isNotNull()), lambda c: subtree(c, top, F.lit(None).cast("string"), 0)
+    )
+    flat = posts_with_tree.select("post_id", F.explode(F.flatten(trees)).alias("c"))
+    return flat.select("post_id", "c.*").where(F.col("comment_id").isNotNull())

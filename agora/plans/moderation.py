@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from agora.functions.cleaning import FLAG_RULE_SQL, epoch_text, flag_adult_in_safe_community
 from agora.functions.json import encode_json
-from agora.operators.joins import MAX_BROADCAST_ROWS, lookup_join
+from agora.operators.joins import lookup_join
 from agora.operators.topn import last_of_first_n
 from agora.schemas import POST_EVENT_FIELDS
 
@@ -31,20 +31,17 @@ def apply_content_flag(
     events: DataFrame,
     post_flags: DataFrame,
     community_flags: DataFrame,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     salt_buckets: int = 1,
 ) -> DataFrame:
     """Post events with ``is_violation`` recomputed (an incoming value is ignored).
 
     ``post_flags``: ``thread_id, post_adult``; ``community_flags``:
     ``subreddit, community_adult``; both one row per key.  Works on a batch or a
-    streaming ``events`` frame (stream-static left joins; for a stream the
-    lookups are not cached, so each micro-batch sees the current flags).
+    streaming ``events`` frame (stream-static left joins).
     """
-    cache = not events.isStreaming
     base = events.drop("is_violation")
-    with_post = lookup_join(base, post_flags, "thread_id", "left", max_broadcast_rows, salt_buckets, cache)
-    with_both = lookup_join(with_post, community_flags, "subreddit", "left", max_broadcast_rows, salt_buckets, cache)
+    with_post = lookup_join(base, post_flags, "thread_id", "left", salt_buckets)
+    with_both = lookup_join(with_post, community_flags, "subreddit", "left", salt_buckets)
     flag = flag_adult_in_safe_community("post_adult", "community_adult")
     return with_both.select(*[c for c in POST_EVENT_FIELDS if c != "is_violation"], flag.alias("is_violation"))
 

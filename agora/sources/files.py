@@ -24,13 +24,13 @@ def read_communities_csv(spark: SparkSession, path: str) -> DataFrame:
 
     Empty fields and the usual missing-value words read as NULL; a count that
     is not a number reads as NULL too (and sorts last in ``top_communities``).
+    Columns are picked by their header names, in any order and beside others; a
+    file without one of them is an error.
     """
-    raw = (
-        spark.read.option("header", "true")
-        .option("mode", "PERMISSIVE")
-        .schema("subreddit_name STRING, subscribers_count STRING")
-        .csv(path)
-    )
+    raw = spark.read.option("header", "true").option("mode", "PERMISSIVE").csv(path)
+    missing_names = [f.name for f in COMMUNITIES.fields if f.name not in raw.columns]
+    if missing_names:
+        raise ValueError(f"{path}: no column {', '.join(missing_names)} in the header ({', '.join(raw.columns)})")
     count = F.trim(F.col("subscribers_count"))
     missing = count.isNull() | F.lower(count).isin("", "na", "n/a", "nan", "null", "none")
     return raw.select(

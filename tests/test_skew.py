@@ -138,7 +138,7 @@ def test_hot_post_split_by_aqe_skew_join(spark):
         stored = spark.range(0, 500).select(F.col("id").cast("string").alias("post_id"), F.lit("c").alias("subreddit"))
         stored = stored.unionByName(spark.createDataFrame([("hot", "c")], "post_id string, subreddit string"))
         comms = spark.createDataFrame([("c", 1.0)], "subreddit_name string, subscribers_count double")
-        out = ingest.ingest_comments(comments, stored, comms, max_broadcast_rows=1)
+        out = ingest.ingest_comments(comments, stored, comms)
         text = final_plan_text(out)
         assert "SortMergeJoin(skew=true)" in text, text[:3000]
         assert out.count() == n
@@ -162,7 +162,7 @@ def test_hot_community_split_in_content_flag(spark):
         community_flags = spark.range(0, 200).select(
             F.col("id").cast("string").alias("subreddit"), (F.col("id") % 2 == 0).alias("community_adult")
         ).unionByName(spark.createDataFrame([("hot", False)], "subreddit string, community_adult boolean"))
-        out = moderation.apply_content_flag(events, post_flags, community_flags, max_broadcast_rows=1)
+        out = moderation.apply_content_flag(events, post_flags, community_flags)
         text = final_plan_text(out)
         assert "SortMergeJoin(skew=true)" in text, text[:3000]
         got = out.groupBy("is_violation").count().collect()

@@ -68,7 +68,7 @@ def test_stream_twin_equals_batch(spark, tmp_dir):
 
     parsed = content_flag.parse_events(content_flag.read_event_values(spark, "json", src, max_files_per_trigger=1))
     flagged = content_flag.flag_events(
-        content_flag.good_events(parsed), post_flags, comm_flags, max_broadcast_rows=1, salt_buckets=4
+        content_flag.good_events(parsed), post_flags, comm_flags, salt_buckets=4
     )
     out = os.path.join(tmp_dir, "out")
     q = content_flag.start_sink(flagged, "json", os.path.join(tmp_dir, "ckpt"), path=out, available_now=True)
@@ -133,12 +133,20 @@ def test_connection_options_from_conf(spark, monkeypatch):
         files.connection_options(spark, "missing-profile")
 
 
-def test_community_flags_threshold(spark):
+def test_community_flags_are_a_share(spark):
     flags = {r.subreddit: r.community_adult for r in standins.community_flags(spark, SF_SMALL).collect()}
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
-    sums = docs.join(labels, "doc_id").groupBy("source").agg(F.sum("toxic").alias("s")).collect()
-    assert flags == {r.source: r.s >= 4 for r in sums}
+    sums = docs.join(labels, "doc_id").groupBy("source").agg(F.sum("toxic").alias("s"), F.count("toxic").alias("n")).collect()
+    assert flags == {r.source: (r.s + 1) / (r.n + 10) >= 0.15 for r in sums}
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01", "0.1"])
+def test_content_flag_has_every_value_at_every_size(spark, sf):
+    from agora.plans import catalog
+
+    flagged = catalog.QUERIES["content_flag_batch"](spark, f"/root/testdata/sf{sf}")
+    assert {r[0] for r in flagged.select("is_violation").distinct().collect()} == {True, False, None}
 
 
 def test_jobs_end_to_end(spark, tmp_dir):
