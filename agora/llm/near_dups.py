@@ -309,16 +309,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     posted = reps.filter("n_shingles > 1").mapInArrow(_list, "key long, doc_id long")
     lists = posted.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("low")).filter("n > 1")
     lists = stored(posted.join(lists, "key").select("key", "doc_id", "low"), "near-lists")
-    stars = lists.filter("doc_id <> low").select(F.col("low").alias("a"), F.col("doc_id").alias("b")).distinct()
-    first = stored(likely_pairs(stars, reps), "near-stars")
+    first = lists.filter("doc_id <> low").select(F.col("low").alias("a"), F.col("doc_id").alias("b")).distinct()
+    first = stored(likely_pairs(first, reps), "near-stars")
     listed = lists.select("doc_id").distinct()
     sets = stored(d.join(listed, "doc_id", "left_semi").mapInArrow(_whole, "doc_id long, whole binary").filter("octet_length(whole) > 0"), "near-sets")
     linked = stored(links(first, sets), "near-links")
     root = stored(components(linked, "near-roots"), "near-root")
     member = lists.select("key", "doc_id")
-    linked = stored(linked.unionByName(links(rest_pairs(member, root, reps, forest=True), sets)), "near-forest")
-    root = stored(components(linked, "near-roots"), "near-root")
-    every = linked.unionByName(stored(links(rest_pairs(member, root, reps, forest=False), sets), "near-more"))
+    # components found so far enter the next contraction as stars, which it keeps
+    stars = lambda r: r.select(F.col("doc_id").alias("a"), F.col("root").alias("b"))
+    forest = stored(links(rest_pairs(member, root, reps, forest=True), sets), "near-forest")
+    root = stored(components(stars(root).unionByName(forest), "near-roots"), "near-root")
+    every = stars(root).unionByName(stored(links(rest_pairs(member, root, reps, forest=False), sets), "near-more"))
     # all rows of a document and of a class are linked
     same = rows.filter("n_shingles > 0").join(classes, "class").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).filter("a <> b")
     root = components(every.unionByName(same), "near-final")
