@@ -43,7 +43,7 @@ K = 128
 KEYED = 32
 SMALL = 32
 MARGIN = 0.17  # over four standard deviations of a K-value estimate at the threshold
-CHUNK = 2048
+CHUNK = 1024
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
@@ -238,21 +238,12 @@ def _compare(forest: bool):
         x, y = left[x], right[y]
         if p == q:
             x, y = x[x < y], y[x < y]
-        found = []
-        keys_of: dict[int, np.ndarray] = {}
-        for i, j in zip(x.tolist(), y.tolist()):
-            est = _estimate(sk[i], n[i], sk[j], n[j])
-            if not _pass(n[i], n[j], est):
-                continue
-            if not forest:
-                for k in (i, j):
-                    if k not in keys_of:
-                        keys_of[k] = keys(sk[k], int(n[k])).view(np.int64)
-                if np.intersect1d(keys_of[i], keys_of[j], assume_unique=True)[0] != this:
-                    continue
-            found.append((est, i, j))
+        est = np.fromiter((_estimate(sk[i], n[i], sk[j], n[j]) for i, j in zip(x, y)), float, len(x))
+        whole = (n[x] <= K) & (n[y] <= K)
+        good = np.where(whole, 100 * est >= PERCENT - 1e-9, est >= PERCENT / 100 - MARGIN)
+        x, y, est = x[good], y[good], est[good]
+        keep = np.zeros(len(x), bool)
         if forest:
-            found.sort(key=lambda f: (-f[0], f[1], f[2]))
             up: dict[int, int] = {}
 
             def top(r: int) -> int:
@@ -260,14 +251,16 @@ def _compare(forest: bool):
                     r = up[r]
                 return r
 
-            tree = []
-            for est, i, j in found:
-                a, b = top(int(root[i])), top(int(root[j]))
+            for k in np.lexsort((y, x, -est)):
+                a, b = top(int(root[x[k]])), top(int(root[y[k]]))
                 if a != b:
                     up[max(a, b)] = min(a, b)
-                    tree.append((est, i, j))
-            found = tree
-        a, b = (np.array([f[k] for f in found], np.int64) for k in (1, 2))
+                    keep[k] = True
+        else:
+            keys_of = {k: keys(sk[k], int(n[k])).view(np.int64) for k in np.unique(np.concatenate([x, y])).tolist()}
+            for k, (i, j) in enumerate(zip(x.tolist(), y.tolist())):
+                keep[k] = np.intersect1d(keys_of[i], keys_of[j], assume_unique=True)[0] == this
+        a, b = x[keep], y[keep]
         return pa.table({"a": np.minimum(ids[a], ids[b]), "b": np.maximum(ids[a], ids[b])})
 
     return compare
