@@ -8,7 +8,8 @@ and words), so both totals stay where they were while one probability after
 the other reaches 0 or 1.
 
 The flight runs on chunks of a source (a hot source is many chunks).  A chunk
-holds LANDING units back, half of them its largest, and leaves at most two others open; these
+holds LANDING units back, a ladder of sizes up to its largest whose sums leave no wide
+gap, and leaves at most two others open; these
 meet in wider chunks of the same source, level by level, until LANDING + 2 are
 left, for which the landing tries every choice.
 
@@ -20,6 +21,7 @@ gives an empty result.  Other columns are ignored.
 from __future__ import annotations
 
 import random
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +34,7 @@ from agora.llm.common import WORD, stored
 WEIGHTS = (1, 2, 3)  # by rank of the source, repeating
 MOST = 3  # copies of a document at most
 CHUNK = 20_000  # units whose flight one task runs at once
-LANDING = 12  # units of a chunk kept for the landing, half of them its largest
+LANDING = 12  # units of a chunk kept for the landing
 LEVELS = 4  # enough for CHUNK * (CHUNK / 20) ** (LEVELS - 1) units a source
 EPS = 1e-9
 
@@ -114,29 +116,51 @@ def landing(size: list[int], p: list[float], open_: list[int]) -> list[float]:
         return p
     s, q = np.array([size[k] for k in open_], float), np.array([p[k] for k in open_])
     picks = (np.arange(1 << len(open_))[:, None] >> np.arange(len(open_))) & 1
-    off = np.abs(picks @ s - q @ s) + 0.1 * s.mean() * np.abs(picks.sum(1) - q.sum())
+    off = np.abs(picks @ s - q @ s) + 0.02 * s.mean() * np.abs(picks.sum(1) - q.sum())
     p = list(p)
     for k, x in zip(open_, picks[int(off.argmin())]):
         p[k] = float(x)
     return p
 
 
-def held_back(open_: list[int]) -> list[int]:
-    """Of the units by falling size: the largest ones, and some at even steps below."""
-    top, rest = open_[: LANDING // 2], open_[LANDING // 2 :]
-    n = LANDING - len(top)
-    return top + [rest[(k + 1) * len(rest) // n - 1] for k in range(n)] if len(rest) > n else open_[:LANDING]
+def ladder(falling: list[int], step: int) -> list[int] | None:
+    """Places of units whose sums reach every amount up to their total within ``step``,
+    the largest unit included; None if that takes more than LANDING of them."""
+    rising, total, picked = [-x for x in falling], 0, []
+    while len(picked) < LANDING:
+        # the largest unit left that leaves no gap above the sums so far
+        k = bisect_left(rising, -(total + step))
+        while k in picked:
+            k += 1
+        if k >= len(falling):
+            return None
+        picked.append(k)
+        total += falling[k]
+        if k == 0:
+            return picked
+    return None
+
+
+def held_back(open_: list[int], size: list[int]) -> list[int]:
+    """Of the open units, by falling size: those of the finest ladder, then the largest."""
+    falling = [size[k] for k in open_]
+    step, rungs = 1, None
+    while open_ and rungs is None:
+        rungs, step = ladder(falling, step), 2 * step
+    rungs = rungs or []
+    more = [k for k in range(min(len(open_), 2 * LANDING)) if k not in rungs]
+    return [open_[k] for k in rungs + more[: LANDING - len(rungs)]]
 
 
 def _level(units: DataFrame, level: int, seed: int, last: bool) -> DataFrame:
     def move(key: tuple, t: pa.Table) -> pa.Table:
         source, chunk = (x.as_py() for x in key)
-        # large and some smaller units wait for the landing, where they balance each other
+        # units of all sizes wait for the landing, where they balance each other
         t = t.sort_by([("size", "descending"), ("doc_id", "ascending")])
         size, p = t["size"].to_pylist(), t["p"].to_pylist()
         p = [x if EPS < x < 1 - EPS else float(round(x)) for x in p]
         open_ = [k for k, x in enumerate(p) if 0 < x < 1]
-        held = set(held_back(open_))
+        held = set(held_back(open_, size))
         p = flight(size, p, _uniform(seed, level, source, chunk), [k for k in open_ if k not in held])
         if last:
             p = landing(size, p, [k for k in open_ if 0 < p[k] < 1])
