@@ -306,18 +306,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first = stored(likely_pairs(first, reps), "near-stars")
     listed = lists.select("doc_id").distinct()
     sets = stored(d.join(listed, "doc_id", "left_semi").mapInArrow(_whole, "doc_id long, whole binary").filter("octet_length(whole) > 0"), "near-sets")
-    linked = stored(links(first, sets), "near-links")
+    # a document with rows of several sets links their classes
+    full = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
+    several = full.groupBy("doc_id").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x <> y").select("doc_id")
+    own = full.join(several, "doc_id", "left_semi").join(classes, "class").select("doc_id", "rep")
+    same = own.join(own.groupBy("doc_id").agg(F.min("rep").alias("a")), "doc_id").filter("a <> rep").select("a", F.col("rep").alias("b"))
+    linked = stored(links(first, sets).unionByName(same), "near-links")
     root = stored(components(linked, "near-roots"), "near-root")
     member = lists.select("key", "doc_id")
-    # components found so far enter the next contraction as stars, which it keeps
-    stars = lambda r: r.select(F.col("doc_id").alias("a"), F.col("root").alias("b"))
-    forest = stored(links(rest_pairs(member, root, reps, forest=True), sets), "near-forest")
-    root = stored(components(stars(root).unionByName(forest), "near-roots"), "near-root")
-    every = stars(root).unionByName(stored(links(rest_pairs(member, root, reps, forest=False), sets), "near-more"))
-    # all rows of a document and of a class are linked
-    same = rows.filter("n_shingles > 0").join(classes, "class").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).filter("a <> b")
-    root = components(every.unionByName(same), "near-final")
-    out = rows.join(root, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
+    for forest in (True, False):
+        more = stored(links(rest_pairs(member, root, reps, forest), sets), "near-forest" if forest else "near-more")
+        if more.isEmpty():  # the components stay as they are
+            continue
+        # components found so far enter the next contraction as stars, which it keeps
+        stars = root.select(F.col("doc_id").alias("a"), F.col("root").alias("b"))
+        root = stored(components(stars.unionByName(more), "near-roots"), "near-root")
+    # a class has its representative's root, a document that of its class
+    rooted = classes.join(root.withColumnRenamed("doc_id", "rep"), "rep", "left").select("class", F.coalesce("root", "rep").alias("root"))
+    by_doc = full.join(rooted, "class").groupBy("doc_id").agg(F.min("root").alias("root"))
+    out = rows.join(by_doc, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
