@@ -22,6 +22,7 @@ import sys
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
+from agora.functions.dates import as_date
 from agora.plans import ingest, moderation, reports_sql, staging, weekly
 from agora.session import configure
 from agora.sinks.batch import write_partitioned
@@ -84,7 +85,10 @@ def cmd_ingest_comments(a: argparse.Namespace) -> None:
 def cmd_stage_users(a: argparse.Namespace) -> None:
     spark = _session("agora-stage-users")
     comments = spark.read.parquet(a.comments)
-    staged = staging.stage_users(comments, a.run_date, a.end_date, day_col=a.day_col)
+    first, end = as_date(a.run_date), as_date(a.end_date) if a.end_date else as_date(a.run_date) + dt.timedelta(days=1)
+    if "etl_date" in comments.columns:  # the comment's day: only the folders of the run are read
+        comments = comments.where((F.col("etl_date") >= F.lit(first)) & (F.col("etl_date") < F.lit(end)))
+    staged = staging.stage_users(comments, first, end, user_col=a.user_col, day_col=a.day_col)
     if a.jdbc_profile:
         opts = files.connection_options(spark, a.jdbc_profile)
         props = {k: v for k, v in opts.items() if k != "url"}
@@ -92,7 +96,8 @@ def cmd_stage_users(a: argparse.Namespace) -> None:
     elif a.buckets:
         staging.write_staging_table(staged, a.table, a.buckets, path=a.out)
     else:
-        staging.write_staging(staged, a.out)
+        run = f"{first}_{a.end_date}" if a.end_date else f"{first}"
+        staging.write_staging(staged, a.out, run, a.quarantine)
 
 
 def cmd_report(a: argparse.Namespace) -> None:
@@ -168,7 +173,9 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--out")
     s.add_argument("--run-date", default=_today())
     s.add_argument("--end-date")
+    s.add_argument("--user-col", default="author_name", help="the column that holds the user")
     s.add_argument("--day-col", default="etl_ts", choices=["etl_ts", "created_utc"])
+    s.add_argument("--quarantine", help="folder for rows without a load day")
     s.add_argument("--jdbc-profile")
     s.add_argument("--table", default="dim_all_users_stg")
     s.add_argument("--buckets", type=int, help="write a catalog table bucketed by author (distinct author/day rows)")

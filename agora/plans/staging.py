@@ -3,8 +3,8 @@
 Reads stored comments whose creation time falls in ``[start, end)`` and keeps
 two fields: the author as text ('None' when missing) and the load day.  The
 reference inserts row by row and appends on every run; here the write is one
-columnar job and re-runnable: the table is partitioned by day and written with
-dynamic partition overwrite, so loading a day twice replaces that day only.
+columnar job and re-runnable: each run has a folder of its own, partitioned by
+day, and a run that is repeated replaces its own rows only.
 """
 
 from __future__ import annotations
@@ -41,21 +41,22 @@ def stage_users(
     )
 
 
-def write_staging(staged: DataFrame, path: str) -> None:
-    """Write staged rows partitioned by day; a re-run replaces its days only.
+def write_staging(staged: DataFrame, path: str, run: str, quarantine: str | None = None) -> None:
+    """Write one run's rows under ``run=<run>``, partitioned by day.
+
+    ``run`` names the creation days that the run covers.  Rows of one load day may
+    come from several runs (a comment created before midnight and loaded after it),
+    so a re-run replaces all rows of its own run and no others.
 
     Rows with no day cannot be placed in a partition and would make the
-    reference's insert fail; they are left out here (see
-    ``staging_without_day``).  No repartition by day: a daily load is a single
-    day, and hashing on it would funnel the whole load into one writer task.
+    reference's insert fail; they go to ``quarantine``, under the same run.  No
+    repartition by day: a daily load is a single day, and hashing on it would
+    funnel the whole load into one writer task.
     """
-    (
-        staged.where(F.col("etl_ts").isNotNull())
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("etl_ts")
-        .parquet(path)
-    )
+    one_run = {"format": "parquet", "mode": "overwrite", "partitionOverwriteMode": "static"}
+    staged.where(F.col("etl_ts").isNotNull()).write.save(f"{path}/run={run}", partitionBy="etl_ts", **one_run)
+    if quarantine:
+        staging_without_day(staged).write.save(f"{quarantine}/run={run}", **one_run)
 
 
 def write_staging_table(staged: DataFrame, table: str, buckets: int, path: str | None = None) -> None:
@@ -73,14 +74,18 @@ def write_staging_table(staged: DataFrame, table: str, buckets: int, path: str |
     then hash-partitioned into exactly ``buckets`` tasks - the same hash as
     the bucket id - so each task writes one file per bucket and day instead of
     tasks x buckets small files.  The first load creates the table (at
-    ``path`` if given); later loads replace only their days.
+    ``path`` if given); later loads add the pairs that it does not hold yet, read
+    from their own days only, so a re-run changes nothing.
     """
     pairs = staged.where(F.col("etl_ts").isNotNull()).select("author_id", "etl_ts").distinct()
-    rows = pairs.repartition(buckets, "author_id")
     spark = staged.sparkSession
     if spark.catalog.tableExists(table):
-        rows.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+        days = [r[0] for r in pairs.select("etl_ts").distinct().collect()]  # one row per calendar day
+        held = spark.table(table).where(F.col("etl_ts").isin(days))
+        new = pairs.join(held, ["author_id", "etl_ts"], "left_anti").repartition(buckets, "author_id")
+        new.write.insertInto(table)
         return
+    rows = pairs.repartition(buckets, "author_id")
     writer = rows.write.mode("overwrite").partitionBy("etl_ts").bucketBy(buckets, "author_id").sortBy("author_id")
     if path:
         writer = writer.option("path", path)

@@ -29,8 +29,6 @@ REQUIRED_CONF = {
     # or by a row count, or AQE's runtime choice on a measured shuffle size.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
-    # Dynamic partition overwrite makes a daily reload replace only its own day.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

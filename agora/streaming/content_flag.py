@@ -60,9 +60,11 @@ def read_event_values(
 
 
 def parse_events(values: DataFrame) -> DataFrame:
-    """``value`` texts -> the six event fields + ``_corrupt_record`` (raw text of a bad record)."""
-    parsed = values.select(decode_json("value", POST_EVENT, corrupt_column=CORRUPT_COL).alias("e"))
-    return parsed.select(*[F.col(f"e.{c}").alias(c) for c in POST_EVENT_FIELDS], F.col(f"e.{CORRUPT_COL}").alias(CORRUPT_COL))
+    """``value`` texts -> the six event fields + ``_corrupt_record`` (raw text of a bad
+    record, ``null`` for a missing one)."""
+    parsed = values.select("value", decode_json("value", POST_EVENT, corrupt_column=CORRUPT_COL).alias("e"))
+    bad = F.when(F.col("value").isNull(), F.lit("null")).otherwise(F.col(f"e.{CORRUPT_COL}"))
+    return parsed.select(*[F.col(f"e.{c}").alias(c) for c in POST_EVENT_FIELDS], bad.alias(CORRUPT_COL))
 
 
 def good_events(parsed: DataFrame) -> DataFrame:
@@ -76,14 +78,14 @@ def bad_events(parsed: DataFrame) -> DataFrame:
 def dedupe_events(events: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Drop repeated thread ids within the watermark delay (event time = ``creation_date``).
 
-    ``creation_date`` arrives as epoch-seconds text; rows without a parseable
-    time would never leave the dedup state, so they are dropped first.  Keeps
-    the state bounded: a thread id is forgotten once the watermark passes it.
+    ``creation_date`` arrives as epoch-seconds text.  Keeps the state bounded: a
+    thread id is forgotten once the watermark passes it.  Rows without a parseable
+    time would never leave that state; they pass as they are, repeats included.
     """
-    timed = events.withColumn(
-        "event_time", F.timestamp_seconds(F.col("creation_date").try_cast("double"))
-    ).where(F.col("event_time").isNotNull())
-    return timed.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["thread_id"]).drop("event_time")
+    event_time = F.timestamp_seconds(F.col("creation_date").try_cast("double"))
+    timed = events.withColumn("event_time", event_time).where(F.col("event_time").isNotNull())
+    once = timed.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["thread_id"]).drop("event_time")
+    return once.unionByName(events.where(event_time.isNull()))
 
 
 def flag_events(

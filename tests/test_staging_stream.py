@@ -40,12 +40,33 @@ def test_reloading_a_day_leaves_staging_unchanged(spark, tmp_dir):
     path = os.path.join(tmp_dir, "stg")
     day1 = comments(spark, [("a", EPOCH_DAY + 1, EPOCH_DAY + 1), ("b", EPOCH_DAY + 2, EPOCH_DAY + 2)])
     day2 = comments(spark, [("c", EPOCH_DAY + 86401, EPOCH_DAY + 86401)])
-    staging.write_staging(staging.stage_users(day1, "2024-01-08"), path)
-    staging.write_staging(staging.stage_users(day2, "2024-01-09"), path)
-    before = sorted(tuple(r) for r in spark.read.parquet(path).collect())
-    staging.write_staging(staging.stage_users(day1, "2024-01-08"), path)
-    after = sorted(tuple(r) for r in spark.read.parquet(path).collect())
-    assert before == after and len(after) == 3
+    load = lambda rows, day: staging.write_staging(staging.stage_users(rows, day), path, day)
+    load(day1, "2024-01-08")
+    load(day2, "2024-01-09")
+    read = lambda: sorted((r.author_id, r.etl_ts) for r in spark.read.parquet(path).collect())
+    before = read()
+    load(day1, "2024-01-08")
+    assert before == read() and len(before) == 3
+
+
+def test_runs_that_share_a_load_day_keep_all_rows(spark, tmp_dir):
+    path, bad = os.path.join(tmp_dir, "stg"), os.path.join(tmp_dir, "bad")
+    late = EPOCH_DAY + 86400 + 5  # loaded after midnight
+    rows = comments(spark, [("a", EPOCH_DAY + 1, late), ("b", late, late), ("c", EPOCH_DAY + 2, None)])
+    table = f"late_{os.path.basename(tmp_dir).replace('-', '_')}"
+    for day in ("2024-01-08", "2024-01-09", "2024-01-08"):
+        staged = staging.stage_users(rows, day)
+        staging.write_staging(staged, path, day, bad)
+        staging.write_staging_table(staged, table, 2, path=os.path.join(tmp_dir, "table"))
+    assert sorted(r.author_id for r in spark.read.parquet(path).collect()) == ["a", "b"]
+    assert sorted(r.author_id for r in spark.table(table).collect()) == ["a", "b"]
+    assert [r.author_id for r in spark.read.parquet(bad).collect()] == ["c"]
+
+
+def test_missing_stream_value_is_no_event(spark):
+    parsed = content_flag.parse_events(spark.createDataFrame([(None,), ("{}",)], "value string"))
+    assert content_flag.good_events(parsed).count() == 1
+    assert [r[0] for r in content_flag.bad_events(parsed).collect()] == ["null"]
 
 
 def write_events(dirname, events, name):
@@ -89,7 +110,7 @@ def test_stream_dedup_within_watermark(spark, tmp_dir):
             dict(base, thread_id="t1", creation_date="1704672000.0"),
             dict(base, thread_id="t1", creation_date="1704672060.0"),  # repeat within the delay
             dict(base, thread_id="t2", creation_date="1704672000.0"),
-            dict(base, thread_id="t3", creation_date=None),  # no event time: dropped
+            dict(base, thread_id="t3", creation_date=None),  # no event time: passes
         ],
         "a.json",
     )
@@ -102,7 +123,7 @@ def test_stream_dedup_within_watermark(spark, tmp_dir):
     )
     q.awaitTermination()
     got = sorted(r.thread_id for r in spark.sql("SELECT thread_id FROM dedup_out").collect())
-    assert got == ["t1", "t2"]
+    assert got == ["t1", "t2", "t3"]
 
 
 def test_kafka_sink_and_source_need_connector(spark):
@@ -199,7 +220,7 @@ def test_week_filter_prunes_day_partitions(spark, tmp_dir):
 
     path = os.path.join(tmp_dir, "stg")
     rows = [("a", EPOCH_DAY + 86400 * d, EPOCH_DAY + 86400 * d) for d in range(-10, 20)]
-    staging.write_staging(staging.stage_users(comments(spark, rows)), path)
+    staging.write_staging(staging.stage_users(comments(spark, rows)), path, "all")
     df = weekly.weekly_active_days(spark.read.parquet(path))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(etl_ts" in plan and "weekofyear(etl_ts" in plan
