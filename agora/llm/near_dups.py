@@ -44,6 +44,7 @@ KEYED = 32
 SMALL = 32
 MARGIN = 0.17  # over four standard deviations of a K-value estimate at the threshold
 CHUNK = 1024
+LIGHT = 32  # documents of a chunk that share a value and are paired one by one
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
@@ -200,14 +201,28 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
 
 
 def _shared(sk: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """How many retained values each of ``left`` shares with each of ``right``."""
+    """How many retained values each of ``left`` shares with each other one of ``right``."""
     of = np.repeat(np.arange(len(sk)), [len(x) for x in sk])
     _, val, n = np.unique(np.concatenate(sk), return_inverse=True, return_counts=True)
-    place = np.cumsum(n > 1) - 1  # values of one document only match nothing
-    of, val = of[n[val] > 1], place[val[n[val] > 1]]
     out = np.zeros((len(left), len(right)), np.float32)
+    row, col = np.full(len(sk), -1), np.full(len(sk), -1)
+    row[left], col[right] = np.arange(len(left)), np.arange(len(right))
     order = np.argsort(val, kind="stable")
     of, val = of[order], val[order]
+    # a value of a few documents: each pair of them is counted by itself
+    few = n[val] <= LIGHT
+    doc, v = of[few], val[few]
+    for d in range(1, LIGHT):
+        same = v[d:] == v[:-d]
+        if not same.any():
+            break
+        a, b = doc[:-d][same], doc[d:][same]
+        for x, y in ((row[a], col[b]), (row[b], col[a])):
+            at = (x >= 0) & (y >= 0)
+            np.add.at(out, (x[at], y[at]), 1)
+    # one of many: a column of a matrix
+    place = np.cumsum(n > LIGHT) - 1
+    of, val = of[~few], place[val[~few]]
     for k in range(0, int(val[-1]) + 1 if len(val) else 0, 1024):
         i, j = np.searchsorted(val, [k, k + 1024])
         has = np.zeros((len(sk), 1024), np.float32)
@@ -235,11 +250,14 @@ def _compare(forest: bool):
         can = (root[left][:, None] != root[right]) & (most >= PERCENT / 100 - MARGIN)
         can &= 100 * np.minimum(n[left][:, None], n[right]) >= PERCENT * np.maximum(n[left][:, None], n[right])
         x, y = np.nonzero(can)
+        both = both[x, y].astype(float)
         x, y = left[x], right[y]
         if p == q:
-            x, y = x[x < y], y[x < y]
-        est = np.fromiter((_estimate(sk[i], n[i], sk[j], n[j]) for i, j in zip(x, y)), float, len(x))
+            x, y, both = x[x < y], y[x < y], both[x < y]
         whole = (n[x] <= K) & (n[y] <= K)
+        est = both / np.maximum(1, n[x] + n[y] - both)  # exact where both sketches are whole
+        for k in np.flatnonzero(~whole):
+            est[k] = _estimate(sk[x[k]], n[x[k]], sk[y[k]], n[y[k]])
         good = np.where(whole, 100 * est >= PERCENT - 1e-9, est >= PERCENT / 100 - MARGIN)
         x, y, est = x[good], y[good], est[good]
         keep = np.zeros(len(x), bool)

@@ -148,6 +148,7 @@ def test_near_duplicates(spark, docs, monkeypatch):
         rows.append((k, " ".join(chain)))
         k += 1
     monkeypatch.setattr(near_dups, "CHUNK", 16)
+    monkeypatch.setattr(near_dups, "LIGHT", 4)
     for case in ([], rows, docs):
         got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dups.near_duplicates(frame(spark, case)).collect()}
         assert got == brute.near(case)
