@@ -8,7 +8,9 @@ of mixed letters and digits.  Rounds of scoring follow: a pattern's confidence i
 the mean confidence of its distinct instances, shrunk by one doubtful instance;
 an instance takes the confidence of its best accepted pattern.  A pattern is
 accepted at ACCEPT with MIN_SEEDS distinct confident instances; every occurrence
-of an accepted pattern is then a span, also when its value was never seen before.
+of an accepted pattern is then a span, also when its value was never seen before.  Cues and
+values have no greatest length; after a phone's or card's cue a value may be a number
+written in groups, with or without a country code.
 
 Only DataFrame functions run.  The text passes twice over the scan; the graph holds
 one row for each occurrence, pre-aggregated by pattern and value before it shuffles.
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 from agora.llm.common import stored
 
 KINDS = ("email", "ip", "card", "phone")
+GROUPED = ("card", "phone")  # kinds whose values may hold spaces and brackets
 ADDED = "secret"  # kind of an added span whose pattern was induced by key-like seeds
 
 # The base kinds' patterns, written so that a failing run is not tried again from
@@ -44,11 +47,17 @@ HINT = {
     "card": r"(?:[0-9][\x20-]?){15}[0-9]",
     "phone": r"\+[0-9]",
 }
-CUE = r"(?<![\p{L}_-])[\p{L}_-]{2,30}+"
+CUE = r"(?<![\p{L}_-])[\p{L}_-]{2,}+"
 CONNECTOR = r"\x20?[:=#]\x20?[\x22']?"
-VALUE = r"[A-Za-z0-9][A-Za-z0-9._%+@/-]{4,126}[A-Za-z0-9]"
+# six characters or more, the last one a letter or digit; no upper limit
+TOKEN = (
+    r"\+?(?=[A-Za-z0-9][A-Za-z0-9._%+@/-]{4}[A-Za-z0-9._%+@/-]*?[A-Za-z0-9])"
+    r"[A-Za-z0-9]++(?:[._%+@/-]++[A-Za-z0-9]++)*+"
+)
+# 8 to 19 digits as phones and cards are written, no further digit or token after them
+NUMBER = r"\+?\(?[0-9](?:[\x20().-]*+[0-9]){7,18}+(?![\x20().-]*+[0-9])(?![._%+@/-]*+[A-Za-z0-9])"
 HEAD = f"^{CUE}{CONNECTOR}"
-OCCURRENCE = f"{CUE}{CONNECTOR}{VALUE}"
+OCCURRENCE = f"{CUE}{CONNECTOR}(?:{NUMBER}|{TOKEN})"
 KEY = r"^(?=.*[0-9])(?=.*[A-Za-z])[A-Za-z0-9_/-]{24,}$"
 
 ROUNDS = 3
@@ -121,28 +130,42 @@ def base_spans(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, s, e, pattern, value, kind): each "cue connector value"; kind is
-    that of the seed the value is, or null."""
+    """(doc_id, th, s, e, e_number, pattern, value, kind): each "cue connector value";
+    kind is that of the seed the value is, or null.  e ends the token (null: none),
+    e_number a number in groups, which only phones and cards are."""
     t = _text("text")
-    hits = docs.filter(t.rlike(r"[:=#]\x20?[\x22']?[A-Za-z0-9]")).select(
+    hits = docs.filter(t.rlike(r"[:=#]\x20?[\x22']?[+(A-Za-z0-9]")).select(
         "doc_id", F.xxhash64("text").alias("th"), F.explode(_spans(t, OCCURRENCE)).alias("o")
     )
     head = F.regexp_extract(F.col("o.m"), HEAD, 0)
-    hits = hits.select("doc_id", "th", "o.s", "o.e", "o.m", head.alias("head"))
+    hits = hits.select("doc_id", "th", "o.s", "o.m", head.alias("head"))
+    number = F.col("m").substr(F.length("head") + 1, F.length("m"))
     hits = hits.select(
-        "doc_id", "th", (F.col("s") + F.length("head")).alias("s"), "e",
+        "doc_id", "th", (F.col("s") + F.length("head")).alias("s"),
         F.lower(F.regexp_replace("head", r"\x20", "")).alias("pattern"),
-        F.col("m").substr(F.length("head") + 1, F.length("m")).alias("value"),
-    ).filter(F.col("value").rlike("[0-9]"))
-    v = F.col("value")
+        number.alias("number"), F.regexp_extract(number, f"^{TOKEN}", 0).alias("token"),
+    ).filter(F.col("number").rlike("[0-9]"))
+    hits = hits.select("*", _seed(F.col("token")).alias("kind"), _seed(F.col("number")).alias("n_kind"))
+    grouped = F.col("kind").isNull() & (F.col("n_kind").isin(*GROUPED) | (F.col("token") == ""))
+    return hits.select(
+        "doc_id", "th", "s",
+        F.when(F.col("token") != "", F.col("s") + F.length("token")).alias("e"),
+        (F.col("s") + F.length("number")).alias("e_number"), "pattern",
+        F.when(grouped, F.col("number")).otherwise(F.col("token")).alias("value"),
+        F.when(grouped, F.col("n_kind")).otherwise(F.col("kind")).alias("kind"),
+    )
+
+
+def _seed(v: Column) -> Column:
+    """Kind of the seed that the value is, or null."""
     whole = lambda k: v.rlike(f"^(?:{PATTERN[k]})$")
-    kind = (
+    return (
         F.when(whole("email"), "email")
         .when(whole("ip") & _is_ip(v), "ip")
         .when(whole("card") & _is_card(v), "card")
+        .when(whole("phone") & CHECK["phone"](v), "phone")
         .when(v.rlike(KEY), ADDED)
     )
-    return hits.withColumn("kind", kind)
 
 
 def accepted_patterns(occ: DataFrame) -> DataFrame:
@@ -172,6 +195,8 @@ def added_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, th, added array<struct<kind, s, e>>): spans of accepted patterns."""
     occ = stored(occurrences(docs), "pii-occurrences")
     found = occ.drop("kind").join(accepted_patterns(occ), "pattern")
+    end = F.when(F.col("kind").isin(*GROUPED), F.col("e_number")).otherwise(F.col("e"))
+    found = found.withColumn("e", end).filter("e IS NOT NULL")
     one = F.struct("kind", "s", "e")
     return found.groupBy("doc_id", "th").agg(F.sort_array(F.collect_set(one)).alias("added"))
 

@@ -185,6 +185,23 @@ def test_personal_data_bootstraps_unseen_values(spark):
     assert masked[20] == 'new apikey = "<secret>" here' and masked[21] == rows[-1][1]
 
 
+def test_personal_data_long_values_and_cues(spark):
+    key = lambda k: f"{k}f3ef4d6b2755a36d7d9c25bd72c4d5f67e"
+    cue, token = "internal_service_gateway_access_token_of_the_team", "ey0.aB-_9/" * 40 + "Zz1"
+    rows = [(k, f"x {cue}={key(k)} y") for k in range(8)] + [(20, f"x {cue}={token}.. y")]
+    masked = {r.doc_id: r.text for r in pii.masked(frame(spark, rows)).collect()}
+    assert masked == {**{k: f"x {cue}=<secret> y" for k in range(8)}, 20: f"x {cue}=<secret>.. y"}
+
+
+def test_personal_data_numbers_after_a_phone_cue(spark):
+    rows = [(k, f"phone: +1 (55{k}) 123-4567 or") for k in range(8)]
+    rows += [(20, "phone: (020) 7946 0958."), (21, "Phone: 02079460958 x"), (22, "other: 020 7946 0958")]
+    rows += [(30 + k, f"host: 10.0.0.{k} 8080") for k in range(8)] + [(40, "host: node-17a 12345678")]
+    masked = {r.doc_id: r.text for r in pii.masked(frame(spark, rows)).collect()}
+    assert [masked[k] for k in (0, 20, 21, 22)] == ["phone: <phone> or", "phone: <phone>.", "Phone: <phone> x", rows[10][1]]
+    assert masked[31] == "host: <ip> 8080" and masked[40] == "host: <ip> 12345678"
+
+
 def test_lm_scores(spark, docs):
     for rows in cases(docs):
         got = {r.doc_id: r for r in lm_score.scored(frame(spark, rows)).collect()}
