@@ -6,7 +6,7 @@ corpus, both shrunk by PRIOR; a document's score is the mean weight of its
 n-grams.  A document is kept when no fixed rule fails and its score is not under
 the threshold, which is the TRUSTED_LOST quantile of the trusted documents'
 scores.  The corpus multinomial counts every document; the trusted multinomial
-and the threshold use at most SAMPLE labelled rows (smallest id hashes).
+and the threshold count every trusted document.
 
 Only DataFrame functions run.  Weights are whole millionths, so a score is an
 exact sum whatever the order of the rows.
@@ -23,11 +23,13 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from agora.llm.common import stored
+
 BUCKETS = 1 << 14
 PRIOR = 5.0
-SAMPLE = 20_000
 TRUSTED_LOST = 0.005
 UNIT = 1_000_000
+BINS = 10_000  # of scores, for each unit of the ratio
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PCT = 20
@@ -101,17 +103,16 @@ def base_columns(docs: DataFrame, text: str = "text") -> DataFrame:
     return d.withColumn("base_failed", failed)
 
 
-def labelled_sample(labels: DataFrame) -> DataFrame:
-    """(doc_id, quality) of at most SAMPLE labelled documents: the smallest id hashes."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """(doc_id) of every trusted document, once each."""
     one = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    # stored: beside a join of its own, a skewed partition of documents can be split
+    return stored(one.filter("quality = 1").select("doc_id"), "quality-trusted")
 
 
 def weights(docs: DataFrame, trusted: DataFrame) -> list[int]:
-    """Weight of each bucket in units; ``trusted`` (doc_id) has at most SAMPLE rows."""
-    marked = docs.select("doc_id", "text").join(
-        F.broadcast(trusted.select("doc_id", F.lit(1).alias("t"))), "doc_id", "left"
-    )
+    """Weight of each bucket in units; ``trusted``: (doc_id), each once."""
+    marked = docs.select("doc_id", "text").join(trusted.select("doc_id", F.lit(1).alias("t")), "doc_id", "left")
     grams = hashed(marked).select("t", F.explode(F.concat("__hw", "__bi")).alias("h"))
     counts = (
         grams.groupBy(F.pmod("h", F.lit(BUCKETS)).cast("int").alias("b"))
@@ -139,14 +140,46 @@ def score(d: DataFrame, weight: list[int]) -> DataFrame:
     return d.withColumn("ratio", F.when(n > 0, total / (F.lit(float(UNIT)) * n)).otherwise(0.0)).drop("__hw", "__bi")
 
 
+def quantile(ratios: DataFrame, part: float) -> float:
+    """Exact quantile of ``ratio``, between two neighbours in proportion; 0 without rows.
+    Counts by bin are collected first, then those by ratio of the one or two bins that
+    the neighbours are in."""
+    place = F.floor(F.col("ratio") * BINS)
+    bins = sorted((r["b"], r["n"]) for r in ratios.groupBy(place.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect())
+    total = sum(n for _, n in bins)
+    if not total:
+        return 0.0
+    at = part * (total - 1)
+    ends = [math.floor(at), math.ceil(at)]
+    before, first, inside = 0, None, []
+    for b, n in bins:
+        if any(before <= k < before + n for k in ends):
+            first = before if first is None else first
+            inside.append(b)
+        before += n
+    near = ratios.filter(place.isin(inside)).groupBy("ratio").agg(F.count(F.lit(1)).alias("n")).collect()
+    found = []
+    for k in ends:
+        before = first
+        for x, n in sorted((r["ratio"], r["n"]) for r in near):
+            if before <= k < before + n:
+                found.append(x)
+                break
+            before += n
+    low, high = found
+    return low + (high - low) * (at - ends[0])
+
+
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the text, with the rule columns, ratio, base_failed and kept."""
-    trusted = labelled_sample(labels).filter("quality = 1").select("doc_id")
+    trusted = trusted_ids(labels)
     weight = weights(docs, trusted)
-    seen = score(hashed(docs.select("doc_id", "text").join(F.broadcast(trusted), "doc_id", "left_semi")), weight)
-    least = seen.agg(F.percentile("ratio", F.lit(TRUSTED_LOST)).alias("t")).first()["t"]
+    # scored before the join, so that ids and scores are dealt instead of texts
+    every = score(hashed(docs.select("doc_id", "text")), weight)
+    seen = stored(every.join(trusted, "doc_id").select("ratio"), "quality-scores")
+    least = quantile(seen, TRUSTED_LOST)
     d = score(base_columns(docs), weight).drop("text")
-    return d.withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= F.lit(float(least or 0.0))))
+    return d.withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= F.lit(least)))
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -129,6 +129,26 @@ def test_quality_rules(spark, docs):
     assert all(r.kept != r.base_failed for r in bare)
 
 
+def test_quality_rules_learn_from_every_trusted_document(spark):
+    # 21,000 labelled rows whose words differ: none may be missing from the counts
+    n = 21_000
+    d = spark.range(n).selectExpr("id AS doc_id", "concat('w', id % 7, ' v', id % 11) AS text")
+    lab = d.selectExpr("doc_id", "1 AS quality").union(d.limit(5).selectExpr("doc_id", "1 AS quality"))
+    trusted = quality.trusted_ids(lab)
+    assert trusted.count() == n
+    # every document is trusted, so counts equal what is expected
+    assert set(quality.weights(d, trusted)) == {0}
+
+
+def test_quality_quantile_is_exact(spark):
+    g = np.random.default_rng(5)
+    for x in (g.normal(0, 1, 3000).round(5), [0.25], [-1.0] * 50 + [2.0], [0.1, 0.1 + 1e-9, 3.0], [-0.5, 0.5]):
+        ratios = spark.createDataFrame([(float(v),) for v in x], "ratio double")
+        for part in (0.0, 0.005, 0.5, 0.987, 1.0):
+            assert quality.quantile(ratios, part) == pytest.approx(float(np.quantile(x, part)), abs=1e-12)
+    assert quality.quantile(spark.createDataFrame([], "ratio double"), 0.005) == 0.0
+
+
 def test_near_duplicates(spark, docs, monkeypatch):
     rng = random.Random(3)
     vocab = [f"w{i}" for i in range(400)]
