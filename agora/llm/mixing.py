@@ -214,8 +214,8 @@ def mix(docs: DataFrame, seed: int = 9) -> DataFrame:
 
 
 def mix_documents(docs: DataFrame, seed: int = 9) -> DataFrame:
-    """The mix itself: every row of ``docs`` as often as it is taken."""
+    """The mix itself: every row of ``docs`` as often as it is taken, with its copy number."""
     copies = mix(docs, seed).groupBy("doc_id", "source").agg(F.max("copies").alias("copies")).filter("copies > 0")
     rows = docs.alias("a").join(copies.alias("b"), F.expr("a.doc_id <=> b.doc_id AND a.source <=> b.source"))
-    again = F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("__copy")
-    return rows.select("a.*", again).drop("__copy")
+    again = F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")
+    return rows.select("a.*", again)

@@ -4,14 +4,16 @@ The pieces and their scores come from a public model file (a parameter; read on
 driver, its tables travel with the job).  A text is cut where no merge can cross
 (before a run of spaces, around characters without a piece), and every segment is
 encoded by merges in order of score, the leftmost first: the agenda.  A candidate
-merge is skipped when a hash of (seed, variant, segment, place, left piece, right
-piece) falls under the dropout, so a run is repeatable, segmentations vary between
-seeds and between documents of different variants, and a skipped candidate stays
-skipped.  Dropout 0 gives the model's own segmentation.
+merge is skipped when a hash of (seed, doc_id, copy, place of the segment in the text,
+place in the segment, left piece, right piece) falls under the dropout, so a run is
+repeatable, segmentations vary between seeds, documents, copies of a document and the
+occurrences of a word, and a skipped candidate stays skipped.  Dropout 0 gives the
+model's own segmentation.
 
-Equal segments of a slice of documents are encoded once, all together: each round
-merges the best candidate of every segment.  Segments longer than LONG run through
-a heap instead, with the same result.
+Each round merges the best candidate of every segment of a slice of documents.  Equal
+segments are first encoded once without dropout, noting every candidate met.  An
+occurrence that skips none of these comes out the same; all others are encoded each by
+itself.  Segments longer than LONG run through a heap instead, with the same result.
 
 Losslessness: a space is the mark U+2581, one mark is put before the text and taken
 off again; a character without a piece, and U+2581 itself, becomes its UTF-8 bytes.
@@ -36,8 +38,7 @@ from agora.llm.common import as_bytes, mix64, slices
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 10
-VARIANTS = 4
-SLICE = 2 << 20
+SLICE = 1 << 19
 LONG = 64
 MARK = "▁"
 NONE = np.int64(1) << 62
@@ -102,20 +103,27 @@ class Encoder:
         self.limit = np.uint64(int(dropout * (1 << 32)))
         self.key = mix64(np.array([seed], np.uint64))[0]
 
-    def _candidates(self, left: np.ndarray, right: np.ndarray, place: np.ndarray, salt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank (NONE: no merge, or skipped) and piece of each pair of neighbours."""
+    def _candidates(self, left: np.ndarray, right: np.ndarray, place: np.ndarray, salt: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """Rank (NONE: no merge, or skipped) and piece of each pair of neighbours; without
+        ``salt`` none is skipped."""
         t = self.t
         key = left.astype(np.int64) << 16 | right
         k = np.minimum(np.searchsorted(t.pair, key), len(t.pair) - 1)
         piece = t.merged[k]
         rank = np.where((t.pair[k] == key) & (left >= 0) & (right >= 0), t.rank[piece], NONE)
-        if self.limit:
-            drop = mix64(salt ^ mix64(key.astype(np.uint64) ^ (place.astype(np.uint64) << np.uint64(40)))) >> np.uint64(32)
-            rank = np.where(drop < self.limit, NONE, rank)
+        if salt is not None:
+            rank = np.where(self._skips(salt, key, place), NONE, rank)
         return rank, piece
 
-    def _together(self, sym: np.ndarray, lens: np.ndarray, salt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Encode many segments; their symbols and the number of each one's pieces."""
+    def _skips(self, salt: np.ndarray, key: np.ndarray, place: np.ndarray) -> np.ndarray:
+        own = mix64(key.astype(np.uint64) ^ (place.astype(np.uint64) << np.uint64(40)))
+        return mix64(salt ^ own) >> np.uint64(32) < self.limit
+
+    def _together(
+        self, sym: np.ndarray, lens: np.ndarray, salt: np.ndarray | None, met: list | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Encode many segments; their symbols and the number of each one's pieces.
+        ``met`` takes (segment, pair, place) of all candidates."""
         n = len(lens)
         seg = np.repeat(np.arange(n), lens)
         place = ranges(np.zeros(n, np.int64), lens)
@@ -123,8 +131,12 @@ class Encoder:
 
         def score(sel: np.ndarray, a: np.ndarray, s: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             nxt = np.minimum(sel + 1, len(a) - 1)
-            rank, piece = self._candidates(a[sel], a[nxt], p[sel], salt[s[sel]])
-            return np.where((nxt > sel) & (s[nxt] == s[sel]), rank, NONE), piece
+            rank, piece = self._candidates(a[sel], a[nxt], p[sel], None if salt is None else salt[s[sel]])
+            rank = np.where((nxt > sel) & (s[nxt] == s[sel]), rank, NONE)
+            if met is not None:
+                ok = rank < NONE
+                met.append((s[sel[ok]], a[sel[ok]].astype(np.int64) << 16 | a[nxt[ok]], p[sel[ok]]))
+            return rank, piece
 
         rank, piece = score(np.arange(len(sym)), sym, seg, place)
         while len(sym):
@@ -155,12 +167,12 @@ class Encoder:
         order = np.argsort(seg, kind="stable")
         return sym[order], np.bincount(seg, minlength=n)
 
-    def _agenda(self, sym: np.ndarray, salt: np.uint64) -> np.ndarray:
+    def _agenda(self, sym: np.ndarray, salt: np.uint64 | None) -> np.ndarray:
         """Encode one long segment through a heap of candidates."""
         n = len(sym)
         sym = sym.copy()
         nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
-        rank, piece = self._candidates(sym[:-1], sym[1:], np.arange(n - 1), np.full(n - 1, salt))
+        rank, piece = self._candidates(sym[:-1], sym[1:], np.arange(n - 1), None if salt is None else np.full(n - 1, salt))
         heap = [(int(r), i, int(sym[i]), int(sym[i + 1]), int(p)) for i, (r, p) in enumerate(zip(rank, piece)) if r < NONE]
         heapq.heapify(heap)
         alive = [True] * n
@@ -168,7 +180,7 @@ class Encoder:
         def push(i: int) -> None:
             j = nxt[i]
             if j < n:
-                r, p = self._candidates(sym[i : i + 1], sym[j : j + 1], np.array([i]), np.array([salt]))
+                r, p = self._candidates(sym[i : i + 1], sym[j : j + 1], np.array([i]), None if salt is None else np.array([salt]))
                 if r[0] < NONE:
                     heapq.heappush(heap, (int(r[0]), i, int(sym[i]), int(sym[j]), int(p[0])))
 
@@ -186,7 +198,8 @@ class Encoder:
         return sym[np.array(alive)]
 
     def encode(self, texts: list[str], variant: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, one after the other, and how many each has."""
+        """Ids of all texts, one after the other, and how many each has; texts of another
+        ``variant`` (a number of 64 bits) skip other candidates."""
         texts = [" " + t if t else "" for t in texts]
         lens = np.array([len(t) for t in texts], np.int64)
         cp = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -202,21 +215,48 @@ class Encoder:
         size = np.diff(np.append(start, len(cp)))
         doc = np.repeat(np.arange(len(texts)), lens)[start]
         h = mix64(cp.astype(np.uint64) | (ranges(np.zeros(len(start), np.int64), size).astype(np.uint64) << np.uint64(32)))
-        salt = mix64(np.add.reduceat(h, start) ^ mix64(self.key + variant[doc].astype(np.uint64)))
-        _, where, back = np.unique(salt, return_index=True, return_inverse=True)
-        s, z, k = start[where], size[where], salt[where]
+        # distinct segments without dropout
+        _, where, same = np.unique(mix64(np.add.reduceat(h, start)), return_index=True, return_inverse=True)
+        s, z = start[where], size[where]
         fall = sym[s] < 0
         ids_of: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # segments, sizes, ids
+        met: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         short = np.flatnonzero(~fall & (z <= LONG))
-        got, count = self._together(sym[ranges(s[short], z[short])], z[short], k[short])
+        got, count = self._together(sym[ranges(s[short], z[short])], z[short], None, met if self.limit else None)
         ids_of.append((short, count, got))
-        for u in np.flatnonzero(~fall & (z > LONG)):
-            got = self._agenda(sym[s[u] : s[u] + z[u]], k[u])
-            ids_of.append((np.array([u]), np.array([len(got)]), got))
+        if not self.limit:
+            for u in np.flatnonzero(~fall & (z > LONG)):
+                got = self._agenda(sym[s[u] : s[u] + z[u]], None)
+                ids_of.append((np.array([u]), np.array([len(got)]), got))
         odd_at = np.flatnonzero(fall)
         raw = [chr(c).encode("utf-8", "surrogatepass") for c in cp[s[odd_at]]]
         ids_of.append((odd_at, np.array([len(r) for r in raw], np.int64), self.t.byte[np.frombuffer(b"".join(raw), np.uint8)]))
-        n_ids, at = np.zeros(len(s), np.int64), np.zeros(len(s), np.int64)
+        back = same
+        if self.limit:
+            # occurrences that skip a candidate become segments of their own, after the distinct ones
+            salt = mix64(mix64(self.key ^ mix64(variant))[doc] ^ (start - edge[doc]).astype(np.uint64))
+            seg, pair, place = (np.concatenate(x) for x in zip(*met))
+            order = np.argsort(seg, kind="stable")
+            pair, place = pair[order], place[order]
+            n_met = np.zeros(len(s), np.int64)
+            n_met[short] = np.bincount(seg, minlength=len(short))
+            cand = ranges((np.cumsum(n_met) - n_met)[same], n_met[same])
+            occ = np.repeat(np.arange(len(same)), n_met[same])
+            own = (z > LONG)[same] & ~fall[same]
+            own[occ[self._skips(salt[occ], pair[cand], place[cand])]] = True
+            own = np.flatnonzero(own)
+            back = same.copy()
+            back[own] = len(s) + np.arange(len(own))
+            few = np.flatnonzero(size[own] <= LONG)
+            o = own[few]
+            got, count = self._together(sym[ranges(start[o], size[o])], size[o], salt[o])
+            ids_of.append((len(s) + few, count, got))
+            for u in np.flatnonzero(size[own] > LONG):
+                i = own[u]
+                got = self._agenda(sym[start[i] : start[i] + size[i]], salt[i])
+                ids_of.append((np.array([len(s) + u]), np.array([len(got)]), got))
+        n_seg = max(len(s), int(back.max()) + 1)
+        n_ids, at = np.zeros(n_seg, np.int64), np.zeros(n_seg, np.int64)
         total = 0
         for u, count, got in ids_of:
             n_ids[u], at[u] = count, total + np.cumsum(count) - count
@@ -235,7 +275,7 @@ def decode(ids: np.ndarray, per_doc: np.ndarray, tables: Tables) -> list[bytes]:
     return [flat[a + 1 : b] if b > a else b"" for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())]
 
 
-def _encode(tables: Tables, dropout: float, seed: int, column: str, id_column: str, keep: list[str]):
+def _encode(tables: Tables, dropout: float, seed: int, column: str, id_column: str, copy_column: str | None, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = Encoder(tables, dropout, seed)
         for batch in batches:
@@ -244,7 +284,11 @@ def _encode(tables: Tables, dropout: float, seed: int, column: str, id_column: s
                 part = batch.slice(i, j - i)
                 texts = part.column(column).to_pylist()
                 ids = np.array([x or 0 for x in part.column(id_column).to_pylist()], np.int64).view(np.uint64)
-                flat, n = enc.encode([t or "" for t in texts], mix64(ids) % np.uint64(VARIANTS))
+                variant = mix64(ids)
+                if copy_column:
+                    copy = np.array([x or 0 for x in part.column(copy_column).to_pylist()], np.int64).view(np.uint64)
+                    variant = mix64(variant ^ copy)
+                flat, n = enc.encode([t or "" for t in texts], variant)
                 edge = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(edge), pa.array(flat, pa.int32()), mask=pa.array([t is None for t in texts]))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), lists], [*keep, "ids"])
@@ -252,10 +296,10 @@ def _encode(tables: Tables, dropout: float, seed: int, column: str, id_column: s
     return run
 
 
-def encoded(docs: DataFrame, tables: Tables, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
-    """``docs`` with ids array<int>."""
+def encoded(docs: DataFrame, tables: Tables, dropout: float = DROPOUT, seed: int = SEED, copy: str | None = None) -> DataFrame:
+    """``docs`` with ids array<int>; ``copy``: the column that tells a document's copies apart."""
     schema = f"{', '.join(f'`{c}` {t}' for c, t in docs.dtypes)}, ids array<int>"
-    return docs.mapInArrow(_encode(tables, dropout, seed, "text", "doc_id", docs.columns), schema)
+    return docs.mapInArrow(_encode(tables, dropout, seed, "text", "doc_id", copy, docs.columns), schema)
 
 
 def _decode(tables: Tables, keep: list[str]):
@@ -281,11 +325,13 @@ def decoded(rows: DataFrame, tables: Tables) -> DataFrame:
 
 
 def round_trip(
-    docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED, keep: list[str] | None = None
+    docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED, keep: list[str] | None = None,
+    copy: str | None = None,
 ) -> DataFrame:
     """(doc_id, kept columns, ids, n_ids, lossless): encoded with dropout, decoded again and compared."""
     tables, keep = load(model), keep or []
-    back = decoded(encoded(docs.select("doc_id", "text", *keep), tables, dropout, seed), tables)
+    own = [copy] if copy else []
+    back = decoded(encoded(docs.select("doc_id", "text", *keep, *own), tables, dropout, seed, copy), tables)
     return back.select(
         "doc_id", *keep, "ids", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_ids"),
         F.col("text").eqNullSafe(F.col("decoded")).alias("lossless"),

@@ -32,13 +32,13 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the source mix takes it."""
+    """Every document as often as the source mix takes it, its copies numbered."""
     return mixing.mix_documents(docs)
 
 
 def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of each row, with merge-dropout (doc_id, source, ids, n_ids, lossless)."""
-    return pieces.round_trip(docs, keep=["source"])
+    return pieces.round_trip(docs, keep=["source"], copy="copy")
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -341,6 +341,27 @@ def test_pieces(spark, docs):
         assert len(got) == len(rows) and all(r.lossless for r in got)
 
 
+def test_pieces_vary_by_occurrence_document_and_copy(spark):
+    text = " ".join(["international"] * 300)
+    rows = [(i, text, c) for i in range(6) for c in (1, 2)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, copy int")
+    tables = pieces.load()
+    got = {(r.doc_id, r.copy): r.ids for r in pieces.encoded(d, tables, copy="copy").collect()}
+    assert len({tuple(x) for x in got.values()}) == len(rows)
+    assert got == {(r.doc_id, r.copy): r.ids for r in pieces.encoded(d.repartition(5), tables, copy="copy").collect()}
+    cuts = {tuple(x) for ids in got.values() for x in np.split(ids, [k for k in range(1, len(ids)) if tables.text[tables.at[ids[k]]] == 32])}
+    assert len(cuts) > 4
+
+
+def test_pieces_equal_the_heap_of_each_occurrence(monkeypatch):
+    tables, texts = pieces.load(), ["the " * 50 + "understanding of the understanding"] * 2
+    key = np.array([1, 2], np.uint64)
+    ids, n = pieces.Encoder(tables, 0.3).encode(texts, key)
+    monkeypatch.setattr(pieces, "LONG", 0)  # no sharing: every occurrence through the heap
+    want, m = pieces.Encoder(tables, 0.3).encode(texts, key)
+    assert ids.tolist() == want.tolist() and n.tolist() == m.tolist()
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
