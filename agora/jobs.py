@@ -23,7 +23,7 @@ from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from agora.functions.dates import as_date
-from agora.plans import ingest, moderation, reports_sql, staging, weekly
+from agora.plans import ingest, reports_sql, staging, weekly
 from agora.session import configure
 from agora.sinks.batch import write_partitioned
 from agora.sources import files
@@ -127,17 +127,18 @@ def cmd_flag_stream(a: argparse.Namespace) -> None:
         quarantine = (quarantine.trigger(availableNow=True) if a.available_now else quarantine).start()
     if a.dedupe:
         events = content_flag.dedupe_events(events, a.dedupe)
-    post_flags = moderation.post_flags_from_posts(files.read_stored(spark, a.posts))
-    community_flags = spark.read.parquet(a.community_flags).select("subreddit", "community_adult")
-    flagged = content_flag.flag_events(events, post_flags, community_flags)
     sink_opts = {k: v for k, v in opts.items() if k == "topic" or k.startswith("kafka.")}
-    query = content_flag.start_sink(
-        flagged, a.sink, a.checkpoint, path=a.output, options=sink_opts, available_now=a.available_now,
-        processing_time=None if a.available_now else a.trigger,
+    query = content_flag.start_current_flags(
+        events, content_flag.stored_lookups(a.posts, a.community_flags), a.sink, a.checkpoint, path=a.output,
+        options=sink_opts, available_now=a.available_now, processing_time=None if a.available_now else a.trigger,
     )
-    query.awaitTermination()
-    if quarantine is not None:
-        quarantine.awaitTermination()
+    watched = [q for q in (query, quarantine) if q is not None]
+    try:
+        content_flag.await_all(watched)
+    finally:
+        for q in watched:
+            if q.isActive:
+                q.stop()
 
 
 def parser() -> argparse.ArgumentParser:
