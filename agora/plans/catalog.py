@@ -15,15 +15,17 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from agora.operators import counts, topn
-from agora.plans import ingest, moderation, reports_sql
+from agora.plans import comment_trees, ingest, moderation, reports_sql
 from agora.plans import staging as staging_plan
 from agora.plans import weekly
 from agora.functions.json import encode_json
 from agora.schemas import POST_EVENT
 from agora.session import configure, scratch_dir
 from agora.sources import standins
+from agora.sources.tables import read_table
 from agora.streaming import content_flag
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -469,6 +471,42 @@ def q_reply_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.reply_counts(standins.reply_tree(spark, sf_dir))
 
 
+# Comment trees as landed: conversation c is post c, turn n answers turn (n - 1) // 2.
+SQL_TREES = (
+    SQL_TOP
+    + """,
+every AS (
+    SELECT CAST(conv_id AS VARCHAR) AS post_id, turn,
+           CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS comment_id,
+           CASE WHEN turn > 0 THEN CAST(conv_id AS VARCHAR) || ':' || CAST((turn - 1) // 2 AS VARCHAR) END AS parent_id,
+           role AS author_name, turn % 3 AS score
+    FROM conversations
+),
+n AS (SELECT parent_id AS comment_id, count(*) AS replies FROM every WHERE turn > 0 GROUP BY 1)"""
+)
+
+
+@register(
+    "comment_trees_ingest",
+    "WITH"
+    + SQL_TREES
+    + """
+SELECT e.post_id, e.parent_id, e.comment_id, e.author_name, nullif(e.score, 0) AS score,
+       1704672000.0 + e.turn AS created_utc, CAST(NULL AS BOOLEAN) AS is_submitter, CAST(NULL AS VARCHAR) AS distinguished,
+       CAST(NULL AS VARCHAR) AS edited, n.replies AS replies, 1704672000.0 AS etl_ts,
+       'c' || CAST(CAST(e.post_id AS BIGINT) % 7 AS VARCHAR) AS subreddit, DATE '2024-01-08' AS etl_date
+FROM every e LEFT JOIN n ON n.comment_id = e.comment_id""",
+)
+def q_comment_trees_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested comment trees of unknown depth, flattened and ingested with their reply counts."""
+    trees = standins.comment_trees(spark, sf_dir)
+    posts = standins.tree_posts(trees)
+    communities = posts.groupBy("subreddit").agg(F.count("*").cast("double").alias("subscribers_count"))
+    return ingest.ingest_comments(
+        comment_trees.flat_comments(trees).drop("depth"), posts, communities.withColumnRenamed("subreddit", "subreddit_name")
+    )
+
+
 # --------------------------------------------------------------------------
 # Content flag (Q7 batch and stream) and the sample post JSON (Q8).
 
@@ -551,6 +589,114 @@ def q_content_flag_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(POST_EVENT).json(f"{out}/data")
 
 
+def _land_events(events: DataFrame, path: str, mode: str = "append") -> None:
+    """A producer's step: events as JSON lines, what a topic would hold."""
+    events.select(encode_json(events.columns).alias("value")).write.mode(mode).text(path)
+
+
+@register(
+    "content_flag_current",
+    """
+WITH loads AS (
+    SELECT 1 AS load, CAST(doc_id AS VARCHAR) AS thread_id, toxic = 1 AS adult FROM labels WHERE quality = 1
+    UNION ALL
+    SELECT 2, CAST(doc_id AS VARCHAR), toxic = 1 FROM labels
+),
+pf AS (SELECT load, thread_id, bool_or(adult) AS post_adult FROM loads GROUP BY load, thread_id),
+cf AS (
+    SELECT d.source AS subreddit, (coalesce(sum(l.toxic), 0) + 1) / (count(l.toxic) + 10) >= 0.15 AS community_adult
+    FROM documents d JOIN labels l ON l.doc_id = d.doc_id
+    GROUP BY d.source
+),
+ev AS (
+    SELECT source AS subreddit, CAST(doc_id AS VARCHAR) AS thread_id,
+           CASE WHEN lang = 'en' THEN 1 ELSE 2 END AS load
+    FROM documents
+)
+SELECT ev.subreddit, ev.thread_id,
+       CAST(NULL AS VARCHAR) AS author_id, CAST(NULL AS VARCHAR) AS creation_date, CAST(NULL AS VARCHAR) AS url,
+       CASE WHEN pf.post_adult IS NULL THEN NULL
+            ELSE pf.post_adult AND NOT (ev.load = 2 AND coalesce(cf.community_adult, false)) END AS is_violation
+FROM ev
+LEFT JOIN pf ON pf.load = ev.load AND pf.thread_id = ev.thread_id
+LEFT JOIN cf ON cf.subreddit = ev.subreddit""",
+)
+def q_content_flag_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q7 on a running stream whose lookups are replaced while it runs.
+
+    The English posts' events arrive first, when the store holds the flags of the good
+    documents and no community flag; then both lookup folders are replaced and the other
+    events arrive.  Each event is flagged by what is stored when its batch runs.
+    """
+    out = scratch_dir(spark, "content_flag_current")
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "source", "lang"])
+    labels = read_table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"])
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))
+
+    def store(flags: DataFrame, communities: DataFrame) -> None:
+        flags.select(F.col("doc_id").cast("string").alias("post_id"), (F.col("toxic") == 1).alias("over_18")).write.mode(
+            "overwrite"
+        ).parquet(f"{out}/posts")
+        communities.write.mode("overwrite").parquet(f"{out}/communities")
+
+    communities = standins.community_flags(spark, sf_dir)
+    store(labels.where("quality = 1"), communities.limit(0))
+    _land_events(standins.post_events_from_documents(docs.where(english)), f"{out}/in")
+    parsed = content_flag.parse_events(content_flag.read_event_values(spark, "json", f"{out}/in"))
+    query = content_flag.start_current_flags(
+        content_flag.good_events(parsed), content_flag.stored_lookups(f"{out}/posts", f"{out}/communities"),
+        sink="json", path=f"{out}/data", checkpoint=f"{out}/checkpoint", processing_time="100 milliseconds",
+    )
+    try:
+        query.processAllAvailable()
+        store(labels, communities)
+        _land_events(standins.post_events_from_documents(docs.where(~english)), f"{out}/in")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return content_flag.read_flagged(spark, f"{out}/data")
+
+
+# Event times of the de-duplicated stream, by language: old, in a wrong unit, missing,
+# unreadable; the rest far beyond any calendar.
+_EVENT_TIMES = {"en": "1704672000.0", "de": "1e12", "fr": None, "es": "soon"}
+_FAR_TIME = "1e300"
+
+
+@register(
+    "stream_dedup",
+    """
+WITH ev AS (
+    SELECT source AS subreddit, CAST(doc_id AS VARCHAR) AS thread_id,
+           CASE lang WHEN 'en' THEN '1704672000.0' WHEN 'de' THEN '1e12' WHEN 'fr' THEN NULL WHEN 'es' THEN 'soon'
+                ELSE '1e300' END AS creation_date
+    FROM documents
+)
+SELECT DISTINCT subreddit, thread_id, creation_date FROM ev
+UNION ALL
+SELECT DISTINCT subreddit, 'again-' || thread_id, '1704672000.0' FROM ev""",
+)
+def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event once, whatever its clock says (G4): old, untimed and far-future events
+    arrive with repeats, then all of them again beside new ones."""
+    out = scratch_dir(spark, "stream_dedup")
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "source", "lang"])
+    time_text = F.when(F.lit(False), F.lit(None).cast("string"))
+    for lang, text in _EVENT_TIMES.items():
+        time_text = time_text.when(F.col("lang") == lang, F.lit(text).cast("string"))
+    timed = docs.withColumn("creation_date", time_text.otherwise(_FAR_TIME))
+    first = standins.post_events_from_documents(timed, creation_date="creation_date")
+    again = first.withColumn("thread_id", F.concat(F.lit("again-"), "thread_id")).withColumn("creation_date", F.lit(_EVENT_TIMES["en"]))
+    for landed in (first.unionByName(first), first.unionByName(again)):
+        _land_events(landed, f"{out}/in")
+        parsed = content_flag.parse_events(content_flag.read_event_values(spark, "json", f"{out}/in"))
+        deduped = content_flag.dedupe_events(content_flag.good_events(parsed))
+        content_flag.start_sink(
+            deduped, sink="json", path=f"{out}/data", checkpoint=f"{out}/checkpoint", available_now=True
+        ).awaitTermination()
+    return spark.read.schema(POST_EVENT).json(f"{out}/data").select("subreddit", "thread_id", "creation_date")
+
+
 @register(
     "sample_post_json",
     "WITH"

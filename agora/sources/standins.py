@@ -163,12 +163,13 @@ def post_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return post_events_from_documents(docs)
 
 
-def post_events_from_documents(docs: DataFrame) -> DataFrame:
+def post_events_from_documents(docs: DataFrame, creation_date: str | None = None) -> DataFrame:
+    """Post events; ``creation_date`` names a column with their times as text, if any."""
     return docs.select(
         F.col("source").alias("subreddit"),
         F.col("doc_id").cast("string").alias("thread_id"),
         _null("string").alias("author_id"),
-        _null("string").alias("creation_date"),
+        (F.col(creation_date) if creation_date else _null("string")).alias("creation_date"),
         _null("string").alias("url"),
         _null("boolean").alias("is_violation"),
     )
@@ -214,3 +215,31 @@ def reply_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("turn") > 0, key(F.col("turn") - 1)).alias("parent_id"),
         F.col("role").alias("author_name"),
     )
+
+
+def comment_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed posts with their comments as nested JSON: ``post_id, comments``.
+
+    Turn n of a conversation answers turn (n - 1) // 2, so comments have up to two
+    replies.  The JSON is folded from the last turn to the first: a turn takes what the
+    turns after it hung below it.  A conversation is small (a few turns).
+    """
+    conv = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role"])
+    turns = conv.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role")), asc=False).alias("turns"))
+    # acc: by turn, the JSON of the turns that hang below it; -1 holds the top level
+    up = "IF(x.turn > 0, (x.turn - 1) DIV 2, -1L)"
+    own = """concat(
+        '{"comment_id":"', conv_id, ':', x.turn, '","author_name":', IF(x.role IS NULL, 'null', concat('"', x.role, '"')),
+        ',"score":', x.turn % 3, ',"created_utc":', 1704672000 + x.turn,
+        ',"replies":[', coalesce(try_element_at(acc, x.turn), ''), ']}')"""
+    folded = f"""aggregate(turns, CAST(map() AS MAP<BIGINT, STRING>), (acc, x) -> map_concat(
+        map_filter(acc, (k, v) -> k <> {up}), map({up}, concat_ws(',', {own}, try_element_at(acc, {up})))))"""
+    return turns.select(
+        F.col("conv_id").cast("string").alias("post_id"),
+        F.expr(f"concat('[', coalesce(try_element_at({folded}, -1L), ''), ']')").alias("comments"),
+    )
+
+
+def tree_posts(trees: DataFrame) -> DataFrame:
+    """The stored posts that the trees belong to, in seven communities."""
+    return trees.select("post_id", F.concat(F.lit("c"), (F.col("post_id").cast("long") % 7).cast("string")).alias("subreddit"))
