@@ -19,10 +19,11 @@ import argparse
 import datetime as dt
 import sys
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from agora.functions.dates import as_date
+from agora.operators.calendar import week_masks_of_days
 from agora.plans import ingest, reports_sql, staging, weekly
 from agora.session import configure
 from agora.sinks.batch import write_partitioned
@@ -46,6 +47,12 @@ def _today() -> str:
     return dt.datetime.now(dt.timezone.utc).date().isoformat()
 
 
+def _quarantine(bad: DataFrame, rejected: DataFrame, a: argparse.Namespace) -> None:
+    """The run's own folders: a run that is repeated replaces them."""
+    for name, rows in (("corrupt", bad), ("rejected", rejected)):
+        rows.write.mode("overwrite").json(f"{a.quarantine}/{name}/run={a.run_date}")
+
+
 def cmd_ingest_posts(a: argparse.Namespace) -> None:
     spark = _session("agora-ingest-posts")
     raw = files.read_post_snapshots(spark, a.snapshots, a.format)
@@ -61,8 +68,7 @@ def cmd_ingest_posts(a: argparse.Namespace) -> None:
     write_partitioned(posts.observe(seen, F.count(F.lit(1)).alias("accepted")), a.out, mode=a.mode)
     print(f"ingest-posts {a.run_date}: {seen.get['accepted']} posts accepted", file=sys.stderr)
     if a.quarantine:
-        bad.write.mode("append").json(f"{a.quarantine}/corrupt")
-        rejected.write.mode("append").json(f"{a.quarantine}/rejected")
+        _quarantine(bad, rejected, a)
 
 
 def cmd_ingest_comments(a: argparse.Namespace) -> None:
@@ -78,8 +84,7 @@ def cmd_ingest_comments(a: argparse.Namespace) -> None:
     write_partitioned(comments.observe(seen, F.count(F.lit(1)).alias("accepted")), a.out, mode=a.mode)
     print(f"ingest-comments {a.run_date}: {seen.get['accepted']} comments accepted", file=sys.stderr)
     if a.quarantine:
-        bad.write.mode("append").json(f"{a.quarantine}/corrupt")
-        rejected.write.mode("append").json(f"{a.quarantine}/rejected")
+        _quarantine(bad, rejected, a)
 
 
 def cmd_stage_users(a: argparse.Namespace) -> None:
@@ -96,15 +101,16 @@ def cmd_stage_users(a: argparse.Namespace) -> None:
     elif a.buckets:
         staging.write_staging_table(staged, a.table, a.buckets, path=a.out)
     else:
-        run = f"{first}_{a.end_date}" if a.end_date else f"{first}"
-        staging.write_staging(staged, a.out, run, a.quarantine)
+        staging.publish_staging(staged, a.out, first, end)
 
 
 def cmd_report(a: argparse.Namespace) -> None:
     spark = _session(f"agora-report-{a.name}")
-    stg = spark.read.parquet(a.staging)
-    if a.name == "all":
-        weekly.write_all_reports(stg, a.out, a.year, a.week)
+    stg = spark.table(a.staging_table) if a.staging_table else staging.read_staging(spark, a.staging)
+    if a.name == "all" or a.prune:
+        # one mask table for the reports; only the week's day folders are read
+        masks = week_masks_of_days(stg, a.year, a.week, every_year=not a.prune)
+        weekly.write_all_reports(stg, a.out, a.year, a.week, masks=masks, names=None if a.name == "all" else [a.name])
         return
     out = reports_sql.run_report(spark, a.name, stg, a.year, a.week)
     out.write.mode("overwrite").parquet(a.out)
@@ -176,7 +182,6 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--end-date")
     s.add_argument("--user-col", default="author_name", help="the column that holds the user")
     s.add_argument("--day-col", default="etl_ts", choices=["etl_ts", "created_utc"])
-    s.add_argument("--quarantine", help="folder for rows without a load day")
     s.add_argument("--jdbc-profile")
     s.add_argument("--table", default="dim_all_users_stg")
     s.add_argument("--buckets", type=int, help="write a catalog table bucketed by author (distinct author/day rows)")
@@ -184,7 +189,9 @@ def parser() -> argparse.ArgumentParser:
 
     s = sub.add_parser("report", help="weekly activity reports from the staging table")
     s.add_argument("name", choices=[*sorted(reports_sql.REPORTS), "all"])
-    s.add_argument("--staging", required=True)
+    s.add_argument("--staging", help="folder that stage-users published to")
+    s.add_argument("--staging-table", help="catalog table instead (bucketed: no exchange)")
+    s.add_argument("--prune", action="store_true", help="the week of that year only (default: that week number of any year); writes OUT/<name>")
     s.add_argument("--out", required=True)
     s.add_argument("--year", type=int, default=2024)
     s.add_argument("--week", type=int, default=2)

@@ -7,7 +7,8 @@
   ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000) Spark inserts a
   partial WindowGroupLimit *before* the shuffle, so a group holding a third of
   all rows still ships at most n rows per map task; the window then sorts
-  only those survivors.
+  only those survivors.  Above that threshold the ranks come from ranges
+  (``operators.ranking``), so no group meets in one task.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from agora.operators.ranking import ranked
+
 RANK_COL = "_rank"
 
 
@@ -55,10 +58,13 @@ def first_n_per_group(
 
     With ``rank_col`` the 1-based rank is kept in that column.
     """
+    if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        rows = ranked(df, list(group), order, rank_col or RANK_COL, n)
+        return rows.withColumn(rank_col, F.col(rank_col).cast("int")) if rank_col else rows.drop(RANK_COL)
     w = Window.partitionBy(*group).orderBy(*_cols(order))
     name = rank_col or RANK_COL
-    ranked = df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= F.lit(n))
-    return ranked if rank_col else ranked.drop(name)
+    limited = df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= F.lit(n))
+    return limited if rank_col else limited.drop(name)
 
 
 def last_of_first_n(

@@ -10,6 +10,7 @@ the same bit arithmetic).
 
 from __future__ import annotations
 
+import datetime as dt
 import functools
 import uuid
 from collections.abc import Callable
@@ -18,13 +19,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agora.operators import counts, topn
-from agora.plans import comment_trees, ingest, moderation, reports_sql
+from agora.operators.calendar import week_masks_of_days
+from agora.plans import comment_trees, ingest, moderation, reports_sql, user_days
 from agora.plans import staging as staging_plan
 from agora.plans import weekly
 from agora.functions.json import encode_json
 from agora.schemas import POST_EVENT
 from agora.session import configure, scratch_dir
-from agora.sources import standins
+from agora.sinks.batch import write_partitioned
+from agora.sources import files, standins
 from agora.sources.tables import read_table
 from agora.streaming import content_flag
 
@@ -36,7 +39,12 @@ ORACLE: dict[str, str] = {}
 NO_ORACLE: set[str] = set()
 
 
-def register(name: str, oracle: str | None = None):
+# Queries that run several loads or stream batches while they build their result; the
+# bench times the others.
+SCENARIOS: set[str] = set()
+
+
+def register(name: str, oracle: str | None = None, scenario: bool = False):
     """Register a query; it runs with the jobs' session settings (UTC, AQE, broadcast policy)."""
 
     def deco(fn: QueryFn) -> QueryFn:
@@ -49,6 +57,8 @@ def register(name: str, oracle: str | None = None):
             return fn(spark, sf_dir)
 
         QUERIES[name] = run
+        if scenario:
+            SCENARIOS.add(name)
         if oracle is not None:
             ORACLE[name] = oracle.strip()
         return run
@@ -233,6 +243,120 @@ def q_dim_all_users_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _staging(spark, sf_dir)
 
 
+# --------------------------------------------------------------------------
+# Loads kept across runs.
+
+BACKFILL = ("2024-01-01", "2024-03-01")
+
+
+class _Refused(Exception):
+    """An audit that keeps a run unpublished."""
+
+
+def _load_staging(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Two daily loads, one that its audit refuses, then a backfill that covers them."""
+    for day, end in (("2024-01-08", "2024-01-09"), ("2024-01-09", "2024-01-10")):
+        staged = staging_plan.stage_users(standins.stored_comments(spark, sf_dir, day, end), day, end)
+        staging_plan.publish_staging(staged, path, day, end)
+
+    def refuse(rows: dict[str, int]) -> None:
+        raise _Refused(rows)
+
+    try:
+        staging_plan.publish_staging(_staging(spark, sf_dir), path, "2024-01-10", "2024-01-11", audit=refuse)
+    except _Refused:
+        pass
+    staging_plan.publish_staging(_staging(spark, sf_dir), path, *BACKFILL)
+
+
+@register(
+    "staging_published",
+    """
+SELECT coalesce(CAST(user_id AS VARCHAR), 'None') AS author_id, CAST(ts AS DATE) AS etl_ts
+FROM events WHERE ts IS NOT NULL""",
+    scenario=True,
+)
+def q_staging_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staging table after daily loads, a refused load and the backfill over them (K3)."""
+    path = scratch_dir(spark, "staging_published")
+    _load_staging(spark, sf_dir, path)
+    return staging_plan.read_staging(spark, path)
+
+
+@register("weekly_active_days_stored", SQL_ACTIVE_DAYS, scenario=True)
+def q_weekly_active_days_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1 from the stored staging table; the calendar join prunes its day folders."""
+    path = scratch_dir(spark, "weekly_active_days_stored")
+    staging_plan.publish_staging(_staging(spark, sf_dir), path, *BACKFILL)
+    return weekly.weekly_active_days(masks=week_masks_of_days(staging_plan.read_staging(spark, path)))
+
+
+def _flags_of_week(monday: str) -> str:
+    """Q3's oracle for the week from ``monday`` on, of that year only."""
+    days = [f"bool_or(etl_ts = DATE '{monday}' + {k})" for k in range(6, -1, -1)]
+    text = " || ".join(f"(CASE WHEN {d} THEN '1' ELSE '0' END)" for d in days)
+    return (
+        "WITH" + SQL_STAGING + f""",
+per_user AS (
+    SELECT author_id, {text} AS weekly_activity FROM stg
+    WHERE etl_ts BETWEEN DATE '{monday}' AND DATE '{monday}' + 6 AND author_id <> 'None'
+    GROUP BY author_id
+)""" + ORACLE_FLAGS[ORACLE_FLAGS.index("\nSELECT author_id, weekly_activity,"):]
+    )
+
+
+@register("consecutive_day_flags_week4", _flags_of_week("2024-01-22"), scenario=True)
+def q_consecutive_day_flags_week4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3 for another week of that year only, pruned to its seven folders (G1)."""
+    path = scratch_dir(spark, "consecutive_day_flags_week4")
+    staging_plan.publish_staging(_staging(spark, sf_dir), path, *BACKFILL)
+    masks = week_masks_of_days(staging_plan.read_staging(spark, path), 2024, 4, every_year=False)
+    return weekly.consecutive_day_flags(masks=masks)
+
+
+@register("weekly_flags_incremental", _flags_of_week("2024-01-08"), scenario=True)
+def q_weekly_flags_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3 from masks that each day's load was ORed into, one day twice (A2)."""
+    path = scratch_dir(spark, "weekly_flags_incremental")
+    for day in (8, 9, 10, 11, 12, 13, 14, 10):
+        date = f"2024-01-{day:02d}"
+        user_days.add_to_week_masks(staging_plan.stage_users(standins.stored_comments(spark, sf_dir, date), date), path)
+    return weekly.consecutive_day_flags(masks=user_days.week_masks(spark, path, dt.date(2024, 1, 8)))
+
+
+@register(
+    "active_users_spans",
+    "WITH" + SQL_STAGING + """,
+act AS (SELECT DISTINCT author_id, etl_ts AS day FROM stg WHERE author_id <> 'None' AND etl_ts IS NOT NULL),
+days AS (SELECT DISTINCT day FROM act)
+SELECT days.day,
+       count(DISTINCT CASE WHEN act.day = days.day THEN author_id END) AS active_1,
+       count(DISTINCT CASE WHEN act.day > days.day - 7 THEN author_id END) AS active_7,
+       count(DISTINCT author_id) AS active_28
+FROM days JOIN act ON act.day <= days.day AND act.day > days.day - 28
+GROUP BY days.day""",
+    scenario=True,
+)
+def q_active_users_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Active users of 1, 7 and 28 days from one table of day bitmaps."""
+    path = scratch_dir(spark, "active_users_spans")
+    staged = _staging(spark, sf_dir)
+    users = user_days.number_new_users(staged, f"{path}/users", "backfill")
+    user_days.add_bitmaps(staged, users, f"{path}/days", *BACKFILL)
+    return user_days.active_users(user_days.day_bitmaps(spark, f"{path}/days"))
+
+
+@register("longest_streak_periods", ORACLE["longest_streak"])
+def q_longest_streak_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Longest streaks from run summaries: weeks merged into months, months into all time.
+
+    A week belongs to the month of its Monday, so that no period overlaps another.
+    """
+    weeks = user_days.period_runs(_staging(spark, sf_dir), F.date_trunc("week", "day").cast("date"))
+    months = user_days.combined_runs(weeks, F.date_trunc("month", "period").cast("date"))
+    return user_days.longest_streaks(user_days.combined_runs(months))
+
+
 # --------------------------------------------------------------------------
 # Communities, listings and ingest.
 
@@ -354,6 +478,83 @@ def q_top_posts_per_community(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LONG_LISTING = 1001
+
+
+@register(
+    "long_listing",
+    f"""
+WITH ranked AS (
+    SELECT o_orderstatus = 'F' AS over_18, CAST(o_orderkey AS VARCHAR) AS post_id, CAST(floor(o_totalprice) AS BIGINT) AS ups,
+           row_number() OVER (PARTITION BY o_orderstatus = 'F' ORDER BY floor(o_totalprice) DESC NULLS LAST,
+                              CAST(o_orderkey AS VARCHAR)) AS hot_rank
+    FROM orders
+)
+SELECT over_18, post_id, ups, CAST(hot_rank AS INTEGER) AS hot_rank FROM ranked WHERE hot_rank <= {LONG_LISTING}""",
+)
+def q_long_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 1001 posts of the adult and of the other half: groups beyond any task, ranked by ranges."""
+    snaps = standins.post_snapshots(spark, sf_dir).select("over_18", "post_id", "ups")
+    return topn.first_n_per_group(snaps, ["over_18"], standins.standin_hot_order(), LONG_LISTING, rank_col="hot_rank")
+
+
+@register(
+    "communities_csv",
+    """
+SELECT c_name AS subreddit_name,
+       CASE WHEN isnan(c_acctbal) OR c_mktsegment = 'MACHINERY' THEN NULL ELSE c_acctbal END AS subscribers_count
+FROM customer""",
+    scenario=True,
+)
+def q_communities_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The community list through its CSV reader: other columns beside, missing words as NULL."""
+    path = scratch_dir(spark, "communities_csv")
+    cust = read_table(spark, sf_dir, "customer", ["c_name", "c_acctbal", "c_mktsegment"])
+    count = F.when(F.col("c_mktsegment") == "MACHINERY", F.lit("n/a")).otherwise(F.col("c_acctbal").cast("string"))
+    cust.select("c_mktsegment", count.alias("subscribers_count"), F.col("c_name").alias("subreddit_name")).write.option(
+        "header", "true"
+    ).csv(f"{path}/list")
+    return files.read_communities_csv(spark, f"{path}/list")
+
+
+SQL_REJECTS = (
+    SQL_TOP
+    + """,
+snap AS (
+    SELECT CAST(o_orderdate AS DATE) AS snapshot_date, 'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS subreddit,
+           CAST(o_orderkey AS VARCHAR) AS post_id, floor(o_totalprice) AS ups, o_orderstatus = 'P' AS deleted,
+           o_orderpriority = '1-URGENT' AS timeless
+    FROM orders
+),
+listed AS (
+    SELECT *, row_number() OVER (PARTITION BY snapshot_date, subreddit ORDER BY ups DESC NULLS LAST, post_id) AS rn
+    FROM snap WHERE subreddit IN (SELECT subreddit_name FROM top)
+)
+SELECT snapshot_date, subreddit, post_id, CASE WHEN deleted THEN 'no author' ELSE 'no time' END AS reason
+FROM listed WHERE rn <= 100 AND (deleted OR timeless)"""
+)
+
+
+@register("ingest_rejects", "WITH" + SQL_REJECTS)
+def q_ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listed posts that the ingest refuses: author deleted, or no creation time."""
+    broken = standins.broken_post_snapshots(spark, sf_dir)
+    _, rejected = ingest.ingest_posts(
+        broken, standins.communities(spark, sf_dir), hot_order=standins.standin_hot_order(), with_rejected=True
+    )
+    reason = F.when(F.col("author_id").isNull(), "no author").otherwise("no time")
+    return rejected.select("snapshot_date", "subreddit", "post_id", reason.alias("reason"))
+
+
+@register("posts_written_back", "WITH" + SQL_POSTS + "\nSELECT * FROM posts", scenario=True)
+def q_posts_written_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The posts of Q5 through the partitioned sink, one run twice, and the stored reader (K1)."""
+    path = scratch_dir(spark, "posts_written_back")
+    for _ in range(2):
+        write_partitioned(_posts(spark, sf_dir), f"{path}/posts", mode="overwrite")
+    return files.read_stored(spark, f"{path}/posts").select(*_posts(spark, sf_dir, []).columns)
+
+
 @register("posts_ingest", "WITH" + SQL_POSTS + "\nSELECT * FROM posts")
 def q_posts_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every landed day of posts for the top-25 communities, cleaned (Q5)."""
@@ -422,6 +623,22 @@ def q_comments_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comments(spark, sf_dir)
 
 
+JOIN_BUCKETS = 8
+
+
+@register("comments_ingest_bucketed", "WITH" + SQL_COMMENTS, scenario=True)
+def q_comments_ingest_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6 from posts and comments stored in buckets of the post id: no side is shuffled."""
+    path = scratch_dir(spark, "comments_ingest_bucketed")
+    communities = standins.communities(spark, sf_dir)
+    names = ingest.top_names(communities, ingest.TOP_COMMUNITIES)
+    posts = ingest.bucket_by_post(_posts(spark, sf_dir, names), _view("posts"), JOIN_BUCKETS, f"{path}/posts")
+    comments = ingest.bucket_by_post(
+        standins.comment_snapshots(spark, sf_dir), _view("comments"), JOIN_BUCKETS, f"{path}/comments"
+    )
+    return ingest.ingest_comments(comments, posts, communities, names=names)
+
+
 @register(
     "falsy_to_null",
     """
@@ -620,6 +837,7 @@ SELECT ev.subreddit, ev.thread_id,
 FROM ev
 LEFT JOIN pf ON pf.load = ev.load AND pf.thread_id = ev.thread_id
 LEFT JOIN cf ON cf.subreddit = ev.subreddit""",
+    scenario=True,
 )
 def q_content_flag_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q7 on a running stream whose lookups are replaced while it runs.
@@ -675,6 +893,7 @@ WITH ev AS (
 SELECT DISTINCT subreddit, thread_id, creation_date FROM ev
 UNION ALL
 SELECT DISTINCT subreddit, 'again-' || thread_id, '1704672000.0' FROM ev""",
+    scenario=True,
 )
 def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event once, whatever its clock says (G4): old, untimed and far-future events

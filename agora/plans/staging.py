@@ -3,19 +3,23 @@
 Reads stored comments whose creation time falls in ``[start, end)`` and keeps
 two fields: the author as text ('None' when missing) and the load day.  The
 reference inserts row by row and appends on every run; here the write is one
-columnar job and re-runnable: each run has a folder of its own, partitioned by
-day, and a run that is repeated replaces its own rows only.
+columnar job and re-runnable.  ``publish_staging`` commits a run's rows and its
+quarantine together; ``write_staging`` gives each run a plain folder of its own.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agora.functions.cleaning import stringify
 from agora.functions.dates import as_date, day_window, epoch_to_date
+from agora.schemas import STAGING
+from agora.sinks.published import Entry, publish_run, read_published
 
 
 def stage_users(
@@ -59,6 +63,32 @@ def write_staging(staged: DataFrame, path: str, run: str, quarantine: str | None
         staging_without_day(staged).write.save(f"{quarantine}/run={run}", **one_run)
 
 
+def publish_staging(
+    staged: DataFrame,
+    path: str,
+    first: dt.date | str,
+    end: dt.date | str,
+    run: str | None = None,
+    audit: Callable[[dict[str, int]], None] | None = None,
+) -> Entry:
+    """Load one run over the creation days [first, end): rows and quarantine in one commit.
+
+    Rows without a day go to the output ``rejects``, all others to ``rows``, partitioned
+    by day; both become visible with the run's entry, written last.  A run over several
+    days (a backfill) takes the place of the daily runs in it, a repeated run that of its
+    earlier attempt, and a killed one is never seen.  ``read_staging`` reads the result.
+    """
+    first, end = as_date(first).isoformat(), as_date(end).isoformat()
+    outputs = {"rows": staged.where(F.col("etl_ts").isNotNull()), "rejects": staging_without_day(staged)}
+    return publish_run(path, run or f"{first}_{end}", first, end, outputs, {"rows": ["etl_ts"]}, audit)
+
+
+def read_staging(spark: SparkSession, path: str, output: str = "rows") -> DataFrame:
+    """``author_id, etl_ts`` of the published runs; a filter on ``etl_ts`` (also one through a
+    calendar join) prunes day folders."""
+    return read_published(spark, path, output, STAGING)
+
+
 def write_staging_table(staged: DataFrame, table: str, buckets: int, path: str | None = None) -> None:
     """Write distinct (author, day) pairs into a table partitioned by day and bucketed by author.
 

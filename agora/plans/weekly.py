@@ -159,8 +159,11 @@ def write_all_reports(
     year: int = REPORT_YEAR,
     week: int = REPORT_WEEK,
     prune: bool = False,
+    masks: DataFrame | None = None,
+    names: list[str] | None = None,
 ) -> dict[str, str]:
-    """Compute the week masks once and write the three reports from them.
+    """Compute the week masks once (or take ``masks``) and write the reports (all three, or
+    ``names``) from them.
 
     The masks (one narrow row per active user) are written as a table under
     ``out_dir/masks`` first; each report then reads that table.  The staging
@@ -168,10 +171,14 @@ def write_all_reports(
     executor re-reads the written masks instead of recomputing them.
     """
     masks_path = f"{out_dir.rstrip('/')}/masks"
-    week_masks(staging, year=year, week=week, prune=prune).write.mode("overwrite").parquet(masks_path)
+    if masks is None:
+        masks = week_masks(staging, year=year, week=week, prune=prune)
+    masks.write.mode("overwrite").parquet(masks_path)
     masks = staging.sparkSession.read.parquet(masks_path)
     paths = {}
     for name, build in REPORT_BUILDERS.items():
+        if names is not None and name not in names:
+            continue
         path = f"{out_dir.rstrip('/')}/{name}"
         build(masks=masks).write.mode("overwrite").parquet(path)
         paths[name] = path

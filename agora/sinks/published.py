@@ -31,7 +31,8 @@ ENTRY = "run string, attempt string, first string, end string, published_us long
 
 @dataclass(frozen=True)
 class Entry:
-    """A published run: the days [first, end) it covers (ISO texts) and its row counts."""
+    """A published run: the days [first, end) it covers (ISO texts; empty: it covers no
+    days and stands beside all others) and its row counts."""
 
     run: str
     attempt: str
@@ -41,10 +42,10 @@ class Entry:
     rows: dict[str, int]
 
     def covers(self, other: Entry) -> bool:
-        return self.first <= other.first and other.end <= self.end
+        return bool(self.first and other.first) and self.first <= other.first and other.end <= self.end
 
     def overlaps(self, other: Entry) -> bool:
-        return self.first < other.end and other.first < self.end
+        return bool(self.first and other.first) and self.first < other.end and other.first < self.end
 
     def folder(self, path: str, output: str) -> str:
         return f"{path}/{output}/run={self.run}/attempt={self.attempt}"

@@ -97,6 +97,26 @@ def post_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def broken_post_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listing with bad records: posts of status 'P' have lost their author, urgent ones
+    their creation time."""
+    orders = read_table(
+        spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    )
+    return _conform(
+        orders,
+        POST_SNAPSHOT,
+        {
+            "snapshot_date": "CAST(o_orderdate AS DATE)",
+            "subreddit": _community_name_sql("o_custkey"),
+            "post_id": "CAST(o_orderkey AS STRING)",
+            "created": f"IF(o_orderpriority = '1-URGENT', NULL, {_epoch_seconds_sql('o_orderdate')})",
+            "ups": "floor(o_totalprice)",
+            "author_id": "IF(o_orderstatus = 'P', NULL, CAST(o_custkey AS STRING))",
+        },
+    )
+
+
 def standin_hot_order() -> list[Column]:
     """Hot order of the stand-in listing (a real snapshot carries ``hot_rank``)."""
     return [F.col("ups").desc_nulls_last(), F.col("post_id").asc()]

@@ -3,7 +3,8 @@
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_REPEAT (default 5).  Each query is run once to warm up, then
 BENCH_REPEAT times; its time is the best run.  A run builds the query and executes the whole plan into Spark's no-op sink (no
-collect to the driver).
+collect to the driver).  Queries that replay several loads or stream batches
+(``catalog.SCENARIOS``) run only when BENCH_QUERIES names them.
 Prints one JSON line.
 """
 
@@ -28,7 +29,7 @@ def main() -> None:
     from agora.session import build_session
 
     spark = build_session(f"local[{cpus}]", app_name="agora-bench", shuffle_partitions=max(cpus, 4))
-    names = only or sorted(catalog.QUERIES)
+    names = only or sorted(set(catalog.QUERIES) - catalog.SCENARIOS)
     timings: dict[str, float] = {}
     failed: dict[str, str] = {}
     for name in names:
