@@ -41,7 +41,7 @@ SEED = 10
 SLICE = 1 << 19
 LONG = 64
 MARK = "▁"
-NONE = np.int64(1) << 62
+NONE = np.int32(1 << 30)
 
 
 @dataclass
@@ -74,7 +74,7 @@ def load(model: str = MODEL) -> Tables:
         else:
             raw.append(piece.replace(MARK, " ").encode() if piece in plain else b"")
     order = sorted((p for p in plain if len(p) > 1), key=lambda p: (-sp.get_score(plain[p]), plain[p]))
-    rank = np.zeros(n, np.int64)
+    rank = np.zeros(n, np.int32)
     rank[[plain[p] for p in order]] = np.arange(len(order))
     pairs = sorted(
         (plain[p[:k]] << 16 | plain[p[k:]], plain[p])
@@ -82,7 +82,7 @@ def load(model: str = MODEL) -> Tables:
     )
     return Tables(
         {ord(p): i for p, i in plain.items() if len(p) == 1},
-        np.array([k for k, _ in pairs], np.int64), np.array([v for _, v in pairs], np.int64), rank, byte,
+        np.array([k for k, _ in pairs], np.int64), np.array([v for _, v in pairs], np.int32), rank, byte,
         np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]),
     )
 
@@ -102,17 +102,45 @@ class Encoder:
         self.char[ord(" ")], self.char[ord(MARK)] = self.char[ord(MARK)], -1
         self.limit = np.uint64(int(dropout * (1 << 32)))
         self.key = mix64(np.array([seed], np.uint64))[0]
+        self.rank = tables.rank[tables.merged]  # by pair
+        self.place: dict[int, int] | None = None  # of a pair, for long segments
+        # pairs by hash: most neighbours are no pair, and meet an empty slot at once
+        bits = max(4, (8 * len(tables.pair)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.slots = np.full(1 << bits, -1, np.int32)
+        todo = np.arange(len(tables.pair), dtype=np.int32)
+        slot = self._slot(tables.pair)
+        while len(todo):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = todo[free]  # of several for one slot, one stays
+            left = self.slots[slot] != todo
+            todo, slot = todo[left], (slot[left] + 1) & ((1 << bits) - 1)
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def _pairs(self, key: np.ndarray) -> np.ndarray:
+        """The number of each pair of neighbours; -1 where it is none."""
+        slot = self._slot(key)
+        k = self.slots[slot]
+        wrong = np.flatnonzero((k >= 0) & (self.t.pair[k] != key))
+        while len(wrong):
+            slot[wrong] = (slot[wrong] + 1) & (len(self.slots) - 1)
+            k[wrong] = self.slots[slot[wrong]]
+            wrong = wrong[(k[wrong] >= 0) & (self.t.pair[k[wrong]] != key[wrong])]
+        return k
 
     def _candidates(self, left: np.ndarray, right: np.ndarray, place: np.ndarray, salt: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
         """Rank (NONE: no merge, or skipped) and piece of each pair of neighbours; without
         ``salt`` none is skipped."""
-        t = self.t
         key = left.astype(np.int64) << 16 | right
-        k = np.minimum(np.searchsorted(t.pair, key), len(t.pair) - 1)
-        piece = t.merged[k]
-        rank = np.where((t.pair[k] == key) & (left >= 0) & (right >= 0), t.rank[piece], NONE)
+        k = self._pairs(key)
+        k[(left < 0) | (right < 0)] = -1
+        met = np.flatnonzero(k >= 0)
+        rank, piece = np.full(len(k), NONE), np.zeros(len(k), np.int32)
         if salt is not None:
-            rank = np.where(self._skips(salt, key, place), NONE, rank)
+            met = met[~self._skips(salt[met], key[met], place[met])]
+        rank[met], piece[met] = self.rank[k[met]], self.t.merged[k[met]]
         return rank, piece
 
     def _skips(self, salt: np.ndarray, key: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -125,8 +153,8 @@ class Encoder:
         """Encode many segments; their symbols and the number of each one's pieces.
         ``met`` takes (segment, pair, place) of all candidates."""
         n = len(lens)
-        seg = np.repeat(np.arange(n), lens)
-        place = ranges(np.zeros(n, np.int64), lens)
+        seg = np.repeat(np.arange(n, dtype=np.int32), lens)
+        place = ranges(np.zeros(n, np.int64), lens).astype(np.int32)
         done_sym, done_seg = [], []
 
         def score(sel: np.ndarray, a: np.ndarray, s: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -168,34 +196,50 @@ class Encoder:
         return sym[order], np.bincount(seg, minlength=n)
 
     def _agenda(self, sym: np.ndarray, salt: np.uint64 | None) -> np.ndarray:
-        """Encode one long segment through a heap of candidates."""
+        """Encode one long segment through a heap of candidates, on plain numbers."""
         n = len(sym)
-        sym = sym.copy()
+        if self.place is None:
+            self.place = dict(zip(self.t.pair.tolist(), range(len(self.t.pair))))
+        place, ranks, pieces = self.place, self.rank, self.t.merged
+        base, limit, low = None if salt is None else int(salt), int(self.limit), (1 << 64) - 1
+
+        def mixed(x: int) -> int:  # as mix64
+            x = x + 0x9E3779B97F4A7C15 & low
+            x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & low
+            x = (x ^ x >> 27) * 0x94D049BB133111EB & low
+            return x ^ x >> 31
+
+        got = sym.tolist()
         nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
-        rank, piece = self._candidates(sym[:-1], sym[1:], np.arange(n - 1), None if salt is None else np.full(n - 1, salt))
-        heap = [(int(r), i, int(sym[i]), int(sym[i + 1]), int(p)) for i, (r, p) in enumerate(zip(rank, piece)) if r < NONE]
-        heapq.heapify(heap)
+        heap: list[tuple[int, int, int, int, int]] = []
         alive = [True] * n
 
-        def push(i: int) -> None:
+        def candidate(i: int) -> tuple[int, int, int, int, int] | None:
             j = nxt[i]
-            if j < n:
-                r, p = self._candidates(sym[i : i + 1], sym[j : j + 1], np.array([i]), None if salt is None else np.array([salt]))
-                if r[0] < NONE:
-                    heapq.heappush(heap, (int(r[0]), i, int(sym[i]), int(sym[j]), int(p[0])))
-
+            if j >= n or got[i] < 0 or got[j] < 0:
+                return None
+            key = got[i] << 16 | got[j]
+            k = place.get(key)
+            if k is None or base is not None and mixed(base ^ mixed(key ^ i << 40)) >> 32 < limit:
+                return None
+            return int(ranks[k]), i, got[i], got[j], int(pieces[k])
+
+        for i in range(n - 1):
+            if c := candidate(i):
+                heap.append(c)
+        heapq.heapify(heap)
         while heap:
             _, i, a, b, p = heapq.heappop(heap)
             j = nxt[i]
-            if not alive[i] or j >= n or sym[i] != a or sym[j] != b:
+            if not alive[i] or j >= n or got[i] != a or got[j] != b:
                 continue
-            sym[i], alive[j], nxt[i] = p, False, nxt[j]
+            got[i], alive[j], nxt[i] = p, False, nxt[j]
             if nxt[j] < n:
                 prv[nxt[j]] = i
-            push(i)
-            if prv[i] >= 0:
-                push(prv[i])
-        return sym[np.array(alive)]
+            for at in (i, prv[i]):
+                if at >= 0 and (c := candidate(at)):
+                    heapq.heappush(heap, c)
+        return np.array([x for x, ok in zip(got, alive) if ok], sym.dtype)
 
     def encode(self, texts: list[str], variant: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and how many each has; texts of another
