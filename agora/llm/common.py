@@ -59,6 +59,15 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+FEW_IDS = 1 << 20
+
+
+def few(ids: DataFrame, limit: int = FEW_IDS) -> DataFrame:
+    """``ids`` (a stored frame of one narrow column), to be broadcast if it has ``limit``
+    rows at most (counted: some tens of MB), else as it is, for a shuffled join."""
+    return F.broadcast(ids) if ids.limit(limit + 1).count() <= limit else ids
+
+
 def crc_mod(doc_id: str | Column, n: int) -> Column:
     """crc32 of the id's decimal text, modulo n."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

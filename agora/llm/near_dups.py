@@ -13,12 +13,19 @@
    estimates their similarity, and pairs more than MARGIN under the threshold go.
 4. Verify.  The pairs left are compared on their full shingle sets, and links are
    contracted to components.
-5. The rest.  A list whose documents are still in several components is compared by
-   sketches, in chunks of CHUNK documents, between components only.  First each list
-   reports a forest of its likeliest pairs; they are verified and contracted.  Then
-   all pairs still between components that the sketches do not rule out are verified,
-   each reported by one list.  So no link between different texts is lost, and copies
-   that hang together cost about a pair each.
+5. Dense groups.  A list whose documents are still in several components is dealt in
+   chunks of CHUNK documents; in a chunk the most typical documents (whose values are
+   the most common there: the text that near copies were made of) are compared with all
+   others.  What is verified is contracted, and a second round takes only a few
+   documents of each component of a list, so that chunks meet.
+6. The rest.  In lists of up to CHUNK documents that still hold several components, all
+   are compared by sketches.  Documents of longer lists (a line or passage that many
+   share) get finer ones: of a sketch's values, ordered by how few of these documents
+   hold them, as many as leave fewer than a match must share (prefix filter).  The line's
+   own values come last, so these lists are short; where one is not, every document
+   outside its largest component meets all of the others', in chunks.  The pairs that
+   the sketches do not rule out are verified.  So no link between different texts is
+   lost, and no pair is made only because of a common line.
 
 Null or empty text and texts without words have no set and are linked with nothing.
 Texts under five words have one shingle.  Rows with one doc_id count as one document
@@ -32,10 +39,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agora.llm.common import as_bytes, hash_words, lower, mix64, rolled, slices, stored, word_spans
+from agora.llm.common import as_bytes, few, hash_words, lower, mix64, rolled, slices, stored, word_spans
 
 SHINGLE = 5
 PERCENT = 75
@@ -45,6 +52,8 @@ SMALL = 32
 MARGIN = 0.17  # over four standard deviations of a K-value estimate at the threshold
 CHUNK = 1024
 LIGHT = 32  # documents of a chunk that share a value and are paired one by one
+TYPICAL = 16  # documents of a chunk that all others are compared with
+FEW = 8  # documents of a component that stand for it in a list's second round
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
@@ -231,18 +240,60 @@ def _shared(sk: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.nda
     return out
 
 
-def _compare(forest: bool):
-    """Pairs of two chunks of a list (or within one) that sketches do not rule out,
-    between different components: as a forest of the likeliest, or every pair, which
-    the list of its smallest shared key reports."""
+def _columns(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    ids, root, n = (np.array(t[c].to_pylist(), np.int64) for c in ("doc_id", "root", "n_shingles"))
+    return ids, root, n, [np.frombuffer(x, np.uint64) for x in t["sketch"].to_pylist()]
+
+
+def _typical(key: tuple, t: pa.Table) -> pa.Table:
+    """Likely pairs of a chunk's most typical documents with the others, as a forest."""
+    ids, root, n, sk = _columns(t.combine_chunks().sort_by("doc_id"))
+    _, val, count = np.unique(np.concatenate(sk), return_inverse=True, return_counts=True)
+    size = np.array([len(x) for x in sk])
+    edge = np.cumsum(size) - size
+    typical = np.add.reduceat(count[val], edge) / size
+    up = {r: r for r in root.tolist()}
+
+    def top(r: int) -> int:
+        while up[r] != r:
+            r = up[r]
+        return r
+
+    kept = np.minimum(n, K)
+    left = np.ones(len(ids), bool)  # not yet compared and not linked
+    a, b = [], []
+    for _ in range(TYPICAL):
+        if not left.any() or len({top(r) for r in root.tolist()}) < 2:
+            break
+        m = int(np.flatnonzero(left)[np.argmax(typical[left])])
+        left[m] = False
+        has = np.zeros(len(count), np.int64)
+        has[val[edge[m] : edge[m] + size[m]]] = 1
+        both = np.add.reduceat(has[val], edge)
+        most = both / np.minimum(K, np.maximum(kept[m] + kept - both, 1))
+        can = (most >= PERCENT / 100 - MARGIN) & (100 * np.minimum(n, n[m]) >= PERCENT * np.maximum(n, n[m]))
+        for k in np.flatnonzero(can).tolist():
+            x, y = top(int(root[m])), top(int(root[k]))
+            if x != y and _pass(n[m], n[k], _estimate(sk[m], n[m], sk[k], n[k])):
+                up[max(x, y)] = min(x, y)
+                a.append(min(ids[m], ids[k]))
+                b.append(max(ids[m], ids[k]))
+                left[k] = False
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _compare(by_key: bool):
+    """Pairs of two chunks of a list that sketches do not rule out, between different
+    components; ``by_key``: only the list of a pair's smallest shared key reports it."""
 
     def compare(key: tuple, t: pa.Table) -> pa.Table:
         t = t.combine_chunks().sort_by("doc_id")
-        ids, root, side = (np.array(t[c].to_pylist(), np.int64) for c in ("doc_id", "root", "side"))
-        n = np.array(t["n_shingles"].to_pylist(), np.int64)
-        sk = [np.frombuffer(x, np.uint64) for x in t["sketch"].to_pylist()]
+        ids, root, n, sk = _columns(t)
+        side = np.array(t["side"].to_pylist(), np.int64)
         this, p, q = (x.as_py() for x in key)
         left, right = (np.arange(len(ids)),) * 2 if p == q else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+        if not len(left) or not len(right):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
         both = _shared(sk, left, right)
         kept = np.minimum(n, K)
         # an upper bound of the estimate, so that no pair is lost here
@@ -260,52 +311,112 @@ def _compare(forest: bool):
             est[k] = _estimate(sk[x[k]], n[x[k]], sk[y[k]], n[y[k]])
         good = np.where(whole, 100 * est >= PERCENT - 1e-9, est >= PERCENT / 100 - MARGIN)
         x, y, est = x[good], y[good], est[good]
-        keep = np.zeros(len(x), bool)
-        if forest:
-            up: dict[int, int] = {}
-
-            def top(r: int) -> int:
-                while up.get(r, r) != r:
-                    r = up[r]
-                return r
-
-            for k in np.lexsort((y, x, -est)):
-                a, b = top(int(root[x[k]])), top(int(root[y[k]]))
-                if a != b:
-                    up[max(a, b)] = min(a, b)
-                    keep[k] = True
-        else:
-            keys_of = {k: keys(sk[k], int(n[k])).view(np.int64) for k in np.unique(np.concatenate([x, y])).tolist()}
-            for k, (i, j) in enumerate(zip(x.tolist(), y.tolist())):
-                keep[k] = np.intersect1d(keys_of[i], keys_of[j], assume_unique=True)[0] == this
+        keep = np.full(len(x), not by_key)
+        keys_of = {} if not by_key else {k: keys(sk[k], int(n[k])).view(np.int64) for k in np.unique(np.concatenate([x, y])).tolist()}
+        for k, (i, j) in enumerate(zip(x.tolist(), y.tolist()) if by_key else ()):
+            keep[k] = np.intersect1d(keys_of[i], keys_of[j], assume_unique=True)[0] == this
         a, b = x[keep], y[keep]
         return pa.table({"a": np.minimum(ids[a], ids[b]), "b": np.maximum(ids[a], ids[b])})
 
     return compare
 
 
-def rest_pairs(lists: DataFrame, root: DataFrame, reps: DataFrame, forest: bool) -> DataFrame:
-    """Likely pairs between components within lists that hold several: a forest of
-    each list, or all of them."""
+def open_lists(lists: DataFrame, root: DataFrame) -> DataFrame:
+    """(key, doc_id, root) of the lists that hold several components; of lists with the
+    same members, which give the same pairs, one."""
     member = lists.join(root, "doc_id", "left").select("key", "doc_id", F.coalesce("root", "doc_id").alias("root"))
-    # lists with the same members give the same pairs: one of them is enough
     state = member.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"),
         F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.sum(F.xxhash64("doc_id", F.lit(1)).cast("decimal(38,0)")).alias("s"),
     )
     one = state.filter("lo < hi").groupBy("n", "x", "s").agg(F.min("key").alias("key"))
-    open_ = member.join(one.select("key", "n"), "key")
-    n_chunks = F.ceil(F.col("n") / F.lit(CHUNK)).cast("long")
-    chunk = F.pmod(F.xxhash64("doc_id"), n_chunks)
-    # a chunk meets itself and every later one
-    dealt = open_.withColumn("c", chunk).select(
-        "key", "doc_id", "root", "c", F.explode(F.sequence(F.lit(0).cast("long"), n_chunks - 1)).alias("o")
-    )
-    dealt = dealt.select(
-        "key", F.least("c", "o").alias("p"), F.greatest("c", "o").alias("q"), "doc_id", "root", (F.col("c") > F.col("o")).cast("int").alias("side")
+    return member.join(one.select("key", "n"), "key")
+
+
+def _first_of_components(open_: DataFrame) -> DataFrame:
+    """At most FEW documents of each component of a list, with the list's new size."""
+    w = Window.partitionBy("key", "root").orderBy(F.xxhash64("doc_id"), "doc_id")
+    few_ = open_.withColumn("nth", F.row_number().over(w)).filter(F.col("nth") <= FEW).select("key", "doc_id", "root")
+    fewer = few_.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    # lists without a component of some size stay as they were: the first round saw them
+    grown = open_.groupBy("key").agg(F.count(F.lit(1)).alias("was")).join(fewer, "key").filter("2 * n <= was")
+    return few_.join(grown.select("key", "n"), "key")
+
+
+def dense_pairs(lists: DataFrame, root: DataFrame, reps: DataFrame, turn: int) -> DataFrame:
+    """Likely pairs between components by typical documents; a heuristic that only has
+    to find the bulk, as ``rest_pairs`` finds all others."""
+    open_ = open_lists(lists, root)
+    if turn:
+        open_ = _first_of_components(open_)
+    chunk = F.pmod(F.xxhash64("doc_id", F.lit(turn)), F.ceil(F.col("n") / F.lit(CHUNK)).cast("long"))
+    dealt = open_.select("key", chunk.alias("p"), "doc_id", "root").join(reps.select("doc_id", "n_shingles", "sketch"), "doc_id")
+    return dealt.groupBy("key", "p").applyInArrow(_typical, "a long, b long").distinct()
+
+
+def shared_least(n: Column) -> Column:
+    """How many retained values a match of a set of n shingles shares with it at least."""
+    kept = F.least(n, F.lit(K))
+    # two whole sets: 75 % of the larger; else what the estimate asks of a union sketch
+    return F.least(F.ceil(kept * F.lit(PERCENT) / 100), F.lit(int(K * (PERCENT / 100 - MARGIN)))).cast("int")
+
+
+def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(0, batch.num_rows, 2000):
+            part = batch.slice(i, 2000)
+            sk = [np.frombuffer(x, np.int64) for x in part.column("sketch").to_pylist()]
+            at = np.repeat(np.arange(len(sk)), [len(x) for x in sk])
+            flat = pa.array(np.concatenate(sk) if sk else np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(at)), part.column("n_shingles").take(pa.array(at)), flat], ["doc_id", "n_shingles", "key"])
+
+
+def finer_lists(long: DataFrame, reps: DataFrame) -> DataFrame:
+    """(key, doc_id): lists by the rarest values of the documents ``long`` (doc_id), so many
+    that two documents that match have one in common."""
+    held = reps.join(few(long), "doc_id", "left_semi").mapInArrow(_values, "doc_id long, n_shingles long, key long")
+    held = stored(held, "near-values")
+    count = held.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # a value that no other document holds is the rarest, and lists nobody: only its number counts
+    shared = held.join(count, "key")
+    w = Window.partitionBy("doc_id").orderBy(F.desc("n"), "key")  # at most K values a document
+    nth = shared.withColumn("nth", F.row_number().over(w))
+    # the values that come last in this order, all but (least - 1), are the prefix
+    return nth.filter(F.col("nth") >= shared_least(F.col("n_shingles"))).select("key", "doc_id")
+
+
+def rest_pairs(lists: DataFrame, root: DataFrame, reps: DataFrame) -> DataFrame:
+    """All likely pairs between components within lists that hold several."""
+    open_ = stored(open_lists(lists, root), "near-open")
+    long = stored(open_.filter(F.col("n") > CHUNK).select("doc_id").distinct(), "near-long")
+    pairs = _list_pairs(open_.filter(F.col("n") <= CHUNK), reps, True)
+    if long.isEmpty():
+        return pairs
+    return pairs.unionByName(_list_pairs(open_lists(finer_lists(long, reps), root), reps, False)).distinct()
+
+
+def _list_pairs(open_: DataFrame, reps: DataFrame, by_key: bool) -> DataFrame:
+    sizes = open_.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
+    largest = sizes.groupBy("key").agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.sum("size").alias("n"), F.max("size").alias("most"))
+    dealt = open_.select("key", "doc_id", "root").join(largest, "key")
+    chunks = lambda n: F.ceil(n / F.lit(CHUNK)).cast("long")
+    upto = lambda a, b: F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<bigint>"))
+    zero, h = F.lit(0).cast("long"), F.xxhash64("doc_id", F.lit(2))
+    # a component with most of a long list is not compared with itself
+    split = (F.col("n") > CHUNK) & (2 * F.col("most") > F.col("n"))
+    n_main = F.when(split, chunks(F.col("most"))).otherwise(zero)
+    n_left = chunks(F.when(split, F.col("n") - F.col("most")).otherwise(F.col("n")))
+    in_main = split & (F.col("root") == F.col("main"))
+    own = F.when(in_main, n_left + F.pmod(h, F.greatest(n_main, F.lit(1)))).otherwise(F.pmod(h, n_left))
+    dealt = dealt.select("key", "doc_id", "root", own.alias("c"), in_main.alias("in_main"), n_left.alias("n_left"), (n_left + n_main).alias("n_all"))
+    # a chunk outside it meets itself, every later one and the largest component's chunks
+    c, one = F.col("c"), F.lit(1).cast("long")
+    left = dealt.filter(~F.col("in_main")).select(
+        "key", c.alias("p"), F.explode(upto(c, F.col("n_all") - one)).alias("q"), "doc_id", "root", F.lit(0).alias("side")
     )
-    dealt = dealt.join(reps.select("doc_id", "n_shingles", "sketch"), "doc_id")
-    return dealt.groupBy("key", "p", "q").applyInArrow(_compare(forest), "a long, b long").distinct()
+    right = dealt.select("key", F.explode(upto(zero, F.least(c, F.col("n_left")) - one)).alias("p"), c.alias("q"), "doc_id", "root", F.lit(1).alias("side"))
+    met = left.unionByName(right).join(reps.select("doc_id", "n_shingles", "sketch"), "doc_id")
+    return met.groupBy("key", "p", "q").applyInArrow(_compare(by_key), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -322,7 +433,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     lists = stored(posted.join(lists, "key").select("key", "doc_id", "low"), "near-lists")
     first = lists.filter("doc_id <> low").select(F.col("low").alias("a"), F.col("doc_id").alias("b")).distinct()
     first = stored(likely_pairs(first, reps), "near-stars")
-    listed = lists.select("doc_id").distinct()
+    listed = few(stored(lists.select("doc_id").distinct(), "near-listed"))
     sets = stored(d.join(listed, "doc_id", "left_semi").mapInArrow(_whole, "doc_id long, whole binary").filter("octet_length(whole) > 0"), "near-sets")
     # a document with rows of several sets links their classes
     full = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -332,8 +443,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     linked = stored(links(first, sets).unionByName(same), "near-links")
     root = stored(components(linked, "near-roots"), "near-root")
     member = lists.select("key", "doc_id")
-    for forest in (True, False):
-        more = stored(links(rest_pairs(member, root, reps, forest), sets), "near-forest" if forest else "near-more")
+    for turn in (0, 1, 2):
+        likely = dense_pairs(member, root, reps, turn) if turn < 2 else rest_pairs(member, root, reps)
+        more = stored(links(likely, sets), f"near-more-{turn}")
         if more.isEmpty():  # the components stay as they are
             continue
         # components found so far enter the next contraction as stars, which it keeps
@@ -348,5 +460,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose document stays: one document of each component."""
-    gone = near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    gone = stored(near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct(), "near-gone")
+    return docs.join(few(gone), "doc_id", "left_anti")

@@ -376,3 +376,94 @@ def test_pipeline(spark):
 
 def test_registered_names():
     assert sorted(int(k.split("_")[0][2:]) for k in queries.QUERIES) == list(range(1, 11))
+
+
+CLASHING = "doc_id long, text string, source string, lang string, email string, added string, n_words int, kept string, ratio int, copy string, copies int, __text string, block int"
+
+
+def clashing(spark, rows):
+    return spark.createDataFrame([(i, t, "s", "en", "mine", "mine", 99, "mine", 99, "mine", 99, "mine", 99) for i, t in rows], CLASHING)
+
+
+def test_columns_of_any_name_stay(spark):
+    words = " ".join(f"word{i}" for i in range(30))
+    rows = [(1, f"{words} mail me at a@b.org"), (2, words), (None, None), (3, "few words")]
+    df = clashing(spark, rows)
+    labels = spark.createDataFrame([(2, 1, 0)], "doc_id long, quality int, toxic int")
+    got = pii.masked(df)
+    assert got.columns == df.columns
+    assert {r.doc_id: r.text for r in got.collect()} == {1: f"{words} mail me at <email>", 2: words, None: None, 3: "few words"}
+    kept = quality.kept_documents(df, labels)
+    assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} >= {2} and 3 not in {r.doc_id for r in kept.collect()}
+    mixed = mixing.mix_documents(df)
+    assert mixed.columns == [*df.columns, "copy_"]
+    for out in (got, kept, mixed):
+        assert {(r.email, r.added, r.n_words, r.kept, r.ratio, r.copy, r.copies, r["__text"], r.block) for r in out.collect()} == {
+            ("mine", "mine", 99, "mine", 99, "mine", 99, "mine", 99)
+        }
+    assert near_dups.kept_documents(df).columns == df.columns
+
+
+def brute_components(rows):
+    def shingles(text):
+        w = brute.words(brute.lower(text))
+        return frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+
+    sets = {i: shingles(t) for i, t in rows}
+    up = {i: i for i in sets}
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    ids = sorted(sets)
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+                x, y = top(a), top(b)
+                up[max(x, y)] = min(x, y)
+    return {i: top(i) for i in ids}
+
+
+@pytest.mark.parametrize("chunk", [24, 1024])
+def test_near_duplicates_in_one_large_group(spark, monkeypatch, chunk):
+    """Copies of one base that are not all alike, beside texts that share a passage."""
+    monkeypatch.setattr(near_dups, "CHUNK", chunk)
+    monkeypatch.setattr(near_dups, "LIGHT", 4)
+    monkeypatch.setattr(near_dups, "TYPICAL", 3)
+    monkeypatch.setattr(near_dups, "FEW", 2)
+    rng = random.Random(1)
+    words = [f"w{i}" for i in range(400)]
+    base, passage, texts = rng.choices(words, k=120), rng.choices(words, k=50), []
+    for _ in range(150):
+        t = list(base)
+        for _ in range(rng.randrange(1, 5)):
+            t[rng.randrange(120)] = rng.choice(words)
+        texts.append(t)
+    for _ in range(80):
+        texts.append(rng.choices(words, k=rng.randrange(20, 80)) + passage + rng.choices(words, k=rng.randrange(5, 40)))
+    texts += [rng.choices(words, k=rng.randrange(1, 60)) for _ in range(40)]
+    rng.shuffle(texts)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = {r.doc_id: r.component_id for r in near_dups.near_duplicates(frame(spark, rows)).collect()}
+    want = brute_components(rows)
+    assert got == want and 1 < len(set(want.values())) < len(rows)
+
+
+def test_pieces_of_long_letters(spark):
+    """A long run of letters takes the same ids through plain numbers as through arrays."""
+    tables = pieces.load()
+    rng = random.Random(8)
+    texts = ["".join(rng.choices("abcdefgh", k=n)) for n in (63, 64, 65, 200, 3000)]
+    for dropout in (0.0, 0.1, 0.9):
+        enc = pieces.Encoder(tables, dropout)
+        variant = np.arange(len(texts), dtype=np.uint64)
+        ids, n = enc.encode(texts, variant)
+        edge = np.cumsum(n) - n
+        for k, t in enumerate(texts):
+            sym = enc.char[np.frombuffer((" " + t).encode("utf-32-le"), np.uint32)]
+            salt = None if not dropout else pieces.mix64(pieces.mix64(enc.key ^ pieces.mix64(variant[k : k + 1])) ^ np.uint64(0))
+            together, count = enc._together(sym.copy(), np.array([len(sym)]), salt)
+            assert ids[edge[k] : edge[k] + n[k]].tolist() == together.tolist() and count[0] == n[k]
