@@ -213,9 +213,13 @@ def mix(docs: DataFrame, seed: int = 9) -> DataFrame:
     )
 
 
-def mix_documents(docs: DataFrame, seed: int = 9) -> DataFrame:
-    """The mix itself: every row of ``docs`` as often as it is taken, with its copy number."""
+def mix_documents(docs: DataFrame, seed: int = 9, copy: str = "copy") -> DataFrame:
+    """The mix itself: every row of ``docs`` as often as it is taken, with its copy number
+    in ``copy``; beside a column of that name (in any case) the number's column gets
+    underscores after its name until it is free."""
+    while copy.lower() in map(str.lower, docs.columns):
+        copy += "_"
     copies = mix(docs, seed).groupBy("doc_id", "source").agg(F.max("copies").alias("copies")).filter("copies > 0")
     rows = docs.alias("a").join(copies.alias("b"), F.expr("a.doc_id <=> b.doc_id AND a.source <=> b.source"))
-    again = F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")
+    again = F.explode(F.sequence(F.lit(1), F.col("b.copies"))).alias(copy)
     return rows.select("a.*", again)

@@ -247,9 +247,11 @@ def _marks(kind: str) -> Column:
 
 
 def masked(docs: DataFrame) -> DataFrame:
-    """``docs`` with every span replaced by its kind in angle brackets; columns unchanged."""
-    names = docs.columns
-    d = find(docs.withColumn("__text", F.col("text")))
+    """``docs`` with every span replaced by its kind in angle brackets; all other columns, of
+    whatever name, as they were."""
+    names, row = docs.columns, F.col("__row")  # the caller's columns travel in one struct
+    d = find(docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row")))
+    d = d.withColumn("__text", row.getField("text"))
     added = F.transform("added", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("k")))
     d = d.withColumn("__m", F.sort_array(F.concat(*map(_marks, KINDS), added)))
     kind = "struct<pos:int,out:array<string>>"
@@ -266,4 +268,4 @@ def masked(docs: DataFrame) -> DataFrame:
         lambda acc: F.concat(F.array_join(acc["out"], ""), F.col("__text").substr(acc["pos"] + 1, F.length("__text"))),
     )
     text = F.when(F.size("__m") > 0, text).otherwise(F.col("__text"))
-    return d.select(*[text.alias("text") if c == "text" else c for c in names])
+    return d.select(*[text.alias("text") if c == "text" else row.getField(c).alias(c) for c in names])

@@ -183,10 +183,12 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept, columns unchanged."""
-    text = docs.select("*", F.col("text").alias("__text"))
-    names = docs.columns
-    # beside a random column the filter is not pushed into the rules, which would
-    # evaluate them once more for every use
-    d = judged(text, labels).withColumn("__r", F.rand(0)).filter("kept AND __r >= 0")
-    return d.select(*[F.col("__text").alias("text") if c == "text" else c for c in names])
+    """The rows of ``docs`` that are kept, columns unchanged, whatever their names.
+
+    The caller's columns travel in one struct beside the verdict; both are stored, so the
+    rules are evaluated once, and the filter runs on the stored verdict.
+    """
+    row = F.col("__row")
+    rows = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
+    verdict = stored(judged(rows, labels).select("__row", "kept"), "quality-verdict")
+    return verdict.filter("kept").select(*[row.getField(c).alias(c) for c in docs.columns])
