@@ -10,9 +10,10 @@ doc_id, or earlier in the same text).
    blocks each trigger occurs: phrases of single triggers cannot repeat.
 2. Dictionary.  A block sends each distinct phrase left once, with its first place
    (the parse).  The bucket of a trigger holds its dictionary; sorting the phrases'
-   suffixes of at least WINDOW bytes (the dictionary's suffix array, compared by 64
-   bits of hash beside those that chose the bucket) puts equal windows side by side, and the parse's places order them by
-   corpus position.  All but the first of each are told to the blocks.
+   windows by 64 bits of hash (beside those that chose the bucket) puts equal ones side
+   by side, and the parse's places order them by corpus position.  All but the first of
+   each are told to the blocks.  No suffix array is built: only equality of whole
+   windows is asked for.
    A trigger in HEAVY or more blocks (a line that many documents share, each with other
    neighbours) could fill one bucket with its phrases; their windows go to buckets by
    their own hash instead, one code each.
