@@ -1,52 +1 @@
 """Column-level helpers (scalar functions).  All return JVM-side Columns."""
-
-from agora.functions.bits import (
-    bit_string,
-    day_bit,
-    mask_has,
-    popcount,
-    week_mask_string,
-)
-from agora.functions.cleaning import (
-    drop_empty_records,
-    epoch_text,
-    falsy_bool,
-    falsy_number,
-    falsy_text,
-    flag_adult_in_safe_community,
-    stringify,
-)
-from agora.functions.dates import (
-    day_window,
-    epoch_seconds,
-    epoch_to_date,
-    epoch_to_day_text,
-    iso_week,
-    iso_week_monday,
-    week_start,
-)
-from agora.functions.json import decode_json, encode_json
-
-__all__ = [
-    "bit_string",
-    "day_bit",
-    "mask_has",
-    "popcount",
-    "week_mask_string",
-    "drop_empty_records",
-    "epoch_text",
-    "falsy_bool",
-    "falsy_number",
-    "falsy_text",
-    "flag_adult_in_safe_community",
-    "stringify",
-    "day_window",
-    "epoch_seconds",
-    "epoch_to_date",
-    "epoch_to_day_text",
-    "iso_week",
-    "iso_week_monday",
-    "week_start",
-    "decode_json",
-    "encode_json",
-]
