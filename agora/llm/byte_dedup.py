@@ -88,7 +88,8 @@ def parse(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
     # first and last window and the trigger's offset fix all bytes of the phrase
     shape = mix64(((end - first).astype(np.uint64) << np.uint64(32)) | (where - first).astype(np.uint64))
     a, b = mix64(window[first]), mix64(window[end])
-    return trigger[where], first, end - first + 1, mix64(a ^ mix64(b + shape)), mix64(b ^ mix64(mix64(a) + shape))
+    # triggers are small hashes: mixed anew, they deal evenly over ranges
+    return mix64(trigger[where]), first, end - first + 1, mix64(a ^ mix64(b + shape)), mix64(b ^ mix64(mix64(a) + shape))
 
 
 class Parse:
