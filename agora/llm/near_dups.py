@@ -190,23 +190,25 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
     link at most, and a hot id's neighbours are reduced by min before they shuffle.
     """
     edges = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), purpose)
-    turn, before = 0, None
-    while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    turn = 0
+    while not _all_stars(edges):
+        both = edges.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        own = low.filter("m < u").select("u", F.col("m").alias("v"))
-        large = large.unionByName(own).filter("u <> v").distinct()
+        large = large.unionByName(low.filter("m < u").select("u", F.col("m").alias("v")))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
         edges = stored(small.filter("u <> v").distinct(), f"{purpose}-{turn}")
-        state = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if (state["n"], state["h"]) == before:
-            break
-        before, turn = (state["n"], state["h"]), turn + 1
-    root = edges.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "doc_id")
-    roots = edges.select(F.col("v").alias("doc_id")).distinct().join(root.select("doc_id"), "doc_id", "left_anti")
-    return root.unionByName(roots.select("doc_id", F.col("doc_id").alias("root")))
+        turn += 1
+    roots = edges.select("v").distinct()
+    return edges.select(F.col("u").alias("doc_id"), F.col("v").alias("root")).unionByName(roots.select(F.col("v").alias("doc_id"), F.col("v").alias("root")))
+
+
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every u of the distinct edges (u, v) has one v, and no v is a u."""
+    ends = edges.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.lit(None).cast("long").alias("v")))))
+    at = ends.groupBy("u").agg(F.count("v").alias("up"), F.count(F.lit(1)).alias("n"))
+    return not at.agg(F.max((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("up") < F.col("n")))).alias("open")).first()["open"]
 
 
 def _shared(sk: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
