@@ -284,43 +284,56 @@ def _typical(key: tuple, t: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def _compare(by_key: bool):
+def _estimates(sk: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """``_estimate`` of the pairs (x, y) of which one set at least is larger than K."""
+    _, rank = np.unique(np.concatenate(sk), return_inverse=True)
+    size = np.array([len(s) for s in sk])
+    held = np.arange(K) < size[:, None]
+    grid = np.full((len(sk), K), 1 << 30, np.int32)
+    grid[held] = rank
+    out = np.empty(len(x))
+    for i in range(0, len(x), 4096):
+        # a value of both stands twice; an empty place comes last and equals no other's
+        z = np.sort(np.concatenate([grid[x[i : i + 4096]], grid[y[i : i + 4096]]], 1), 1)
+        twice = (z[:, 1:] == z[:, :-1]) & (z[:, 1:] < 1 << 30)
+        nth = np.arange(2, 2 * K + 1) - np.cumsum(twice, 1)
+        out[i : i + 4096] = (twice & (nth <= K)).sum(1) / K
+    return out
+
+
+def _compare(key: tuple, t: pa.Table) -> pa.Table:
     """Pairs of two chunks of a list that sketches do not rule out, between different
-    components; ``by_key``: only the list of a pair's smallest shared key reports it."""
-
-    def compare(key: tuple, t: pa.Table) -> pa.Table:
-        t = t.combine_chunks().sort_by("doc_id")
-        ids, root, n, sk = _columns(t)
-        side = np.array(t["side"].to_pylist(), np.int64)
-        this, p, q = (x.as_py() for x in key)
-        left, right = (np.arange(len(ids)),) * 2 if p == q else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
-        if not len(left) or not len(right):
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-        both = _shared(sk, left, right)
-        kept = np.minimum(n, K)
-        # an upper bound of the estimate, so that no pair is lost here
-        most = both / np.minimum(K, np.maximum(kept[left][:, None] + kept[right] - both, 1))
-        can = (root[left][:, None] != root[right]) & (most >= PERCENT / 100 - MARGIN)
-        can &= 100 * np.minimum(n[left][:, None], n[right]) >= PERCENT * np.maximum(n[left][:, None], n[right])
-        x, y = np.nonzero(can)
-        both = both[x, y].astype(float)
-        x, y = left[x], right[y]
-        if p == q:
-            x, y, both = x[x < y], y[x < y], both[x < y]
-        whole = (n[x] <= K) & (n[y] <= K)
-        est = both / np.maximum(1, n[x] + n[y] - both)  # exact where both sketches are whole
-        for k in np.flatnonzero(~whole):
-            est[k] = _estimate(sk[x[k]], n[x[k]], sk[y[k]], n[y[k]])
-        good = np.where(whole, 100 * est >= PERCENT - 1e-9, est >= PERCENT / 100 - MARGIN)
-        x, y, est = x[good], y[good], est[good]
-        keep = np.full(len(x), not by_key)
-        keys_of = {} if not by_key else {k: keys(sk[k], int(n[k])).view(np.int64) for k in np.unique(np.concatenate([x, y])).tolist()}
-        for k, (i, j) in enumerate(zip(x.tolist(), y.tolist()) if by_key else ()):
-            keep[k] = np.intersect1d(keys_of[i], keys_of[j], assume_unique=True)[0] == this
-        a, b = x[keep], y[keep]
-        return pa.table({"a": np.minimum(ids[a], ids[b]), "b": np.maximum(ids[a], ids[b])})
-
-    return compare
+    components; only the list of a pair's smallest shared key looks at it."""
+    ids, root, n, sk = _columns(t := t.combine_chunks().sort_by("doc_id"))
+    side = np.array(t["side"].to_pylist(), np.int64)
+    this, p, q = (x.as_py() for x in key)
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    if p == q:  # the pairs of the chunk that are not within its largest component
+        of, size = np.unique(root, return_counts=True)
+        left, right = np.flatnonzero(root != of[np.argmax(size)]), np.arange(len(ids))
+    if not len(left) or not len(right):
+        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    both = _shared(sk, left, right)
+    kept = np.minimum(n, K)
+    # an upper bound of the estimate, so that no pair is lost here
+    most = both / np.minimum(K, np.maximum(kept[left][:, None] + kept[right] - both, 1))
+    can = (root[left][:, None] != root[right]) & (most >= PERCENT / 100 - MARGIN)
+    can &= 100 * np.minimum(n[left][:, None], n[right]) >= PERCENT * np.maximum(n[left][:, None], n[right])
+    if p == q:
+        can &= (left[:, None] < right) | ~np.isin(right, left)
+    if can.any():
+        smaller = [k[k < this] for k in (np.array(k, np.int64) for k in t["keys"].to_pylist())]
+        can &= _shared(smaller, left, right) == 0
+    x, y = np.nonzero(can)
+    both = both[x, y].astype(float)
+    x, y = left[x], right[y]
+    est = both / np.maximum(1, n[x] + n[y] - both)  # exact where both sketches are whole
+    whole = (n[x] <= K) & (n[y] <= K)
+    if not whole.all():
+        est[~whole] = _estimates(sk, x[~whole], y[~whole])
+    good = np.where(whole, 100 * est >= PERCENT - 1e-9, est >= PERCENT / 100 - MARGIN)
+    a, b = ids[x[good]], ids[y[good]]
+    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
 def open_lists(lists: DataFrame, root: DataFrame) -> DataFrame:
@@ -373,9 +386,9 @@ def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(at)), part.column("n_shingles").take(pa.array(at)), flat], ["doc_id", "n_shingles", "key"])
 
 
-def finer_lists(long: DataFrame, reps: DataFrame) -> DataFrame:
-    """(key, doc_id): lists by the rarest values of the documents ``long`` (doc_id), so many
-    that two documents that match have one in common."""
+def finer_keys(long: DataFrame, reps: DataFrame) -> DataFrame:
+    """(doc_id, keys) of the documents ``long`` (doc_id): keys of lists by their rarest
+    values, so many that two documents that match have one in common."""
     held = reps.join(few(long), "doc_id", "left_semi").mapInArrow(_values, "doc_id long, n_shingles long, key long")
     held = stored(held, "near-values")
     count = held.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -384,20 +397,32 @@ def finer_lists(long: DataFrame, reps: DataFrame) -> DataFrame:
     w = Window.partitionBy("doc_id").orderBy(F.desc("n"), "key")  # at most K values a document
     nth = shared.withColumn("nth", F.row_number().over(w))
     # the values that come last in this order, all but (least - 1), are the prefix
-    return nth.filter(F.col("nth") >= shared_least(F.col("n_shingles"))).select("key", "doc_id")
+    return nth.filter(F.col("nth") >= shared_least(F.col("n_shingles"))).groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
+
+
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        n, sketch = (batch.column(c).to_pylist() for c in ("n_shingles", "sketch"))
+        ks = [keys(np.frombuffer(s, np.uint64), m).view(np.int64) for s, m in zip(sketch, n)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ks, pa.list_(pa.int64()))], [*batch.schema.names, "keys"])
 
 
 def rest_pairs(lists: DataFrame, root: DataFrame, reps: DataFrame) -> DataFrame:
     """All likely pairs between components within lists that hold several."""
     open_ = stored(open_lists(lists, root), "near-open")
     long = stored(open_.filter(F.col("n") > CHUNK).select("doc_id").distinct(), "near-long")
-    pairs = _list_pairs(open_.filter(F.col("n") <= CHUNK), reps, True)
+    kind = "doc_id long, n_shingles long, sketch binary, keys array<bigint>"
+    pairs = _list_pairs(open_.filter(F.col("n") <= CHUNK), reps.filter("n_shingles > 1").mapInArrow(_keys, kind))
     if long.isEmpty():
         return pairs
-    return pairs.unionByName(_list_pairs(open_lists(finer_lists(long, reps), root), reps, False)).distinct()
+    finer = stored(finer_keys(long, reps), "near-finer")
+    listed = finer.select(F.explode("keys").alias("key"), "doc_id")
+    return pairs.unionByName(_list_pairs(open_lists(listed, root), reps.join(finer, "doc_id"))).distinct()
 
 
-def _list_pairs(open_: DataFrame, reps: DataFrame, by_key: bool) -> DataFrame:
+def _list_pairs(open_: DataFrame, keyed: DataFrame) -> DataFrame:
+    """Likely pairs of the lists ``open_``; ``keyed``: sketches of their documents, with
+    the keys of all lists that a document may be in."""
     sizes = open_.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
     largest = sizes.groupBy("key").agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.sum("size").alias("n"), F.max("size").alias("most"))
     dealt = open_.select("key", "doc_id", "root").join(largest, "key")
@@ -417,8 +442,8 @@ def _list_pairs(open_: DataFrame, reps: DataFrame, by_key: bool) -> DataFrame:
         "key", c.alias("p"), F.explode(upto(c, F.col("n_all") - one)).alias("q"), "doc_id", "root", F.lit(0).alias("side")
     )
     right = dealt.select("key", F.explode(upto(zero, F.least(c, F.col("n_left")) - one)).alias("p"), c.alias("q"), "doc_id", "root", F.lit(1).alias("side"))
-    met = left.unionByName(right).join(reps.select("doc_id", "n_shingles", "sketch"), "doc_id")
-    return met.groupBy("key", "p", "q").applyInArrow(_compare(by_key), "a long, b long").distinct()
+    met = left.unionByName(right).join(keyed.select("doc_id", "n_shingles", "sketch", "keys"), "doc_id")
+    return met.groupBy("key", "p", "q").applyInArrow(_compare, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
