@@ -12,10 +12,11 @@ probability mixes that of its tokens with its share of all training words (KNOWN
 
 Training covers all training documents and gathers no text on the driver.  Classes are
 clusters of tokens by hashed counts of what precedes them, summed over every token.
-Every training document gives one window of every EVERY to the attention (one at least,
-by a hash of its id).  The windows of PART_BLOCKS blocks train one copy of the weights
-in numpy, by Adam; the copies are averaged by their windows and go on from there.  Each
-of the ROUNDS takes windows of its own.  Packed sums go through FAN partial sums.
+Every window of every training document trains the attention.  The windows of blocks
+with about PART_TOKENS tokens train one copy of the weights in numpy, by Adam; the copies
+are averaged by their windows and go on from there.  Each of the ROUNDS takes windows of
+its own, together all.  Packed sums go through FAN partial sums.  A block keeps its texts
+as numbers of words, from which training and scoring take their windows.
 
 Scoring.  A text's tokens are cut into windows of CONTEXT + STRIDE inputs that overlap
 by CONTEXT; each window scores its last STRIDE tokens, so every token is scored once,
@@ -45,9 +46,9 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # splits a word (it has no white space) before the merges of the rank file; fixed value of that tokenizer
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+|\s"
 HELD_OUT = 0  # crc32 of the id, modulo 10
-EVERY = 8
+EVERY = 1  # of a text's windows thinned by a seed; 1 keeps all
 ROUNDS = 2
-PART_BLOCKS = 8
+PART_TOKENS = 4 << 20
 STEPS = 125  # of a copy in a round, at least
 FAN = 32
 CONTEXTS = 512  # hashes of the token before
@@ -56,12 +57,12 @@ DIM = 16
 CLASSES = 96
 FREQUENT = 4096  # tokens with an embedding of their own
 SHARED = 256  # embeddings that the others share by id
-BATCH = 512
+BATCH = 256
 TRAIN_BATCH = 256
 SMOOTH = 0.1
 KNOWN = 0.3  # weight of a word's own share of the corpus in its probability
 
-TOKENS, WORDS, PAIRS, WINDOWS = -1, -2, -3, -4  # in place of a block: what a packed row holds
+TOKENS, WORDS, PAIRS, TEXTS = -1, -2, -3, -4  # in place of a block: what a packed row holds
 
 SCHEMA = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -124,12 +125,36 @@ class Words:
         self.n_docs = t.num_rows
 
 
+class Texts:
+    """A block's texts as numbers of words: the documents' ids and numbers of words, each
+    word's number, the tokens of the distinct words and how many each has."""
+
+    def __init__(self, ids: list, n_words: np.ndarray, of: np.ndarray, tok: np.ndarray, n: np.ndarray):
+        self.ids, self.n_words, self.of, self.tok, self.n = ids, n_words, of, tok, n
+        self.n_docs, self.doc = len(ids), np.repeat(np.arange(len(ids)), n_words)
+
+    def packed(self) -> bytes:
+        cols = {"ids": pa.array(self.ids, pa.int64())}
+        cols |= {c: pa.array(getattr(self, c).astype(np.int32)) for c in ("n_words", "of", "tok", "n")}
+        batch = pa.record_batch({c: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for c, v in cols.items()})
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_batch(batch)
+        return sink.getvalue().to_pybytes()
+
+    @staticmethod
+    def unpacked(blob: bytes) -> Texts:
+        t = pa.ipc.open_stream(blob).read_next_batch()
+        rest = (t[c].values.to_numpy().astype(np.int64) for c in ("n_words", "of", "tok", "n"))
+        return Texts(t["ids"].values.to_pylist(), *rest)
+
+
 def _trains(ids: list) -> np.ndarray:
     """Which documents train; a null id, having no remainder, does not."""
     return np.array([x is not None and zlib.crc32(str(x).encode()) % 10 != HELD_OUT for x in ids], bool)
 
 
-def token_runs(w: Words, tok: np.ndarray, n: np.ndarray, end: int) -> tuple[np.ndarray, ...]:
+def token_runs(w: Words | Texts, tok: np.ndarray, n: np.ndarray, end: int) -> tuple[np.ndarray, ...]:
     """Tokens of all texts with an end after each, the number of each text's, which ones
     are no ends, and the number of each word's."""
     at = np.cumsum(n) - n
@@ -166,15 +191,13 @@ def _ask_counts(n_buckets: int, sub: Subwords):
         seq, n_tok, _, _ = token_runs(w, tok, n, sub.end)
         seq, n_tok = seq[np.repeat(trains, n_tok)], n_tok[trains]
         pair, times = contexts(seq, sub)
-        seed = np.array([zlib.crc32(str(i).encode()) for i, own in zip(ids, trains.tolist()) if own], np.int64)
-        x, y, _ = windows(seq, n_tok, sub.end, seed)
         own = -1 - block
         return bl.asked(
             [
                 *rows,
                 (own, TOKENS, used.tobytes()),
                 (own, PAIRS, pair.astype(np.int32).tobytes() + times.astype(np.uint32).tobytes()),
-                (own, WINDOWS, np.concatenate([x, y], 1).astype(np.int32).tobytes()),
+                (own, TEXTS, Texts(ids, np.bincount(w.doc, minlength=w.n_docs), w.of, tok, n).packed()),
             ]
         )
 
@@ -303,26 +326,81 @@ def windows(seq: np.ndarray, n: np.ndarray, end: int, seed: np.ndarray | None =
     return x, y, doc
 
 
+def window_runs(seq: np.ndarray, n: np.ndarray, end: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Inputs and targets of all windows, texts taken together until there are enough."""
+    edge, i = np.concatenate([[0], np.cumsum(n)]), 0
+    while i < len(n):
+        j = max(i + 1, int(np.searchsorted(edge, edge[i] + BATCH * STRIDE * 16, side="right")) - 1)
+        x, y, _ = windows(seq[edge[i] : edge[j]], n[i:j], end)
+        yield x, y
+        i = j
+
+
+def trained_windows(blob: bytes, end: int) -> bytes:
+    """The rows (inputs, targets) of all windows of a block's training documents."""
+    w = Texts.unpacked(blob)
+    seq, n, _, _ = token_runs(w, w.tok, w.n, end)
+    trains = _trains(w.ids)
+    seq, n = seq[np.repeat(trains, n)].astype(np.int32), n[trains]
+    rows = [np.concatenate([x, y], 1).astype(np.int32) for x, y in window_runs(seq, n, end)]
+    return np.concatenate(rows).tobytes() if rows else b""
+
+
+def _with_windows(run, end: int):
+    """``run`` on the windows of a part's texts."""
+
+    def call(key: tuple, t: pa.Table) -> pa.Table:
+        blob = pa.array([trained_windows(x.as_py(), end) for x in t["blob"]], pa.binary())
+        return run(key, t.set_column(t.schema.get_field_index("blob"), "blob", blob))
+
+    return call
+
+
 _ROW, _COL = np.arange(STRIDE)[:, None] + CONTEXT, np.arange(CONTEXT + STRIDE)
 _BACK = np.maximum(_ROW - _COL, 0)  # how far back a key is
 _SEES = _COL <= _ROW
 
 
+def _exp(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """exp (in place) of x less a number, one for each row, by which no row overflows or
+    vanishes; and that number."""
+    top = x.max()
+    top = top if top - x.min() < 80 else x.max(-1, keepdims=True)
+    x -= top
+    return np.exp(x, out=x), top
+
+
+def _sums(x: np.ndarray) -> np.ndarray:
+    """Sums over the last axis, all rows one after the other."""
+    return x.reshape(-1, x.shape[-1]) @ np.ones(x.shape[-1], np.float32)
+
+
+def _turned(x: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(x.transpose(0, 2, 1))
+
+
+def _attention(p: dict[str, np.ndarray], own: np.ndarray, q: np.ndarray, k: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Attention of each window's last STRIDE inputs, and what it gathers."""
+    a = q @ _turned(k)
+    a += p["B"][_BACK]
+    sees = _SEES if own.all() else _SEES & own[:, None, :]  # a text's first or last window
+    a, _ = _exp(np.where(sees, a, a.min()))
+    a *= sees
+    a *= (1 / np.maximum(_sums(a), np.float32(1e-37))).reshape(-1, STRIDE, 1)
+    return a, a @ v
+
+
 def attend(p: dict[str, np.ndarray], x: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, tuple]:
-    """Class logits of each window's last STRIDE inputs, and what the gradient needs."""
-    own = x >= 0
-    e = p["E"][place[np.maximum(x, 0)]]
-    eq = e[:, CONTEXT:]
-    q, k, v = eq @ p["Q"], e @ p["K"], e @ p["V"]
-    s = q @ k.transpose(0, 2, 1)
-    s += np.where(_SEES, p["B"][_BACK], np.float32(-1e9))
-    if not own.all():  # a text's first or last window
-        s += np.where(own, np.float32(0), np.float32(-1e9))[:, None, :]
-    s -= s.max(2, keepdims=True)
-    a = np.exp(s, out=s)
-    a /= a.sum(2, keepdims=True)
-    h = a @ v
-    return h @ p["O"] + eq @ p["R"] + p["C"], (e, eq, q, k, v, a, h)
+    """Class logits of each window's last STRIDE inputs, and what the gradient needs:
+    ``he`` is what attention gathers, the input's embedding and 1."""
+    e = p["E"].take(place[np.maximum(x, 0)], 0)
+    qkv = (e.reshape(-1, DIM) @ np.concatenate([p["Q"], p["K"], p["V"]], 1)).reshape(len(x), -1, 3 * DIM)
+    q, k, v = (np.ascontiguousarray(qkv[:, i:, j : j + DIM]) for i, j in ((CONTEXT, 0), (0, DIM), (0, 2 * DIM)))
+    a, h = _attention(p, x >= 0, q, k, v)
+    he = np.ones((len(x), STRIDE, 2 * DIM + 1), np.float32)
+    he[:, :, :DIM], he[:, :, DIM:-1] = h, e[:, CONTEXT:]
+    he = he.reshape(-1, 2 * DIM + 1)
+    return (he @ np.concatenate([p["O"], p["R"], p["C"][None]])).reshape(len(x), STRIDE, CLASSES), (e, q, k, v, a, he)
 
 
 def first_weights(of: np.ndarray, count: np.ndarray) -> dict[str, np.ndarray]:
@@ -347,27 +425,33 @@ def train(p: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, place: np.ndar
     for step in range(1, steps + 1):
         pick = order.take(np.arange((step - 1) * TRAIN_BATCH, step * TRAIN_BATCH), mode="wrap")
         xb, yb = x[pick], y[pick]
-        z, (e, eq, q, k, v, a, h) = attend(p, xb, place)
-        z = z - z.max(2, keepdims=True)
-        d = np.exp(z)
-        d /= d.sum(2, keepdims=True)
-        live = yb >= 0
-        np.put_along_axis(d, of[np.maximum(yb, 0)][:, :, None], np.take_along_axis(d, of[np.maximum(yb, 0)][:, :, None], 2) - 1, 2)
-        d *= live[:, :, None] / max(1, live.sum())
-        dh = d @ p["O"].T
-        da = dh @ v.transpose(0, 2, 1)
-        ds = a * (da - (da * a).sum(2, keepdims=True))
-        dq, dk, dv = ds @ k, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dh
-        de = dk @ p["K"].T + dv @ p["V"].T
-        de[:, CONTEXT:] += dq @ p["Q"].T + d @ p["R"].T
-        flat = lambda w: w.reshape(-1, w.shape[-1])
+        z, (e, q, k, v, a, he) = attend(p, xb, place)
+        d, _ = _exp(z.reshape(-1, CLASSES))
+        target = yb.ravel()
+        live = np.flatnonzero(target >= 0)
+        each = np.float32(1 / max(1, len(live)))
+        share = np.zeros(len(d), np.float32)
+        share[live] = each / _sums(d)[live]
+        d *= share[:, None]
+        d[live, of[target[live]]] -= each
+        dhe = (d @ np.concatenate([p["O"], p["R"]]).T).reshape(len(xb), STRIDE, 2 * DIM)
+        dh = np.ascontiguousarray(dhe[:, :, :DIM])
+        ds = dh @ _turned(v)
+        ds *= a
+        ds -= a * _sums(ds).reshape(-1, STRIDE, 1)
+        dqkv = np.zeros((*e.shape[:2], 3 * DIM), np.float32)
+        dqkv[:, CONTEXT:, :DIM], dqkv[:, :, DIM : 2 * DIM], dqkv[:, :, 2 * DIM :] = ds @ k, _turned(ds) @ q, _turned(a) @ dh
+        dqkv = dqkv.reshape(-1, 3 * DIM)
+        de = (dqkv @ np.concatenate([p["Q"], p["K"], p["V"]], 1).T).reshape(e.shape)
+        de[:, CONTEXT:] += dhe[:, :, DIM:]
+        inside = (xb >= 0).ravel()
+        at = place[xb.ravel()[inside]].astype(np.int64)[:, None] * DIM + np.arange(DIM)
+        dout, din = he.T @ d, e.reshape(-1, DIM).T @ dqkv
         grad = {
-            "Q": flat(eq).T @ flat(dq), "K": flat(e).T @ flat(dk), "V": flat(e).T @ flat(dv), "O": flat(h).T @ flat(d),
-            "R": flat(eq).T @ flat(d), "C": flat(d).sum(0),
+            "Q": din[:, :DIM], "K": din[:, DIM : 2 * DIM], "V": din[:, 2 * DIM :], "O": dout[:DIM], "R": dout[DIM:-1], "C": dout[-1],
             "B": np.bincount(_BACK.ravel(), weights=ds.sum(0).ravel(), minlength=CONTEXT + STRIDE).astype(np.float32),
-            "E": np.zeros_like(p["E"]),
+            "E": np.bincount(at.ravel(), weights=de.reshape(-1, DIM)[inside].ravel(), minlength=p["E"].size).reshape(p["E"].shape).astype(np.float32),
         }
-        np.add.at(grad["E"], place[np.maximum(xb, 0)].ravel(), (de * (xb >= 0)[:, :, None]).reshape(-1, DIM))
         rate = 0.02 / (turn + 1) * min(1.0, 2 * (1 - step / (steps + 1)))
         for name, w in grad.items():
             m[name] = 0.9 * m[name] + 0.1 * w
@@ -396,9 +480,9 @@ def _train_part(p: dict[str, np.ndarray], place: np.ndarray, of: np.ndarray, tur
 
 
 class Model:
-    def __init__(self, sub: Subwords, count: np.ndarray, answers: DataFrame, n_blocks: int):
+    def __init__(self, sub: Subwords, count: np.ndarray, answers: DataFrame):
         """``count``: of each token over all training documents; ``answers``: the packed
-        contexts and windows of the blocks."""
+        contexts and texts of the blocks."""
         self.end = sub.end
         size = 2 * sub.size
         top = np.argsort(-count, kind="stable")[:FREQUENT]
@@ -408,10 +492,11 @@ class Model:
         x = summed(pairs.mapInArrow(_frequent_contexts(self.place), "part long, blob binary"), FREQUENT * CONTEXTS)
         self.of = clusters(x.reshape(FREQUENT, CONTEXTS), top, count).astype(np.int16)
         self.p = first_weights(self.of, count)
-        own = answers.filter(F.col("block") == WINDOWS)
-        own = own.select(F.pmod(-1 - F.col("bucket"), F.lit(max(1, n_blocks // PART_BLOCKS))).alias("part"), "bucket", "blob")
+        own = answers.filter(F.col("block") == TEXTS)
+        own = own.select(F.pmod(-1 - F.col("bucket"), F.lit(max(1, int(count.sum()) // PART_TOKENS))).alias("part"), "bucket", "blob")
         for turn in range(ROUNDS):
-            copies = own.groupBy("part").applyInArrow(_train_part(self.p, self.place, self.of.astype(np.int64), turn), "part long, blob binary")
+            step = _train_part(self.p, self.place, self.of.astype(np.int64), turn)
+            copies = own.groupBy("part").applyInArrow(_with_windows(step, self.end), "part long, blob binary")
             total = summed(copies, 1 + sum(w.size for w in self.p.values()))
             if total[0]:
                 at, mean = 1, total / total[0]
@@ -424,37 +509,34 @@ class Model:
 
     def score(self, seq: np.ndarray, n: np.ndarray) -> np.ndarray:
         """Natural log probability of every token, each run (text) by itself."""
-        out = []
-        # texts are taken together until there are enough windows
-        edge = np.concatenate([[0], np.cumsum(n)])
-        i = 0
-        while i < len(n):
-            j = max(i + 1, int(np.searchsorted(edge, edge[i] + BATCH * STRIDE * 16, side="right")) - 1)
-            x, y, _ = windows(seq[edge[i] : edge[j]], n[i:j], self.end)
+        out, e = [], self.p["E"]
+        # what an input gives depends on its embedding alone
+        by_place = {c: e @ self.p[c] for c in ("Q", "K", "V", "R")}
+        by_place["R"] += self.p["C"]
+        for x, y in window_runs(seq, n, self.end):
             for b in range(0, len(x), BATCH):
-                yb = y[b : b + BATCH]
-                z, _ = attend(self.p, x[b : b + BATCH], self.place)
-                z -= z.max(2, keepdims=True)
-                t = np.maximum(yb, 0)
-                ll = np.take_along_axis(z, self.of[t].astype(np.int64)[:, :, None], 2)[:, :, 0] + self.within[t]
-                ll -= np.log(np.exp(z, out=z).sum(2))
-                out.append(ll[yb >= 0])
-            i = j
+                xb, target = x[b : b + BATCH], y[b : b + BATCH].ravel()
+                at = self.place[np.maximum(xb, 0)]
+                late = at[:, CONTEXT:]
+                _, h = _attention(self.p, xb >= 0, by_place["Q"].take(late, 0), by_place["K"].take(at, 0), by_place["V"].take(at, 0))
+                z = h.reshape(-1, DIM) @ self.p["O"]
+                z += by_place["R"].take(late.ravel(), 0)
+                t, row = np.maximum(target, 0), np.arange(len(z))
+                ll = z[row, self.of[t]] + self.within[t]
+                z, top = _exp(z)
+                out.append((ll - np.ravel(top) - np.log(_sums(z)))[target >= 0])
         return np.concatenate(out) if out else np.zeros(0)
 
 
-def _score(model: Model, sub: Subwords, trained: int, words: int, ends: int):
-    def score(key: tuple, t: pa.Table, answers: pa.Table) -> pa.Table:
-        if not t.num_rows:
-            return pa.table({c: pa.array([], k) for c, k in _KINDS})
-        w = Words(t)
-        count = np.frombuffer(b"".join(bl.in_order(answers)), np.int64) if answers.num_rows else np.zeros(0, np.int64)
-        n_words = np.bincount(w.doc, minlength=w.n_docs)
+def _score(model: Model, trained: int, words: int, ends: int):
+    def score(key: tuple, t: pa.Table) -> pa.Table:
+        of_texts = pa.compute.less(t["bucket"], 0)
+        w = Texts.unpacked(t.filter(of_texts)["blob"][0].as_py())
+        count = np.frombuffer(b"".join(bl.in_order(t.filter(pa.compute.invert(of_texts)))), np.int64)
         below = np.log10(trained + 0.1 * (words + 1))
         base = np.bincount(w.doc, weights=np.log10(count + 0.1)[w.of], minlength=w.n_docs) + np.log10(ends + 0.1)
         known = np.bincount(w.doc, weights=(count > 0)[w.of], minlength=w.n_docs).astype(np.int64) + int(ends > 0)
-        tok, n = sub.tokens(w.text)
-        seq, n_tok, inside, per_word = token_runs(w, tok, n, sub.end)
+        seq, n_tok, inside, per_word = token_runs(w, w.tok, w.n, model.end)
         # each word (and the end) by the mixture of its tokens' and its own probability
         ll = model.score(seq, n_tok)
         by_word = np.bincount(np.repeat(np.arange(len(w.of)), per_word), weights=ll[inside], minlength=len(w.of))
@@ -463,37 +545,31 @@ def _score(model: Model, sub: Subwords, trained: int, words: int, ends: int):
         word = np.logaddexp(rest + by_word, share(count)[w.of])
         last = np.logaddexp(rest + ll[~inside], share([ends]))
         model_score = (np.bincount(w.doc, weights=word, minlength=w.n_docs) + last) / np.log(10)
-        ids = t["doc_id"].to_pylist()
         return pa.table(
             {
-                "doc_id": pa.array(ids, pa.int64()),
-                "held_out": pa.array([x is not None and zlib.crc32(str(x).encode()) % 10 == HELD_OUT for x in ids]),
-                "n_tokens": pa.array(n_words + 1, pa.int64()), "n_known": pa.array(known, pa.int64()),
-                "train_tokens": pa.array(np.full(len(ids), trained, np.int64)),
-                "base_score": pa.array(base - (n_words + 1) * below), "score": pa.array(model_score),
+                "doc_id": pa.array(w.ids, pa.int64()),
+                "held_out": pa.array([x is not None and zlib.crc32(str(x).encode()) % 10 == HELD_OUT for x in w.ids]),
+                "n_tokens": pa.array(w.n_words + 1, pa.int64()), "n_known": pa.array(known, pa.int64()),
+                "train_tokens": pa.array(np.full(len(w.ids), trained, np.int64)),
+                "base_score": pa.array(base - (w.n_words + 1) * below), "score": pa.array(model_score),
             }
         )
 
     return score
 
 
-_KINDS = [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-          ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
-
-
 def scored(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     """Base and model scores of every row."""
     sub = Subwords(read_ranks(tokenizer))
     d, n = bl.blocks(docs)
-    by_block = d.groupBy("block")
-    asked = by_block.applyInArrow(_ask_counts(n, sub), bl.ASKED)
+    asked = d.groupBy("block").applyInArrow(_ask_counts(n, sub), bl.ASKED)
     answers = stored(asked.groupBy("bucket").applyInArrow(_count, bl.ANSWERED), "lm-counts")
     used = _totals(answers, TOKENS)
     count = np.zeros(2 * sub.size, np.int64)
     count[list(used)] = list(used.values())
     total = _totals(answers, WORDS)
     ends = int(count[sub.end])
-    model = Model(sub, count, answers, n)
-    return by_block.cogroup(answers.filter("block >= 0").groupBy("block")).applyInArrow(
-        _score(model, sub, total.get(1, 0) + ends, total.get(0, 0) + (ends > 0), ends), SCHEMA
-    )
+    model = Model(sub, count, answers)
+    block = F.when(F.col("block") == TEXTS, -1 - F.col("bucket")).otherwise(F.col("block"))
+    own = answers.filter((F.col("block") >= 0) | (F.col("block") == TEXTS)).select(block.alias("block"), "bucket", "blob")
+    return own.groupBy("block").applyInArrow(_score(model, total.get(1, 0) + ends, total.get(0, 0) + (ends > 0), ends), SCHEMA)

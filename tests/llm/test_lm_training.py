@@ -61,3 +61,25 @@ def test_held_out_text_scores_above_word_counts(spark):
     r = lm_score.scored(documents(spark, "/root/testdata/sf0.01")).filter("held_out")
     r = r.agg(F.sum("score").alias("score"), F.sum("base_score").alias("base")).first()
     assert r["score"] > 0.995 * r["base"]  # both are negative
+
+
+def test_every_token_of_training_documents_is_a_target():
+    sub, rng = lm_score.Subwords(lm_score.read_ranks()), np.random.default_rng(5)
+    ids = [*range(1, 60), None]
+    texts = [None if i == 7 else " ".join(f"w{w}" for w in rng.integers(0, 90, 5 * (i or 0))) for i in ids]
+    t = pa.table({"doc_id": pa.array(ids, pa.int64()), "text": texts})
+    rows = lm_score._ask_counts(4, sub)((pa.scalar(2),), t).to_pylist()
+    blob = {r["block"]: r["blob"] for r in rows if r["bucket"] < 0}
+    used = np.frombuffer(blob[lm_score.TOKENS], np.int64)
+    y = np.frombuffer(lm_score.trained_windows(blob[lm_score.TEXTS], sub.end), np.int32)
+    y = y.reshape(-1, lm_score.CONTEXT + 2 * lm_score.STRIDE)[:, lm_score.CONTEXT + lm_score.STRIDE :]
+    assert (np.bincount(y[y >= 0], minlength=len(used)) == used).all()
+    turns = [lm_score._trains(ids).sum(), used[sub.end]]
+    assert turns[0] == turns[1] and len(y) > 8 * turns[0]  # more windows than one of eight
+
+
+def test_exp_of_far_apart_rows():
+    x = np.array([[0, 1, 2], [500, 501, 502], [-900, -901, -902]], np.float32)
+    e, top = lm_score._exp(x.copy())
+    total = np.log(lm_score._sums(e)) + np.ravel(top)
+    assert np.allclose(total, np.log(np.exp(x.astype(float) - x.max(1, keepdims=True)).sum(1)) + x.max(1))
