@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from agora.operators import counts, topn
 from agora.operators.calendar import week_masks_of_days
+from agora.operators.distinct import distinct_rows
 from agora.plans import comment_trees, ingest, moderation, reports_sql, user_days
 from agora.plans import staging as staging_plan
 from agora.plans import weekly
@@ -455,7 +456,7 @@ def q_top_n_communities(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_distinct_post_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct post ids per community (all communities in one job)."""
     snaps = standins.post_snapshots(spark, sf_dir)
-    return snaps.select("subreddit", "post_id").distinct()
+    return distinct_rows(snaps.select("subreddit", "post_id"))
 
 
 @register(
