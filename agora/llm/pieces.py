@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -368,15 +369,32 @@ def decoded(rows: DataFrame, tables: Tables) -> DataFrame:
     return rows.mapInArrow(_decode(tables, rows.columns), schema)
 
 
+def _compare(keep: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = batch.column("text"), batch.column("decoded")
+            b = b.cast(a.type)
+            none = pc.and_(a.is_null(), b.is_null())
+            same = pc.if_else(none, True, pc.fill_null(pc.equal(a, b), False))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), batch.column("ids"), same], [*keep, "ids", "lossless"])
+
+    return run
+
+
 def round_trip(
     docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED, keep: list[str] | None = None,
     copy: str | None = None,
 ) -> DataFrame:
-    """(doc_id, kept columns, ids, n_ids, lossless): encoded with dropout, decoded again and compared."""
-    tables, keep = load(model), keep or []
-    own = [copy] if copy else []
-    back = decoded(encoded(docs.select("doc_id", "text", *keep, *own), tables, dropout, seed, copy), tables)
-    return back.select(
-        "doc_id", *keep, "ids", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_ids"),
-        F.col("text").eqNullSafe(F.col("decoded")).alias("lossless"),
-    )
+    """(doc_id, kept columns, ids, n_ids, lossless): encoded with dropout, decoded again and compared.
+
+    The three steps of ``encoded``, ``decoded`` and the comparison follow each other in one
+    Python worker: two for each task, with the texts between them, filled an executor."""
+    tables, kept = load(model), ["doc_id", *(keep or [])]
+    d = docs.select("doc_id", "text", *(keep or []), *([copy] if copy else []))
+    encode = _encode(tables, dropout, seed, "text", "doc_id", copy, d.columns)
+    decode, compare = _decode(tables, [*d.columns, "ids"]), _compare(kept)
+    types = dict(d.dtypes)
+    schema = f"{', '.join(f'`{c}` {types[c]}' for c in kept)}, ids array<int>, lossless boolean"
+    back = d.mapInArrow(lambda batches: compare(decode(encode(batches))), schema)
+    n_ids = F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_ids")
+    return back.select(*kept, "ids", n_ids, "lossless")

@@ -259,3 +259,18 @@ def test_divergence_equals_sql(spark):
     df = queries.QUERIES["op11_source_divergence"](spark, SF)
     want = con.execute(f"SELECT {', '.join(df.columns)} FROM ({queries.ORACLE['op11_source_divergence']})").fetchall()
     assert sorted(tuple(r) for r in df.collect()) == sorted(want)
+
+
+def test_round_trip_runs_in_one_python_worker_a_task(spark):
+    from agora.llm import pieces
+
+    rows = [(1, "a  b▁ ünd 日本", "s"), (2, None, None), (3, "", "t"), (None, "x" * 90, "s")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = pieces.round_trip(d, keep=["source"])
+    assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    tables = pieces.load()
+    want = pieces.decoded(pieces.encoded(d, tables), tables).collect()
+    key = lambda r: str(r["doc_id"])
+    for a, b in zip(sorted(got.collect(), key=key), sorted(want, key=key)):
+        assert (a["doc_id"], a["source"], a["ids"]) == (b["doc_id"], b["source"], b["ids"])
+        assert a["lossless"] and b["text"] == b["decoded"] and a["n_ids"] == max(0, len(b["ids"] or []))
