@@ -49,6 +49,7 @@ HELD_OUT = 0  # crc32 of the id, modulo 10
 EVERY = 1  # of a text's windows thinned by a seed; 1 keeps all
 ROUNDS = 2
 PART_TOKENS = 4 << 20
+SLICE_WORDS = 1 << 17  # that a task turns into tokens at once
 STEPS = 125  # of a copy in a round, at least
 FAN = 32
 CONTEXTS = 512  # hashes of the token before
@@ -133,6 +134,12 @@ class Texts:
         self.ids, self.n_words, self.of, self.tok, self.n = ids, n_words, of, tok, n
         self.n_docs, self.doc = len(ids), np.repeat(np.arange(len(ids)), n_words)
 
+    def slices(self) -> Iterator[Texts]:
+        """The documents in runs of about SLICE_WORDS words, one at least."""
+        edge = np.concatenate([[0], np.cumsum(self.n_words)])
+        for i, j in slices(edge, SLICE_WORDS):
+            yield Texts(self.ids[i:j], self.n_words[i:j], self.of[edge[i] : edge[j]], self.tok, self.n)
+
     def packed(self) -> bytes:
         cols = {"ids": pa.array(self.ids, pa.int64())}
         cols |= {c: pa.array(getattr(self, c).astype(np.int32)) for c in ("n_words", "of", "tok", "n")}
@@ -145,7 +152,7 @@ class Texts:
     @staticmethod
     def unpacked(blob: bytes) -> Texts:
         t = pa.ipc.open_stream(blob).read_next_batch()
-        rest = (t[c].values.to_numpy().astype(np.int64) for c in ("n_words", "of", "tok", "n"))
+        rest = (t[c].values.to_numpy() for c in ("n_words", "of", "tok", "n"))
         return Texts(t["ids"].values.to_pylist(), *rest)
 
 
@@ -336,21 +343,29 @@ def window_runs(seq: np.ndarray, n: np.ndarray, end: int) -> Iterator[tuple[np.n
         i = j
 
 
-def trained_windows(blob: bytes, end: int) -> bytes:
+def trained_windows(blob: bytes, end: int) -> np.ndarray:
     """The rows (inputs, targets) of all windows of a block's training documents."""
-    w = Texts.unpacked(blob)
-    seq, n, _, _ = token_runs(w, w.tok, w.n, end)
-    trains = _trains(w.ids)
-    seq, n = seq[np.repeat(trains, n)].astype(np.int32), n[trains]
-    rows = [np.concatenate([x, y], 1).astype(np.int32) for x, y in window_runs(seq, n, end)]
-    return np.concatenate(rows).tobytes() if rows else b""
+    rows = [np.zeros((0, CONTEXT + 2 * STRIDE), np.int32)]
+    for w in Texts.unpacked(blob).slices():
+        seq, n, _, _ = token_runs(w, w.tok, w.n, end)
+        trains = _trains(w.ids)
+        seq, n = seq[np.repeat(trains, n)].astype(np.int32), n[trains]
+        rows += [np.concatenate([x, y], 1).astype(np.int32) for x, y in window_runs(seq, n, end)]
+    return np.concatenate(rows)
+
+
+def _one_blob(x: np.ndarray) -> pa.Array:
+    """The bytes of ``x``, not copied."""
+    at = pa.py_buffer(np.array([0, x.nbytes], np.int32))
+    return pa.Array.from_buffers(pa.binary(), 1, [None, at, pa.py_buffer(x)])
 
 
 def _with_windows(run, end: int):
     """``run`` on the windows of a part's texts."""
 
     def call(key: tuple, t: pa.Table) -> pa.Table:
-        blob = pa.array([trained_windows(x.as_py(), end) for x in t["blob"]], pa.binary())
+        rows = (trained_windows(x.as_py(), end) for x in t["blob"])
+        blob = pa.chunked_array([_one_blob(x) for x in rows], pa.binary())
         return run(key, t.set_column(t.schema.get_field_index("blob"), "blob", blob))
 
     return call
@@ -469,8 +484,12 @@ def _train_part(p: dict[str, np.ndarray], place: np.ndarray, of: np.ndarray, tur
     span = CONTEXT + STRIDE
 
     def run(key: tuple, t: pa.Table) -> pa.Table:
-        t = t.combine_chunks().sort_by("bucket")
-        own = np.concatenate([np.frombuffer(x, np.int32).reshape(-1, span + STRIDE) for x in t["blob"].to_pylist()])[turn::ROUNDS]
+        own, at = [], 0
+        for i in pa.compute.sort_indices(t["bucket"]).to_pylist():
+            rows = np.frombuffer(t["blob"][i].as_buffer(), np.int32).reshape(-1, span + STRIDE)
+            own.append(rows[(turn - at) % ROUNDS :: ROUNDS])
+            at += len(rows)
+        own = np.concatenate(own)
         if not len(own):
             return _packed(0, np.zeros(0)).slice(0, 0)
         after = train(p, own[:, :span], own[:, span:], place, of, turn)
@@ -534,17 +553,21 @@ def _score(model: Model, trained: int, words: int, ends: int):
         w = Texts.unpacked(t.filter(of_texts)["blob"][0].as_py())
         count = np.frombuffer(b"".join(bl.in_order(t.filter(pa.compute.invert(of_texts)))), np.int64)
         below = np.log10(trained + 0.1 * (words + 1))
-        base = np.bincount(w.doc, weights=np.log10(count + 0.1)[w.of], minlength=w.n_docs) + np.log10(ends + 0.1)
-        known = np.bincount(w.doc, weights=(count > 0)[w.of], minlength=w.n_docs).astype(np.int64) + int(ends > 0)
-        seq, n_tok, inside, per_word = token_runs(w, w.tok, w.n, model.end)
-        # each word (and the end) by the mixture of its tokens' and its own probability
-        ll = model.score(seq, n_tok)
-        by_word = np.bincount(np.repeat(np.arange(len(w.of)), per_word), weights=ll[inside], minlength=len(w.of))
         share = lambda c: np.log(np.maximum(KNOWN * np.asarray(c, float) / max(trained, 1), 1e-300))
         rest = np.log(1 - KNOWN if trained else 1.0)
-        word = np.logaddexp(rest + by_word, share(count)[w.of])
-        last = np.logaddexp(rest + ll[~inside], share([ends]))
-        model_score = (np.bincount(w.doc, weights=word, minlength=w.n_docs) + last) / np.log(10)
+        base, known, model_score = [], [], []
+        for d in w.slices():
+            by_doc = lambda x: np.bincount(d.doc, weights=x, minlength=d.n_docs)  # noqa: B023, E731
+            base.append(by_doc(np.log10(count + 0.1)[d.of]) + np.log10(ends + 0.1))
+            known.append(by_doc((count > 0)[d.of]).astype(np.int64) + int(ends > 0))
+            seq, n_tok, inside, per_word = token_runs(d, d.tok, d.n, model.end)
+            # each word (and the end) by the mixture of its tokens' and its own probability
+            ll = model.score(seq, n_tok)
+            by_word = np.bincount(np.repeat(np.arange(len(d.of)), per_word), weights=ll[inside], minlength=len(d.of))
+            word = np.logaddexp(rest + by_word, share(count)[d.of])
+            last = np.logaddexp(rest + ll[~inside], share([ends]))
+            model_score.append((by_doc(word) + last) / np.log(10))
+        base, known, model_score = (np.concatenate(x) for x in (base, known, model_score))
         return pa.table(
             {
                 "doc_id": pa.array(w.ids, pa.int64()),

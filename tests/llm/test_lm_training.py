@@ -71,8 +71,7 @@ def test_every_token_of_training_documents_is_a_target():
     rows = lm_score._ask_counts(4, sub)((pa.scalar(2),), t).to_pylist()
     blob = {r["block"]: r["blob"] for r in rows if r["bucket"] < 0}
     used = np.frombuffer(blob[lm_score.TOKENS], np.int64)
-    y = np.frombuffer(lm_score.trained_windows(blob[lm_score.TEXTS], sub.end), np.int32)
-    y = y.reshape(-1, lm_score.CONTEXT + 2 * lm_score.STRIDE)[:, lm_score.CONTEXT + lm_score.STRIDE :]
+    y = lm_score.trained_windows(blob[lm_score.TEXTS], sub.end)[:, lm_score.CONTEXT + lm_score.STRIDE :]
     assert (np.bincount(y[y >= 0], minlength=len(used)) == used).all()
     turns = [lm_score._trains(ids).sum(), used[sub.end]]
     assert turns[0] == turns[1] and len(y) > 8 * turns[0]  # more windows than one of eight
