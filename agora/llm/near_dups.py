@@ -23,9 +23,11 @@
    share) get finer ones: of a sketch's values, ordered by how few of these documents
    hold them, as many as leave fewer than a match must share (prefix filter).  The line's
    own values come last, so these lists are short; where one is not, every document
-   outside its largest component meets all of the others', in chunks.  The pairs that
-   the sketches do not rule out are verified.  So no link between different texts is
-   lost, and no pair is made only because of a common line.
+   outside its largest component meets all of the others', in chunks.  Pairs that whole
+   sketches do not decide are verified on full sets, chunk by chunk: a chunk's pairs are
+   packed by document, its sets are fetched once each, and it gives a forest of links.  So
+   no link between different texts is lost, no pair is made only because of a common line,
+   and no step makes a row for each pair of a group.
 
 Null or empty text and texts without words have no set and are linked with nothing.
 Texts under five words have one shingle.  Rows with one doc_id count as one document
@@ -52,6 +54,7 @@ SMALL = 32
 MARGIN = 0.17  # over four standard deviations of a K-value estimate at the threshold
 CHUNK = 1024
 LIGHT = 32  # documents of a chunk that share a value and are paired one by one
+MOST_VALUES = 4 << 20  # of full sets that a task compares at once
 TYPICAL = 16  # documents of a chunk that all others are compared with
 FEW = 8  # documents of a component that stand for it in a list's second round
 
@@ -175,6 +178,11 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _needed(frame: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``frame`` whose doc_id is in the stored ``ids``, before they are shuffled."""
+    return frame.join(few(ids.select("doc_id").distinct()), "doc_id", "left_semi")
+
+
 def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs that are linked, on full sets."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("whole").alias("wa"))
@@ -255,12 +263,7 @@ def _typical(key: tuple, t: pa.Table) -> pa.Table:
     edge = np.cumsum(size) - size
     typical = np.add.reduceat(count[val], edge) / size
     up = {r: r for r in root.tolist()}
-
-    def top(r: int) -> int:
-        while up[r] != r:
-            r = up[r]
-        return r
-
+    top = lambda r: _top(up, r)
     kept = np.minimum(n, K)
     left = np.ones(len(ids), bool)  # not yet compared and not linked
     a, b = [], []
@@ -301,9 +304,32 @@ def _estimates(sk: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray
     return out
 
 
+def _top(up: dict[int, int], r: int) -> int:
+    while up[r] != r:
+        up[r] = r = up[up[r]]
+    return r
+
+
+def _forest(up: dict[int, int], of_a: np.ndarray, of_b: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """Of the links (a, b), of components ``of_a`` and ``of_b``, those that join two trees
+    of ``up``, which takes them in."""
+    out = []
+    for x, y, i, j in zip(of_a.tolist(), of_b.tolist(), a.tolist(), b.tolist()):
+        x, y = _top(up, x), _top(up, y)
+        if x != y:
+            up[max(x, y)] = min(x, y)
+            out.append((min(i, j), max(i, j)))
+    return out
+
+
+MET = "key long, p long, q long, doc_id long, linked binary, open binary"
+
+
 def _compare(key: tuple, t: pa.Table) -> pa.Table:
     """Pairs of two chunks of a list that sketches do not rule out, between different
-    components; only the list of a pair's smallest shared key looks at it."""
+    components, a row a document: the ids that whole sketches link it with (a forest of
+    the chunks), and those left to full sets, whose rows may hold no ids themselves.
+    Only the list of a pair's smallest shared key looks at it."""
     ids, root, n, sk = _columns(t := t.combine_chunks().sort_by("doc_id"))
     side = np.array(t["side"].to_pylist(), np.int64)
     this, p, q = (x.as_py() for x in key)
@@ -312,7 +338,7 @@ def _compare(key: tuple, t: pa.Table) -> pa.Table:
         of, size = np.unique(root, return_counts=True)
         left, right = np.flatnonzero(root != of[np.argmax(size)]), np.arange(len(ids))
     if not len(left) or not len(right):
-        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        return _by_document(key, ids, [], np.zeros(0, np.int64), np.zeros(0, np.int64))
     both = _shared(sk, left, right)
     kept = np.minimum(n, K)
     # an upper bound of the estimate, so that no pair is lost here
@@ -332,8 +358,61 @@ def _compare(key: tuple, t: pa.Table) -> pa.Table:
     if not whole.all():
         est[~whole] = _estimates(sk, x[~whole], y[~whole])
     good = np.where(whole, 100 * est >= PERCENT - 1e-9, est >= PERCENT / 100 - MARGIN)
-    a, b = ids[x[good]], ids[y[good]]
-    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+    sure = _forest({r: r for r in root.tolist()}, root[x[good & whole]], root[y[good & whole]], ids[x[good & whole]], ids[y[good & whole]])
+    return _by_document(key, ids, sure, x[good & ~whole], y[good & ~whole])
+
+
+def _by_document(key: tuple, ids: np.ndarray, sure: list[tuple[int, int]], x: np.ndarray, y: np.ndarray) -> pa.Table:
+    """Rows of MET: the links ``sure`` and the open pairs (places x and y in ``ids``)."""
+    linked: dict[int, list[int]] = {}
+    for a, b in sure:
+        linked.setdefault(a, []).append(b)
+    order = np.argsort(x, kind="stable")
+    x, y = x[order], y[order]
+    cut = np.searchsorted(x, np.arange(len(ids) + 1))
+    named = np.zeros(len(ids), bool)
+    named[x], named[y] = True, True
+    rows = [k for k, i in enumerate(ids.tolist()) if named[k] or i in linked]
+    fixed = {c: pa.array([v.as_py()] * len(rows), pa.int64()) for c, v in zip(("key", "p", "q"), key)}
+    return pa.table(fixed | {
+        "doc_id": pa.array(ids[rows], pa.int64()),
+        "linked": pa.array([np.array(linked.get(int(ids[k]), []), np.int64).tobytes() for k in rows], pa.binary()),
+        "open": pa.array([ids[y[cut[k] : cut[k + 1]]].tobytes() if named[k] else None for k in rows], pa.binary()),
+    })
+
+
+def _runs(size: np.ndarray, most: int) -> Iterator[slice]:
+    """Runs of neighbours that hold about ``most`` values, one at least."""
+    edge, i = np.concatenate([[0], np.cumsum(size)]), 0
+    while i < len(size):
+        j = max(i + 1, int(np.searchsorted(edge, edge[i] + most, side="right")) - 1)
+        yield slice(i, j)
+        i = j
+
+
+def _confirm_chunk(key: tuple, t: pa.Table) -> pa.Table:
+    """A forest of the links among a chunk's open pairs, on full sets."""
+    t = t.combine_chunks().sort_by("doc_id").to_pydict()
+    at = {i: k for k, i in enumerate(t["doc_id"])}
+    ids, whole = np.array(list(at), np.int64), dict(zip(t["doc_id"], t["whole"]))
+    sets = [np.frombuffer(whole[i], np.uint64) for i in at]
+    met: dict[int, np.ndarray] = {}
+    for i, o in zip(t["doc_id"], t["open"]):
+        if o:
+            met[at[i]] = np.union1d(met.get(at[i], np.zeros(0, np.int64)), np.searchsorted(ids, np.frombuffer(o, np.int64)))
+    size = np.array([len(x) for x in sets])
+    left, up, out = np.array(sorted(met), np.int64), {i: i for i in at}, []
+    for i in _runs(size[left], MOST_VALUES // 2):
+        a = left[i]
+        right = np.unique(np.concatenate([met[k] for k in a.tolist()]))
+        for j in _runs(size[right], MOST_VALUES // 2):
+            b = right[j]
+            asked = np.array([np.isin(b, met[k], assume_unique=True) for k in a.tolist()])
+            used = np.union1d(a, b)
+            both = _shared([sets[k] for k in used.tolist()], np.searchsorted(used, a), np.searchsorted(used, b)).astype(np.int64)
+            x, y = np.nonzero(asked & (100 * both >= PERCENT * (size[a][:, None] + size[b] - both)))
+            out += _forest(up, ids[a[x]], ids[b[y]], ids[a[x]], ids[b[y]])
+    return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
 
 def open_lists(lists: DataFrame, root: DataFrame) -> DataFrame:
@@ -358,14 +437,14 @@ def _first_of_components(open_: DataFrame) -> DataFrame:
     return few_.join(grown.select("key", "n"), "key")
 
 
-def dense_pairs(lists: DataFrame, root: DataFrame, reps: DataFrame, turn: int) -> DataFrame:
-    """Likely pairs between components by typical documents; a heuristic that only has
-    to find the bulk, as ``rest_pairs`` finds all others."""
-    open_ = open_lists(lists, root)
+def dense_pairs(open_: DataFrame, reps: DataFrame, turn: int) -> DataFrame:
+    """Likely pairs between components by typical documents of the stored ``open_`` lists;
+    a heuristic that only has to find the bulk, as ``rest_links`` finds all others."""
+    sketches = _needed(reps.select("doc_id", "n_shingles", "sketch"), open_)
     if turn:
         open_ = _first_of_components(open_)
     chunk = F.pmod(F.xxhash64("doc_id", F.lit(turn)), F.ceil(F.col("n") / F.lit(CHUNK)).cast("long"))
-    dealt = open_.select("key", chunk.alias("p"), "doc_id", "root").join(reps.select("doc_id", "n_shingles", "sketch"), "doc_id")
+    dealt = open_.select("key", chunk.alias("p"), "doc_id", "root").join(sketches, "doc_id")
     return dealt.groupBy("key", "p").applyInArrow(_typical, "a long, b long").distinct()
 
 
@@ -407,22 +486,35 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ks, pa.list_(pa.int64()))], [*batch.schema.names, "keys"])
 
 
-def rest_pairs(lists: DataFrame, root: DataFrame, reps: DataFrame) -> DataFrame:
-    """All likely pairs between components within lists that hold several."""
-    open_ = stored(open_lists(lists, root), "near-open")
-    long = stored(open_.filter(F.col("n") > CHUNK).select("doc_id").distinct(), "near-long")
-    kind = "doc_id long, n_shingles long, sketch binary, keys array<bigint>"
-    pairs = _list_pairs(open_.filter(F.col("n") <= CHUNK), reps.filter("n_shingles > 1").mapInArrow(_keys, kind))
-    if long.isEmpty():
-        return pairs
-    finer = stored(finer_keys(long, reps), "near-finer")
-    listed = finer.select(F.explode("keys").alias("key"), "doc_id")
-    return pairs.unionByName(_list_pairs(open_lists(listed, root), reps.join(finer, "doc_id"))).distinct()
+def _unpacked_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        linked = [np.frombuffer(x, np.int64) for x in batch.column("linked").to_pylist()]
+        at = np.repeat(np.arange(len(linked)), [len(x) for x in linked])
+        flat = np.concatenate(linked) if linked else np.zeros(0, np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(at)), pa.array(flat)], ["a", "b"])
 
 
-def _list_pairs(open_: DataFrame, keyed: DataFrame) -> DataFrame:
-    """Likely pairs of the lists ``open_``; ``keyed``: sketches of their documents, with
-    the keys of all lists that a document may be in."""
+def rest_links(open_: DataFrame, root: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
+    """The links between components within the stored ``open_`` lists: of each two chunks
+    that meet, a forest."""
+    long = stored(open_.filter(F.col("n") > CHUNK).select("doc_id").distinct(), "near-long")
+    kind = "doc_id long, n_shingles long, sketch binary, keys array<bigint>"
+    keyed = _needed(reps.filter("n_shingles > 1"), open_).mapInArrow(_keys, kind)
+    met = _met(open_.filter(F.col("n") <= CHUNK), keyed)
+    if not long.isEmpty():
+        finer = stored(finer_keys(long, reps), "near-finer")
+        listed = finer.select(F.explode("keys").alias("key"), "doc_id")
+        met = met.unionByName(_met(stored(open_lists(listed, root), "near-open"), _needed(reps, finer).join(finer, "doc_id")))
+    met = stored(met, "near-met")
+    pairs = met.filter("open IS NOT NULL").select("key", "p", "q", "doc_id", "open")
+    open_links = pairs.join(_needed(sets, pairs), "doc_id").groupBy("key", "p", "q").applyInArrow(_confirm_chunk, "a long, b long")
+    sure = met.filter("octet_length(linked) > 0").select("doc_id", "linked").mapInArrow(_unpacked_links, "a long, b long")
+    return open_links.unionByName(sure)
+
+
+def _met(open_: DataFrame, keyed: DataFrame) -> DataFrame:
+    """Rows of MET of the stored lists ``open_``; ``keyed``: sketches of their documents,
+    with the keys of all lists that a document may be in."""
     sizes = open_.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
     largest = sizes.groupBy("key").agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.sum("size").alias("n"), F.max("size").alias("most"))
     dealt = open_.select("key", "doc_id", "root").join(largest, "key")
@@ -436,6 +528,7 @@ def _list_pairs(open_: DataFrame, keyed: DataFrame) -> DataFrame:
     in_main = split & (F.col("root") == F.col("main"))
     own = F.when(in_main, n_left + F.pmod(h, F.greatest(n_main, F.lit(1)))).otherwise(F.pmod(h, n_left))
     dealt = dealt.select("key", "doc_id", "root", own.alias("c"), in_main.alias("in_main"), n_left.alias("n_left"), (n_left + n_main).alias("n_all"))
+    dealt = stored(dealt, "near-dealt")  # read twice
     # a chunk outside it meets itself, every later one and the largest component's chunks
     c, one = F.col("c"), F.lit(1).cast("long")
     left = dealt.filter(~F.col("in_main")).select(
@@ -443,7 +536,7 @@ def _list_pairs(open_: DataFrame, keyed: DataFrame) -> DataFrame:
     )
     right = dealt.select("key", F.explode(upto(zero, F.least(c, F.col("n_left")) - one)).alias("p"), c.alias("q"), "doc_id", "root", F.lit(1).alias("side"))
     met = left.unionByName(right).join(keyed.select("doc_id", "n_shingles", "sketch", "keys"), "doc_id")
-    return met.groupBy("key", "p", "q").applyInArrow(_compare, "a long, b long").distinct()
+    return met.groupBy("key", "p", "q").applyInArrow(_compare, MET)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -458,9 +551,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     posted = reps.filter("n_shingles > 1").mapInArrow(_list, "key long, doc_id long")
     lists = posted.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("low")).filter("n > 1")
     lists = stored(posted.join(lists, "key").select("key", "doc_id", "low"), "near-lists")
+    listed = few(stored(lists.select("doc_id").distinct(), "near-listed"))
+    reps = stored(reps.join(listed, "doc_id", "left_semi"), "near-sketches")  # no other sketch is looked at again
     first = lists.filter("doc_id <> low").select(F.col("low").alias("a"), F.col("doc_id").alias("b")).distinct()
     first = stored(likely_pairs(first, reps), "near-stars")
-    listed = few(stored(lists.select("doc_id").distinct(), "near-listed"))
     sets = stored(d.join(listed, "doc_id", "left_semi").mapInArrow(_whole, "doc_id long, whole binary").filter("octet_length(whole) > 0"), "near-sets")
     # a document with rows of several sets links their classes
     full = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -469,11 +563,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     same = own.join(own.groupBy("doc_id").agg(F.min("rep").alias("a")), "doc_id").filter("a <> rep").select("a", F.col("rep").alias("b"))
     linked = stored(links(first, sets).unionByName(same), "near-links")
     root = stored(components(linked, "near-roots"), "near-root")
-    member = lists.select("key", "doc_id")
+    open_, grown = lists.select("key", "doc_id"), True
     for turn in (0, 1, 2):
-        likely = dense_pairs(member, root, reps, turn) if turn < 2 else rest_pairs(member, root, reps)
-        more = stored(links(likely, sets), f"near-more-{turn}")
-        if more.isEmpty():  # the components stay as they are
+        if grown:  # a list of one component stays one
+            open_ = stored(open_lists(open_.select("key", "doc_id"), root), "near-open")
+        if turn < 2:
+            likely = stored(dense_pairs(open_, reps, turn), "near-likely")
+            ids = likely.select(F.explode(F.array("a", "b")).alias("doc_id"))
+            more = None if likely.isEmpty() else links(likely, _needed(sets, ids))
+        else:
+            more = rest_links(open_, root, reps, sets)
+        more = more and stored(more, f"near-more-{turn}")
+        grown = more is not None and not more.isEmpty()
+        if not grown:  # the components stay as they are
             continue
         # components found so far enter the next contraction as stars, which it keeps
         stars = root.select(F.col("doc_id").alias("a"), F.col("root").alias("b"))

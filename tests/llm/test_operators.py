@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from agora.llm import (
@@ -468,3 +469,37 @@ def test_pieces_of_long_letters(spark):
             salt = None if not dropout else pieces.mix64(pieces.mix64(enc.key ^ pieces.mix64(variant[k : k + 1])) ^ np.uint64(0))
             together, count = enc._together(sym.copy(), np.array([len(sym)]), salt)
             assert ids[edge[k] : edge[k] + n[k]].tolist() == together.tolist() and count[0] == n[k]
+
+
+def test_near_pairs_are_packed_by_document():
+    """A chunk of near copies that are no links gives rows by document, not by pair."""
+    rng = np.random.default_rng(4)
+    base, n = np.sort(rng.integers(0, 1 << 62, 400)).astype(np.uint64), 60
+    # two of them share 7/10 of their union or less: over the estimate's margin, under a link
+    sets = [np.sort(np.concatenate([rng.choice(base, 340, replace=False), rng.integers(0, 1 << 62, 20).astype(np.uint64)])) for _ in range(n)]
+    sets[7] = sets[3].copy()
+    sets[7][-1] += np.uint64(1)
+    t = pa.table({
+        "doc_id": pa.array(range(n), pa.int64()), "root": pa.array(range(n), pa.int64()), "side": pa.array([0] * n, pa.int64()),
+        "n_shingles": pa.array([len(x) for x in sets], pa.int64()), "sketch": [x[: near_dups.K].tobytes() for x in sets],
+        "keys": pa.array([[5]] * n, pa.list_(pa.int64())),
+    })
+    key = (pa.scalar(5), pa.scalar(0), pa.scalar(0))
+    met = near_dups._compare(key, t)
+    assert met.num_rows <= n
+    open_ = {(a, int(b)) for a, o in zip(met["doc_id"].to_pylist(), met["open"].to_pylist()) for b in np.frombuffer(o or b"", np.int64)}
+    likely = {
+        (a, b) for a in range(n) for b in range(a + 1, n)
+        if near_dups._estimate(sets[a][: near_dups.K], len(sets[a]), sets[b][: near_dups.K], len(sets[b])) >= near_dups.PERCENT / 100 - near_dups.MARGIN
+    }
+    assert {(min(x), max(x)) for x in open_} == likely and len(likely) > 5 * n
+    whole = met.append_column("whole", [[sets[i].tobytes() for i in met["doc_id"].to_pylist()]])
+    linked = near_dups._confirm_chunk(key, whole).to_pylist()
+    want = {
+        (a, b) for a, b in likely
+        if 100 * (both := len(np.intersect1d(sets[a], sets[b]))) >= near_dups.PERCENT * (len(sets[a]) + len(sets[b]) - both)
+    }
+    assert (3, 7) in want and {(r["a"], r["b"]) for r in linked} <= want
+    up = {i: i for i in range(n)}
+    ends = np.array(sorted(want))
+    assert len(near_dups._forest(up, ends[:, 0], ends[:, 1], ends[:, 0], ends[:, 1])) == len(linked)
