@@ -391,27 +391,27 @@ def _runs(size: np.ndarray, most: int) -> Iterator[slice]:
 
 
 def _confirm_chunk(key: tuple, t: pa.Table) -> pa.Table:
-    """A forest of the links among a chunk's open pairs, on full sets."""
-    t = t.combine_chunks().sort_by("doc_id").to_pydict()
-    at = {i: k for k, i in enumerate(t["doc_id"])}
-    ids, whole = np.array(list(at), np.int64), dict(zip(t["doc_id"], t["whole"]))
-    sets = [np.frombuffer(whole[i], np.uint64) for i in at]
+    """A forest of the links among a chunk's open pairs, on full sets; a document with
+    several sets is linked by any of them."""
+    t = t.to_pydict()
+    held = sorted(set(zip(t["doc_id"], t["whole"])))
+    of, sets = np.array([i for i, _ in held], np.int64), [np.frombuffer(x, np.uint64) for _, x in held]
     met: dict[int, np.ndarray] = {}
     for i, o in zip(t["doc_id"], t["open"]):
-        if o:
-            met[at[i]] = np.union1d(met.get(at[i], np.zeros(0, np.int64)), np.searchsorted(ids, np.frombuffer(o, np.int64)))
+        met[i] = np.union1d(met.get(i, np.zeros(0, np.int64)), np.frombuffer(o, np.int64))
     size = np.array([len(x) for x in sets])
-    left, up, out = np.array(sorted(met), np.int64), {i: i for i in at}, []
+    left, up, out = np.flatnonzero([len(met[i]) > 0 for i in of.tolist()]), {i: i for i in met}, []
     for i in _runs(size[left], MOST_VALUES // 2):
         a = left[i]
-        right = np.unique(np.concatenate([met[k] for k in a.tolist()]))
+        right = np.flatnonzero(np.isin(of, np.concatenate([met[k] for k in of[a].tolist()])))
         for j in _runs(size[right], MOST_VALUES // 2):
             b = right[j]
-            asked = np.array([np.isin(b, met[k], assume_unique=True) for k in a.tolist()])
+            asked = np.array([np.isin(of[b], met[k]) for k in of[a].tolist()])
             used = np.union1d(a, b)
             both = _shared([sets[k] for k in used.tolist()], np.searchsorted(used, a), np.searchsorted(used, b)).astype(np.int64)
             x, y = np.nonzero(asked & (100 * both >= PERCENT * (size[a][:, None] + size[b] - both)))
-            out += _forest(up, ids[a[x]], ids[b[y]], ids[a[x]], ids[b[y]])
+            x, y = of[a[x]], of[b[y]]
+            out += _forest(up, x, y, x, y)
     return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
 

@@ -503,3 +503,15 @@ def test_near_pairs_are_packed_by_document():
     up = {i: i for i in range(n)}
     ends = np.array(sorted(want))
     assert len(near_dups._forest(up, ends[:, 0], ends[:, 1], ends[:, 0], ends[:, 1])) == len(linked)
+
+
+def test_open_pairs_of_documents_with_several_sets(monkeypatch):
+    a, b = np.arange(300, dtype=np.uint64), np.arange(1000, 1300, dtype=np.uint64)
+    ids = lambda *x: np.array(x, np.int64).tobytes()
+    # document 1 has two sets, one of them in two rows; 2 is linked by the second, 4 by none
+    rows = [(1, ids(2, 4), a), (1, ids(2, 4), a), (1, ids(4), b), (2, ids(3), b[:280]), (3, ids(), b[:270]), (4, ids(), a[:200])]
+    t = pa.table({"doc_id": [i for i, _, _ in rows], "open": [o for _, o, _ in rows], "whole": [x.tobytes() for _, _, x in rows]})
+    for most in (near_dups.MOST_VALUES, 500):
+        monkeypatch.setattr(near_dups, "MOST_VALUES", most)
+        got = near_dups._confirm_chunk((), t).to_pylist()
+        assert sorted((r["a"], r["b"]) for r in got) == [(1, 2), (2, 3)]
