@@ -92,7 +92,8 @@ class Subwords:
         if not words:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         line = self.ranks[b"\n"]
-        ids = np.array(self._encoding().encode_ordinary(b"\n".join(words).decode("utf-8", "replace")), np.int64)
+        text = b"\n".join(words).decode("utf-8", "replace")
+        ids = self._encoding().encode_to_numpy(text, allowed_special=set(), disallowed_special=()).astype(np.int64)
         apart = ids == line
         n = np.diff(np.concatenate([[-1], np.flatnonzero(apart), [len(ids)]])) - 1
         first = np.concatenate([[True], apart[:-1]])
@@ -104,6 +105,23 @@ def read_ranks(path: str = TOKENIZER) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+def distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """np.unique of hashes, with the first place of each and the number of each entry, by
+    sorting leading bits beside the place (hashes that share all of these: by np.unique)."""
+    bits = np.uint64(max(1, len(h)).bit_length())
+    key = h >> bits << bits | np.arange(len(h), dtype=np.uint64)
+    key.sort()
+    order = (key & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    rising = h[order]
+    if (rising[1:] < rising[:-1]).any():
+        return np.unique(h, return_index=True, return_inverse=True)
+    new = np.ones(len(h), bool)
+    new[1:] = rising[1:] != rising[:-1]
+    of = np.empty(len(h), np.int64)
+    of[order] = np.cumsum(new) - 1
+    return rising[new], order[new], of
+
+
 class Words:
     """The lower-cased words of a block: distinct ones, and each word's number."""
 
@@ -119,7 +137,7 @@ class Words:
             self.doc.append(doc + i)
         self.doc = np.concatenate(self.doc) if self.doc else np.zeros(0, np.int64)
         h = np.concatenate(h) if h else np.zeros(0, np.uint64)
-        self.hash, first, self.of = np.unique(h, return_index=True, return_inverse=True)
+        self.hash, first, self.of = distinct(h)
         raw = data.tobytes()
         at = np.concatenate(where, 1)[:, first] if where else np.zeros((2, 0), np.int64)
         self.text = [raw[a:b] for a, b in zip(at[0].tolist(), at[1].tolist())]
@@ -164,14 +182,17 @@ def _trains(ids: list) -> np.ndarray:
 def token_runs(w: Words | Texts, tok: np.ndarray, n: np.ndarray, end: int) -> tuple[np.ndarray, ...]:
     """Tokens of all texts with an end after each, the number of each text's, which ones
     are no ends, and the number of each word's."""
-    at = np.cumsum(n) - n
+    # the end is one more word, of one token
+    of = np.full(len(w.of) + w.n_docs, len(n), np.int64)
+    of[np.arange(len(w.of)) + w.doc] = w.of
+    tok, n = np.append(tok, tok.dtype.type(end)), np.append(n, n.dtype.type(1))
+    each = n[of]
+    start = np.cumsum(each) - each
+    seq = tok[np.arange(int(each.sum())) + np.repeat((np.cumsum(n) - n)[of] - start, each)]
     per_word = n[w.of]
     n_tok = np.bincount(w.doc, weights=per_word, minlength=w.n_docs).astype(np.int64) + 1
-    seq = np.full(int(n_tok.sum()), end, np.int64)
     inside = np.ones(len(seq), bool)
     inside[np.cumsum(n_tok) - 1] = False
-    start = np.cumsum(per_word) - per_word
-    seq[inside] = tok[np.arange(int(per_word.sum())) + np.repeat(at[w.of] - start, per_word)]
     return seq, n_tok, inside, per_word
 
 
@@ -213,11 +234,9 @@ def _ask_counts(n_buckets: int, sub: Subwords):
 
 def _count(key: tuple, t: pa.Table) -> pa.Table:
     """Corpus counts of a bucket's words; block WORDS: the bucket's number of trained
-    words, and of trained tokens without ends.  What a block counted alone passes."""
+    words, and of trained tokens without ends."""
     bucket = key[0].as_py()
     block, blob = t["block"].to_pylist(), t["blob"].to_pylist()
-    if bucket < 0:
-        return bl.answered([(kind, bucket, x) for kind, x in zip(block, blob)])
     sets = [(np.frombuffer(x[: len(x) // 3 * 2], np.uint64), np.frombuffer(x[len(x) // 3 * 2 :], np.uint32)) for x in blob]
     at = np.cumsum([0, *(len(h) for h, _ in sets)])
     uniq, back = np.unique(np.concatenate([h for h, _ in sets]), return_inverse=True)
@@ -237,9 +256,9 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(total[k])], ["k", "c"])
 
 
-def _totals(answers: DataFrame, block: int) -> dict[int, int]:
+def _totals(packed: DataFrame, block: int) -> dict[int, int]:
     """Sums by place of the packed arrays (places: tokens of the vocabulary, or two)."""
-    rows = answers.filter(F.col("block") == block).select("blob").mapInArrow(_unpacked, "k long, c long")
+    rows = packed.filter(F.col("block") == block).select("blob").mapInArrow(_unpacked, "k long, c long")
     return {r["k"]: r["c"] for r in rows.groupBy("k").agg(F.sum("c").alias("c")).collect()}
 
 
@@ -333,47 +352,55 @@ def windows(seq: np.ndarray, n: np.ndarray, end: int, seed: np.ndarray | None =
     return x, y, doc
 
 
-def window_runs(seq: np.ndarray, n: np.ndarray, end: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Inputs and targets of all windows, texts taken together until there are enough."""
-    edge, i = np.concatenate([[0], np.cumsum(n)]), 0
-    while i < len(n):
-        j = max(i + 1, int(np.searchsorted(edge, edge[i] + BATCH * STRIDE * 16, side="right")) - 1)
-        x, y, _ = windows(seq[edge[i] : edge[j]], n[i:j], end)
-        yield x, y
-        i = j
-
-
-def trained_windows(blob: bytes, end: int) -> np.ndarray:
-    """The rows (inputs, targets) of all windows of a block's training documents."""
-    rows = [np.zeros((0, CONTEXT + 2 * STRIDE), np.int32)]
+def laid_out(seq: np.ndarray, n: np.ndarray, end: int) -> tuple[np.ndarray, ...]:
+    """Inputs and targets of all texts one after the other, each filled up to whole strides
+    by -1, CONTEXT times -1 before the inputs; the place of each token among the targets; of
+    each stride, whether it begins a text.  What ``spans`` makes of the inputs are the
+    windows, but a text's first one begins with the last inputs of another."""
+    n_win, edge = -(-n // STRIDE), np.cumsum(n) - n
+    begin = np.cumsum(n_win) - n_win
+    at = np.arange(len(seq)) + np.repeat(begin * STRIDE - edge, n)
+    y = np.full(int(n_win.sum()) * STRIDE, -1, np.int32)
+    x = np.full(CONTEXT + len(y), -1, np.int32)
+    y[at] = seq
+    x[CONTEXT + at[1:]] = seq[:-1]
+    x[CONTEXT + at[edge]] = end
+    first = np.zeros(len(y) // STRIDE, bool)
+    first[begin] = True
+    return x, y, at, first
+
+
+def spans(x: np.ndarray) -> np.ndarray:
+    """Each run of CONTEXT + STRIDE rows of x that begins at a multiple of STRIDE, not copied."""
+    shape = (max(0, (len(x) - CONTEXT) // STRIDE), CONTEXT + STRIDE, *x.shape[1:])
+    return np.lib.stride_tricks.as_strided(x, shape, (STRIDE * x.strides[0], *x.strides), writeable=False)
+
+
+def round_windows(blob: bytes, end: int, first: int, step: int) -> tuple[np.ndarray, int]:
+    """The rows (inputs, targets) of every ``step``-th window of a block's training documents
+    from ``first`` on, and the number of all windows."""
+    rows, total = [np.zeros((0, CONTEXT + 2 * STRIDE), np.int32)], 0
     for w in Texts.unpacked(blob).slices():
         seq, n, _, _ = token_runs(w, w.tok, w.n, end)
         trains = _trains(w.ids)
-        seq, n = seq[np.repeat(trains, n)].astype(np.int32), n[trains]
-        rows += [np.concatenate([x, y], 1).astype(np.int32) for x, y in window_runs(seq, n, end)]
-    return np.concatenate(rows)
-
-
-def _one_blob(x: np.ndarray) -> pa.Array:
-    """The bytes of ``x``, not copied."""
-    at = pa.py_buffer(np.array([0, x.nbytes], np.int32))
-    return pa.Array.from_buffers(pa.binary(), 1, [None, at, pa.py_buffer(x)])
-
-
-def _with_windows(run, end: int):
-    """``run`` on the windows of a part's texts."""
+        x, y, _, begins = laid_out(seq[np.repeat(trains, n)], n[trains], end)
+        take = slice((first - total) % step, None, step)
+        rows.append(np.concatenate([spans(x)[take], y.reshape(-1, STRIDE)[take]], 1))
+        rows[-1][begins[take], :CONTEXT] = -1
+        total += len(begins)
+    return np.concatenate(rows), total
 
-    def call(key: tuple, t: pa.Table) -> pa.Table:
-        rows = (trained_windows(x.as_py(), end) for x in t["blob"])
-        blob = pa.chunked_array([_one_blob(x) for x in rows], pa.binary())
-        return run(key, t.set_column(t.schema.get_field_index("blob"), "blob", blob))
 
-    return call
+def trained_windows(blob: bytes, end: int) -> np.ndarray:
+    """The rows (inputs, targets) of all windows of a block's training documents."""
+    return round_windows(blob, end, 0, 1)[0]
 
 
 _ROW, _COL = np.arange(STRIDE)[:, None] + CONTEXT, np.arange(CONTEXT + STRIDE)
 _BACK = np.maximum(_ROW - _COL, 0)  # how far back a key is
 _SEES = _COL <= _ROW
+_SEEN = _SEES.astype(np.float32)
+_TWOS = np.arange((FREQUENT + SHARED) * DIM // 2).reshape(-1, DIM // 2)  # places of each embedding's numbers, two taken as one
 
 
 def _exp(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -390,32 +417,58 @@ def _sums(x: np.ndarray) -> np.ndarray:
     return x.reshape(-1, x.shape[-1]) @ np.ones(x.shape[-1], np.float32)
 
 
-def _turned(x: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(x.transpose(0, 2, 1))
+def _exp_sums(x: np.ndarray, out: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
+    """exp of x less a number, row sums of that, and the number: 0 for all rows unless
+    one overflows or vanishes."""
+    with np.errstate(over="ignore"):
+        e = np.exp(x, out=out)
+    total = _sums(e)
+    if _fair(total):
+        return e, total, 0.0
+    e, top = _exp(x.copy())
+    return e, _sums(e), np.ravel(top)
+
+
+def _fair(total: np.ndarray) -> bool:
+    return bool(1e-30 < total.min() and total.max() < 1e30)
+
 
+def _attention(q: np.ndarray, e: np.ndarray, bias: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Attention of each window's last STRIDE inputs to all its embeddings ``e``, and what
+    it gathers of them; ``first``: the windows that begin a text, CONTEXT inputs before it."""
+    a = q @ e.transpose(0, 2, 1)
+    a += bias
+    with np.errstate(over="ignore", invalid="ignore"):
+        w = np.exp(a)
+        w *= _SEEN
+    w[first, :, :CONTEXT] = 0
+    total = _sums(w)
+    if not _fair(total):
+        a[:, ~_SEES] = a[first, :, :CONTEXT] = -np.inf
+        w, _ = _exp(a)
+        total = _sums(w)
+    w *= (1 / total).reshape(-1, STRIDE, 1)
+    return w, w @ e
 
-def _attention(p: dict[str, np.ndarray], own: np.ndarray, q: np.ndarray, k: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Attention of each window's last STRIDE inputs, and what it gathers."""
-    a = q @ _turned(k)
-    a += p["B"][_BACK]
-    sees = _SEES if own.all() else _SEES & own[:, None, :]  # a text's first or last window
-    a, _ = _exp(np.where(sees, a, a.min()))
-    a *= sees
-    a *= (1 / np.maximum(_sums(a), np.float32(1e-37))).reshape(-1, STRIDE, 1)
-    return a, a @ v
+
+def _weights(p: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Q K', of which attention between embeddings is made, and what makes logits of gathered
+    embeddings, the input's embedding and 1: no input has keys and values of its own."""
+    return p["Q"] @ p["K"].T, np.concatenate([p["V"] @ p["O"], p["R"], p["C"][None]])
 
 
 def attend(p: dict[str, np.ndarray], x: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, tuple]:
-    """Class logits of each window's last STRIDE inputs, and what the gradient needs:
-    ``he`` is what attention gathers, the input's embedding and 1."""
-    e = p["E"].take(place[np.maximum(x, 0)], 0)
-    qkv = (e.reshape(-1, DIM) @ np.concatenate([p["Q"], p["K"], p["V"]], 1)).reshape(len(x), -1, 3 * DIM)
-    q, k, v = (np.ascontiguousarray(qkv[:, i:, j : j + DIM]) for i, j in ((CONTEXT, 0), (0, DIM), (0, 2 * DIM)))
-    a, h = _attention(p, x >= 0, q, k, v)
+    """Class logits of each window's last STRIDE inputs, and what the gradient needs: ``he``
+    is the embeddings that attention gathers, the input's embedding and 1."""
+    at = place.take(np.maximum(x, 0))
+    e = p["E"].take(at, 0)
+    between, to_logits = _weights(p)
+    q = (p["E"] @ between).take(at[:, CONTEXT:], 0)
+    a, h = _attention(q, e, p["B"][_BACK], np.flatnonzero(x[:, 0] < 0))
     he = np.ones((len(x), STRIDE, 2 * DIM + 1), np.float32)
     he[:, :, :DIM], he[:, :, DIM:-1] = h, e[:, CONTEXT:]
     he = he.reshape(-1, 2 * DIM + 1)
-    return (he @ np.concatenate([p["O"], p["R"], p["C"][None]])).reshape(len(x), STRIDE, CLASSES), (e, q, k, v, a, he)
+    return (he @ to_logits).reshape(len(x), STRIDE, CLASSES), (at, e, q, a, h, he)
 
 
 def first_weights(of: np.ndarray, count: np.ndarray) -> dict[str, np.ndarray]:
@@ -433,45 +486,54 @@ def first_weights(of: np.ndarray, count: np.ndarray) -> dict[str, np.ndarray]:
 def train(p: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, place: np.ndarray, of: np.ndarray, turn: int) -> dict[str, np.ndarray]:
     """The weights after a pass over the windows (STEPS steps at least), by Adam on
     cross-entropy of the next token's class."""
-    g, p = np.random.default_rng(turn), dict(p)
-    order = g.permutation(len(x))
+    order = np.random.default_rng(turn).permutation(len(x))
     steps = max(STEPS, -(-len(x) // TRAIN_BATCH))
-    m, s2 = ({k: np.zeros_like(w) for k, w in p.items()} for _ in range(2))
+    flat = _flat(p)
+    slope, m, s2 = (np.zeros_like(flat) for _ in range(3))
+    p, grad = _views(flat, p), _views(slope, p)
+    embeddings, scratch = grad["E"].reshape(-1).view(np.complex64), np.empty((TRAIN_BATCH * STRIDE, CLASSES), np.float32)
     for step in range(1, steps + 1):
         pick = order.take(np.arange((step - 1) * TRAIN_BATCH, step * TRAIN_BATCH), mode="wrap")
-        xb, yb = x[pick], y[pick]
-        z, (e, q, k, v, a, he) = attend(p, xb, place)
-        d, _ = _exp(z.reshape(-1, CLASSES))
-        target = yb.ravel()
+        xb, target = x[pick], y[pick].ravel()
+        between, to_logits = _weights(p)
+        z, (at, e, q, a, h, he) = attend(p, xb, place)
+        d, total, _ = _exp_sums(z.reshape(-1, CLASSES), scratch)
         live = np.flatnonzero(target >= 0)
         each = np.float32(1 / max(1, len(live)))
         share = np.zeros(len(d), np.float32)
-        share[live] = each / _sums(d)[live]
+        share[live] = each / total[live]
         d *= share[:, None]
-        d[live, of[target[live]]] -= each
-        dhe = (d @ np.concatenate([p["O"], p["R"]]).T).reshape(len(xb), STRIDE, 2 * DIM)
+        d.reshape(-1)[live * CLASSES + of[target[live]]] -= each
+        dhe = (d @ to_logits[:-1].T).reshape(len(xb), STRIDE, 2 * DIM)
         dh = np.ascontiguousarray(dhe[:, :, :DIM])
-        ds = dh @ _turned(v)
+        ds = dh @ e.transpose(0, 2, 1)
+        ds -= _sums(dh * h).reshape(-1, STRIDE, 1)
         ds *= a
-        ds -= a * _sums(ds).reshape(-1, STRIDE, 1)
-        dqkv = np.zeros((*e.shape[:2], 3 * DIM), np.float32)
-        dqkv[:, CONTEXT:, :DIM], dqkv[:, :, DIM : 2 * DIM], dqkv[:, :, 2 * DIM :] = ds @ k, _turned(ds) @ q, _turned(a) @ dh
-        dqkv = dqkv.reshape(-1, 3 * DIM)
-        de = (dqkv @ np.concatenate([p["Q"], p["K"], p["V"]], 1).T).reshape(e.shape)
-        de[:, CONTEXT:] += dhe[:, :, DIM:]
-        inside = (xb >= 0).ravel()
-        at = place[xb.ravel()[inside]].astype(np.int64)[:, None] * DIM + np.arange(DIM)
-        dout, din = he.T @ d, e.reshape(-1, DIM).T @ dqkv
-        grad = {
-            "Q": din[:, :DIM], "K": din[:, DIM : 2 * DIM], "V": din[:, 2 * DIM :], "O": dout[:DIM], "R": dout[DIM:-1], "C": dout[-1],
-            "B": np.bincount(_BACK.ravel(), weights=ds.sum(0).ravel(), minlength=CONTEXT + STRIDE).astype(np.float32),
-            "E": np.bincount(at.ravel(), weights=de.reshape(-1, DIM)[inside].ravel(), minlength=p["E"].size).reshape(p["E"].shape).astype(np.float32),
-        }
+        dq = (ds @ e).reshape(-1, DIM)
+        de = np.concatenate([ds, a], 1).transpose(0, 2, 1) @ np.concatenate([q, dh], 1)
+        late = (dq @ between.T).reshape(dh.shape)
+        late += dhe[:, :, DIM:]
+        de[:, CONTEXT:] += late
+        dout, dbetween = he.T @ d, he[:, DIM:-1].T @ dq
+        grad["Q"][:], grad["K"][:] = dbetween @ p["K"], dbetween.T @ p["Q"]
+        grad["V"][:], grad["O"][:] = dout[:DIM] @ p["O"].T, p["V"].T @ dout[:DIM]
+        grad["R"][:], grad["C"][:] = dout[DIM:-1], dout[-1]
+        grad["B"][:] = np.bincount(_BACK.ravel(), weights=ds.sum(0).ravel(), minlength=CONTEXT + STRIDE)
+        embeddings[:] = 0
+        np.add.at(embeddings, _TWOS.take(at.ravel(), 0).ravel(), de.reshape(-1).view(np.complex64))
         rate = 0.02 / (turn + 1) * min(1.0, 2 * (1 - step / (steps + 1)))
-        for name, w in grad.items():
-            m[name] = 0.9 * m[name] + 0.1 * w
-            s2[name] = 0.99 * s2[name] + 0.01 * w * w
-            p[name] = (p[name] - rate * (m[name] / (1 - 0.9**step)) / (np.sqrt(s2[name] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+        m *= 0.9
+        m += 0.1 * slope
+        s2 *= 0.99
+        slope *= slope
+        slope *= 0.01
+        s2 += slope
+        root = np.sqrt(s2)
+        root *= (1 - 0.99**step) ** -0.5
+        root += 1e-8
+        np.divide(m, root, out=root)
+        root *= rate / (1 - 0.9**step)
+        flat -= root
     return p
 
 
@@ -479,17 +541,30 @@ def _flat(p: dict[str, np.ndarray]) -> np.ndarray:
     return np.concatenate([p[k].ravel() for k in sorted(p)])
 
 
-def _train_part(p: dict[str, np.ndarray], place: np.ndarray, of: np.ndarray, turn: int):
-    """A part's number of windows in this round, and that times its weights after them."""
+def _views(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """The parts of ``flat``, laid out as by _flat."""
+    end = np.cumsum([like[k].size for k in sorted(like)])
+    return {k: part.reshape(like[k].shape) for k, part in zip(sorted(like), np.split(flat, end[:-1]))}
+
+
+def _rows_of_round(blob: bytes, first: int) -> tuple[np.ndarray, int]:
+    """Every ROUNDS-th of the packed windows from ``first`` on, and the number of all."""
+    rows = np.frombuffer(blob, np.int32).reshape(-1, CONTEXT + 2 * STRIDE)
+    return rows[first::ROUNDS], len(rows)
+
+
+def _train_part(p: dict[str, np.ndarray], place: np.ndarray, of: np.ndarray, turn: int, read=_rows_of_round):
+    """A part's number of windows in this round, and that times its weights after them;
+    ``read`` gives a blob's windows of the round, every ROUNDS-th, and the number of all."""
     span = CONTEXT + STRIDE
 
     def run(key: tuple, t: pa.Table) -> pa.Table:
         own, at = [], 0
         for i in pa.compute.sort_indices(t["bucket"]).to_pylist():
-            rows = np.frombuffer(t["blob"][i].as_buffer(), np.int32).reshape(-1, span + STRIDE)
-            own.append(rows[(turn - at) % ROUNDS :: ROUNDS])
-            at += len(rows)
-        own = np.concatenate(own)
+            rows, n = read(t["blob"][i].as_buffer(), (turn - at) % ROUNDS)
+            own.append(rows)
+            at += n
+        own = np.concatenate(own) if len(own) > 1 else own[0]
         if not len(own):
             return _packed(0, np.zeros(0)).slice(0, 0)
         after = train(p, own[:, :span], own[:, span:], place, of, turn)
@@ -499,52 +574,51 @@ def _train_part(p: dict[str, np.ndarray], place: np.ndarray, of: np.ndarray, tur
 
 
 class Model:
-    def __init__(self, sub: Subwords, count: np.ndarray, answers: DataFrame):
-        """``count``: of each token over all training documents; ``answers``: the packed
+    def __init__(self, sub: Subwords, count: np.ndarray, asked: DataFrame):
+        """``count``: of each token over all training documents; ``asked``: the packed
         contexts and texts of the blocks."""
-        self.end = sub.end
+        self.end = end = sub.end
         size = 2 * sub.size
         top = np.argsort(-count, kind="stable")[:FREQUENT]
         self.place = (FREQUENT + np.arange(size) % SHARED).astype(np.int16)
         self.place[top] = np.arange(len(top))
-        pairs = answers.filter(F.col("block") == PAIRS).select((-1 - F.col("bucket")).alias("part"), "blob")
+        pairs = asked.filter(F.col("block") == PAIRS).select((-1 - F.col("bucket")).alias("part"), "blob")
         x = summed(pairs.mapInArrow(_frequent_contexts(self.place), "part long, blob binary"), FREQUENT * CONTEXTS)
         self.of = clusters(x.reshape(FREQUENT, CONTEXTS), top, count).astype(np.int16)
         self.p = first_weights(self.of, count)
-        own = answers.filter(F.col("block") == TEXTS)
+        own = asked.filter(F.col("block") == TEXTS)
         own = own.select(F.pmod(-1 - F.col("bucket"), F.lit(max(1, int(count.sum()) // PART_TOKENS))).alias("part"), "bucket", "blob")
         for turn in range(ROUNDS):
-            step = _train_part(self.p, self.place, self.of.astype(np.int64), turn)
-            copies = own.groupBy("part").applyInArrow(_with_windows(step, self.end), "part long, blob binary")
+            read = lambda blob, first: round_windows(blob, end, first, ROUNDS)
+            step = _train_part(self.p, self.place, self.of.astype(np.int64), turn, read)
+            copies = own.groupBy("part").applyInArrow(step, "part long, blob binary")
             total = summed(copies, 1 + sum(w.size for w in self.p.values()))
             if total[0]:
-                at, mean = 1, total / total[0]
-                for k in sorted(self.p):
-                    shape, n = self.p[k].shape, self.p[k].size
-                    self.p[k] = mean[at : at + n].reshape(shape).astype(np.float32)
-                    at += n
+                self.p = _views((total[1:] / total[0]).astype(np.float32), self.p)
         mass = count + SMOOTH
         self.within = np.log(mass / np.bincount(self.of, weights=mass, minlength=CLASSES)[self.of]).astype(np.float32)
 
     def score(self, seq: np.ndarray, n: np.ndarray) -> np.ndarray:
         """Natural log probability of every token, each run (text) by itself."""
-        out, e = [], self.p["E"]
+        x, y, at, first = laid_out(seq, n, self.end)
+        place, of, e = self.place.take(np.maximum(x, 0)), self.of.take(np.maximum(y, 0)), self.p["E"]
+        between, to_logits = _weights(self.p)
         # what an input gives depends on its embedding alone
-        by_place = {c: e @ self.p[c] for c in ("Q", "K", "V", "R")}
-        by_place["R"] += self.p["C"]
-        for x, y in window_runs(seq, n, self.end):
-            for b in range(0, len(x), BATCH):
-                xb, target = x[b : b + BATCH], y[b : b + BATCH].ravel()
-                at = self.place[np.maximum(xb, 0)]
-                late = at[:, CONTEXT:]
-                _, h = _attention(self.p, xb >= 0, by_place["Q"].take(late, 0), by_place["K"].take(at, 0), by_place["V"].take(at, 0))
-                z = h.reshape(-1, DIM) @ self.p["O"]
-                z += by_place["R"].take(late.ravel(), 0)
-                t, row = np.maximum(target, 0), np.arange(len(z))
-                ll = z[row, self.of[t]] + self.within[t]
-                z, top = _exp(z)
-                out.append((ll - np.ravel(top) - np.log(_sums(z)))[target >= 0])
-        return np.concatenate(out) if out else np.zeros(0)
+        q, rest = e @ between, e @ to_logits[DIM:-1] + to_logits[-1]
+        bias, scratch = self.p["B"][_BACK], np.empty((BATCH * STRIDE, CLASSES), np.float32)
+        ll = np.empty(len(y), np.float32)
+        for b in range(0, len(first), BATCH):
+            begins = np.flatnonzero(first[b : b + BATCH])
+            i, j = b * STRIDE, min(b + BATCH, len(first)) * STRIDE
+            late = place[CONTEXT + i : CONTEXT + j]
+            own = spans(e.take(place[i : CONTEXT + j], 0))
+            _, h = _attention(q.take(late, 0).reshape(-1, STRIDE, DIM), own, bias, begins)
+            z = h.reshape(-1, DIM) @ to_logits[:DIM]
+            z += rest.take(late, 0)
+            ll[i:j] = z.reshape(-1).take(np.arange(j - i) * CLASSES + of[i:j])
+            _, total, top = _exp_sums(z, scratch[: j - i])
+            ll[i:j] -= top + np.log(total)
+        return ll[at] + self.within.take(seq)
 
 
 def _score(model: Model, trained: int, words: int, ends: int):
@@ -585,14 +659,16 @@ def scored(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     """Base and model scores of every row."""
     sub = Subwords(read_ranks(tokenizer))
     d, n = bl.blocks(docs)
-    asked = d.groupBy("block").applyInArrow(_ask_counts(n, sub), bl.ASKED)
-    answers = stored(asked.groupBy("bucket").applyInArrow(_count, bl.ANSWERED), "lm-counts")
-    used = _totals(answers, TOKENS)
+    # what a block counts alone, and its texts, are read where they were written
+    asked = stored(d.groupBy("block").applyInArrow(_ask_counts(n, sub), bl.ASKED), "lm-asked")
+    counts = asked.filter("bucket >= 0").groupBy("bucket").applyInArrow(_count, bl.ANSWERED)
+    answers = stored(counts, "lm-counts")
+    used = _totals(asked, TOKENS)
     count = np.zeros(2 * sub.size, np.int64)
     count[list(used)] = list(used.values())
     total = _totals(answers, WORDS)
     ends = int(count[sub.end])
-    model = Model(sub, count, answers)
-    block = F.when(F.col("block") == TEXTS, -1 - F.col("bucket")).otherwise(F.col("block"))
-    own = answers.filter((F.col("block") >= 0) | (F.col("block") == TEXTS)).select(block.alias("block"), "bucket", "blob")
+    model = Model(sub, count, asked)
+    texts = asked.filter(F.col("block") == TEXTS).select((-1 - F.col("bucket")).alias("block"), "bucket", "blob")
+    own = texts.union(answers.filter("block >= 0"))
     return own.groupBy("block").applyInArrow(_score(model, total.get(1, 0) + ends, total.get(0, 0) + (ends > 0), ends), SCHEMA)

@@ -82,3 +82,68 @@ def test_exp_of_far_apart_rows():
     e, top = lm_score._exp(x.copy())
     total = np.log(lm_score._sums(e)) + np.ravel(top)
     assert np.allclose(total, np.log(np.exp(x.astype(float) - x.max(1, keepdims=True)).sum(1)) + x.max(1))
+
+
+def test_texts_are_not_sent_to_buckets(spark, monkeypatch):
+    count = lm_score._count
+
+    def words_only(key, t):
+        assert key[0].as_py() >= 0
+        return count(key, t)
+
+    monkeypatch.setattr(lm_score, "_count", words_only)
+    docs = spark.createDataFrame([(i, f"a b w{i}") for i in range(30)], "doc_id long, text string")
+    assert lm_score.scored(docs).count() == 30
+
+
+def test_rounds_share_out_all_windows():
+    sub, rng = lm_score.Subwords(lm_score.read_ranks()), np.random.default_rng(6)
+    ids = list(range(1, 80))
+    t = pa.table({"doc_id": ids, "text": [" ".join(f"w{w}" for w in rng.integers(0, 90, i % 31)) for i in ids]})
+    rows = lm_score._ask_counts(4, sub)((pa.scalar(2),), t).to_pylist()
+    blob = next(r["blob"] for r in rows if r["block"] == lm_score.TEXTS)
+    w = lm_score.Texts.unpacked(blob)
+    seq, n, _, _ = lm_score.token_runs(w, w.tok, w.n, sub.end)
+    trains = lm_score._trains(ids)
+    x, y, _ = lm_score.windows(seq[np.repeat(trains, n)], n[trains], sub.end)
+    whole = np.concatenate([x, y], 1)
+    assert (lm_score.trained_windows(blob, sub.end) == whole).all()
+    for first in range(lm_score.ROUNDS):
+        own, total = lm_score.round_windows(blob, sub.end, first, lm_score.ROUNDS)
+        assert total == len(whole) and (own == whole[first :: lm_score.ROUNDS]).all()
+
+
+def test_attention_and_scores_equal_plain_ones():
+    rng = np.random.default_rng(8)
+    m = lm_score.Model.__new__(lm_score.Model)
+    m.end, m.place, m.of = 1999, np.arange(2000) % 100, rng.integers(0, lm_score.CLASSES, 2000)
+    m.within = rng.standard_normal(2000).astype(np.float32)
+    n = np.array([1, 16, 17, 40, 300])
+    seq = rng.integers(0, 1999, n.sum())
+    x, y, _ = lm_score.windows(seq, n, m.end)
+    for scale in (1, 60):  # the second makes exp overflow
+        m.p = {k: scale * v for k, v in lm_score.first_weights(m.of, np.ones(2000)).items()}
+        p = {k: v.astype(float) for k, v in m.p.items()}
+        e, want, score = p["E"][m.place[np.maximum(x, 0)]], np.zeros((len(x), lm_score.STRIDE, lm_score.CLASSES)), []
+        for i in range(len(x)):
+            for r in range(lm_score.STRIDE):
+                at = lm_score.CONTEXT + r
+                seen = [j for j in range(at + 1) if x[i, j] >= 0]
+                a = np.array([e[i, at] @ p["Q"] @ (e[i, j] @ p["K"]) + p["B"][at - j] for j in seen])
+                a = np.exp(a - a.max()) / np.exp(a - a.max()).sum()
+                want[i, r] = a @ (e[i, seen] @ p["V"]) @ p["O"] + e[i, at] @ p["R"] + p["C"]
+                if y[i, r] >= 0:
+                    z = want[i, r] - want[i, r].max()
+                    score.append(z[m.of[y[i, r]]] - np.log(np.exp(z).sum()) + m.within[y[i, r]])
+        live = y >= 0
+        got = lm_score.attend(m.p, x, m.place)[0]
+        assert np.allclose(got[live], want[live], rtol=1e-3, atol=1e-4 * np.abs(want).max())
+        assert np.allclose(m.score(seq, n), score, rtol=1e-3, atol=1e-4 * np.abs(want).max())
+
+
+def test_distinct_hashes():
+    rng = np.random.default_rng(9)
+    h = rng.integers(0, 1 << 63, 500).astype(np.uint64)
+    for x in (h[rng.integers(0, 500, 4000)], h[rng.integers(0, 500, 4000)] >> np.uint64(55), h[:0], h[:1]):
+        for a, b in zip(lm_score.distinct(x), np.unique(x, return_index=True, return_inverse=True)):
+            assert (a == b).all()
