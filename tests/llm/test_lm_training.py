@@ -147,3 +147,14 @@ def test_distinct_hashes():
     for x in (h[rng.integers(0, 500, 4000)], h[rng.integers(0, 500, 4000)] >> np.uint64(55), h[:0], h[:1]):
         for a, b in zip(lm_score.distinct(x), np.unique(x, return_index=True, return_inverse=True)):
             assert (a == b).all()
+
+
+def test_packed_texts_come_back():
+    rng = np.random.default_rng(10)
+    for k in (0, 1, 700):
+        cols = [rng.integers(0, 1 << 30, m).astype(np.int32) for m in (3 * k, k, k)]
+        w = lm_score.Texts([None, 5, -7][: min(k, 3)], np.full(min(k, 3), k), *cols)
+        got = lm_score.Texts.unpacked(w.packed())
+        assert got.ids == w.ids and all((getattr(got, c) == getattr(w, c)).all() for c in ("n_words", "of", "tok", "n", "doc"))
+    w = lm_score.Texts([1], np.array([100000]), rng.zipf(1.3, 100000) % 300000, np.arange(1), np.ones(1, int))
+    assert len(w.packed()) < 0.95 * len(pa.compress(w.of.astype(np.int32).tobytes(), codec="zstd", asbytes=True))
