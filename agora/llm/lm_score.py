@@ -16,7 +16,8 @@ Every window of every training document trains the attention.  The windows of bl
 with about PART_TOKENS tokens train one copy of the weights in numpy, by Adam; the copies
 are averaged by their windows and go on from there.  Each of the ROUNDS takes windows of
 its own, together all.  Packed sums go through FAN partial sums.  A block keeps its texts
-as numbers of words, from which training and scoring take their windows.
+as numbers of words, from which training and scoring take their windows; only counts of
+words go to buckets.
 
 Scoring.  A text's tokens are cut into windows of CONTEXT + STRIDE inputs that overlap
 by CONTEXT; each window scores its last STRIDE tokens, so every token is scored once,
